@@ -1,0 +1,800 @@
+"""The operators on the test tables.
+
+Order lines joined to their orders stand in for trips, users and their sign-up and error events for
+vendors and their contract changes, and purchase events for trips that need a version.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import cache
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siltworks.contracts import FeedContract, Field
+from siltworks.functions import rescue
+from siltworks.functions.casting import money_sum
+from siltworks.functions.dates import instant, month_text, outside_period
+from siltworks.operators import checks, dimensions, duplicates, facts, harmonize, history, quality
+from siltworks.operators.checks import TableChecks
+from siltworks.operators.quality import Rule
+from siltworks.session import work_dir
+from siltworks.sources import landing, layout, tables, versions
+from siltworks.streaming import ingest
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(function: Query) -> Query:
+    """Register a query under its own name."""
+    QUERIES[function.__name__] = function
+    return function
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return tables.read_table(spark, f"{sf}/{name}.parquet")
+
+
+# ---- Stand-ins ------------------------------------------------------------------------------
+
+
+def trips(spark: SparkSession, sf: str) -> DataFrame:
+    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    price = F.col("l_extendedprice")
+    claimed = month_text(F.col("o_orderdate") + F.expr("interval 3 days"))
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_orderkey").alias("order_key"),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_partkey").alias("part_key"),
+        F.col("l_suppkey").alias("vendor_id"),
+        F.col("l_returnflag").alias("service_type"),
+        F.col("o_orderdate").alias("pickup_datetime"),
+        F.col("l_shipdate").alias("dropoff_datetime"),
+        F.col("l_quantity").alias("trip_distance"),
+        F.nullif(F.col("l_quantity"), F.lit(2.0)).alias("passenger_count"),
+        price.alias("fare_amount"),
+        F.when(F.col("l_returnflag") == "R", -price).otherwise(price).alias("total_amount"),
+        F.concat(F.lit("trips_"), claimed, F.lit(".parquet")).alias("_source_file"),
+    )
+
+
+def rules() -> list[Rule]:
+    return [
+        Rule("fare_below_minimum", "fare_amount < 2000"),
+        Rule("distance_below_minimum", "trip_distance <= 1"),
+        Rule("dropoff_before_pickup", "dropoff_datetime <= pickup_datetime"),
+        Rule("pickup_outside_file_period", outside_period(F.col("pickup_datetime"), F.col("_file_period"))),
+    ]
+
+
+def classified(spark: SparkSession, sf: str) -> DataFrame:
+    flagged = harmonize.with_file_period(trips(spark, sf)).withColumns(
+        {"passenger_count_missing": F.col("passenger_count").isNull(), "is_reversal": F.col("total_amount") < 0}
+    )
+    return quality.first_reason(flagged, rules(), all_failed="_failed_rules")
+
+
+FLAGS = {"passenger_count_missing": "passenger_count_missing", "reversal_rows": "is_reversal"}
+ROW = ("order_key", "line_number", "part_key", "vendor_id", "service_type", "total_amount")
+
+
+# ---- Quality --------------------------------------------------------------------------------
+
+
+@query
+def profile_checks(spark: SparkSession, sf: str) -> DataFrame:
+    pickup = F.col("pickup_datetime")
+    named: dict[str, Column | str] = {
+        "low_fare": "fare_amount < 2000",
+        "short_distance": "trip_distance <= 1",
+        "passenger_one": "passenger_count = 1",
+        "passenger_over_45": "passenger_count > 45",
+        "passenger_null": "passenger_count is null",
+        "dropoff_before_pickup": "dropoff_datetime <= pickup_datetime",
+        "outside_window": (pickup < instant("1996-01-01")) | (pickup >= instant("2000-01-01")),
+        "null_location": "part_key is null",
+    }
+    return quality.profile(trips(spark, sf), named, ["service_type"])
+
+
+@query
+def fatal_totals(spark: SparkSession, sf: str) -> DataFrame:
+    rows = harmonize.with_file_period(trips(spark, sf))
+    return quality.fatal_totals(rows, rules(), ["service_type"])
+
+
+@query
+def quarantine_reason_counts(spark: SparkSession, sf: str) -> DataFrame:
+    _, rejected = quality.split(classified(spark, sf))
+    counts = quality.reason_counts(rejected, ["service_type"])
+    return counts.orderBy("service_type", F.desc("rows_quarantined"), quality.REASON)
+
+
+@query
+def failed_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
+    failed = classified(spark, sf).select("service_type", F.explode("_failed_rules").alias("rule"))
+    return failed.groupBy("service_type", "rule").agg(F.count("*").alias("rows_failed"))
+
+
+@query
+def quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    clean, rejected = quality.split(classified(spark, sf))
+    return quality.metrics(clean, rejected, ["service_type"], FLAGS)
+
+
+@query
+def quality_metrics_one_pass(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.metrics_in_one_pass(classified(spark, sf), ["service_type"], FLAGS)
+
+
+@query
+def clean_rows(spark: SparkSession, sf: str) -> DataFrame:
+    clean, _ = quality.split(classified(spark, sf))
+    return clean.select(*ROW, "passenger_count_missing", "is_reversal", "_file_period")
+
+
+@query
+def quarantine_rows(spark: SparkSession, sf: str) -> DataFrame:
+    _, rejected = quality.split(classified(spark, sf))
+    return rejected.select(*ROW, quality.REASON)
+
+
+@query
+def conservation_check(spark: SparkSession, sf: str) -> DataFrame:
+    rows = classified(spark, sf)
+    clean, rejected = quality.split(rows)
+    parts = {"clean": clean, "quarantine": rejected}
+    return quality.conservation(rows, parts, ["service_type", "_source_file"], ROW)
+
+
+@query
+def unaccounted_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids that would be lost if quarantine were thrown away."""
+    rows = classified(spark, sf)
+    clean, _ = quality.split(rows)
+    return quality.unaccounted(rows, [clean], ["order_key", "line_number"])
+
+
+@query
+def missing_rate_by_month(spark: SparkSession, sf: str) -> DataFrame:
+    rows = trips(spark, sf).withColumn("passenger_count_missing", F.col("passenger_count").isNull())
+    return quality.missing_trend(rows, "pickup_datetime", "passenger_count_missing", ["service_type"])
+
+
+@query
+def service_summary(spark: SparkSession, sf: str) -> DataFrame:
+    clean, _ = quality.split(classified(spark, sf))
+    return clean.groupBy("service_type").agg(
+        F.count("*").alias("n_rows"),
+        F.round(money_sum("total_amount"), 2).alias("revenue"),
+        F.round(F.avg("trip_distance"), 2).alias("avg_distance"),
+    )
+
+
+# ---- Feeds, periods, rescue -----------------------------------------------------------------
+
+# The same orders as two feeds with their own names and column order.
+URGENT = FeedContract(
+    "urgent",
+    "urgent_*.parquet",
+    (
+        Field("order_id", "bigint", "OrderID"),
+        Field("placed_at", "timestamp_ntz", "u_placed"),
+        Field("amount", "double", "Total"),
+        Field("surcharge", "double"),
+    ),
+)
+NORMAL = FeedContract(
+    "normal",
+    "normal_*.parquet",
+    (
+        Field("amount", "double", "n_total"),
+        Field("order_id", "bigint", "n_order"),
+        Field("placed_at", "timestamp_ntz", "n_placed"),
+        Field("status", "string"),
+    ),
+)
+
+
+@query
+def feeds_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders")
+    is_urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    urgent = orders.filter(is_urgent).select(
+        F.col("o_orderkey").alias("OrderID"),
+        F.col("o_orderdate").alias("u_placed"),
+        F.col("o_totalprice").alias("Total"),
+        (F.col("o_custkey") / 100).alias("surcharge"),
+    )
+    normal = orders.filter(~is_urgent).select(
+        F.col("o_totalprice").alias("n_total"),
+        F.col("o_orderkey").cast("int").alias("n_order"),
+        F.col("o_orderdate").alias("n_placed"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    feeds = [harmonize.to_canonical(df, c, {"service": c.feed}) for df, c in ((urgent, URGENT), (normal, NORMAL))]
+    return harmonize.union_feeds(*feeds)
+
+
+@query
+def feed_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    feeds = {name: table(spark, sf, name) for name in ("orders", "lineitem", "events")}
+    return tables.shape_report(feeds)
+
+
+@query
+def period_window_violations(spark: SparkSession, sf: str) -> DataFrame:
+    rows = harmonize.with_file_period(trips(spark, sf))
+    outside = rows.filter(outside_period(F.col("pickup_datetime"), F.col("_file_period")))
+    return outside.groupBy("_source_file", "_file_period").agg(F.count("*").alias("rows_outside"))
+
+
+@query
+def rescue_recovery(spark: SparkSession, sf: str) -> DataFrame:
+    """Events whose value was lost for small amounts, filled from the JSON beside them."""
+    events = table(spark, sf, "events").select(
+        "event_id",
+        "event_type",
+        F.when(F.col("value") >= 50, F.col("value")).alias("value"),
+        F.lit(None).cast("bigint").alias("code"),
+        F.col("props").alias(rescue.RESCUED),
+    )
+    plan = {"value": ("double", ["K", "k"]), "code": ("bigint", ["k"])}
+    return harmonize.recover_rescued(events, plan).drop(rescue.RESCUED)
+
+
+ORDER_FEED = FeedContract(
+    "orders",
+    "*.parquet",
+    (
+        Field("order_key", "bigint", "o_orderkey"),
+        Field("customer_key", "bigint", "o_custkey"),
+        Field("status", "string", "o_orderstatus"),
+        Field("total_price", "double", "o_totalprice"),
+        Field("order_date", "timestamp_ntz", "o_orderdate"),
+        Field("priority", "string", "o_orderpriority"),
+    ),
+)
+
+
+@query
+def rescued_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders under a contract too narrow for them: what fits, and what is rescued."""
+    narrow = FeedContract(
+        "orders",
+        "*.parquet",
+        (
+            Field("o_orderkey", "int"),
+            Field("o_totalprice", "bigint"),
+            Field("o_orderpriority", "int"),
+            Field("o_orderdate", "date"),
+        ),
+    )
+    orders = table(spark, sf, "orders").withColumnRenamed("o_totalprice", "O_TotalPrice")
+    return rescue.conform(orders, narrow).select(
+        "o_orderkey",
+        "o_totalprice",
+        "o_orderpriority",
+        "o_orderdate",
+        rescue.rescued_field("O_TotalPrice", "double").alias("rescued_price"),
+        rescue.rescued_field("o_orderpriority", "string").alias("rescued_priority"),
+        rescue.rescued_field("o_custkey", "bigint").alias("rescued_custkey"),
+    )
+
+
+# ---- Duplicates -----------------------------------------------------------------------------
+
+NAIVE_KEY = ("l_orderkey", "l_linenumber")
+WIDER_KEY = (*NAIVE_KEY, "l_partkey", "l_suppkey")
+
+
+def signed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    price = F.col("l_extendedprice")
+    sign = F.when(F.col("l_returnflag") == "R", -price).otherwise(price)
+    return table(spark, sf, "lineitem").withColumn("amount", F.round(sign / 50000) * 10)
+
+
+@query
+def duplicate_key_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.audit(table(spark, sf, "lineitem"), NAIVE_KEY)
+
+
+@query
+def duplicate_key_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    lists = {"order": NAIVE_KEY[:1], "order_line": NAIVE_KEY, "order_line_part": WIDER_KEY}
+    return duplicates.compare_keys(table(spark, sf, "lineitem"), lists)
+
+
+@query
+def duplicate_key_comparison_unrelated(spark: SparkSession, sf: str) -> DataFrame:
+    lists = {"order_line": NAIVE_KEY, "order_part": ("l_orderkey", "l_partkey")}
+    return duplicates.compare_keys(table(spark, sf, "lineitem"), lists)
+
+
+@query
+def duplicate_group_classes(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.classify(signed_lines(spark, sf), NAIVE_KEY, "amount")
+
+
+@query
+def duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
+    summary = duplicates.group_summary(signed_lines(spark, sf), NAIVE_KEY, "amount")
+    return summary.withColumn("net", F.col("net").cast("double"))
+
+
+@query
+def top_duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.top_groups(table(spark, sf, "lineitem"), NAIVE_KEY, 10)
+
+
+@query
+def duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select(*WIDER_KEY, "l_extendedprice")
+    return duplicates.duplicate_rows(lines, NAIVE_KEY)
+
+
+@query
+def rows_like_top_group(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select(*WIDER_KEY, "l_extendedprice")
+    return duplicates.rows_like(lines, duplicates.top_groups(lines, NAIVE_KEY, 1), NAIVE_KEY)
+
+
+@query
+def dedup_guard(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select(*WIDER_KEY, "l_extendedprice", "l_shipdate")
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
+    return duplicates.guard(lines, NAIVE_KEY, order)
+
+
+# ---- Dimensions -----------------------------------------------------------------------------
+
+
+def date_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    return dimensions.date_dim(table(spark, sf, "orders"), "o_orderdate")
+
+
+def location_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    zones = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return dimensions.location_dim(
+        zones, {"location_key": "n_nationkey", "borough": "r_name", "zone_name": "n_name"}, "location_key"
+    )
+
+
+@query
+def dim_date(spark: SparkSession, sf: str) -> DataFrame:
+    return date_dimension(spark, sf)
+
+
+@query
+def dim_location_unknown(spark: SparkSession, sf: str) -> DataFrame:
+    return location_dimension(spark, sf)
+
+
+# Names of the order states; one state is left to the default.
+ORDER_STATES = {"O": "Open", "F": "Filled"}
+
+
+def state_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    return dimensions.code_dim(
+        table(spark, sf, "orders"), "o_orderstatus", ORDER_STATES, "Unknown state", "state_key", "state_name"
+    )
+
+
+@query
+def dim_code_table(spark: SparkSession, sf: str) -> DataFrame:
+    return state_dimension(spark, sf)
+
+
+# ---- History --------------------------------------------------------------------------------
+
+
+def tier_changes(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events").filter(F.col("event_type").isin("signup", "error"))
+    tier = F.when(F.col("value") >= 100, "Premium").otherwise("Standard")
+    return events.select("user_id", "event_type", tier.alias("contract_tier"), F.col("ts").alias("updated_at"))
+
+
+def tier_versions(spark: SparkSession, sf: str) -> DataFrame:
+    log = history.history_from_log(tier_changes(spark, sf), "user_id", "updated_at", ["contract_tier"])
+    return history.dimension(log, "user_id", ["contract_tier"], "version_key")
+
+
+def purchases(spark: SparkSession, sf: str) -> DataFrame:
+    bought = table(spark, sf, "events").filter("event_type = 'purchase'")
+    return bought.select("event_id", "user_id", "ts", F.col("value").alias("amount"))
+
+
+def purchase_fact(spark: SparkSession, sf: str, strategy: str = "auto") -> DataFrame:
+    attach = {"version_key": "version_key"}
+    return history.point_in_time(
+        purchases(spark, sf), tier_versions(spark, sf), "user_id", "ts", attach, "user_id", strategy=strategy
+    )
+
+
+@query
+def scd2_versions(spark: SparkSession, sf: str) -> DataFrame:
+    return tier_versions(spark, sf)
+
+
+@query
+def snapshot_apply(spark: SparkSession, sf: str) -> DataFrame:
+    """The history after three looks at each user's latest state."""
+    changes = tier_changes(spark, sf)
+    result = None
+    for cut in ("2024-01-08", "2024-01-15", "2024-01-31"):
+        seen = changes.filter(F.col("updated_at") < instant(cut))
+        latest = seen.groupBy("user_id").agg(F.max(F.struct("updated_at", "contract_tier")).alias("last"))
+        source = latest.select("user_id", "last.contract_tier", "last.updated_at")
+        if result is None:
+            result = history.start_history(source, "updated_at")
+        else:
+            result = history.snapshot(result, source, "user_id", "updated_at")
+    return result
+
+
+@query
+def fact_point_in_time(spark: SparkSession, sf: str) -> DataFrame:
+    return purchase_fact(spark, sf)
+
+
+@query
+def fact_point_in_time_merge(spark: SparkSession, sf: str) -> DataFrame:
+    return purchase_fact(spark, sf, "merge")
+
+
+@query
+def version_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return history.coverage(purchase_fact(spark, sf), "version_key")
+
+
+@query
+def missing_version_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Users who bought but never had a Premium version."""
+    premium = tier_versions(spark, sf).filter("contract_tier = 'Premium'")
+    return history.missing_keys(purchases(spark, sf), premium, "user_id", "user_id")
+
+
+# ---- Facts and measures ---------------------------------------------------------------------
+
+
+def trip_fact(spark: SparkSession, sf: str) -> DataFrame:
+    rows = classified(spark, sf).withColumn("location_id", F.nullif(F.col("vendor_id") % 26, F.lit(25)))
+    return facts.build(
+        rows,
+        "pickup_datetime",
+        "dropoff_datetime",
+        "pickup_date_key",
+        "trip_duration_minutes",
+        {"vendor_key": "vendor_id"},
+        {"pu_location_key": "location_id"},
+        ("order_key", "line_number", "service_type", "trip_distance", "fare_amount", "total_amount", "is_reversal"),
+    )
+
+
+@query
+def fact_trips(spark: SparkSession, sf: str) -> DataFrame:
+    return trip_fact(spark, sf)
+
+
+@query
+def unknown_member_usage(spark: SparkSession, sf: str) -> DataFrame:
+    return dimensions.unknown_usage(trip_fact(spark, sf), ["pu_location_key", "vendor_key"])
+
+
+@query
+def gross_net_measures(spark: SparkSession, sf: str) -> DataFrame:
+    rows = trips(spark, sf).withColumn("is_reversal", F.col("total_amount") < 0)
+    return facts.gross_net(rows, "total_amount", "is_reversal", ["vendor_id"])
+
+
+def tier_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    return facts.attribution_matrix(
+        purchase_fact(spark, sf),
+        tier_versions(spark, sf),
+        "contract_tier",
+        "amount",
+        "user_id",
+        "version_key",
+        "user_id",
+        "version_key",
+    )
+
+
+@query
+def attribution_type1_type2(spark: SparkSession, sf: str) -> DataFrame:
+    return facts.attribution(tier_matrix(spark, sf))
+
+
+@query
+def misattributed_amount(spark: SparkSession, sf: str) -> DataFrame:
+    return facts.misattributed(tier_matrix(spark, sf))
+
+
+@query
+def fact_star_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Purchases with the tier of their version, by one equality."""
+    fact = purchase_fact(spark, sf)
+    joined = facts.with_attribute(fact, tier_versions(spark, sf), "version_key", "version_key", "contract_tier", "tier")
+    return joined.select("event_id", "amount", "tier")
+
+
+@query
+def fact_current_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Purchases with the tier that is current now."""
+    current = tier_versions(spark, sf).filter("is_current")
+    joined = facts.with_attribute(purchases(spark, sf), current, "user_id", "user_id", "contract_tier", "tier")
+    return joined.select("event_id", "amount", "tier")
+
+
+@query
+def fact_location_join(spark: SparkSession, sf: str) -> DataFrame:
+    fact = trip_fact(spark, sf)
+    joined = facts.with_attribute(fact, location_dimension(spark, sf), "pu_location_key", "location_key", "borough", "borough")
+    return joined.groupBy("borough").agg(F.count("*").alias("n_rows"), money_sum("total_amount").alias("revenue"))
+
+
+# ---- Checks ---------------------------------------------------------------------------------
+
+
+@query
+def check_not_null(spark: SparkSession, sf: str) -> DataFrame:
+    rows = trips(spark, sf).select("order_key", "line_number", "part_key", "passenger_count")
+    return checks.not_null(rows, ["order_key", "passenger_count"]).drop("null_columns", "passenger_count")
+
+
+@query
+def check_unique(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.unique(table(spark, sf, "lineitem"), NAIVE_KEY)
+
+
+@query
+def check_relationships(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers of orders that are not among those with a positive balance."""
+    known = table(spark, sf, "customer").filter("c_acctbal > 0")
+    return checks.relationships(table(spark, sf, "orders"), "o_custkey", known, "c_custkey")
+
+
+@query
+def check_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.accepted_values(table(spark, sf, "orders"), "o_orderstatus", ["O", "F"])
+
+
+@query
+def check_accepted_range(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_discount")
+    return checks.accepted_range(lines, "l_discount", low=0, inclusive=False)
+
+
+def stretched_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Tier versions whose Premium ones last a day too long."""
+    late = F.col("effective_end_date") + F.expr("interval 1 day")
+    end = F.when((F.col("contract_tier") == "Premium") & ~F.col("is_current"), late).otherwise(F.col("effective_end_date"))
+    return tier_versions(spark, sf).withColumn("effective_end_date", end)
+
+
+@query
+def check_no_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    found = checks.no_overlap(stretched_versions(spark, sf), "user_id", "version_key")
+    return found.select("user_id", "later_version", "later_start", "earlier_end")
+
+
+@query
+def check_overlapping_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.overlapping_pairs(tier_versions(spark, sf), "user_id", "version_key")
+
+
+@query
+def check_overlap_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
+    """The overlap check with its boundary operator inverted: it must report sound versions."""
+    found = checks.no_overlap(tier_versions(spark, sf), "user_id", "version_key", touching=True)
+    return found.select("user_id", "earlier_version", "later_version", "later_start")
+
+
+@query
+def check_suite_report(spark: SparkSession, sf: str) -> DataFrame:
+    suite = [
+        TableChecks("dim_date", not_null=("date_key", "full_date"), unique=("date_key",), accepted_values={"is_weekend": (True, False)}),
+        TableChecks("dim_state", not_null=("state_key", "state_name"), unique=("state_key",)),
+        TableChecks(
+            "fct_trips",
+            not_null=("pickup_date_key", "total_amount"),
+            accepted_values={"service_type": ("A", "N")},
+            above={"total_amount": 0},
+            relationships={
+                "pickup_date_key": ("dim_date", "date_key"),
+                "pu_location_key": ("dim_location", "location_key"),
+            },
+        ),
+    ]
+    built = {
+        "dim_date": date_dimension(spark, sf),
+        "dim_state": state_dimension(spark, sf),
+        "dim_location": table(spark, sf, "nation").select(F.col("n_nationkey").alias("location_key")),
+        "fct_trips": trip_fact(spark, sf),
+    }
+    return checks.run(built, suite)
+
+
+# ---- Landing and bronze ---------------------------------------------------------------------
+
+
+@cache
+def drifted_landing(spark: SparkSession, sf: str) -> str:
+    """All orders as monthly folders of files in three schemas, written once for each session."""
+    place = work_dir(spark, "landing")
+    orders = table(spark, sf, "orders").withColumn("period", month_text(F.col("o_orderdate")))
+    month = F.month("o_orderdate")
+    early = orders.filter(month <= 4)
+    middle = orders.filter(month.between(5, 8)).withColumns(
+        {"o_custkey": F.col("o_custkey").cast("int"), "o_totalprice": F.col("o_totalprice").cast("decimal(15,2)")}
+    )
+    odd = F.when(F.col("o_custkey") < 50, F.concat(F.lit("C-"), "o_custkey")).otherwise(F.col("o_custkey").cast("string"))
+    late = (
+        orders.filter(month >= 9)
+        .withColumns({"o_custkey": odd, "channel": F.lower("o_orderpriority")})
+        .withColumnRenamed("o_totalprice", "O_TotalPrice")
+    )
+    for rows in (early, middle, late):
+        rows.hint("rebalance", "period").write.mode("append").partitionBy("period").parquet(place)
+    return place
+
+
+@query
+def bronze_stream_counts(spark: SparkSession, sf: str) -> DataFrame:
+    place, out = drifted_landing(spark, sf), work_dir(spark, "bronze")
+    run = ingest.ingest(spark, ORDER_FEED, place, out, f"{out}/_state")
+    rows = spark.read.parquet(run.path).withColumn("period", F.regexp_extract("_source_path", ORDER_FEED.period_pattern, 1))
+    audit = rows.groupBy("period").agg(
+        F.count("*").alias("rows_total"),
+        F.count_if(F.col(rescue.RESCUED).isNotNull()).alias("rows_rescued"),
+        F.count_if(F.col("o_custkey").isNull()).alias("null_custkey"),
+        money_sum("o_totalprice").alias("revenue"),
+    )
+    return audit
+
+
+@query
+def bronze_second_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per run id after two runs over the same files: the second adds none."""
+    place, out = drifted_landing(spark, sf), work_dir(spark, "bronze")
+    for run_id in ("first", "second"):
+        run = ingest.ingest(spark, ORDER_FEED, place, out, f"{out}/_state", run_id, files_per_batch=500)
+    return spark.read.parquet(run.path).groupBy(F.col("_run_id").alias("run_id")).agg(F.count("*").alias("n_rows"))
+
+
+@query
+def schema_drift_report(spark: SparkSession, sf: str) -> DataFrame:
+    columns = landing.file_columns(landing.inventory(spark, drifted_landing(spark, sf)))
+    return landing.drift_report(columns).select("column", "type", "n_variants")
+
+
+@query
+def schema_mismatches(spark: SparkSession, sf: str) -> DataFrame:
+    columns = landing.file_columns(landing.inventory(spark, drifted_landing(spark, sf)))
+    found = landing.schema_mismatches(columns, ORDER_FEED)
+    return found.select("column", "type", "declared", "problem").distinct()
+
+
+@query
+def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    files = landing.inventory(spark, drifted_landing(spark, sf))
+    return files.select("file_name", "bytes").orderBy("file_name")
+
+
+@query
+def manifest_completeness(spark: SparkSession, sf: str) -> DataFrame:
+    """Months that orders should fill, against the months that have files."""
+    bounds = table(spark, sf, "orders").agg(F.min("o_orderdate").alias("low"), F.max("o_orderdate").alias("high"))
+    months = bounds.select(F.explode(F.sequence(F.trunc("low", "year"), F.trunc("high", "month"), F.expr("interval 1 month"))).alias("m"))
+    wanted = months.select(F.year("m").cast("string").alias("year"), F.date_format("m", "MM").alias("month"))
+    manifest = landing.expand_manifest(wanted, "period={year}-{month}", "folder")
+    files = landing.inventory(spark, drifted_landing(spark, sf))
+    present = files.select(F.element_at(F.split("path", "/"), -2).alias("folder"))
+    return landing.completeness(manifest, present, "folder")
+
+
+# ---- Layout and versions --------------------------------------------------------------------
+
+DAY_RANGE = (19970301, 19970307)
+
+
+def order_days(spark: SparkSession, sf: str) -> DataFrame:
+    day = F.year("o_orderdate") * 10000 + F.month("o_orderdate") * 100 + F.dayofmonth("o_orderdate")
+    return table(spark, sf, "orders").withColumn("pickup_date_key", day)
+
+
+@cache
+def order_layouts(spark: SparkSession, sf: str) -> dict[str, str]:
+    """Orders as they come and clustered by day, written once for each session."""
+    orders, root = order_days(spark, sf), work_dir(spark, "layout")
+    plain = versions.publish(orders.repartition(4, "o_orderkey"), root, "orders")
+    arranged = versions.publish(layout.cluster(orders, ["pickup_date_key"], 4), root, "orders", versions.CLUSTER)
+    both = versions.publish(layout.cluster(orders, ["pickup_date_key", "o_custkey"], 4), root, "orders", versions.CLUSTER)
+    named = {"plain": plain, "clustered": arranged, "morton": both}
+    return {label: versions.version_path(root, "orders", v) for label, v in named.items()}
+
+
+def pruned_measure(spark: SparkSession, sf: str, low: int, high: int) -> DataFrame:
+    path, ranges = order_layouts(spark, sf)["clustered"], {"pickup_date_key": (low, high)}
+    stats = layout.file_stats(spark, path, ["pickup_date_key"])
+    rows = layout.read_pruned(spark, path, stats, ranges)
+    return rows.agg(F.count("*").alias("trips"), F.coalesce(money_sum("o_totalprice"), F.lit(0.0)).alias("revenue"))
+
+
+@query
+def clustered_day_query(spark: SparkSession, sf: str) -> DataFrame:
+    return pruned_measure(spark, sf, DAY_RANGE[0], DAY_RANGE[0])
+
+
+@query
+def clustered_range_query(spark: SparkSession, sf: str) -> DataFrame:
+    return pruned_measure(spark, sf, *DAY_RANGE)
+
+
+@query
+def unclustered_range_query(spark: SparkSession, sf: str) -> DataFrame:
+    rows = order_days(spark, sf).filter(F.col("pickup_date_key").between(*DAY_RANGE))
+    return rows.agg(F.count("*").alias("trips"), F.coalesce(money_sum("o_totalprice"), F.lit(0.0)).alias("revenue"))
+
+
+@query
+def files_scanned_report(spark: SparkSession, sf: str) -> DataFrame:
+    return layout.layout_report(spark, order_layouts(spark, sf), {"pickup_date_key": DAY_RANGE})
+
+
+@query
+def morton_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The table clustered by two columns holds the same rows."""
+    stored = spark.read.parquet(order_layouts(spark, sf)["morton"])
+    return stored.select("o_orderkey", "o_custkey", "pickup_date_key", "o_totalprice")
+
+
+@query
+def version_compare(spark: SparkSession, sf: str) -> DataFrame:
+    """Purchases without a version, before and after error events count as changes."""
+    root = work_dir(spark, "versions")
+    everything = tier_versions(spark, sf)
+    signups = tier_changes(spark, sf).filter("event_type = 'signup'")
+    partial = history.dimension(
+        history.history_from_log(signups, "user_id", "updated_at", ["contract_tier"]), "user_id", ["contract_tier"], "version_key"
+    )
+    numbers = [
+        versions.publish(
+            history.point_in_time(purchases(spark, sf), side, "user_id", "ts", {"version_key": "version_key"}, "user_id"),
+            root,
+            "fct_purchases",
+        )
+        for side in (partial, everything)
+    ]
+    measures = {"rows_total": F.count("*"), "rows_unmatched": F.count("*") - F.count("version_key")}
+    return versions.compare(spark, root, "fct_purchases", numbers, measures)
+
+
+# ---- Small reports --------------------------------------------------------------------------
+
+
+@query
+def preview_rows(spark: SparkSession, sf: str) -> DataFrame:
+    ordered = table(spark, sf, "orders").orderBy("o_orderkey")
+    return tables.preview(ordered.select("o_orderkey", "o_orderstatus", "o_totalprice"), 5)
+
+
+@query
+def table_description(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.describe(trips(spark, sf))
+
+
+@query
+def mean_distance_by_service(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem")
+    return lines.groupBy(F.col("l_returnflag").alias("service_type")).agg(
+        F.count("*").alias("n_rows"), F.round(F.avg("l_quantity"), 2).alias("mean_distance")
+    )
+
+
+@query
+def counts_by_status(spark: SparkSession, sf: str) -> DataFrame:
+    counts = table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"))
+    return counts.orderBy(F.desc("n_rows"), "o_orderstatus")

@@ -44,8 +44,3 @@ def minutes_between(start: Column, end: Column, digits: int = 2) -> Column:
     """Whole seconds between two instants, in minutes."""
     seconds = F.unix_timestamp(end) - F.unix_timestamp(start)
     return F.round(seconds / F.lit(60.0), digits)
-
-
-def time_bucket(ts: Column, seconds: int) -> Column:
-    """Number of the ``seconds``-wide slot that holds ``ts``."""
-    return F.floor(F.unix_timestamp(ts) / F.lit(seconds)).cast("bigint")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.operators import timeline
+from siltworks.session import cut_lineage
 
 
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -30,7 +31,7 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     Child rows are counted per key before the join, so a key that many rows share is one row there.
     """
     used = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("key")).agg(F.count("*").alias("n"))
-    known = parent.select(F.col(parent_column).alias("key"))
+    known = parent.select(F.col(parent_column).alias("key")).distinct()
     return used.join(known, "key", "left_anti")
 
 
@@ -56,14 +57,14 @@ def accepted_range(df: DataFrame, column: str, low: object | None = None, high:
 _OLD_END, _OLD_KEY = "_before.end", "_before.version"
 
 
-def _ordered(versions: DataFrame, key: str, version: str, start: str, end: str, slot_seconds: int) -> DataFrame:
+def _ordered(versions: DataFrame, key: str, version: str, start: str, end: str, rows_per_slot: int) -> DataFrame:
     """Versions with the furthest end of the earlier ones of their key.
 
     An empty version sorts before others of the same start, which it does not overlap.
     """
     rows = versions.dropna("any", subset=[key, start, end])
     reach = F.struct(F.col(end).alias("end"), F.col(version).alias("version"))
-    return timeline.highest_before(rows, [key], start, reach, "_before", [end, version], slot_seconds)
+    return timeline.highest_before(rows, [key], start, reach, "_before", [end, version], rows_per_slot)
 
 
 def no_overlap(
@@ -73,7 +74,7 @@ def no_overlap(
     start: str = "effective_start_date",
     end: str = "effective_end_date",
     touching: bool = False,
-    slot_seconds: int = timeline.DAY,
+    rows_per_slot: int = timeline.ROWS_PER_SLOT,
 ) -> DataFrame:
     """Versions that begin before an earlier version of the same key has ended.
 
@@ -81,7 +82,7 @@ def no_overlap(
     most one row per version. ``touching`` also reports a version that begins at the very end of
     another; half-open bounds make that correct, so it only shows that the check can tell.
     """
-    ordered = _ordered(versions, key, version, start, end, slot_seconds)
+    ordered = _ordered(versions, key, version, start, end, rows_per_slot)
     clash = F.col(start) <= F.col(_OLD_END) if touching else F.col(start) < F.col(_OLD_END)
     return ordered.filter(clash).select(
         key,
@@ -98,19 +99,21 @@ def overlapping_pairs(
     version: str,
     start: str = "effective_start_date",
     end: str = "effective_end_date",
-    slot_seconds: int = timeline.DAY,
+    rows_per_slot: int = timeline.ROWS_PER_SLOT,
 ) -> DataFrame:
     """Every pair of overlapping versions, each once.
 
     Versions are first cut into runs in which each begins before the earlier ones have ended. Only
-    runs of two and more are compared, so a sound history compares nothing.
+    runs of two and more are compared, so a sound history compares nothing. The ordered versions
+    are used several times and are therefore kept in the shared folder.
     """
-    ordered = _ordered(versions, key, version, start, end, slot_seconds).select(
-        key, version, start, end, F.when(F.col(start) < F.col(_OLD_END), None).otherwise(F.col(start)).alias("_break")
-    )
+    ordered = _ordered(versions.select(key, version, start, end), key, version, start, end, rows_per_slot)
+    begins = F.when(F.col(start) < F.col(_OLD_END), None).otherwise(F.col(start))
+    ordered = cut_lineage(ordered.select(key, version, start, end, begins.alias("_break")))
     runs = timeline.highest_before(
-        ordered, [key], start, F.col("_break"), "_run", [end, version], slot_seconds, inclusive=True
-    ).drop("_break")
+        ordered, [key], start, F.col("_break"), "_run", [end, version], rows_per_slot, inclusive=True
+    )
+    runs = cut_lineage(runs.drop("_break"))
     crowded = runs.groupBy(key, "_run").agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
     suspects = runs.join(crowded, [key, "_run"], "left_semi")
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from siltworks.functions.casting import money
 
 
+HOT_ROWS = 1_000_000
+
+
 def groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Groups that share a key, with their size ``n > 1``. Nulls count as equal."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
@@ -104,25 +107,29 @@ def classify(
     )
 
 
-def duplicate_rows(df: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
-    """Every row of every duplicated group, with the size of its group.
+def _same_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+
+
+def duplicate_rows(df: DataFrame, keys: Sequence[str], null_safe: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every row of every duplicated group, with the size ``n`` of its group.
 
-    The groups are joined back to the rows. A group occurs once on its side, so adaptive skew
-    handling can split the rows of a large group over several tasks.
+    Groups with more than ``hot_rows`` rows are at most ``rows / hot_rows`` in number, so they are
+    broadcast and their rows stay where they are. Only rows of smaller groups are shuffled.
     """
-    repeated = groups(df, keys)
-    if not null_safe:
-        return df.join(repeated, on=list(keys), how="inner")
-    renamed = repeated.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "n")
-    matched = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    return df.join(renamed, matched, "inner").drop(*[f"_key_{k}" for k in keys])
+    repeated = groups(df if null_safe else df.dropna("any", subset=list(keys)), keys)
+    named = repeated.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "n")
+    same = _same_key(keys)
+    hot = F.broadcast(named.filter(F.col("n") > hot_rows))
+    spread = df.join(hot, same, "inner")
+    shuffled = df.join(hot, same, "left_anti").join(named.filter(F.col("n") <= hot_rows), same, "inner")
+    return spread.unionByName(shuffled).drop(*[f"_key_{k}" for k in keys])
 
 
 def rows_like(df: DataFrame, sample: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys equal those of a sample row, nulls included."""
     wanted = sample.select(*[F.col(k).alias(f"_key_{k}") for k in keys]).distinct()
-    matched = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    return df.join(wanted, matched, "left_semi")
+    return df.join(wanted, _same_key(keys), "left_semi")
 
 
 def guard(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:

@@ -72,11 +72,11 @@ def history_from_log(
     key: str,
     ts: str,
     attributes: Sequence[str],
-    slot_seconds: int = timeline.DAY,
+    rows_per_slot: int = timeline.ROWS_PER_SLOT,
 ) -> DataFrame:
     """The same history from a change log, in one run: each change is valid until the next."""
     changes = log.select(key, *attributes, F.col(ts).alias(VALID_FROM))
-    return timeline.next_instant(changes, [key], VALID_FROM, VALID_TO, attributes, slot_seconds)
+    return timeline.next_instant(changes, [key], VALID_FROM, VALID_TO, attributes, rows_per_slot)
 
 
 def can_broadcast(
@@ -101,12 +101,12 @@ def point_in_time(
     start: str = "effective_start_date",
     end: str = "effective_end_date",
     strategy: str = "auto",
-    slot_seconds: int = timeline.DAY,
+    rows_per_slot: int = timeline.ROWS_PER_SLOT,
 ) -> DataFrame:
     """Left join each fact to the version valid at its instant; ``attach`` is ``{output: version column}``.
 
     A fact without a version stays, with nulls. ``broadcast`` is a hash join on the key with the
-    interval as residual condition. ``merge`` orders both sides by time in slots, for histories too
+    interval as residual condition. ``merge`` orders both sides by time, for histories too
     large to broadcast or keys with too many versions to compare. ``auto`` counts the versions and
     chooses. Both give the same rows as long as versions of a key do not overlap, which
     ``checks.no_overlap`` shows.
@@ -126,7 +126,7 @@ def point_in_time(
         raise ValueError(f"unknown strategy {strategy!r}")
     value = F.struct(F.col(end).alias("_end"), *[F.col(c).alias(out) for out, c in attach.items()])
     found = timeline.latest_version(
-        fact, F.col(fact_key), F.col(ts), versions, F.col(key), F.col(start), value, "_version", slot_seconds
+        fact, F.col(fact_key), F.col(ts), versions, F.col(key), F.col(start), value, "_version", rows_per_slot
     )
     valid = F.col(ts) < F.col("_version._end")
     return found.withColumns({out: F.when(valid, F.col(f"_version.{out}")) for out in attach}).drop("_version")
@@ -141,4 +141,4 @@ def coverage(fact: DataFrame, version_column: str, by: Sequence[str] = ()) -> Da
 def missing_keys(fact: DataFrame, versions: DataFrame, fact_key: str, key: str) -> DataFrame:
     """Keys that have facts but no version at all, with the facts they hold."""
     used = fact.filter(F.col(fact_key).isNotNull()).groupBy(F.col(fact_key).alias(key)).agg(F.count("*").alias("rows_fact"))
-    return used.join(versions.select(key), key, "left_anti")
+    return used.join(versions.select(key).distinct(), key, "left_anti")

@@ -1,28 +1,47 @@
-"""Ordered computations per key that do not put one key into one task.
+"""Ordered computations per key that do not put a frequent key into one task.
 
-A window over ``partitionBy(key)`` sorts all rows of a key in a single task. Here the rows of a key
-are first cut into time slots, so that the window runs over ``(key, slot)``. What a slot needs to
-know about its neighbours is aggregated to one small row per key and slot, looked up over the
-slots of the key, and fed back as one extra row of the slot. No join is needed, and rows with a
-null key stay together as they do in a window.
+A window over ``partitionBy(key)`` sorts all rows of a key in a single task. Here a first pass counts
+the rows of each key, and the keys with more than ``rows_per_slot`` are cut into slots of time, so
+that the window runs over ``(key, slot)``. What a slot has to know about its neighbours is
+aggregated to one small row per slot, looked up over the slots of the key, and fed back as one
+extra row of the slot; no join is needed for that. All other keys have one slot and pay only for
+the count.
+
+There are at most ``rows / rows_per_slot`` frequent keys, which bounds what is broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltworks.functions.dates import time_bucket
-
-DAY = 86_400
+ROWS_PER_SLOT = 2_000_000
 
+# Rows of a key are seldom even over time, so it gets more slots than its count asks for.
+_SPARE = 8
 _SLOT, _REAL = "_slot", "_real"
 
 
-def _slotted(df: DataFrame, ts: str, slot_seconds: int) -> DataFrame:
-    return df.withColumns({_SLOT: time_bucket(F.col(ts), slot_seconds), _REAL: F.lit(1)})
+def frequent_keys(df: DataFrame, keys: Sequence[str], ts: str, rows_per_slot: int) -> DataFrame:
+    """Keys with more rows than one slot should hold: first second and width of a slot."""
+    second = F.unix_timestamp(ts)
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(second).alias("_low"), F.max(second).alias("_high"))
+    slots = F.ceil(F.col("_n") / F.lit(rows_per_slot)) * _SPARE
+    width = F.greatest(F.ceil((F.col("_high") - F.col("_low") + 1) / slots), F.lit(1))
+    return counted.filter(F.col("_n") > rows_per_slot).select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], "_low", width.alias("_width")
+    )
+
+
+def _in_slots(df: DataFrame, keys: Sequence[str], ts: str, frequent: DataFrame, how: str) -> DataFrame:
+    """Add the slot of each row; ``inner`` keeps only the rows of frequent keys."""
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    slot = F.floor((F.unix_timestamp(ts) - F.col("_low")) / F.col("_width"))
+    placed = df.join(F.broadcast(frequent), same, how).withColumn(_SLOT, F.coalesce(slot, F.lit(0)).cast("bigint"))
+    return placed.drop(*[f"_key_{k}" for k in keys], "_low", "_width")
 
 
 def next_instant(
@@ -31,11 +50,13 @@ def next_instant(
     ts: str,
     out: str,
     tie_break: Sequence[str] = (),
-    slot_seconds: int = DAY,
+    rows_per_slot: int = ROWS_PER_SLOT,
 ) -> DataFrame:
     """Add the time of the following row of the same key; null for the last."""
-    rows = _slotted(df, ts, slot_seconds)
-    firsts = rows.groupBy(*keys, _SLOT).agg(F.min(ts).alias(ts))
+    frequent = frequent_keys(df, keys, ts, rows_per_slot)
+    rows = _in_slots(df, keys, ts, frequent, "left").withColumn(_REAL, F.lit(1))
+    crowded = _in_slots(df.select(*keys, ts), keys, ts, frequent, "inner")
+    firsts = crowded.groupBy(*keys, _SLOT).agg(F.min(ts).alias(ts))
     by_slot = Window.partitionBy(*keys).orderBy(_SLOT)
     edges = firsts.withColumns({ts: F.lead(ts).over(by_slot), _REAL: F.lit(0)}).filter(F.col(ts).isNotNull())
     within = Window.partitionBy(*keys, _SLOT).orderBy(ts, F.desc(_REAL), *tie_break)
@@ -50,15 +71,18 @@ def highest_before(
     value: Column,
     out: str,
     tie_break: Sequence[str] = (),
-    slot_seconds: int = DAY,
+    rows_per_slot: int = ROWS_PER_SLOT,
     inclusive: bool = False,
 ) -> DataFrame:
     """Add the largest ``value`` over the earlier rows of the same key.
 
     With ``inclusive`` the row itself counts too. ``value`` may be a struct.
     """
-    rows = _slotted(df, ts, slot_seconds).withColumn("_value", value)
-    tops = rows.groupBy(*keys, _SLOT).agg(F.max("_value").alias("_value"))
+    valued = df.withColumn("_value", value)
+    frequent = frequent_keys(df, keys, ts, rows_per_slot)
+    rows = _in_slots(valued, keys, ts, frequent, "left").withColumn(_REAL, F.lit(1))
+    crowded = _in_slots(valued.select(*keys, ts, "_value"), keys, ts, frequent, "inner")
+    tops = crowded.groupBy(*keys, _SLOT).agg(F.max("_value").alias("_value"))
     earlier = Window.partitionBy(*keys).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
     edges = tops.withColumns({"_value": F.max("_value").over(earlier), _REAL: F.lit(0)})
     within = (
@@ -80,7 +104,7 @@ def latest_version(
     start: Column,
     value: Column,
     out: str,
-    slot_seconds: int = DAY,
+    rows_per_slot: int = ROWS_PER_SLOT,
 ) -> DataFrame:
     """Add to each fact row the ``value`` of the last version of its key that starts at or before it.
 
@@ -89,31 +113,34 @@ def latest_version(
     partition they come from instead of meeting in one group.
     """
     usable = key.isNotNull() & ts.isNotNull()
-    facts = fact.withColumns(
-        {
-            "_key": F.when(usable, key),
-            "_at": ts,
-            "_order": F.lit(1),
-            _SLOT: F.when(usable, time_bucket(ts, slot_seconds)).otherwise(F.spark_partition_id().cast("bigint")),
-        }
-    )
+    facts = fact.withColumns({"_key": F.when(usable, key), "_at": ts, "_order": F.lit(1)})
     starts = versions.filter(version_key.isNotNull() & start.isNotNull()).select(
-        version_key.alias("_key"),
-        start.alias("_at"),
-        F.lit(0).alias("_order"),
-        time_bucket(start, slot_seconds).alias(_SLOT),
-        value.alias(out),
+        version_key.alias("_key"), start.alias("_at"), F.lit(0).alias("_order"), value.alias(out)
     )
-    slots = facts.filter(F.col("_key").isNotNull()).select("_key", _SLOT)
-    held = slots.unionByName(starts.select("_key", _SLOT, "_at", out), allowMissingColumns=True)
-    lasts = held.groupBy("_key", _SLOT).agg(F.max(F.when(F.col("_at").isNotNull(), F.struct("_at", out))).alias("_last"))
+    moments = facts.select("_key", "_at").filter("_key is not null").unionByName(starts.select("_key", "_at"))
+    frequent = frequent_keys(moments, ["_key"], "_at", rows_per_slot)
+
+    def slotted(df: DataFrame, how: str) -> DataFrame:
+        return _in_slots(df, ["_key"], "_at", frequent, how)
+
+    slots = slotted(facts.select("_key", "_at").filter("_key is not null"), "inner").select("_key", _SLOT)
+    held = slots.unionByName(slotted(starts.drop("_order"), "inner"), allowMissingColumns=True)
+    last = F.max(F.when(F.col("_at").isNotNull(), F.struct("_at", out)))
     earlier = Window.partitionBy("_key").orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
     edges = (
-        lasts.withColumn("_last", F.last("_last", ignorenulls=True).over(earlier))
+        held.groupBy("_key", _SLOT)
+        .agg(last.alias("_last"))
+        .withColumn("_last", F.last("_last", ignorenulls=True).over(earlier))
         .filter(F.col("_last").isNotNull())
-        .select("_key", F.col("_last._at").alias("_at"), F.lit(0).alias("_order"), _SLOT, F.col(f"_last.{out}").alias(out))
+        .select("_key", _SLOT, F.col("_last._at").alias("_at"), F.lit(0).alias("_order"), F.col(f"_last.{out}").alias(out))
+    )
+    spread = F.when(F.col("_key").isNull(), F.spark_partition_id()).otherwise(F.col(_SLOT)).cast("bigint")
+    merged = (
+        slotted(facts, "left")
+        .withColumn(_SLOT, spread)
+        .unionByName(slotted(starts, "left"), allowMissingColumns=True)
+        .unionByName(edges, allowMissingColumns=True)
     )
     within = Window.partitionBy("_key", _SLOT).orderBy("_at", "_order").rowsBetween(Window.unboundedPreceding, 0)
-    merged = facts.unionByName(starts, allowMissingColumns=True).unionByName(edges, allowMissingColumns=True)
     found = merged.withColumn(out, F.last(out, ignorenulls=True).over(within)).filter(F.col("_order") == 1)
     return found.drop("_key", "_at", "_order", _SLOT)

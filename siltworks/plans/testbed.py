@@ -396,11 +396,23 @@ def tier_changes(spark: SparkSession, sf: str) -> DataFrame:
     return events.select("user_id", "event_type", tier.alias("contract_tier"), F.col("ts").alias("updated_at"))
 
 
-def tier_versions(spark: SparkSession, sf: str) -> DataFrame:
+def build_versions(spark: SparkSession, sf: str) -> DataFrame:
     log = history.history_from_log(tier_changes(spark, sf), "user_id", "updated_at", ["contract_tier"])
     return history.dimension(log, "user_id", ["contract_tier"], "version_key")
 
 
+@cache
+def versions_root(spark: SparkSession, sf: str) -> str:
+    """The version dimension as a table, which facts and checks read; written once for each session."""
+    root = work_dir(spark, "gold")
+    versions.publish(build_versions(spark, sf), root, "dim_user_scd2")
+    return root
+
+
+def tier_versions(spark: SparkSession, sf: str) -> DataFrame:
+    return versions.read(spark, versions_root(spark, sf), "dim_user_scd2")
+
+
 def purchases(spark: SparkSession, sf: str) -> DataFrame:
     bought = table(spark, sf, "events").filter("event_type = 'purchase'")
     return bought.select("event_id", "user_id", "ts", F.col("value").alias("amount"))
@@ -415,7 +427,7 @@ def purchase_fact(spark: SparkSession, sf: str, strategy: str = "auto") -> DataF
 
 @query
 def scd2_versions(spark: SparkSession, sf: str) -> DataFrame:
-    return tier_versions(spark, sf)
+    return build_versions(spark, sf)
 
 
 @query

@@ -132,7 +132,7 @@ def overlapping_pairs(
         & (F.col("a_start") < F.col("b_end"))
         & (F.col("b_start") < F.col("a_end"))
     )
-    return pairs.filter(overlap).drop("_run")
+    return pairs.filter(overlap).select(key, "version_a", "version_b", "a_start", "a_end", "b_start", "b_end")
 
 
 @dataclass(frozen=True)

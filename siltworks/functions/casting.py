@@ -12,6 +12,24 @@ POLICIES = (STRICT, NULL, RESCUE)
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+# What text of a number can look like. A failed cast of text to a number costs an
+# exception per row, and in a drifted column most rows fail, so text is looked at first.
+_PADDING = r"[\s\p{Cntrl}]*"
+_WHOLE = rf"^{_PADDING}[+-]?[0-9]+{_PADDING}$"
+_NUMBER = (
+    rf"(?i)^{_PADDING}[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?[df]?|nan|inf|infinity|0x.*){_PADDING}$"
+)
+
+
+def parse(text: Column, target: T.DataType) -> Column:
+    """Text in the target type, or null if it does not parse."""
+    if isinstance(target, T.IntegralType):
+        return F.when(text.rlike(_WHOLE), text.try_cast(target))
+    if isinstance(target, T.NumericType):
+        return F.when(text.rlike(_NUMBER), text.try_cast(target))
+    return text.try_cast(target)
+
+
 def _convertible(source: T.DataType, target: T.DataType) -> bool:
     if source == target:
         return True
@@ -34,11 +52,12 @@ def convert(column: Column, source: T.DataType, target: T.DataType) -> tuple[Col
         return column, F.lit(True)
     if not _convertible(source, target):
         return F.lit(None).cast(target), column.isNull()
-    value = column.try_cast(target)
     if isinstance(target, T.StringType):
-        return value, F.lit(True)
+        return column.try_cast(target), F.lit(True)
     if isinstance(source, T.StringType):
+        value = parse(column, target)
         return value, column.isNull() | value.isNotNull()
+    value = column.try_cast(target)
     fits = column.eqNullSafe(value.try_cast(source))
     return F.when(fits, value), fits
 

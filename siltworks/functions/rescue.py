@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +18,12 @@ RESCUED = "_rescued_data"
 def rescued_field(field: str, target: str, column: str = RESCUED) -> Column:
     """One field of the rescued JSON. Field names are case-sensitive; a bad value gives null."""
     text = F.get_json_object(F.col(column), f"$['{field}']")
-    if target not in ("tinyint", "smallint", "int", "bigint"):
-        return text.try_cast(target)
+    kind = T.DataType.fromDDL(target)
+    if not isinstance(kind, T.IntegralType):
+        return casting.parse(text, kind)
     # "1.0" is not integer text but is a whole number.
-    number = text.try_cast("double")
-    return F.coalesce(text.try_cast(target), F.when(number == F.floor(number), number.try_cast(target)))
+    number = casting.parse(text, T.DoubleType())
+    return F.coalesce(casting.parse(text, kind), F.when(number == F.floor(number), number.try_cast(kind)))
 
 
 def first_of(column: Column, spellings: Sequence[str], target: str) -> Column:
@@ -50,7 +52,7 @@ def conform(df: DataFrame, contract: FeedContract, policy: str = casting.RESCUE,
         else:
             owners[field.name] = column
 
-    values, rescued = [], []
+    values, rescued, misfits = [], [], []
     for field in contract.fields:
         target = T.DataType.fromDDL(field.type)
         found = owners.get(field.name)
@@ -62,14 +64,17 @@ def conform(df: DataFrame, contract: FeedContract, policy: str = casting.RESCUE,
         if policy == casting.RESCUE and found.dataType != target:
             fits = casting.convert(raw, found.dataType, target)[1]
             rescued.append(F.when(~fits, raw).alias(found.name))
+            misfits.append(~fits)
     if policy == casting.STRICT and extra:
         raise ValueError(f"{contract.feed}: columns outside the contract: {[c.name for c in extra]}")
     if policy == casting.RESCUE:
         rescued += [F.col(f"`{c.name}`").alias(c.name) for c in extra]
+        misfits += [F.col(f"`{c.name}`").isNotNull() for c in extra]
 
     if rescued:
-        text = F.to_json(F.struct(*rescued))
-        values.append(F.nullif(text, F.lit("{}")).alias(RESCUED))
+        # Most rows fit, and writing JSON is the expensive part.
+        any_misfit = reduce(lambda a, b: a | b, misfits)
+        values.append(F.when(any_misfit, F.to_json(F.struct(*rescued))).alias(RESCUED))
     else:
         values.append(F.lit(None).cast("string").alias(RESCUED))
     return df.select(*values, *keep)

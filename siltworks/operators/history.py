@@ -19,7 +19,7 @@ VALID_FROM, VALID_TO = "valid_from", "valid_to"
 # A version table is broadcast if it has at most this many rows, and no key has more versions than
 # each fact row should be compared with.
 BROADCAST_ROWS = 100_000
-BROADCAST_VERSIONS_PER_KEY = 1_000
+BROADCAST_VERSIONS_PER_KEY = 200
 
 
 def start_history(source: DataFrame, updated_at: str) -> DataFrame:
@@ -85,8 +85,8 @@ def can_broadcast(
     rows: int = BROADCAST_ROWS,
     versions_per_key: int = BROADCAST_VERSIONS_PER_KEY,
 ) -> bool:
-    """Count at most ``rows + 1`` versions to see if they fit every executor."""
-    sizes = versions.select(key).limit(rows + 1).groupBy(key).agg(F.count("*").alias("n"))
+    """Whether the versions fit every executor, and few enough of each key are compared with a fact."""
+    sizes = versions.groupBy(key).agg(F.count("*").alias("n"))
     size = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
     return size["rows"] <= rows and size["most"] <= versions_per_key
 

@@ -170,11 +170,12 @@ def missing_trend(df: DataFrame, ts: str, flag: str, by: Sequence[str] = (), dig
 
     A month where every row is missing points at the load and not at the source: ``all_missing``.
     """
-    counted = df.groupBy(month_text(F.col(ts)).alias("month"), *by).agg(
+    counted = df.groupBy(F.trunc(F.col(ts).cast("date"), "month").alias("month"), *by).agg(
         F.count("*").alias("rows_total"), F.count_if(F.col(flag)).alias("rows_missing")
     )
     return counted.withColumns(
         {
+            "month": month_text(F.col("month")),
             "pct_missing": percent(F.col("rows_missing"), F.col("rows_total"), digits),
             "all_missing": F.col("rows_missing") == F.col("rows_total"),
         }

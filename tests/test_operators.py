@@ -53,6 +53,18 @@ CONVERSIONS = [
     ("3000000000L", "int", None, False),
     ("'12'", "bigint", "12", True),
     ("'1x'", "bigint", None, False),
+    ("' -12 '", "bigint", "-12", True),
+    ("'+7'", "int", "7", True),
+    ("'3000000000'", "int", None, False),
+    ("'1.5'", "int", None, False),
+    ("' 1.5e3 '", "double", "1500.0", True),
+    ("'.5'", "double", "0.5", True),
+    ("'7.'", "double", "7.0", True),
+    ("'-Infinity'", "double", "-Infinity", True),
+    ("'nan'", "double", "NaN", True),
+    ("'1-URGENT'", "double", None, False),
+    ("''", "double", None, False),
+    ("'12.345'", "decimal(10,2)", "12.35", True),
     ("12.50BD", "double", "12.5", True),
     ("true", "int", None, False),
     ("timestamp_ntz'2023-01-01 05:00:00'", "date", None, False),

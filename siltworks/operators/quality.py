@@ -158,11 +158,16 @@ def conservation(source: DataFrame, parts: Mapping[str, DataFrame], by: Sequence
 
 
 def unaccounted(source: DataFrame, parts: Sequence[DataFrame], id_columns: Sequence[str]) -> DataFrame:
-    """Ids that occur more often in the source than in the parts (``surplus > 0``), or the reverse."""
-    tagged = [source.select(*id_columns, F.lit(1).alias("_sign"))]
-    tagged += [part.select(*id_columns, F.lit(-1).alias("_sign")) for part in parts]
+    """Ids that occur more often in the source than in the parts (``surplus > 0``), or the reverse.
+
+    Grouping by a struct keeps Spark from reusing the partitioning of a join below, which it could
+    then no longer split for a frequent key.
+    """
+    key = F.struct(*id_columns).alias("_id")
+    tagged = [source.select(key, F.lit(1).alias("_sign"))]
+    tagged += [part.select(key, F.lit(-1).alias("_sign")) for part in parts]
     rows = reduce(lambda a, b: a.unionByName(b), tagged)
-    return rows.groupBy(*id_columns).agg(F.sum("_sign").alias("surplus")).filter("surplus <> 0")
+    return rows.groupBy("_id").agg(F.sum("_sign").alias("surplus")).filter("surplus <> 0").select("_id.*", "surplus")
 
 
 def missing_trend(df: DataFrame, ts: str, flag: str, by: Sequence[str] = (), digits: int = 1) -> DataFrame:

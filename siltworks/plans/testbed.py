@@ -12,6 +12,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltworks import contracts
 from siltworks.contracts import FeedContract, Field
 from siltworks.functions import rescue
 from siltworks.functions.casting import money_sum
@@ -19,6 +20,7 @@ from siltworks.functions.dates import instant, month_text, outside_period
 from siltworks.operators import checks, dimensions, duplicates, facts, harmonize, history, quality
 from siltworks.operators.checks import TableChecks
 from siltworks.operators.quality import Rule
+from siltworks.plans.trips import publish_silver, read_silver
 from siltworks.session import work_dir
 from siltworks.sources import landing, layout, tables, versions
 from siltworks.streaming import ingest
@@ -372,6 +374,18 @@ def dim_location_unknown(spark: SparkSession, sf: str) -> DataFrame:
     return location_dimension(spark, sf)
 
 
+@query
+def reference_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The reference file as it lands, with a header in mixed case, and its dimension."""
+    place = work_dir(spark, "zones")
+    zones = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    landed = zones.select(F.col("n_nationkey").alias("LocationID"), F.col("r_name").alias("Borough"), F.col("n_name").alias("Zone"))
+    landed.write.option("header", True).csv(place)
+    read = tables.read_reference_csv(spark, place, "LocationID int, Borough string, Zone string")
+    columns = {"location_key": "locationid", "borough": "borough", "zone_name": "zone"}
+    return dimensions.location_dim(read, columns, "location_key")
+
+
 # Names of the order states; one state is left to the default.
 ORDER_STATES = {"O": "Open", "F": "Filled"}
 
@@ -656,15 +670,52 @@ def drifted_landing(spark: SparkSession, sf: str) -> str:
 @query
 def bronze_stream_counts(spark: SparkSession, sf: str) -> DataFrame:
     place, out = drifted_landing(spark, sf), work_dir(spark, "bronze")
-    run = ingest.ingest(spark, ORDER_FEED, place, out, f"{out}/_state")
-    rows = spark.read.parquet(run.path).withColumn("period", F.regexp_extract("_source_path", ORDER_FEED.period_pattern, 1))
-    audit = rows.groupBy("period").agg(
-        F.count("*").alias("rows_total"),
-        F.count_if(F.col(rescue.RESCUED).isNotNull()).alias("rows_rescued"),
-        F.count_if(F.col("o_custkey").isNull()).alias("null_custkey"),
-        money_sum("o_totalprice").alias("revenue"),
+    ingest.ingest(spark, ORDER_FEED, place, out, f"{out}/_state")
+    rows = ingest.read_bronze(spark, out, f"{out}/_state", ORDER_FEED.feed)
+    return with_period(rows).groupBy("period").agg(F.count("*").alias("rows_total"), money_sum("o_totalprice").alias("revenue"))
+
+
+@cache
+def bronze_orders(spark: SparkSession, sf: str) -> str:
+    """The drifted orders as a bronze table, loaded once for each session."""
+    place, out = drifted_landing(spark, sf), work_dir(spark, "bronze")
+    return ingest.ingest(spark, ORDER_FEED, place, out, f"{out}/_state").path
+
+
+def with_period(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("period", F.regexp_extract("_source_path", ORDER_FEED.period_pattern, 1))
+
+
+@query
+def rescue_audit(spark: SparkSession, sf: str) -> DataFrame:
+    rows = with_period(spark.read.parquet(bronze_orders(spark, sf)))
+    return quality.rescue_audit(rows, ["period"], ["o_custkey"])
+
+
+@query
+def bronze_recovered(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze orders in canonical form, with what their rescued JSON still holds."""
+    rows = harmonize.to_canonical(spark.read.parquet(bronze_orders(spark, sf)), ORDER_FEED)
+    rescued_key = rescue.rescued_field("o_custkey", "string")
+    return rows.select(
+        "order_key",
+        "customer_key",
+        "total_price",
+        "order_date",
+        rescued_key.alias("rescued_customer"),
+        rescue.rescued_field("channel", "string").alias("channel"),
     )
-    return audit
+
+
+@query
+def bronze_uniform_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed whose types do not drift, through Spark's own file source and sink."""
+    place = work_dir(spark, "uniform")
+    table(spark, sf, "orders").write.parquet(f"{place}/landing")
+    for _ in range(2):
+        ingest.ingest_uniform(spark, ORDER_FEED, f"{place}/landing", f"{place}/bronze", f"{place}/state")
+    stored = spark.read.parquet(f"{place}/bronze")
+    return stored.groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"), F.count_distinct("_run_id").alias("runs"))
 
 
 @query
@@ -689,6 +740,15 @@ def schema_mismatches(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("column", "type", "declared", "problem").distinct()
 
 
+@query
+def inferred_feed_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """The contract that the files themselves suggest: the wider type of each column."""
+    columns = landing.file_columns(landing.inventory(spark, drifted_landing(spark, sf)))
+    contract = contracts.infer(landing.drift_report(columns), "orders", "*.parquet", hints={"o_custkey": "bigint"})
+    lines = [F.struct(F.lit(f.name).alias("column"), F.lit(f.type).alias("type")) for f in contract.fields]
+    return spark.range(1).select(F.inline(F.array(*lines)))
+
+
 @query
 def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
     files = landing.inventory(spark, drifted_landing(spark, sf))
@@ -763,6 +823,23 @@ def morton_rows(spark: SparkSession, sf: str) -> DataFrame:
     return stored.select("o_orderkey", "o_custkey", "pickup_date_key", "o_totalprice")
 
 
+@query
+def version_history(spark: SparkSession, sf: str) -> DataFrame:
+    root = order_layouts(spark, sf)["plain"].rsplit("/orders/", 1)[0]
+    return versions.history(spark, root, "orders").select("name", "version", "operation", "rows")
+
+
+@query
+def published_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean and rejected rows written in one job under one version, and read back apart."""
+    root = work_dir(spark, "silver")
+    number = publish_silver(classified(spark, sf).drop("_failed_rules"), root)
+    clean, rejected = read_silver(spark, root, number)
+    good = clean.groupBy("service_type").agg(F.count("*").alias("rows_clean"), money_sum("total_amount").alias("revenue"))
+    bad = rejected.groupBy("service_type").agg(F.count("*").alias("rows_quarantined"))
+    return good.join(bad, "service_type", "full_outer")
+
+
 @query
 def version_compare(spark: SparkSession, sf: str) -> DataFrame:
     """Purchases without a version, before and after error events count as changes."""

@@ -21,6 +21,7 @@ def local_session(app: str = "siltworks", cpus: str | int = "*", memory: str = "
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config(CHECKPOINT_CONF, shared)

@@ -785,13 +785,14 @@ def order_layouts(spark: SparkSession, sf: str) -> dict[str, str]:
     arranged = versions.publish(layout.cluster(orders, ["pickup_date_key"], 4), root, "orders", versions.CLUSTER)
     both = versions.publish(layout.cluster(orders, ["pickup_date_key", "o_custkey"], 4), root, "orders", versions.CLUSTER)
     named = {"plain": plain, "clustered": arranged, "morton": both}
-    return {label: versions.version_path(root, "orders", v) for label, v in named.items()}
+    paths = {label: versions.version_path(root, "orders", v) for label, v in named.items()}
+    layout.keep_stats(spark, paths["clustered"], ["pickup_date_key"])
+    return paths
 
 
 def pruned_measure(spark: SparkSession, sf: str, low: int, high: int) -> DataFrame:
     path, ranges = order_layouts(spark, sf)["clustered"], {"pickup_date_key": (low, high)}
-    stats = layout.file_stats(spark, path, ["pickup_date_key"])
-    rows = layout.read_pruned(spark, path, stats, ranges)
+    rows = layout.read_pruned(spark, path, layout.kept_stats(spark, path), ranges)
     return rows.agg(F.count("*").alias("trips"), F.coalesce(money_sum("o_totalprice"), F.lit(0.0)).alias("revenue"))
 
 

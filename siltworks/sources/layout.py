@@ -137,6 +137,17 @@ def file_stats(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFr
     return inventory(spark, path).select("path", "bytes").mapInPandas(_stats_reader(columns), ddl)
 
 
+def keep_stats(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
+    """Store the statistics beside the files they describe, where a scan of the table ignores them."""
+    stats = file_stats(spark, path, columns)
+    stats.coalesce(max(1, spark.sparkContext.defaultParallelism // 8)).write.mode("overwrite").parquet(f"{path}/_stats")
+
+
+def kept_stats(spark: SparkSession, path: str) -> DataFrame:
+    """Statistics kept for a table version: a query then lists and opens no file it does not need."""
+    return spark.read.parquet(f"{path}/_stats")
+
+
 def may_hold(ranges: Mapping[str, tuple[object, object]]) -> Column:
     """Whether a file can hold rows with every column in its inclusive range."""
     tests = [
@@ -167,8 +178,7 @@ def read_pruned(spark: SparkSession, path: str, stats: DataFrame, ranges: Mappin
     Meant for selective ranges: the paths that remain are listed by the driver, as any scan does.
     """
     kept = [r["path"] for r in stats.filter(may_hold(ranges)).select("path").collect()]
-    table = spark.read.parquet(path)
-    rows = spark.read.schema(table.schema).option("basePath", path).parquet(*kept) if kept else table.limit(0)
+    rows = spark.read.option("basePath", path).parquet(*kept) if kept else spark.read.parquet(path).limit(0)
     tests = [(F.col(c) >= F.lit(low)) & (F.col(c) <= F.lit(high)) for c, (low, high) in ranges.items()]
     return rows.filter(reduce(lambda a, b: a & b, tests))
 

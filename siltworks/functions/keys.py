@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,8 +26,3 @@ def label(code: Column, names: Mapping[object, str], default: str | None = None)
     pairs = [F.lit(x) for pair in names.items() for x in pair]
     found = F.try_element_at(F.create_map(*pairs), code) if pairs else F.lit(None).cast("string")
     return found if default is None else F.coalesce(found, F.lit(default))
-
-
-def all_equal(left: Mapping[str, Column], right: Mapping[str, Column]) -> Column:
-    """Null-safe equality of every named pair."""
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in left])

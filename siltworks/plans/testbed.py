@@ -12,7 +12,6 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks import contracts
 from siltworks.contracts import FeedContract, Field
 from siltworks.functions import rescue
 from siltworks.functions.casting import money_sum
@@ -357,10 +356,15 @@ def date_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return dimensions.date_dim(table(spark, sf, "orders"), "o_orderdate")
 
 
+def zones(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers with their nation stand in for zones with their borough."""
+    suppliers, nations = table(spark, sf, "supplier"), table(spark, sf, "nation")
+    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+
+
 def location_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    zones = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return dimensions.location_dim(
-        zones, {"location_key": "n_nationkey", "borough": "r_name", "zone_name": "n_name"}, "location_key"
+        zones(spark, sf), {"location_key": "s_suppkey", "borough": "n_name", "zone_name": "s_name"}, "location_key"
     )
 
 
@@ -378,8 +382,8 @@ def dim_location_unknown(spark: SparkSession, sf: str) -> DataFrame:
 def reference_csv(spark: SparkSession, sf: str) -> DataFrame:
     """The reference file as it lands, with a header in mixed case, and its dimension."""
     place = work_dir(spark, "zones")
-    zones = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    landed = zones.select(F.col("n_nationkey").alias("LocationID"), F.col("r_name").alias("Borough"), F.col("n_name").alias("Zone"))
+    columns = {"LocationID": "s_suppkey", "Borough": "n_name", "Zone": "s_name"}
+    landed = zones(spark, sf).select(*[F.col(source).alias(name) for name, source in columns.items()])
     landed.write.option("header", True).csv(place)
     read = tables.read_reference_csv(spark, place, "LocationID int, Borough string, Zone string")
     columns = {"location_key": "locationid", "borough": "borough", "zone_name": "zone"}
@@ -486,7 +490,7 @@ def missing_version_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trip_fact(spark: SparkSession, sf: str) -> DataFrame:
-    rows = classified(spark, sf).withColumn("location_id", F.nullif(F.col("vendor_id") % 26, F.lit(25)))
+    rows = classified(spark, sf).withColumn("location_id", F.nullif(F.col("vendor_id"), F.lit(5)))
     return facts.build(
         rows,
         "pickup_datetime",
@@ -637,7 +641,7 @@ def check_suite_report(spark: SparkSession, sf: str) -> DataFrame:
     built = {
         "dim_date": date_dimension(spark, sf),
         "dim_state": state_dimension(spark, sf),
-        "dim_location": table(spark, sf, "nation").select(F.col("n_nationkey").alias("location_key")),
+        "dim_location": table(spark, sf, "supplier").select(F.col("s_suppkey").alias("location_key")),
         "fct_trips": trip_fact(spark, sf),
     }
     return checks.run(built, suite)
@@ -743,8 +747,9 @@ def schema_mismatches(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def inferred_feed_schema(spark: SparkSession, sf: str) -> DataFrame:
     """The contract that the files themselves suggest: the wider type of each column."""
-    columns = landing.file_columns(landing.inventory(spark, drifted_landing(spark, sf)))
-    contract = contracts.infer(landing.drift_report(columns), "orders", "*.parquet", hints={"o_custkey": "bigint"})
+    contract = landing.infer_contract(
+        spark, drifted_landing(spark, sf), "orders", "*.parquet", hints={"o_custkey": "bigint"}
+    )
     lines = [F.struct(F.lit(f.name).alias("column"), F.lit(f.type).alias("type")) for f in contract.fields]
     return spark.range(1).select(F.inline(F.array(*lines)))
 
@@ -873,7 +878,8 @@ def preview_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def table_description(spark: SparkSession, sf: str) -> DataFrame:
-    return tables.describe(trips(spark, sf))
+    """Columns of the trips with their types and nulls."""
+    return tables.column_report(trips(spark, sf))
 
 
 @query

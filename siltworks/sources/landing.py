@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from siltworks.contracts import FeedContract, NUMERIC_ORDER
+from siltworks import contracts
+from siltworks.contracts import NUMERIC_ORDER, FeedContract
 
 
 def expand_template(template: str) -> Column:
@@ -111,6 +111,19 @@ def drift_report(columns: DataFrame) -> DataFrame:
     return seen.join(variants, "name")
 
 
+def infer_contract(
+    spark: SparkSession,
+    directory: str,
+    feed: str,
+    glob: str,
+    hints: Mapping[str, str] | None = None,
+    canonical: Mapping[str, str] | None = None,
+) -> FeedContract:
+    """A contract from the files that are there, with hinted types and canonical names."""
+    seen = drift_report(file_columns(inventory(spark, directory, glob)))
+    return contracts.infer(seen, feed, glob, hints, canonical)
+
+
 def schema_mismatches(columns: DataFrame, contract: FeedContract) -> DataFrame:
     """File columns that a plain read under the contract's types would reject or not find.
 
@@ -151,7 +164,3 @@ def read_group(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.parquet(*paths).select(
         "*", F.col("_metadata.file_name").alias("_source_file"), F.col("_metadata.file_path").alias("_source_path")
     )
-
-
-def declared(struct: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in struct)

@@ -53,9 +53,26 @@ def shape_report(feeds: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """One row per column with its position and type."""
+    """One row per column with its position and type; no data is read."""
     lines = [
         F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"))
         for i, f in enumerate(df.schema)
     ]
     return df.sparkSession.range(1).select(F.inline(F.array(*lines)))
+
+
+def column_report(df: DataFrame) -> DataFrame:
+    """``describe`` with the rows and nulls of every column, from one scan."""
+    nulls = [(F.count("*") - F.count(F.col(f"`{c}`"))).alias(f"_n{i}") for i, c in enumerate(df.columns)]
+    counted = df.agg(F.count("*").alias("n_rows"), *nulls)
+    lines = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("column"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            F.col("n_rows"),
+            F.col(f"_n{i}").alias("n_null"),
+        )
+        for i, f in enumerate(df.schema)
+    ]
+    return counted.select(F.inline(F.array(*lines)))

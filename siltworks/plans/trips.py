@@ -150,15 +150,15 @@ _REJECTED = "_rejected"
 
 def publish_silver(classified: DataFrame, root: str) -> int:
     """Write clean and rejected trips in one job, as two partitions of one version."""
-    marked = classified.withColumn(_REJECTED, F.col(quality.REASON).isNotNull().cast("int"))
+    marked = classified.withColumn(_REJECTED, F.col(quality.REASON).isNotNull())
     return versions.publish(marked, root, SILVER, partition_by=[_REJECTED])
 
 
 def read_silver(spark: SparkSession, root: str, version: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(clean, quarantine)`` of one version; each reads only its own partition."""
     rows = versions.read(spark, root, SILVER, version)
-    clean = rows.filter(F.col(_REJECTED) == 0).drop(_REJECTED, quality.REASON)
-    return clean, rows.filter(F.col(_REJECTED) == 1).drop(_REJECTED)
+    clean = rows.filter(~F.col(_REJECTED)).drop(_REJECTED, quality.REASON)
+    return clean, rows.filter(F.col(_REJECTED)).drop(_REJECTED)
 
 
 METRIC_FLAGS = {"passenger_count_missing": "passenger_count_missing", "reversal_rows": "is_reversal"}

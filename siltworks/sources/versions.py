@@ -7,16 +7,18 @@ published together share a number and appear together. One writer per root is as
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltworks.sources import events_log
 from siltworks.sources.landing import inventory
 
-_LOG = "name string, version int, at timestamp, operation string, rows bigint, files bigint, bytes bigint"
+_LOG = "name string, version int, at timestamp, operation string, rows bigint, files bigint, bytes bigint, schema string"
 
 REPLACE, CLUSTER, EXPIRE = "REPLACE", "CLUSTER", "EXPIRE"
 
@@ -59,9 +61,9 @@ def publish_all(
         path = version_path(root, name, version)
         df.write.mode("overwrite").partitionBy(*(partition_by or {}).get(name, ())).parquet(path)
         # Counting the stored rows reads footers only.
-        rows = spark.read.parquet(path).count()
+        rows = spark.read.schema(df.schema).parquet(path).count()
         size = inventory(spark, path).agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
-        entries.append((name, version, now, operation, rows, size["files"], size["bytes"]))
+        entries.append((name, version, now, operation, rows, size["files"], size["bytes"], df.schema.json()))
     events_log.append(spark, _log_path(root), _LOG, entries)
     return version
 
@@ -71,7 +73,7 @@ def publish(df: DataFrame, root: str, name: str, operation: str = REPLACE, parti
 
 
 def read(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
-    """The latest version of a table, or the one asked for."""
+    """The latest version of a table, or the one asked for, with the schema it was published with."""
     log = history(spark, root, name)
     if version is None:
         log = log.filter(F.col("operation") != EXPIRE)
@@ -79,13 +81,14 @@ def read(spark: SparkSession, root: str, name: str, version: int | None = None)
         if version is None:
             raise VersionNotFound(f"{name} has no published version in {root}")
     states = log.filter(F.col("version") == version).agg(
-        F.count("*").alias("n"), F.count_if(F.col("operation") == EXPIRE).alias("expired")
+        F.count("*").alias("n"), F.count_if(F.col("operation") == EXPIRE).alias("expired"), F.max("schema").alias("schema")
     ).first()
     if states["n"] == 0:
         raise VersionNotFound(f"{name} has no version {version} in {root}")
     if states["expired"]:
         raise VersionExpired(f"version {version} of {name} is past retention; its history remains")
-    return spark.read.parquet(version_path(root, name, version))
+    schema = T.StructType.fromJson(json.loads(states["schema"]))
+    return spark.read.schema(schema).parquet(version_path(root, name, version))
 
 
 def compare(spark: SparkSession, root: str, name: str, versions: Sequence[int], measures: Mapping[str, Column]) -> DataFrame:
@@ -114,5 +117,5 @@ def expire(spark: SparkSession, root: str, name: str, before: int) -> int:
     old = sorted(r["version"] for r in live.filter(F.col("version") < min(before, newest)).collect())
     now = datetime.now(timezone.utc)
     if old:
-        events_log.append(spark, _log_path(root), _LOG, [(name, v, now, EXPIRE, None, None, None) for v in old])
+        events_log.append(spark, _log_path(root), _LOG, [(name, v, now, EXPIRE, None, None, None, None) for v in old])
     return len(old)

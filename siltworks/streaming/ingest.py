@@ -100,6 +100,7 @@ def ingest(
     if kept is None:
         contracts.save(spark, contract, f"{state}/schema")
     effective = kept or contract
+    written: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -107,6 +108,7 @@ def ingest(
             {"_ingested_at": F.current_timestamp(), "_run_id": F.lit(run_id)}
         )
         rows.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
+        written.append(batch_id)
 
     query = (
         spark.readStream.format("binaryFile")
@@ -125,8 +127,7 @@ def ingest(
     if not finished:
         query.stop()
         raise TimeoutError(f"{contract.feed}: not drained after {timeout_seconds} s")
-    batches = sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
-    return Ingestion(out, number, run_id, batches)
+    return Ingestion(out, number, run_id, len(written))
 
 
 def ingest_uniform(

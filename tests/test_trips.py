@@ -195,8 +195,63 @@ def test_versions_of_the_fact(spark, tmp_path):
     with pytest.raises(versions.VersionNotFound):
         versions.read(spark, root, "fct", 7)
     assert versions.read(spark, root, "fct").count() == 2
+    empty = versions.publish(before.limit(0), root, "fct", partition_by=["id"])
+    assert rows(versions.read(spark, root, "fct", empty)) == []
     assert rows(versions.history(spark, root, "fct"), "version", "operation", "rows") == [
         (0, "EXPIRE", None),
         (0, "REPLACE", 2),
         (1, "REPLACE", 2),
+        (2, "REPLACE", 0),
     ]
+
+
+def test_failed_batch_is_repeated_without_duplicates(spark, tmp_path, monkeypatch):
+    """A batch that wrote its rows and failed before it was committed replaces them when repeated."""
+    landing_dir = tmp_path / "landing"
+    landing_dir.mkdir()
+    write_landing(landing_dir)
+    places = [str(landing_dir), str(tmp_path / "bronze"), str(tmp_path / "state")]
+    load = ingest.load_files
+
+    def load_then_fail(session, paths, contract, policy):
+        found = load(session, paths, contract, policy)
+        found.write.mode("overwrite").parquet(ingest.table_path(places[1], "yellow", 0) + "/_batch=0")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ingest, "load_files", load_then_fail)
+    with pytest.raises(Exception, match="lost"):
+        ingest.ingest(spark, trips.YELLOW, *places)
+    monkeypatch.setattr(ingest, "load_files", load)
+    assert ingest.ingest(spark, trips.YELLOW, *places).batches == 1
+    assert ingest.read_bronze(spark, places[1], places[2], "yellow").count() == 11
+
+
+def test_batches_are_bounded(spark, tmp_path):
+    landing_dir = tmp_path / "landing"
+    landing_dir.mkdir()
+    write_landing(landing_dir)
+    write_june(landing_dir)
+    run = ingest.ingest(spark, trips.YELLOW, str(landing_dir), str(tmp_path / "b"), str(tmp_path / "s"), files_per_batch=1)
+    assert run.batches == 3
+    assert ingest.read_bronze(spark, str(tmp_path / "b"), str(tmp_path / "s"), "yellow").count() == 12
+
+
+def test_profile_of_trips(silver):
+    found = quality.profile(silver["classified"], trips.profile_checks("2023-01-01", "2023-02-01"), ["service_type"])
+    yellow = {r["check"]: r["rows_failed"] for r in found.filter("service_type = 'yellow'").collect()}
+    assert yellow == {
+        "negative_fare": 1,
+        "zero_or_neg_distance": 2,
+        "passenger_zero": 0,
+        "passenger_over_8": 0,
+        "passenger_null": 1,
+        "dropoff_before_pickup": 1,
+        "outside_window": 4,
+        "null_pickup_location": 2,
+    }
+
+
+def test_day_measure(silver, spark):
+    fact = spark.createDataFrame([(20230315, 1.5), (20230315, 2.0), (20230401, 9.0)], "pickup_date_key int, total_amount double")
+    assert rows(trips.key_range_measure(fact, 20230315, 20230315)) == [(2, 3.5)]
+    assert rows(trips.key_range_measure(fact, 20230301, 20230430)) == [(3, 12.5)]

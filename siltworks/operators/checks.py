@@ -49,7 +49,13 @@ def _in_range(column: str, low: object | None, high: object | None, inclusive: b
     return ok
 
 
-def accepted_range(df: DataFrame, column: str, low: object | None = None, high: object | None = None, inclusive: bool = True) -> DataFrame:
+def accepted_range(
+    df: DataFrame,
+    column: str,
+    low: object | None = None,
+    high: object | None = None,
+    inclusive: bool = True,
+) -> DataFrame:
     """Rows outside the range; null is accepted."""
     return df.filter(~_in_range(column, low, high, inclusive))
 
@@ -157,7 +163,12 @@ def _row_checks(df: DataFrame, checks: TableChecks) -> DataFrame | None:
         return None
     counted = df.agg(*[F.count_if(condition).alias(f"_c{i}") for i, (_, _, condition) in enumerate(failing)])
     lines = [
-        F.struct(F.lit(checks.table).alias("table"), F.lit(kind).alias("check"), F.lit(column).alias("column"), F.col(f"_c{i}").alias("failures"))
+        F.struct(
+            F.lit(checks.table).alias("table"),
+            F.lit(kind).alias("check"),
+            F.lit(column).alias("column"),
+            F.col(f"_c{i}").alias("failures"),
+        )
         for i, (kind, column, _) in enumerate(failing)
     ]
     return counted.select(F.inline(F.array(*lines)))

@@ -34,7 +34,12 @@ def date_dim(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
-def with_unknown(df: DataFrame, key: str, unknown: int = keys_fn.UNKNOWN_KEY, text: str = keys_fn.UNKNOWN_LABEL) -> DataFrame:
+def with_unknown(
+    df: DataFrame,
+    key: str,
+    unknown: int = keys_fn.UNKNOWN_KEY,
+    text: str = keys_fn.UNKNOWN_LABEL,
+) -> DataFrame:
     """Add the member that facts without a match point to: texts say so, other columns are null."""
 
     def value(field: T.StructField):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from siltworks.functions.casting import money
 
 
-HOT_ROWS = 1_000_000
+HOT_ROWS = 2_000_000
 
 
 def groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -52,7 +52,10 @@ def recover_rescued(df: DataFrame, fields: Mapping[str, tuple[str, Sequence[str]
     )
 
 
-def recovery_plan(contracts: Sequence[FeedContract], only: Sequence[str] | None = None) -> dict[str, tuple[str, tuple[str, ...]]]:
+def recovery_plan(
+    contracts: Sequence[FeedContract],
+    only: Sequence[str] | None = None,
+) -> dict[str, tuple[str, tuple[str, ...]]]:
     """What ``recover_rescued`` needs, from the contracts of the feeds that were united."""
     plan: dict[str, tuple[str, tuple[str, ...]]] = {}
     for contract in contracts:

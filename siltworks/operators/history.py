@@ -24,7 +24,8 @@ BROADCAST_VERSIONS_PER_KEY = 200
 
 def start_history(source: DataFrame, updated_at: str) -> DataFrame:
     """First snapshot: every row is an open version that starts at its own clock."""
-    return source.withColumns({VALID_FROM: F.col(updated_at), VALID_TO: F.lit(None).cast(source.schema[updated_at].dataType)})
+    open_until = F.lit(None).cast(source.schema[updated_at].dataType)
+    return source.withColumns({VALID_FROM: F.col(updated_at), VALID_TO: open_until})
 
 
 def snapshot(history: DataFrame, source: DataFrame, key: str, updated_at: str) -> DataFrame:
@@ -35,9 +36,12 @@ def snapshot(history: DataFrame, source: DataFrame, key: str, updated_at: str) -
     the source stays open. Closed versions pass through unchanged and are not shuffled.
     """
     columns = source.columns
-    fresh = F.struct(*[F.col(f"_new.{c}").alias(c) for c in columns], F.col(f"_new.{updated_at}").alias(VALID_FROM), F.col("_open_end").alias(VALID_TO))
-    kept = F.struct(*[F.col(f"_old.{c}").alias(c) for c in [*columns, VALID_FROM, VALID_TO]])
-    closed = F.struct(*[F.col(f"_old.{c}").alias(c) for c in [*columns, VALID_FROM]], F.col(f"_new.{updated_at}").alias(VALID_TO))
+    clock = F.col(f"_new.{updated_at}")
+    before = [F.col(f"_old.{c}").alias(c) for c in [*columns, VALID_FROM]]
+    after = [F.col(f"_new.{c}").alias(c) for c in columns]
+    kept = F.struct(*before, F.col(f"_old.{VALID_TO}").alias(VALID_TO))
+    closed = F.struct(*before, clock.alias(VALID_TO))
+    fresh = F.struct(*after, clock.alias(VALID_FROM), F.col("_open_end").alias(VALID_TO))
 
     is_open = F.col(VALID_TO).isNull()
     old = history.filter(is_open).select(F.col(key).alias("_key"), F.struct(*columns, VALID_FROM, VALID_TO).alias("_old"))
@@ -47,7 +51,7 @@ def snapshot(history: DataFrame, source: DataFrame, key: str, updated_at: str) -
     )
     versions = (
         F.when(F.col("_old").isNull(), F.array(fresh))
-        .when(F.col(f"_new.{updated_at}") > F.col(f"_old.{VALID_FROM}"), F.array(closed, fresh))
+        .when(clock > F.col(f"_old.{VALID_FROM}"), F.array(closed, fresh))
         .otherwise(F.array(kept))
     )
     current = both.select(F.inline(versions))

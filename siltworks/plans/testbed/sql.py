@@ -1,4 +1,4 @@
-"""What the queries of ``testbed`` should return, as SQL over the same tables."""
+"""What the queries should return, as SQL over the same tables."""
 
 from __future__ import annotations
 

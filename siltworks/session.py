@@ -11,7 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(app: str = "siltworks", cpus: str | int = "*", memory: str = "8g", shared: str | None = None) -> SparkSession:
+def local_session(
+    app: str = "siltworks",
+    cpus: str | int = "*",
+    memory: str = "8g",
+    shared: str | None = None,
+) -> SparkSession:
     """A session for tests and benchmarks. Cluster jobs bring their own session."""
     shared = shared or tempfile.mkdtemp(prefix="siltworks-")
     spark = (

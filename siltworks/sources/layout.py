@@ -25,7 +25,8 @@ def cluster(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
         order = [F.col(columns[0])]
         return spread.repartitionByRange(files, *order, _SPREAD).sortWithinPartitions(*order).drop(_SPREAD)
     keyed = spread.withColumn("_morton", morton_key(df, columns))
-    return keyed.repartitionByRange(files, "_morton", _SPREAD).sortWithinPartitions("_morton", *columns).drop("_morton", _SPREAD)
+    ranged = keyed.repartitionByRange(files, "_morton", _SPREAD)
+    return ranged.sortWithinPartitions("_morton", *columns).drop("_morton", _SPREAD)
 
 
 def _rank(value: Column, bounds: Sequence, low: int = 0) -> Column:

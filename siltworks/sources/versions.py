@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,7 +63,8 @@ def publish_all(
         df.write.mode("overwrite").partitionBy(*(partition_by or {}).get(name, ())).parquet(path)
         # Counting the stored rows reads footers only.
         rows = spark.read.schema(df.schema).parquet(path).count()
-        size = inventory(spark, path).agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+        files = inventory(spark, path)
+        size = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
         entries.append((name, version, now, operation, rows, size["files"], size["bytes"], df.schema.json()))
     events_log.append(spark, _log_path(root), _LOG, entries)
     return version
@@ -91,16 +93,17 @@ def read(spark: SparkSession, root: str, name: str, version: int | None = None)
     return spark.read.schema(schema).parquet(version_path(root, name, version))
 
 
-def compare(spark: SparkSession, root: str, name: str, versions: Sequence[int], measures: Mapping[str, Column]) -> DataFrame:
+def compare(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    versions: Sequence[int],
+    measures: Mapping[str, Column],
+) -> DataFrame:
     """The same measures on several versions, one row each."""
-    rows = [
-        read(spark, root, name, v).agg(*[m.alias(n) for n, m in measures.items()]).select(F.lit(v).alias("version"), *measures)
-        for v in versions
-    ]
-    result = rows[0]
-    for other in rows[1:]:
-        result = result.unionByName(other)
-    return result
+    named = [m.alias(n) for n, m in measures.items()]
+    rows = [read(spark, root, name, v).agg(*named).select(F.lit(v).alias("version"), *measures) for v in versions]
+    return reduce(lambda a, b: a.unionByName(b), rows)
 
 
 def expire(spark: SparkSession, root: str, name: str, before: int) -> int:

@@ -9,6 +9,7 @@ from conftest import at, rows
 from siltworks.functions import casting, dates, keys
 from siltworks.operators import checks, dimensions, duplicates, facts, harmonize, history, quality
 from siltworks.operators.quality import Rule
+from siltworks.session import cut_lineage
 
 
 # ---- Functions ------------------------------------------------------------------------------
@@ -282,6 +283,26 @@ def test_snapshot_is_idempotent(spark):
     assert dim.select("sk").distinct().count() == dim.count() == 6
 
 
+def test_snapshots_at_every_change_equal_the_log(spark, tmp_path):
+    """Looking at the table after each change gives the history that the change log gives at once."""
+    rng = random.Random(11)
+    moments = [at(f"2023-01-0{d}") for d in range(1, 6)]
+    log = [(key, rng.choice("PS"), m) for key in range(12) for m in moments if rng.random() < 0.5]
+    ddl = "id int, tier string, updated_at timestamp_ntz"
+    changes = spark.createDataFrame(log, ddl)
+    current = history.start_history(changes.limit(0), "updated_at")
+    for moment in moments:
+        state = {}
+        for key, tier, changed in log:
+            if changed <= moment:
+                state[key] = (key, tier, changed)
+        current = history.snapshot(current, spark.createDataFrame(list(state.values()), ddl), "id", "updated_at")
+        current = cut_lineage(current)
+    expected = history.history_from_log(changes, "id", "updated_at", ["tier"])
+    columns = ["id", "tier", "valid_from", "valid_to"]
+    assert rows(current, *columns) == rows(expected, *columns)
+
+
 # ---- Checks ---------------------------------------------------------------------------------
 
 

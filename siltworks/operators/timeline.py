@@ -7,7 +7,8 @@ aggregated to one small row per slot, looked up over the slots of the key, and f
 extra row of the slot; no join is needed for that. All other keys have one slot and pay only for
 the count.
 
-There are at most ``rows / rows_per_slot`` frequent keys, which bounds what is broadcast.
+There are at most ``rows / rows_per_slot`` frequent keys, which bounds what is broadcast. Slots are
+whole seconds, so only rows of one key in one second always stay together.
 """
 
 from __future__ import annotations

@@ -107,7 +107,7 @@ def fatal_rules() -> list[Rule]:
 
 
 def profile_checks(first: str, after: str) -> dict[str, Column | str]:
-    """Checks on harmonised trips for a window ``[first, after)``."""
+    """Checks on harmonised trips for a window ``[first, after)``, and rows the period rule cannot judge."""
     pickup = F.col("pickup_datetime")
     return {
         "negative_fare": "fare_amount < 0",
@@ -118,6 +118,7 @@ def profile_checks(first: str, after: str) -> dict[str, Column | str]:
         "dropoff_before_pickup": "dropoff_datetime <= pickup_datetime",
         "outside_window": (pickup < instant(first)) | (pickup >= instant(after)),
         "null_pickup_location": "pu_location_id is null",
+        "unknown_file_period": "_file_period is null",
     }
 
 

@@ -81,6 +81,12 @@ def table_detail(files: DataFrame) -> DataFrame:
     return files.agg(*_detail())
 
 
+def suggested_files(files: DataFrame, target_bytes: int = 256 * 1024**2) -> int:
+    """How many files of about ``target_bytes`` hold what the inventory lists."""
+    total = files.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()["bytes"]
+    return max(1, -(-total // target_bytes))
+
+
 _EXACT = ("tinyint", "smallint", "int", "bigint", "date", "timestamp_ntz", "string")
 
 

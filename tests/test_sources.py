@@ -150,6 +150,10 @@ def test_cluster_keeps_rows_and_splits_a_frequent_value(spark, skewed):
         assert rows(spark.read.parquet(f"{root}/{name}")) == sorted(data, key=repr)
     sizes = spark.read.parquet(f"{root}/clustered").groupBy(F.col("_metadata.file_name")).count()
     assert sizes.agg(F.max("count")).first()[0] < 1000
+    stored = landing.inventory(spark, f"{root}/clustered")
+    total = layout.table_detail(stored).first()["bytes_total"]
+    assert layout.suggested_files(stored, total) == 1
+    assert layout.suggested_files(stored, total - 1) == 2
 
 
 def test_fewer_files_are_opened(spark, skewed):

@@ -248,6 +248,7 @@ def test_profile_of_trips(silver):
         "dropoff_before_pickup": 1,
         "outside_window": 4,
         "null_pickup_location": 2,
+        "unknown_file_period": 0,
     }
 
 

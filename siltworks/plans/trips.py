@@ -109,6 +109,7 @@ def fatal_rules() -> list[Rule]:
 def profile_checks(first: str, after: str) -> dict[str, Column | str]:
     """Checks on harmonised trips for a window ``[first, after)``, and rows the period rule cannot judge."""
     pickup = F.col("pickup_datetime")
+    # The names of the checks.
     return {
         "negative_fare": "fare_amount < 0",
         "zero_or_neg_distance": "trip_distance <= 0",

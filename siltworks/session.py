@@ -30,6 +30,7 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config(CHECKPOINT_CONF, shared)
+        .config("spark.sql.warehouse.dir", f"{shared}/warehouse")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -178,14 +178,25 @@ def files_scanned(stats: DataFrame, ranges: Mapping[str, tuple[object, object]])
     return stats.agg(F.count("*").alias("n_files"), *_opened(ranges))
 
 
-def read_pruned(spark: SparkSession, path: str, stats: DataFrame, ranges: Mapping[str, tuple[object, object]]) -> DataFrame:
+def read_pruned(
+    spark: SparkSession,
+    path: str,
+    stats: DataFrame,
+    ranges: Mapping[str, tuple[object, object]],
+    most_files: int = 10_000,
+) -> DataFrame:
     """Read only the files that can hold matching rows, and filter them.
 
     The predicate is also pushed to the scan, so row groups inside the files are skipped as well.
-    Meant for selective ranges: the paths that remain are listed by the driver, as any scan does.
+    Where more than ``most_files`` remain, their paths are not brought to the driver: the table is
+    read as a whole, and only the row groups are skipped.
     """
-    kept = [r["path"] for r in stats.filter(may_hold(ranges)).select("path").collect()]
-    rows = spark.read.option("basePath", path).parquet(*kept) if kept else spark.read.parquet(path).limit(0)
+    kept = [r["path"] for r in stats.filter(may_hold(ranges)).select("path").limit(most_files + 1).collect()]
+    if 0 < len(kept) <= most_files:
+        rows = spark.read.option("basePath", path).parquet(*kept)
+    else:
+        table = spark.read.parquet(path)
+        rows = table if kept else table.limit(0)
     tests = [(F.col(c) >= F.lit(low)) & (F.col(c) <= F.lit(high)) for c, (low, high) in ranges.items()]
     return rows.filter(reduce(lambda a, b: a & b, tests))
 

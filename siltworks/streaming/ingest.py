@@ -25,6 +25,9 @@ LINEAGE = ("_source_file", "_source_path")
 
 # The columns of Spark's binary file source.
 _BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+# Spark's file source otherwise skips files a week older than the newest one, which would lose
+# files that arrive late with their original time.
+_MAX_FILE_AGE = "36500d"
 _GENERATIONS = "feed string, generation int, at timestamp, run_id string"
 
 
@@ -116,6 +119,7 @@ def ingest(
         .option("pathGlobFilter", contract.glob)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", _MAX_FILE_AGE)
         .load(landing_dir)
         .select("path")
         .writeStream.foreachBatch(write_batch)
@@ -142,6 +146,7 @@ def ingest_uniform(
     (
         spark.readStream.schema(contract.struct())
         .option("pathGlobFilter", contract.glob)
+        .option("maxFileAge", _MAX_FILE_AGE)
         .parquet(landing_dir)
         .select("*", F.col("_metadata.file_name").alias("_source_file"))
         .withColumns({"_ingested_at": F.current_timestamp(), "_run_id": F.lit(run_id or new_run_id())})

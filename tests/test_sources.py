@@ -121,6 +121,12 @@ def test_named_tables_and_reports(spark, tmp_path):
     assert tables.preview(df, 1).count() == 1
 
 
+def test_catalog_table_is_replaced_with_its_schema(spark):
+    tables.write_table(spark.createDataFrame([(1,)], "id int"), "zones_of_test")
+    tables.write_table(spark.createDataFrame([(1, "a")], "id bigint, t string"), "zones_of_test")
+    assert rows(tables.read_table(spark, "zones_of_test")) == [(1, "a")]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert work_dir(spark, "x") != work_dir(spark, "x")
@@ -168,6 +174,7 @@ def test_fewer_files_are_opened(spark, skewed):
     assert spark.read.parquet(f"{root}/clustered").count() == len(data)
     found = layout.read_pruned(spark, f"{root}/clustered", stats, ranges)
     assert rows(found) == sorted([r for r in data if 20230150 <= r[0] <= 20230153], key=repr)
+    assert rows(layout.read_pruned(spark, f"{root}/clustered", stats, ranges, most_files=0)) == rows(found)
     nothing = layout.read_pruned(spark, f"{root}/clustered", stats, {"day": (1, 2)})
     assert nothing.count() == 0 and nothing.columns == ["day", "other"]
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -256,3 +257,16 @@ def test_day_measure(silver, spark):
     fact = spark.createDataFrame([(20230315, 1.5), (20230315, 2.0), (20230401, 9.0)], "pickup_date_key int, total_amount double")
     assert rows(trips.key_range_measure(fact, 20230315, 20230315)) == [(2, 3.5)]
     assert rows(trips.key_range_measure(fact, 20230301, 20230430)) == [(3, 12.5)]
+
+
+def test_late_file_with_an_old_time_is_loaded(spark, tmp_path):
+    """A file that arrives after newer ones is not taken for an expired one."""
+    landing_dir = tmp_path / "landing"
+    landing_dir.mkdir()
+    write_landing(landing_dir)
+    places = [str(landing_dir), str(tmp_path / "b"), str(tmp_path / "s")]
+    ingest.ingest(spark, trips.YELLOW, *places)
+    write_june(landing_dir)
+    os.utime(landing_dir / "yellow_tripdata_2023-06.parquet", (1_600_000_000, 1_600_000_000))
+    assert ingest.ingest(spark, trips.YELLOW, *places).batches == 1
+    assert ingest.read_bronze(spark, places[1], places[2], "yellow").count() == 12

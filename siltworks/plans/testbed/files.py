@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +60,22 @@ def unclustered_range_query(spark: SparkSession, sf: str) -> DataFrame:
     return rows.agg(F.count("*").alias("trips"), F.coalesce(money_sum("o_totalprice"), F.lit(0.0)).alias("revenue"))
 
 
+@query
+def file_stats_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and key bounds of each layout, as the footers of its files state them."""
+    lines = []
+    for label, path in order_layouts(spark, sf).items():
+        totals = layout.file_stats(spark, path, ["pickup_date_key", "o_orderkey"]).agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.min("min_pickup_date_key").alias("first_day"),
+            F.max("max_pickup_date_key").alias("last_day"),
+            F.min("min_o_orderkey").alias("first_order"),
+            F.max("max_o_orderkey").alias("last_order"),
+        )
+        lines.append(totals.select(F.lit(label).alias("layout"), "*"))
+    return reduce(lambda a, b: a.unionByName(b), lines)
+
+
 @query
 def files_scanned_report(spark: SparkSession, sf: str) -> DataFrame:
     return layout.layout_report(spark, order_layouts(spark, sf), {"pickup_date_key": DAY_RANGE})

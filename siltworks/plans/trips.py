@@ -150,10 +150,13 @@ SILVER = "silver_trips"
 _REJECTED = "_rejected"
 
 
-def publish_silver(classified: DataFrame, root: str) -> int:
-    """Write clean and rejected trips in one job, as two partitions of one version."""
+def publish_silver(classified: DataFrame, root: str, even_files: bool = False) -> int:
+    """Write clean and rejected trips in one job, as two partitions of one version.
+
+    Every input split writes its rejected rows to a file of its own unless ``even_files`` is set.
+    """
     marked = classified.withColumn(_REJECTED, F.col(quality.REASON).isNotNull())
-    return versions.publish(marked, root, SILVER, partition_by=[_REJECTED])
+    return versions.publish(marked, root, SILVER, partition_by=[_REJECTED], even_files=even_files)
 
 
 def read_silver(spark: SparkSession, root: str, version: int | None = None) -> tuple[DataFrame, DataFrame]:

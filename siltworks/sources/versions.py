@@ -51,8 +51,13 @@ def publish_all(
     root: str,
     operation: str = REPLACE,
     partition_by: Mapping[str, Sequence[str]] | None = None,
+    even_files: bool = False,
 ) -> int:
-    """Write several tables and make them visible under one new version number."""
+    """Write several tables and make them visible under one new version number.
+
+    ``even_files`` spends one shuffle to write files of about the advisory partition size, where
+    the plan would leave many small or a few very large ones.
+    """
     spark = next(iter(tables.values())).sparkSession
     last = history(spark, root).agg(F.max("version").alias("v")).first()["v"]
     version = 0 if last is None else last + 1
@@ -60,7 +65,9 @@ def publish_all(
     entries = []
     for name, df in tables.items():
         path = version_path(root, name, version)
-        df.write.mode("overwrite").partitionBy(*(partition_by or {}).get(name, ())).parquet(path)
+        columns = (partition_by or {}).get(name, ())
+        rows_out = df.hint("rebalance", *columns) if even_files else df
+        rows_out.write.mode("overwrite").partitionBy(*columns).parquet(path)
         # Counting the stored rows reads footers only.
         rows = spark.read.schema(df.schema).parquet(path).count()
         files = inventory(spark, path)
@@ -70,8 +77,15 @@ def publish_all(
     return version
 
 
-def publish(df: DataFrame, root: str, name: str, operation: str = REPLACE, partition_by: Sequence[str] = ()) -> int:
-    return publish_all({name: df}, root, operation, {name: partition_by})
+def publish(
+    df: DataFrame,
+    root: str,
+    name: str,
+    operation: str = REPLACE,
+    partition_by: Sequence[str] = (),
+    even_files: bool = False,
+) -> int:
+    return publish_all({name: df}, root, operation, {name: partition_by}, even_files)
 
 
 def read(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:

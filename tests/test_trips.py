@@ -237,6 +237,15 @@ def test_batches_are_bounded(spark, tmp_path):
     assert ingest.read_bronze(spark, str(tmp_path / "b"), str(tmp_path / "s"), "yellow").count() == 12
 
 
+def test_even_files(spark, tmp_path):
+    rows_in = spark.range(1000).repartition(20).withColumn("_quarantine_reason", F.when(F.col("id") < 100, "bad"))
+    for even in (False, True):
+        trips.publish_silver(rows_in, str(tmp_path), even)
+    assert rows(versions.history(spark, str(tmp_path)), "version", "rows", "files") == [(0, 1000, 40), (1, 1000, 2)]
+    clean, rejected = trips.read_silver(spark, str(tmp_path))
+    assert (clean.count(), rejected.count()) == (900, 100)
+
+
 def test_profile_of_trips(silver):
     found = quality.profile(silver["classified"], trips.profile_checks("2023-01-01", "2023-02-01"), ["service_type"])
     yellow = {r["check"]: r["rows_failed"] for r in found.filter("service_type = 'yellow'").collect()}

@@ -6,6 +6,7 @@ Order lines joined to their orders are trips. Suppliers are zones and vendors.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from siltworks.functions.dates import month_text, outside_period
 from siltworks.operators import harmonize, quality
 from siltworks.operators.quality import Rule
+from siltworks.plans.trips import publish_silver
+from siltworks.session import work_dir
 from siltworks.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +70,11 @@ def classified(spark: SparkSession, sf: str) -> DataFrame:
 
 FLAGS = {"passenger_count_missing": "passenger_count_missing", "reversal_rows": "is_reversal"}
 ROW = ("order_key", "line_number", "part_key", "vendor_id", "service_type", "total_amount")
+
+
+@cache
+def silver_root(spark: SparkSession, sf: str) -> str:
+    """Clean and rejected trips as published tables, written once for each session."""
+    root = work_dir(spark, "silver")
+    publish_silver(classified(spark, sf).drop("_failed_rules"), root)
+    return root

@@ -132,11 +132,19 @@ def rows_like(df: DataFrame, sample: DataFrame, keys: Sequence[str]) -> DataFram
     return df.join(wanted, _same_key(keys), "left_semi")
 
 
-def guard(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
+def guard(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column],
+    expect_none: bool = False,
+) -> DataFrame:
     """One row per key, the first under an explicit order.
 
     ``row_number() = 1`` is limited to one row per key in each input split before the shuffle, so
-    many copies of a row never meet in one task.
+    many copies of a row never meet in one task. With ``expect_none`` the keys alone are counted
+    first, and where none repeats the rows are returned as they are, without shuffling them.
     """
+    if expect_none and groups(df, keys).isEmpty():
+        return df
     first = Window.partitionBy(*keys).orderBy(*order_by)
     return df.withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").drop("_copy")

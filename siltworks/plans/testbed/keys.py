@@ -69,3 +69,10 @@ def dedup_guard(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select(*WIDER_KEY, "l_extendedprice", "l_shipdate")
     order = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
     return duplicates.guard(lines, NAIVE_KEY, order)
+
+
+@query
+def dedup_guard_none_expected(spark: SparkSession, sf: str) -> DataFrame:
+    """The guard on a key that should not repeat."""
+    lines = table(spark, sf, "lineitem").select(*WIDER_KEY, "l_extendedprice", "l_shipdate")
+    return duplicates.guard(lines, WIDER_KEY, ["l_shipdate", "l_extendedprice"], expect_none=True)

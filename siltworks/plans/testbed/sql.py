@@ -213,6 +213,9 @@ SQL: dict[str, str] = {
     "dedup_guard": """select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate from lineitem
         qualify row_number() over (partition by l_orderkey, l_linenumber
           order by l_shipdate, l_partkey, l_suppkey, l_extendedprice) = 1""",
+    "dedup_guard_none_expected": """select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate
+        from lineitem qualify row_number() over (partition by l_orderkey, l_linenumber, l_partkey, l_suppkey
+          order by l_shipdate, l_extendedprice) = 1""",
     "dim_date": f"""with {_DATES} select cast(strftime(full_date, '%Y%m%d') as int) as date_key, full_date,
         cast(year(full_date) as int) as year, cast(quarter(full_date) as int) as quarter, cast(month(full_date) as int) as month,
         strftime(full_date, '%B') as month_name, cast(day(full_date) as int) as day_of_month,

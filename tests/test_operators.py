@@ -227,7 +227,10 @@ def test_rows_like_sample(spark):
 
 def test_guard_keeps_reversals(spark):
     df = trips_df(spark)
-    kept = duplicates.guard(df, ["k", "place", "total"], ["total"])
+    key = ["k", "place", "total"]
+    kept = duplicates.guard(df, key, ["total"])
+    assert rows(duplicates.guard(df, key, ["total"], expect_none=True)) == rows(kept)
+    assert duplicates.guard(kept, key, ["total"], expect_none=True) is kept
     assert kept.count() == 7
     assert kept.filter("k = 1").count() == 2
     assert rows(duplicates.guard(df, ["k"], [F.desc("total")]), "k", "total") == [(1, 4.0), (2, 5.0), (3, 1.0), (4, 2.0), (5, 2.0)]

@@ -45,9 +45,13 @@ def _temporary_root(application: str) -> str:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the session leaves it unset (a local test run) is a temporary folder made.
+    Only a local session may leave it unset; it then works in a temporary folder.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None) or _temporary_root(spark.sparkContext.applicationId)
+    root = spark.conf.get(CHECKPOINT_CONF, None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that the driver and all executors share")
+        root = _temporary_root(spark.sparkContext.applicationId)
     return root.rstrip("/")
 
 
@@ -62,3 +66,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: computed once, read again with pruned columns."""
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

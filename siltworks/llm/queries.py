@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import mixing, quality_rules
+from siltworks.llm import bpe, mixing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +24,23 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """Where the public vocabulary file lies; it is never copied."""
+    return importlib.import_module("public_tokenizers").path("word_bpe_49k.json")
+
+
+@query
+def op3_rank_array_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf, "documents"), vocabulary(), keep=["doc_id"])
+    decoded = bpe.decode(encoded, vocabulary())
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op4_entropy_mixing(spark: SparkSession, sf: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf, "documents"))

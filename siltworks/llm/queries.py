@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import bpe, mixing, quality_rules
+from siltworks.llm import bpe, language_id, mixing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +51,11 @@ def op4_entropy_mixing(spark: SparkSession, sf: str) -> DataFrame:
 def op9_adaptive_quality(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op10_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").withColumn("held_out", language_id.held_out("doc_id", 5, 0))
+    model = language_id.collect_model(language_id.learn(docs.filter(~F.col("held_out"))))
+    found = language_id.identify(docs, model, keep=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")

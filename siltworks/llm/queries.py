@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import bpe, language_id, mixing, quality_rules
+from siltworks.llm import bpe, language_id, mixing, near_dup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +47,11 @@ def op4_entropy_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return plan.withColumn("taken", F.col("size") * F.col("copies"))
 
 
+@query
+def op7_tensored_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dup.cluster(table(spark, sf, "documents"), width=4)
+
+
 @query
 def op9_adaptive_quality(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf, "documents"))

@@ -257,7 +257,7 @@ def cluster(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The input rows of which each component keeps the one with the smallest key.
 
-    Rows that repeat a kept key become one of them; rows without a key all stay, unless their text belongs to another.
+    Rows that repeat a kept key become one of them; rows without a key all stay.
     """
     judged = stored(cluster(df, key, text, width, percent), "clusters")
     gone = stored(judged.filter(~F.col("kept")).select(F.col(key).alias("_gone")).distinct(), "gone")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import bpe, language_id, mixing, near_dup, quality_rules
+from siltworks.llm import ann, bpe, language_id, mixing, near_dup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +24,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_prefix_forest(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "embeddings")
+    return ann.search(rows, rows.filter("vec_id % 100 = 0"))
+
+
 def vocabulary() -> str:
     """Where the public vocabulary file lies; it is never copied."""
     return importlib.import_module("public_tokenizers").path("word_bpe_49k.json")

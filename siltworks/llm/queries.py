@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import ann, bpe, language_id, mixing, near_dup, quality_rules
+from siltworks.llm import ann, bpe, language_id, mixing, near_dup, quality_rules, url_filter, warc
+from siltworks.session import stored, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +54,42 @@ def op4_entropy_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return plan.withColumn("taken", F.col("size") * F.col("copies"))
 
 
+@query
+def op5_warc_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    archives = work_dir(spark, "warc")
+    warc.write(table(spark, sf, "pages"), archives)
+    response = F.col("record_type") == "response"
+    # Digests take the place of payloads before captures are put together; a revisit states those of its response.
+    records = warc.read(spark, archives).withColumns(
+        {
+            "payload_bytes": F.when(response, F.octet_length("payload").cast("long")).otherwise(F.col("http_length")),
+            "payload_digest": F.when(response, F.sha2("payload", 256)).otherwise(F.regexp_replace("payload_digest", "^sha256:", "")),
+            "payload": F.when(F.col("record_type") == "metadata", F.col("payload")),
+        }
+    )
+    captures = stored(warc.assemble(records).withColumn("page_id", warc.noted("pageId").cast("long")), "captures")
+    captures = captures.select("page_id", "response.payload_bytes", "response.payload_digest", "response.record_type")
+    first = captures.filter(f"record_type = 'response' and payload_bytes >= {warc.LEAST}").groupBy("payload_digest")
+    first = first.agg(F.min("page_id").alias("_first")).withColumnRenamed("payload_digest", "_digest")
+    found = captures.join(first, (F.col("payload_digest") == F.col("_digest")) & (F.col("record_type") == "revisit"), "left")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("_first").alias("refers_to"))
+
+
+#: The rules of the contract.
+URL_RULES = (
+    url_filter.UrlRule("com", "/", "allow"),
+    url_filter.UrlRule("example.com", "/en/", "block"),
+    url_filter.UrlRule("www.example.com", "/en/", "allow"),
+    url_filter.UrlRule("net", "/es/", "block"),
+    url_filter.UrlRule("net", "/fr/", "block"),
+)
+
+
+@query
+def op6_link_trust(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf, "pages"), URL_RULES)
+
+
 @query
 def op7_tensored_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.cluster(table(spark, sf, "documents"), width=4)
@@ -70,3 +107,14 @@ def op10_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
     model = language_id.collect_model(language_id.learn(docs.filter(~F.col("held_out"))))
     found = language_id.identify(docs, model, keep=["doc_id", "held_out"])
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+SQL["op5_warc_transactions"] = """
+with p as (select page_id, coalesce(html, '') as body from pages),
+     d as (select page_id, octet_length(encode(body)) as n, sha256(body) as digest from p),
+     f as (select digest, min(page_id) as first_id from d where n >= 100 group by digest)
+select d.page_id, cast(d.n as bigint) as payload_bytes, d.digest as payload_digest,
+       case when f.first_id is null or f.first_id = d.page_id then 'response' else 'revisit' end as record_type,
+       case when f.first_id <> d.page_id then f.first_id end as refers_to
+from d left join f on d.digest = f.digest and d.n >= 100
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import ann, bpe, language_id, mixing, near_dup, quality_rules, url_filter, warc
+from siltworks.llm import ann, bpe, html_text, language_id, mixing, near_dup, quality_rules, url_filter, warc
 from siltworks.session import stored, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,12 @@ def op7_tensored_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.cluster(table(spark, sf, "documents"), width=4)
 
 
+@query
+def op8_block_tree(spark: SparkSession, sf: str) -> DataFrame:
+    texts = html_text.extract(table(spark, sf, "pages"), keep=["page_id", "url"])
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op9_adaptive_quality(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf, "documents"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import ann, bpe, html_text, language_id, mixing, near_dup, quality_rules, url_filter, warc
+from siltworks.llm import ann, bpe, html_text, language_id, lm, mixing, near_dup, quality_rules, url_filter, warc
 from siltworks.session import stored, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,13 @@ def op1_prefix_forest(spark: SparkSession, sf: str) -> DataFrame:
     return ann.search(rows, rows.filter("vec_id % 100 = 0"))
 
 
+@query
+def op2_elias_fano_lm(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").withColumn("held_out", language_id.held_out("doc_id", 7, 2))
+    model = lm.train(docs.filter(~F.col("held_out")))
+    return lm.score(docs, model).withColumn("held_out", language_id.held_out("doc_id", 7, 2))
+
+
 def vocabulary() -> str:
     """Where the public vocabulary file lies; it is never copied."""
     return importlib.import_module("public_tokenizers").path("word_bpe_49k.json")

@@ -32,8 +32,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The model is learned from all labelled documents that are left."""
     model = language_id.collect_model(language_id.learn(docs))
-    found = language_id.identify(docs, model)
-    return found.filter(~language_id.unsure(LEAST_SHARE)).select(*docs.columns)
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    found = language_id.identify(whole, model, text="doc.text")
+    return found.filter(~language_id.unsure(LEAST_SHARE)).select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.words import by_value
+from siltworks.llm.words import added_schema, by_value
 
 SHORT = 64
 REMEMBERED = 200_000
@@ -159,8 +159,7 @@ def _added(df: DataFrame, column: str, kind: str, keep: Sequence[str], read: str
                 made = pa.array([make(x.as_py()) for x in part.column(0)], pa.binary() if kind == "binary" else pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], made], [*part.schema.names[1:], column])
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[1:]]
-    return rows.mapInArrow(task, ", ".join([*kinds, f"`{column}` {kind}"]))
+    return rows.mapInArrow(task, added_schema(rows.schema[1:], f"`{column}` {kind}"))
 
 
 def _read(path: str) -> str:

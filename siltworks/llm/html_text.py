@@ -26,7 +26,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm.words import by_value
+from siltworks.llm.words import added_schema, by_value
 
 ROWS_BACK = 512
 FEATURES = ("marked", "inside", "outside", "heading", "words", "links", "words_before", "links_before", "words_after", "links_after")
@@ -219,8 +219,7 @@ def extract(df: DataFrame, source: str = "html", result: str = "text", keep: Seq
                 texts = pa.array([main_text(x.as_py() or "", tree) for x in part.column(0)], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], texts], [*part.schema.names[1:], result])
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[1:]]
-    return rows.mapInArrow(task, ", ".join([*kinds, f"`{result}` string"]))
+    return rows.mapInArrow(task, added_schema(rows.schema[1:], f"`{result}` string"))
 
 
 by_value(sys.modules[__name__])

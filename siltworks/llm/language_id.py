@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.words import by_value
+from siltworks.llm.words import added_schema, by_value
 
 BINS = 1 << 16
 MOST_LANGUAGES = 500
@@ -154,8 +154,8 @@ def identify(df: DataFrame, model: Model, text: str = "text", keep: Sequence[str
         for batch in batches:
             yield from _identified(own, batch, set_kind)
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[1:]]
-    return rows.mapInArrow(task, ", ".join([*kinds, "lang_pred string, score double, languages array<struct<lang:string,share:double>>"]))
+    new = "lang_pred string, score double, languages array<struct<lang:string,share:double>>"
+    return rows.mapInArrow(task, added_schema(rows.schema[1:], new))
 
 
 def _identified(model: Model, batch: pa.RecordBatch, set_kind: pa.DataType) -> Iterator[pa.RecordBatch]:

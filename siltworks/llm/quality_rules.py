@@ -6,8 +6,8 @@ own group: the upper quartile plus a multiple of the distance between median and
 for groups whose documents are all alike. No cutoff on a ratio is fixed; what is usual in the group decides.
 
 Defined results: a null or empty text has no words and is rejected; a null language or source is a group of its own;
-repeated rows are judged one by one; an empty table gives an empty result. Columns of the input are kept and may
-have any names but the ones added (``MEASURES`` and ``kept``), which replace columns of the same name.
+repeated rows are judged one by one; an empty table gives an empty result. Columns of the input are kept; in ``judge``
+the ones added (``MEASURES`` and ``kept``) replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -128,26 +128,33 @@ def thresholds(measured: DataFrame, by: Sequence[str], ratios: Sequence[Ratio] =
     return rows.groupBy(*names).agg(*sketches).select(*names, *fences)
 
 
-def judge(df: DataFrame, text: str = "text", by: Sequence[str] = ("lang", "source"), ratios: Sequence[Ratio] = RATIOS) -> DataFrame:
-    """The input with ``MEASURES`` and ``kept``.
-
-    Starts jobs: the measured rows are written once to the shared folder, since both the sketches and the filter
-    read them. The thresholds are broadcast if counted to be few; otherwise Spark joins by shuffle.
-    """
-    clash = [c for c in (*MEASURES, "kept") if c in df.columns]
-    measured = stored(measure(df.drop(*clash), text), "quality")
-    limits = stored(thresholds(measured, by, ratios), "thresholds")
+def _judged(df: DataFrame, text: str, by: Sequence[str], ratios: Sequence[Ratio]) -> DataFrame:
+    """``_row``, a struct of the input's columns, with ``MEASURES`` and ``kept``; so names of the input can't clash."""
+    measured = stored(measure(df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")), f"_row.`{text}`"), "quality")
+    groups = [f"_row.`{c}`" for c in by]
+    limits = stored(thresholds(measured, groups, ratios), "thresholds")
     few = limits.count() <= MOST_BROADCAST
     same = F.lit(True)
-    for i, c in enumerate(by):
+    for i, c in enumerate(groups):
         same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
     joined = measured.join(F.broadcast(limits) if few else limits, same, "left")
     within = F.lit(True)
     for r in ratios:
         within = within & F.coalesce(_ratio(r) <= F.col(f"_most_{r.name}"), F.lit(True))
-    return joined.withColumn("kept", ~F.col("base_failed") & within).drop(*limits.columns)
+    return joined.withColumn("kept", ~F.col("base_failed") & within)
+
+
+def judge(df: DataFrame, text: str = "text", by: Sequence[str] = ("lang", "source"), ratios: Sequence[Ratio] = RATIOS) -> DataFrame:
+    """The input with ``MEASURES`` and ``kept``.
+
+    Starts jobs: the measured rows are written once to the shared folder, since both the sketches and the filter
+    read them. The thresholds are broadcast if counted to be few; otherwise Spark joins by shuffle.
+    """
+    added = (*MEASURES, "kept")
+    own = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c not in added]
+    return _judged(df, text, by, ratios).select(*own, *added)
 
 
 def keep_good(df: DataFrame, text: str = "text", by: Sequence[str] = ("lang", "source")) -> DataFrame:
     """The rows that pass, with the columns of the input."""
-    return judge(df, text, by).filter("kept").select(*df.columns)
+    return _judged(df, text, by, RATIOS).filter("kept").select("_row.*")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: The white space of the contracts, space and \\t to \\r.
 SPACE_CLASS = "[\\x20\\x09-\\x0D]+"
 WORD_CLASS = "[^\\x20\\x09-\\x0D]+"
-SPACES = "' \\t\\n\\u000b\\f\\r'"
+SPACES = "' \\t\\n\\u000b\\u000c\\r'"
 
 
 def word_count(text: str) -> Column:
@@ -31,6 +34,11 @@ def text_bytes(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     return df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
 
 
+def added_schema(kept: Sequence[StructField], new: str) -> StructType:
+    """The kept fields, whatever their names, and new ones in DDL."""
+    return StructType([*kept, *StructType.fromDDL(new).fields])
+
+
 def by_value(module: object) -> None:
     """Let executors receive the functions of a module, so that they need not have this package installed."""
     cloudpickle.register_pickle_by_value(module)

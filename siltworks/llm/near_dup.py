@@ -3,13 +3,17 @@
 A table key is made of one band from each of two small collections: with ``BANDS`` bands of ``ROWS`` minhashes a
 collection, ``2 * BANDS * ROWS`` minhashes give ``BANDS ** 2`` tables of ``2 * ROWS`` minhashes each, where plain banding
 would compute ``BANDS ** 2 * 2 * ROWS``. A pair of similarity s shares a table unless it shares no band in one of the
-collections: with 8 bands of 3, a pair of 0.8 is missed with probability 0.006, one of 0.85 with 0.001.
+collections: with 10 bands of 3, a pair of 0.8 is missed with probability 0.0015, one of 0.85 with 0.0002. Bands that no
+other document has are dropped before bands are combined, so documents without near duplicates make no table keys.
 
 Documents with equal sets are one node from the start, named by a 64-bit hash of the set. In each table bucket the node
 with most bucket mates stands for it, so that a group of thousands gives a star and not all pairs, and pairs are
 confirmed in three rounds: each node with the representative it shares most buckets with; then with all
-others that are not yet in its component; then the pairs of nodes that share a bucket but still lie in different
-components. No bucket is capped. A pair is confirmed by streaming: partitions are sorted so that the representative's
+others that are not yet in its component; then pairs of nodes that share a bucket but still lie in different components.
+Of these, most can't be similar, and which ones is known exactly from their representative r. With I(x, r) common
+shingles, x and y have at most ``min(I(x, r), I(y, r))`` in common within r, so they need the rest among the shingles that r
+lacks. These are rare, and a join on them finds the pairs that share enough; pairs that need none, since one is smaller than
+r, are found by their sizes. No bucket is capped. A pair is confirmed by streaming: partitions are sorted so that the representative's
 set comes first and its partners follow; partners of a frequent one are dealt to several tasks. Components are found by
 alternating large-star and small-star steps on tables in the shared folder.
 
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 from siltworks.llm.words import by_value, text_bytes
 from siltworks.session import stored
 
-BANDS, ROWS = 8, 3
+BANDS, ROWS = 10, 3
 REMEMBERED = 400_000
 #: Partners that one copy of a representative's set is compared with.
 PARTNERS = 400
@@ -119,21 +123,26 @@ def sketch(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
 def bucket_entries(nodes: DataFrame, bands: int = BANDS) -> DataFrame:
     """``node, n, bucket`` for buckets of two or more nodes, with the node's weight: its number of bucket mates."""
-    at = F.sequence(F.lit(0), F.lit(bands * bands - 1))
-    halves = F.col("halves")
-    keys = F.transform(at, lambda k: F.xxhash64(k, halves[(k / bands).cast("int")], halves[bands + k % bands]))
-    entries = nodes.select("node", "n", F.explode(keys).alias("bucket"))
+    own = nodes.select("node", "n", F.posexplode("halves").alias("i", "half"))
+    common = own.groupBy("i", "half").agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    sides = own.join(common, ["i", "half"]).groupBy("node", "n").agg(
+        F.collect_list(F.when(F.col("i") < bands, F.struct("i", "half"))).alias("left"),
+        F.collect_list(F.when(F.col("i") >= bands, F.struct("i", "half"))).alias("right"),
+    )
+    crossed = sides.withColumn("l", F.explode("left")).withColumn("r", F.explode("right"))
+    entries = crossed.select("node", "n", F.xxhash64("l.i", "r.i", "l.half", "r.half").alias("bucket"))
     mates = entries.groupBy("bucket").agg(F.count("*").alias("mates")).filter("mates > 1")
     shared = stored(entries.join(mates, "bucket"), "buckets")
     weight = shared.groupBy("node").agg(F.sum("mates").alias("weight"))
     return stored(shared.join(weight, "node").select("node", "n", "bucket", "weight"), "buckets")
 
 
-def confirm(pairs: DataFrame, df: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar. ``pairs`` also has the keys ``a_key``, ``b_key`` of documents with them.
+def compare_sets(pairs: DataFrame, df: DataFrame, key: str, text: str, width: int, extras: bool = False) -> DataFrame:
+    """For pairs ``a, b``: sizes ``n_a, n_b``, the number ``both`` of common shingles, and ``extra``, those of b that a lacks.
 
-    ``100 * intersection >= percent * union`` on the whole sets, which are made again from the texts of the
-    documents concerned; the join that finds these broadcasts the pairs only if they are counted to be few.
+    ``pairs`` also has the keys ``a_key``, ``b_key`` of documents with the sets. The whole sets are made again from these
+    documents' texts; the join that finds them broadcasts the pairs only if they are counted to be few. ``extra`` is
+    null unless asked for.
     """
     partners = pairs.groupBy("a").agg(F.count("*").alias("_n"))
     dealt = pairs.join(partners, "a").withColumn("slot", F.pmod(F.xxhash64("b"), F.ceil(F.col("_n") / PARTNERS)).cast("int"))
@@ -153,6 +162,8 @@ def confirm(pairs: DataFrame, df: DataFrame, key: str, text: str, width: int, pe
             blob = pa.array([s.tobytes() for s in made], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], blob], ["a", "slot", "node", "turn", "blob"]).filter(pa.array(right))
 
+    names = ["a", "b", "n_a", "n_b", "both", "extra"]
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, own = None, np.zeros(0, np.uint64)
         for batch in batches:
@@ -163,14 +174,42 @@ def confirm(pairs: DataFrame, df: DataFrame, key: str, text: str, width: int, pe
                         head, own = (a, slot), np.frombuffer(batch.column(4)[i].as_py(), np.uint64)
                     continue
                 other = np.frombuffer(batch.column(4)[i].as_py(), np.uint64)
-                both = len(np.intersect1d(own, other, assume_unique=True)) if head == (a, slot) else 0
-                if 100 * both >= percent * (len(own) + len(other) - both):
-                    found.append((a, node))
-            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+                if head == (a, slot):
+                    common = np.intersect1d(own, other, assume_unique=True)
+                    extra = np.setdiff1d(other, common, assume_unique=True).view(np.int64) if extras else None
+                    found.append((a, node, len(own), len(other), len(common), extra))
+            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate(kinds)], names)
 
     blobs = joined.mapInArrow(sets, "a long, slot int, node long, turn int, blob binary")
     sorted_ = blobs.repartition("a", "slot").sortWithinPartitions("a", "slot", "turn")
-    return sorted_.mapInArrow(compare, "a long, b long").distinct()
+    return sorted_.mapInArrow(compare, "a long, b long, n_a long, n_b long, both long, extra array<long>")
+
+
+def unlinked_pairs(diffs: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of nodes of different roots that may be similar, from their differences to one representative.
+
+    ``diffs`` is what ``compare_sets`` gives for representatives and partners, with each partner's ``root``.
+    """
+    x = diffs.select("a", F.col("b").alias("x"), F.col("n_b").alias("n_x"), F.col("both").alias("both_x"), F.col("root").alias("root_x"))
+    y = diffs.select("a", "n_a", F.col("b").alias("y"), F.col("n_b").alias("n_y"), F.col("both").alias("both_y"), F.col("root").alias("root_y"))
+    needed = F.col("n_x") + F.col("n_y")  # common shingles, times (100 + percent) / percent
+    inside = F.least("both_x", "both_y")
+    rare = diffs.select("a", "b", F.explode("extra").alias("e"), "root")
+    split = rare.groupBy("a", "e").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low <> _high").drop("_low", "_high")
+    rare = stored(rare.join(split, ["a", "e"]), "rare")
+    one = rare.select("a", "e", F.col("b").alias("x"), F.col("root").alias("root_x"))
+    two = rare.select("a", "e", F.col("b").alias("y"), F.col("root").alias("root_y"))
+    shared = one.join(two, ["a", "e"]).filter("root_x < root_y").groupBy("a", "x", "y").agg(F.count("*").alias("n"))
+    shared = shared.join(x.drop("root_x"), ["a", "x"]).join(y.drop("root_y", "n_a"), ["a", "y"])
+    enough = percent * needed <= (100 + percent) * (inside + F.col("n"))
+    # Without a shared shingle outside of r: x is not similar to r, and y is smaller than r.
+    far = x.join(diffs.select("a", F.col("b").alias("x"), "n_a"), ["a", "x"]).filter(100 * F.col("both_x") < percent * (F.col("n_a") + F.col("n_x") - F.col("both_x")))
+    far = far.filter(percent * (F.col("n_x") + percent * F.col("n_x") / 100) <= (100 + percent) * F.col("both_x")).drop("n_a")
+    small = y.filter("n_y < n_a").drop("n_a")
+    none = far.join(small, "a").filter((F.col("root_x") != F.col("root_y")) & (percent * needed <= (100 + percent) * inside))
+    pairs = shared.filter(enough).select("x", "y").unionByName(none.select("x", "y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -211,11 +250,14 @@ def cluster(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     stars = stored(starred.filter((F.col("a") != F.col("node")) & fits).groupBy("a", F.col("node").alias("b")).count(), "stars")
     keys = nodes.select(F.col("node").alias("_node"), "_key")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
+    def compared(pairs: DataFrame, extras: bool = False) -> DataFrame:
         named = pairs.select("a", "b")
         for side in ("a", "b"):
             named = named.join(keys.select("_node", F.col("_key").alias(f"{side}_key")), F.col(side) == F.col("_node")).drop("_node")
-        return stored(confirm(named, df, key, text, width, percent), "links")
+        return stored(compare_sets(named, df, key, text, width, extras), "compared")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return compared(pairs).filter(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b").distinct()
 
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
     links = confirmed(best)
@@ -238,11 +280,11 @@ def cluster(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     labelled = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low <> _high")
     mixed = stored(labelled.join(mixed.select("bucket"), "bucket").select("bucket", "node", "n", "root"), "mixed")
-    left = mixed.select("bucket", F.col("node").alias("a"), F.col("n").alias("_n"), F.col("root").alias("_r"))
-    apart = (F.col("root") > F.col("_r")) & fits
-    cross = left.join(mixed, "bucket").filter(apart).select("a", F.col("node").alias("b")).distinct()
+    around = mixed.join(head.select("bucket", F.col("_h.node").alias("a")), "bucket").filter("a <> node")
+    around = stored(around.select("a", F.col("node").alias("b"), "root").distinct(), "around")
+    diffs = compared(around, extras=True).dropDuplicates(["a", "b"]).join(around, ["a", "b"])
     both = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    last = stored(cross.join(both, ["a", "b"], "left_anti"), "last")
+    last = stored(unlinked_pairs(stored(diffs, "differences"), percent).join(both, ["a", "b"], "left_anti"), "last")
     links = links.unionByName(confirmed(last))
     roots = stored(components(links), "roots")
     named = roots.join(nodes.select("node", "_key"), "node")

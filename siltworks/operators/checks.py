@@ -123,22 +123,13 @@ def overlapping_pairs(
     crowded = runs.groupBy(key, "_run").agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
     suspects = runs.join(crowded, [key, "_run"], "left_semi")
 
-    def side(prefix: str) -> DataFrame:
-        return suspects.select(
-            key,
-            "_run",
-            F.col(version).alias(f"version_{prefix}"),
-            F.col(start).alias(f"{prefix}_start"),
-            F.col(end).alias(f"{prefix}_end"),
-        )
-
-    pairs = side("a").join(side("b"), [key, "_run"])
-    overlap = (
-        (F.col("version_a") < F.col("version_b"))
-        & (F.col("a_start") < F.col("b_end"))
-        & (F.col("b_start") < F.col("a_end"))
-    )
-    return pairs.filter(overlap).select(key, "version_a", "version_b", "a_start", "a_end", "b_start", "b_end")
+    earlier = suspects.select(key, "_run", F.col(version).alias("earlier_version"), F.col(start).alias("_from"), F.col(end).alias("earlier_end"))
+    later = suspects.select(key, "_run", F.col(version).alias("later_version"), F.col(start).alias("later_start"), F.col(end).alias("_to"))
+    # Of two versions the later one starts last. It is in the way if it starts before the other has ended; an empty one
+    # only if it starts after the other's first instant.
+    follows = F.struct("later_start", "later_version") > F.struct("_from", "earlier_version")
+    pairs = earlier.join(later, [key, "_run"]).filter(follows & (F.col("later_start") < F.col("earlier_end")) & (F.col("_from") < F.col("_to")))
+    return pairs.select(key, "earlier_version", "later_version", "earlier_end", "later_start")
 
 
 @dataclass(frozen=True)

@@ -16,11 +16,15 @@ from siltworks.operators import timeline
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
-# A version table is broadcast if it has at most this many rows, and no key has more versions than
+# A version table is broadcast if it has at most this many rows and bytes, and no key has more versions than
 # each fact row should be compared with.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 BROADCAST_VERSIONS_PER_KEY = 200
 
+# Spans of time that facts and overlapping versions are dealt into.
+SPANS = 64
+
 
 def start_history(source: DataFrame, updated_at: str) -> DataFrame:
     """First snapshot: every row is an open version that starts at its own clock."""
@@ -78,9 +82,14 @@ def history_from_log(
     attributes: Sequence[str],
     rows_per_slot: int = timeline.ROWS_PER_SLOT,
 ) -> DataFrame:
-    """The same history from a change log, in one run: each change is valid until the next."""
-    changes = log.select(key, *attributes, F.col(ts).alias(VALID_FROM))
-    return timeline.next_instant(changes, [key], VALID_FROM, VALID_TO, attributes, rows_per_slot)
+    """The same history from a change log, in one run: each change is valid until the next.
+
+    Of several changes of a key at one instant the last stands, in the order of ``attributes``; so no version is
+    empty, and key and start identify a version.
+    """
+    changes = log.groupBy(key, F.col(ts).alias(VALID_FROM)).agg(F.max(F.struct(*attributes)).alias("_last"))
+    changes = changes.select(key, *[F.col(f"_last.{c}").alias(c) for c in attributes], VALID_FROM)
+    return timeline.next_instant(changes, [key], VALID_FROM, VALID_TO, (), rows_per_slot)
 
 
 def can_broadcast(
@@ -88,11 +97,35 @@ def can_broadcast(
     key: str,
     rows: int = BROADCAST_ROWS,
     versions_per_key: int = BROADCAST_VERSIONS_PER_KEY,
+    size: int = BROADCAST_BYTES,
 ) -> bool:
-    """Whether the versions fit every executor, and few enough of each key are compared with a fact."""
-    sizes = versions.groupBy(key).agg(F.count("*").alias("n"))
-    size = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
-    return size["rows"] <= rows and size["most"] <= versions_per_key
+    """Whether the versions fit every executor, and few enough of each key are compared with a fact. Runs a job."""
+    width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 16 for c in versions.columns), F.lit(0))
+    sizes = versions.groupBy(key).agg(F.count("*").alias("n"), F.sum(width).alias("bytes"))
+    total = [F.coalesce(f, F.lit(0)).alias(n) for n, f in (("rows", F.sum("n")), ("most", F.max("n")), ("bytes", F.sum("bytes")))]
+    found = sizes.agg(*total).first()
+    return found["rows"] <= rows and found["most"] <= versions_per_key and found["bytes"] <= size
+
+
+def overlapping(versions: DataFrame, key: str, start: str, end: str, rows_per_slot: int = timeline.ROWS_PER_SLOT) -> bool:
+    """Whether two versions of a key, each of some length, are valid at one instant. Runs a job."""
+    real = versions.filter(F.col(start) < F.col(end)).select(key, start, end)
+    reached = timeline.highest_before(real, [key], start, F.col(end), "_reached", (end,), rows_per_slot)
+    return not reached.filter(F.col(start) < F.col("_reached")).isEmpty()
+
+
+def _by_spans(fact: DataFrame, side: DataFrame, fact_key: str, ts: str) -> DataFrame:
+    """The interval join as an equality of key and span of time; a version stands in every span that it reaches."""
+    second = F.unix_timestamp(ts)
+    first, last = fact.agg(F.min(second), F.max(second)).first()
+    first, last = first or 0, last or 0
+    width = (last - first) // SPANS + 1
+    span = lambda c: F.floor((F.unix_timestamp(c) - first) / F.lit(width))
+    reach = F.sequence(F.greatest(span("_start"), F.lit(0)), F.least(span("_end"), F.lit(SPANS)))
+    inside = (span("_start") <= SPANS) & (span("_end") >= 0)
+    side = side.filter(inside).withColumn("_span", F.explode(reach))
+    valid = (F.col(fact_key) == F.col("_version_of")) & (span(ts) == F.col("_span")) & half_open(F.col(ts), F.col("_start"), F.col("_end"))
+    return fact.join(side, valid, "left").drop("_version_of", "_start", "_end", "_span")
 
 
 def point_in_time(
@@ -107,30 +140,30 @@ def point_in_time(
     strategy: str = "auto",
     rows_per_slot: int = timeline.ROWS_PER_SLOT,
 ) -> DataFrame:
-    """Left join each fact to the version valid at its instant; ``attach`` is ``{output: version column}``.
+    """Left join each fact to the versions valid at its instant; ``attach`` is ``{output: version column}``.
 
-    A fact without a version stays, with nulls. ``broadcast`` is a hash join on the key with the
-    interval as residual condition. ``merge`` orders both sides by time, for histories too
-    large to broadcast or keys with too many versions to compare. ``auto`` counts the versions and
-    chooses. Both give the same rows as long as versions of a key do not overlap, which
-    ``checks.no_overlap`` shows.
+    A fact without a version stays, with nulls; a fact with several has a row for each. All strategies give these
+    rows at any size. ``broadcast`` is a hash join on the key with the interval as residual condition, hinted only if
+    ``can_broadcast`` says so. ``merge`` orders both sides by time, which finds one version, so overlapping versions
+    are joined by key and span of time instead. ``auto`` takes the first if it fits. Runs jobs that size up the versions.
     """
-    if strategy == "auto":
-        strategy = "broadcast" if can_broadcast(versions, key) else "merge"
-    if strategy == "broadcast":
-        side = versions.select(
-            F.col(key).alias("_version_of"),
-            F.col(start).alias("_start"),
-            F.col(end).alias("_end"),
-            *[F.col(c).alias(out) for out, c in attach.items()],
-        )
-        valid = (F.col(fact_key) == F.col("_version_of")) & half_open(F.col(ts), F.col("_start"), F.col("_end"))
-        return fact.join(F.broadcast(side), valid, "left").drop("_version_of", "_start", "_end")
-    if strategy != "merge":
+    if strategy not in ("auto", "broadcast", "merge"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    value = F.struct(F.col(end).alias("_end"), *[F.col(c).alias(out) for out, c in attach.items()])
+    side = versions.filter(F.col(start) < F.col(end)).select(
+        F.col(key).alias("_version_of"),
+        F.col(start).alias("_start"),
+        F.col(end).alias("_end"),
+        *[F.col(c).alias(out) for out, c in attach.items()],
+    )
+    small = strategy != "merge" and can_broadcast(side, "_version_of")
+    if small or strategy == "broadcast":
+        valid = (F.col(fact_key) == F.col("_version_of")) & half_open(F.col(ts), F.col("_start"), F.col("_end"))
+        return fact.join(F.broadcast(side) if small else side, valid, "left").drop("_version_of", "_start", "_end")
+    if overlapping(side, "_version_of", "_start", "_end", rows_per_slot):
+        return _by_spans(fact, side, fact_key, ts)
+    value = F.struct("_end", *attach)
     found = timeline.latest_version(
-        fact, F.col(fact_key), F.col(ts), versions, F.col(key), F.col(start), value, "_version", rows_per_slot
+        fact, F.col(fact_key), F.col(ts), side, F.col("_version_of"), F.col("_start"), value, "_version", rows_per_slot
     )
     valid = F.col(ts) < F.col("_version._end")
     return found.withColumns({out: F.when(valid, F.col(f"_version.{out}")) for out in attach}).drop("_version")

@@ -1,14 +1,16 @@
 """Ordered computations per key that do not put a frequent key into one task.
 
 A window over ``partitionBy(key)`` sorts all rows of a key in a single task. Here a first pass counts
-the rows of each key, and the keys with more than ``rows_per_slot`` are cut into slots of time, so
-that the window runs over ``(key, slot)``. What a slot has to know about its neighbours is
+the rows of each key, and the keys with more than ``rows_per_slot`` are cut at quantiles of their own times into
+slots of about equal numbers of rows, so that the window runs over ``(key, slot)`` and a burst is no
+heavier than quiet times. What a slot has to know about its neighbours is
 aggregated to one small row per slot, looked up over the slots of the key, and fed back as one
 extra row of the slot; no join is needed for that. All other keys have one slot and pay only for
 the count.
 
 There are at most ``rows / rows_per_slot`` frequent keys, which bounds what is broadcast. Slots are
-whole seconds, so only rows of one key in one second always stay together.
+whole seconds, so only rows of one key in one second always stay together. A key has at most ``QUANTILES`` slots,
+which keeps them within the target up to ``QUANTILES * rows_per_slot / 2`` rows of one key.
 """
 
 from __future__ import annotations
@@ -21,28 +23,35 @@ from pyspark.sql import functions as F
 
 ROWS_PER_SLOT = 2_000_000
 
-# Rows of a key are seldom even over time, so it gets more slots than its count asks for.
-_SPARE = 8
+# Quantiles of time that are found for a frequent key; it uses as many as its rows need.
+QUANTILES = 512
 _SLOT, _REAL = "_slot", "_real"
 
 
 def frequent_keys(df: DataFrame, keys: Sequence[str], ts: str, rows_per_slot: int) -> DataFrame:
-    """Keys with more rows than one slot should hold: first second and width of a slot."""
-    second = F.unix_timestamp(ts)
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(second).alias("_low"), F.max(second).alias("_high"))
-    slots = F.ceil(F.col("_n") / F.lit(rows_per_slot)) * _SPARE
-    width = F.greatest(F.ceil((F.col("_high") - F.col("_low") + 1) / slots), F.lit(1))
-    return counted.filter(F.col("_n") > rows_per_slot).select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys], "_low", width.alias("_width")
-    )
+    """Keys with more rows than one slot should hold, with the seconds at which their slots after the first begin."""
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_slot)
+    counted = counted.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_n")
+    own = df.select(*keys, F.unix_timestamp(ts).alias("_second")).join(F.broadcast(counted), _same(keys))
+    steps = [i / QUANTILES for i in range(1, QUANTILES)]
+    found = F.percentile_approx("_second", steps, 8 * QUANTILES).alias("_all")
+    cut = own.groupBy(*[f"_key_{k}" for k in keys], "_n").agg(found)
+    # Twice as many slots as the count asks for: every so-manieth quantile, each once.
+    every = F.greatest(F.floor(QUANTILES / (2 * F.ceil(F.col("_n") / rows_per_slot))), F.lit(1))
+    bounds = F.array_distinct(F.filter("_all", lambda x, i: (i + 1) % every == 0))
+    return cut.select(*[f"_key_{k}" for k in keys], bounds.alias("_bounds"))
+
+
+def _same(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
 
 
 def _in_slots(df: DataFrame, keys: Sequence[str], ts: str, frequent: DataFrame, how: str) -> DataFrame:
     """Add the slot of each row; ``inner`` keeps only the rows of frequent keys."""
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    slot = F.floor((F.unix_timestamp(ts) - F.col("_low")) / F.col("_width"))
-    placed = df.join(F.broadcast(frequent), same, how).withColumn(_SLOT, F.coalesce(slot, F.lit(0)).cast("bigint"))
-    return placed.drop(*[f"_key_{k}" for k in keys], "_low", "_width")
+    placed = df.join(F.broadcast(frequent), _same(keys), how).withColumn("_second", F.unix_timestamp(ts))
+    slot = F.size(F.filter("_bounds", lambda b: b <= F.col("_second")))
+    slot = F.when(F.col("_bounds").isNotNull() & F.col("_second").isNotNull(), slot).otherwise(0)
+    return placed.withColumn(_SLOT, slot.cast("bigint")).drop(*[f"_key_{k}" for k in keys], "_bounds", "_second")
 
 
 def next_instant(

@@ -111,6 +111,15 @@ def scd2_versions(spark: SparkSession, sf: str) -> DataFrame:
     return build_versions(spark, sf)
 
 
+@query
+def scd2_same_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The history of changes known by day only: of several on one day the last stands."""
+    log = tier_changes(spark, sf).withColumn("updated_at", F.date_trunc("day", "updated_at").cast("timestamp_ntz"))
+    built = history.history_from_log(log, "user_id", "updated_at", ["contract_tier"])
+    versions_ = history.dimension(built, "user_id", ["contract_tier"], "version_key")
+    return versions_.select("user_id", "contract_tier", "effective_start_date", "effective_end_date")
+
+
 @query
 def snapshot_apply(spark: SparkSession, sf: str) -> DataFrame:
     """The history after three looks at each user's latest state."""

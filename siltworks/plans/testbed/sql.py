@@ -18,10 +18,10 @@ _OUTSIDE = "(pickup_datetime < _file_period or pickup_datetime >= _file_period +
 _CLASSIFIED = f"""{_TRIPS},
 classified as (
   select *, passenger_count is null as passenger_count_missing, total_amount < 0 as is_reversal,
-         case when fare_amount < 2000 then 'fare_below_minimum'
-              when trip_distance <= 1 then 'distance_below_minimum'
-              when dropoff_datetime <= pickup_datetime then 'dropoff_before_pickup'
-              when {_OUTSIDE} then 'pickup_outside_file_period' end as _quarantine_reason
+         case when fare_amount < 2000 then 'cheap_line'
+              when trip_distance <= 1 then 'single_unit'
+              when dropoff_datetime <= pickup_datetime then 'shipped_before_order'
+              when {_OUTSIDE} then 'order_outside_file_month' end as _quarantine_reason
   from trips
 )"""
 
@@ -46,6 +46,12 @@ fact as (
   where event_type = 'purchase'
 )"""
 
+_STRETCHED = f"""{_VERSIONS},
+stretched as (
+  select user_id, version_key, effective_start_date as s, case when contract_tier = 'Premium' and not is_current
+    then effective_end_date + interval 1 day else effective_end_date end as e from versions
+)"""
+
 _MATRIX = f"""{_FACT},
 matrix as (
   select c.contract_tier as type1, v.contract_tier as type2, cast(amount as decimal(18,2)) as amount
@@ -104,20 +110,19 @@ _METRICS = """select service_type, count(*) filter (_quarantine_reason is null)
   from classified group by service_type"""
 
 _PROFILE = {
-    "low_fare": "fare_amount < 2000",
-    "short_distance": "trip_distance <= 1",
-    "passenger_one": "passenger_count = 1",
-    "passenger_over_45": "passenger_count > 45",
-    "passenger_null": "passenger_count is null",
-    "dropoff_before_pickup": "dropoff_datetime <= pickup_datetime",
-    "outside_window": "pickup_datetime < timestamp '1996-01-01' or pickup_datetime >= timestamp '2000-01-01'",
-    "null_location": "part_key is null",
+    "whole_price": "fare_amount = floor(fare_amount)",
+    "bulk_quantity": "trip_distance >= 40",
+    "first_line": "line_number = 1",
+    "returned": "total_amount < 0",
+    "weekend_order": "isodow(pickup_datetime) >= 6",
+    "shipped_within_week": "dropoff_datetime - interval 7 days <= pickup_datetime",
+    "missing_quantity": "passenger_count is null",
 }
 _RULES = {
-    "fare_below_minimum": "fare_amount < 2000",
-    "distance_below_minimum": "trip_distance <= 1",
-    "dropoff_before_pickup": "dropoff_datetime <= pickup_datetime",
-    "pickup_outside_file_period": _OUTSIDE,
+    "cheap_line": "fare_amount < 2000",
+    "single_unit": "trip_distance <= 1",
+    "shipped_before_order": "dropoff_datetime <= pickup_datetime",
+    "order_outside_file_month": _OUTSIDE,
 }
 
 _ROW = "order_key, line_number, part_key, vendor_id, service_type, total_amount"
@@ -157,8 +162,9 @@ SQL: dict[str, str] = {
         count(*) as rows_total, count(*) - count(passenger_count) as rows_missing,
         round((count(*) - count(passenger_count)) / count(*) * 100, 1) as pct_missing, count(passenger_count) = 0 as all_missing
         from trips group by 1, 2""",
-    "service_summary": f"""with {_CLASSIFIED} select service_type, count(*) as n_rows, round({_money("total_amount")}, 2) as revenue,
-        round(avg(trip_distance), 2) as avg_distance from classified where _quarantine_reason is null group by 1""",
+    "service_summary": f"""with {_CLASSIFIED}, accepted as (select * from classified where _quarantine_reason is null)
+        select service_type, count(distinct order_key) as n_orders, count(distinct vendor_id) as n_suppliers,
+          max(fare_amount) as largest_line, {_money("total_amount")} as balance from accepted group by service_type""",
     "feeds_union_by_name": """
         select 'urgent' as service, o_orderkey as order_id, o_orderdate as placed_at, o_totalprice as amount,
                o_custkey / 100 as surcharge, cast(null as varchar) as status
@@ -274,17 +280,26 @@ SQL: dict[str, str] = {
     "check_accepted_values": """select o_orderstatus as value, count(*) as n from orders
         where o_orderstatus not in ('O', 'F') group by 1""",
     "check_accepted_range": "select l_orderkey, l_linenumber, l_discount from lineitem where not l_discount > 0",
-    "check_no_overlap": f"""with {_VERSIONS}, stretched as (
-          select user_id, version_key, effective_start_date as s, case when contract_tier = 'Premium' and not is_current
-            then effective_end_date + interval 1 day else effective_end_date end as e from versions),
+    "check_no_overlap": f"""with {_STRETCHED},
         reached as (select *, max(e) over (partition by user_id order by s, e, version_key
             rows between unbounded preceding and 1 preceding) as before from stretched)
         select user_id, version_key as later_version, s as later_start, before as earlier_end from reached where s < before""",
-    "check_overlapping_pairs": f"""with {_VERSIONS} select a.user_id, a.version_key as version_a, b.version_key as version_b,
-          a.effective_start_date as a_start, a.effective_end_date as a_end,
-          b.effective_start_date as b_start, b.effective_end_date as b_end
-        from versions a join versions b on a.user_id = b.user_id and a.version_key < b.version_key
-          and a.effective_start_date < b.effective_end_date and b.effective_start_date < a.effective_end_date""",
+    "check_overlapping_pairs": f"""with {_STRETCHED}, placed as (
+          select *, row_number() over (partition by user_id order by s, version_key) as place from stretched)
+        select user_id, early.version_key as earlier_version, late.version_key as later_version,
+          early.e as earlier_end, late.s as later_start
+        from placed early join placed late using (user_id) where late.place > early.place and late.s < early.e and early.s < late.e""",
+    **{
+        f"fact_point_in_time_overlapping_{strategy}": f"""with {_STRETCHED} select event_id, p.user_id, p.ts, p.value as amount, version_key
+          from events p left join stretched v on p.user_id = v.user_id and p.ts >= s and p.ts < e where event_type = 'purchase'"""
+        for strategy in ("broadcast", "merge")
+    },
+    "scd2_same_day": """with days as (
+          select user_id, date_trunc('day', ts) as day, max(case when value >= 100 then 'Premium' else 'Standard' end) as contract_tier
+          from events where event_type in ('signup', 'error') group by 1, 2)
+        select user_id, contract_tier, cast(day as timestamp) as effective_start_date,
+          coalesce(cast(lead(day) over (partition by user_id order by day) as timestamp), timestamp '9999-12-31') as effective_end_date
+        from days""",
     "check_overlap_sensitivity": f"""with {_VERSIONS} select * from (
           select user_id, lag(version_key) over w as earlier_version, version_key as later_version,
             effective_start_date as later_start from versions

@@ -54,10 +54,10 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
 
 def rules() -> list[Rule]:
     return [
-        Rule("fare_below_minimum", "fare_amount < 2000"),
-        Rule("distance_below_minimum", "trip_distance <= 1"),
-        Rule("dropoff_before_pickup", "dropoff_datetime <= pickup_datetime"),
-        Rule("pickup_outside_file_period", outside_period(F.col("pickup_datetime"), F.col("_file_period"))),
+        Rule("cheap_line", "fare_amount < 2000"),
+        Rule("single_unit", "trip_distance <= 1"),
+        Rule("shipped_before_order", "dropoff_datetime <= pickup_datetime"),
+        Rule("order_outside_file_month", outside_period(F.col("pickup_datetime"), F.col("_file_period"))),
     ]
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.operators import checks
+from siltworks.operators import checks, history
 from siltworks.operators.checks import TableChecks
 from siltworks.plans.testbed.keys import NAIVE_KEY
-from siltworks.plans.testbed.model import date_dimension, state_dimension, tier_versions, trip_fact
+from siltworks.plans.testbed.model import date_dimension, purchases, state_dimension, tier_versions, trip_fact
 from siltworks.plans.testbed.standins import query, table, trips
 
 
@@ -57,7 +57,25 @@ def check_no_overlap(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def check_overlapping_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.overlapping_pairs(tier_versions(spark, sf), "user_id", "version_key")
+    return checks.overlapping_pairs(stretched_versions(spark, sf), "user_id", "version_key")
+
+
+def stretched_fact(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
+    """Purchases with every version valid at their instant."""
+    attach = {"version_key": "version_key"}
+    return history.point_in_time(
+        purchases(spark, sf), stretched_versions(spark, sf), "user_id", "ts", attach, "user_id", strategy=strategy
+    )
+
+
+@query
+def fact_point_in_time_overlapping_broadcast(spark: SparkSession, sf: str) -> DataFrame:
+    return stretched_fact(spark, sf, "broadcast")
+
+
+@query
+def fact_point_in_time_overlapping_merge(spark: SparkSession, sf: str) -> DataFrame:
+    return stretched_fact(spark, sf, "merge")
 
 
 @query

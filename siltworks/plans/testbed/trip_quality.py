@@ -14,16 +14,16 @@ from siltworks.plans.trips import read_silver
 
 @query
 def profile_checks(spark: SparkSession, sf: str) -> DataFrame:
-    pickup = F.col("pickup_datetime")
+    """What is worth knowing of order lines before rules are chosen."""
+    waited = F.col("dropoff_datetime") - F.expr("interval 7 days")
     named: dict[str, Column | str] = {
-        "low_fare": "fare_amount < 2000",
-        "short_distance": "trip_distance <= 1",
-        "passenger_one": "passenger_count = 1",
-        "passenger_over_45": "passenger_count > 45",
-        "passenger_null": "passenger_count is null",
-        "dropoff_before_pickup": "dropoff_datetime <= pickup_datetime",
-        "outside_window": (pickup < instant("1996-01-01")) | (pickup >= instant("2000-01-01")),
-        "null_location": "part_key is null",
+        "whole_price": "fare_amount = floor(fare_amount)",
+        "bulk_quantity": "trip_distance >= 40",
+        "first_line": "line_number = 1",
+        "returned": "total_amount < 0",
+        "weekend_order": F.weekday("pickup_datetime") >= 5,
+        "shipped_within_week": waited <= F.col("pickup_datetime"),
+        "missing_quantity": "passenger_count is null",
     }
     return quality.profile(trips(spark, sf), named, ["service_type"])
 
@@ -93,11 +93,13 @@ def missing_rate_by_month(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def service_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders, suppliers and the largest line behind the accepted rows of each return flag."""
     clean, _ = quality.split(classified(spark, sf))
     return clean.groupBy("service_type").agg(
-        F.count("*").alias("n_rows"),
-        F.round(money_sum("total_amount"), 2).alias("revenue"),
-        F.round(F.avg("trip_distance"), 2).alias("avg_distance"),
+        F.count_distinct("order_key").alias("n_orders"),
+        F.count_distinct("vendor_id").alias("n_suppliers"),
+        F.max("fare_amount").alias("largest_line"),
+        money_sum("total_amount").alias("balance"),
     )
 
 

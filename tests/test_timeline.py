@@ -96,6 +96,10 @@ def brute_pairs(data: list[tuple]) -> set[tuple]:
     }
 
 
+def named(pairs):
+    return {(r["k"], *sorted((r["earlier_version"], r["later_version"]))) for r in pairs.collect()}
+
+
 @pytest.mark.parametrize("rows_per_slot", [4, 10**6])
 @pytest.mark.parametrize("seed", [4, 5])
 def test_overlaps(spark, rows_per_slot, seed):
@@ -104,7 +108,7 @@ def test_overlaps(spark, rows_per_slot, seed):
     pairs = checks.overlapping_pairs(df, "k", "version", rows_per_slot=rows_per_slot)
     expected = brute_pairs(data)
     assert expected
-    assert {tuple(r) for r in pairs.select("k", "version_a", "version_b").collect()} == expected
+    assert named(pairs) == expected
     assert pairs.count() == len(expected)
     starts = {v: s for _, v, s, _ in data}
     late = {(k, max((a, b), key=lambda v: (starts[v], v))) for k, a, b in expected}
@@ -126,5 +130,46 @@ def test_empty_version_overlaps_only_inside_another(spark):
 
     data = [(1, "a", day(0), day(4)), (1, "b", day(2), day(2)), (2, "c", day(0), day(4)), (2, "d", day(0), day(0)), (3, "e", day(4), day(4)), (3, "f", day(0), day(4))]
     df = spark.createDataFrame(data, VERSION_DDL)
-    assert {(r[0], r[1], r[2]) for r in checks.overlapping_pairs(df, "k", "version").collect()} == brute_pairs(data) == {(1, "a", "b")}
+    assert named(checks.overlapping_pairs(df, "k", "version")) == brute_pairs(data) == {(1, "a", "b")}
     assert rows(checks.no_overlap(df, "k", "version"), "later_version") == [("b",)]
+
+
+def test_burst_does_not_fill_a_slot(spark):
+    """Nine tenths of a key's rows lie in one day of ten years."""
+    day, years = 86_400, 3_650
+    second = F.when(F.col("id") % 10 == 0, F.pmod(F.hash("id"), day * years)).otherwise(day * 1000 + F.pmod(F.hash("id"), day))
+    df = spark.range(40_000).select(F.lit(1).alias("k"), F.timestamp_seconds(second).cast("timestamp_ntz").alias("t"))
+    frequent = timeline.frequent_keys(df, ["k"], "t", 1000)
+    sizes = timeline._in_slots(df, ["k"], "t", frequent, "left").groupBy("_slot").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 2000
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_point_in_time_does_not_depend_on_strategy(spark, monkeypatch, seed):
+    """Versions overlap, tie and are empty; each fact finds all that are valid."""
+    data = random_versions(seed, 60, True)
+    versions = spark.createDataFrame(data, VERSION_DDL)
+    facts = [(i, v[0], v[2]) for i, v in enumerate(data) if v[2] is not None] + [(900, None, BASE), (901, 77, BASE)]
+    fact = spark.createDataFrame(facts, "f long, k long, at timestamp_ntz")
+    expected = set()
+    for f, k, at in facts:
+        valid = [v for key, v, s, e in data if None not in (key, s, e, k) and key == k and s <= at < e]
+        expected |= {(f, v) for v in valid or [None]}
+
+    def found(strategy):
+        out = history.point_in_time(fact, versions, "k", "at", {"v": "version"}, "k", strategy=strategy, rows_per_slot=4)
+        return sorted(map(tuple, out.select("f", "v").collect()), key=repr)
+
+    assert set(found("broadcast")) == expected
+    assert found("broadcast") == found("merge") == found("auto")
+    monkeypatch.setattr(history.can_broadcast, "__defaults__", (1, 1, 1))
+    assert set(found("auto")) == expected and set(found("broadcast")) == expected
+
+
+def test_changes_at_one_instant_give_one_version(spark):
+    data = [(1, "a", BASE), (1, "b", BASE), (1, "c", BASE + timedelta(1)), (2, "x", BASE), (2, "x", BASE)]
+    log = spark.createDataFrame(data, "k long, v string, at timestamp_ntz")
+    built = history.dimension(history.history_from_log(log, "k", "at", ["v"]), "k", ["v"], "key")
+    assert rows(built, "k", "v", "is_current") == [(1, "b", False), (1, "c", True), (2, "x", True)]
+    assert checks.unique(built, ["key"]).count() == 0
+    assert built.filter("effective_start_date >= effective_end_date").count() == 0

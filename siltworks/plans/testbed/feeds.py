@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
 from functools import cache
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.contracts import FeedContract, Field
-from siltworks.functions import rescue
+from siltworks.functions import casting, rescue
 from siltworks.functions.casting import money_sum
 from siltworks.functions.dates import month_text
 from siltworks.operators import harmonize, quality
@@ -44,7 +47,7 @@ NORMAL = FeedContract(
 @query
 def feeds_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
-    is_urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    is_urgent = F.coalesce(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(False))
     urgent = orders.filter(is_urgent).select(
         F.col("o_orderkey").alias("OrderID"),
         F.col("o_orderdate").alias("u_placed"),
@@ -126,7 +129,7 @@ def drifted_landing(spark: SparkSession, sf: str) -> str:
     place = work_dir(spark, "landing")
     orders = table(spark, sf, "orders").withColumn("period", month_text(F.col("o_orderdate")))
     month = F.month("o_orderdate")
-    early = orders.filter(month <= 4)
+    early = orders.filter((month <= 4) | month.isNull())
     middle = orders.filter(month.between(5, 8)).withColumns(
         {"o_custkey": F.col("o_custkey").cast("int"), "o_totalprice": F.col("o_totalprice").cast("decimal(15,2)")}
     )
@@ -203,6 +206,81 @@ def bronze_second_run(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(run.path).groupBy(F.col("_run_id").alias("run_id")).agg(F.count("*").alias("n_rows"))
 
 
+def twice_landed(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """A landing folder with the drifted orders, loaded, and a folder of bronze beside it."""
+    place, out = drifted_landing(spark, sf), work_dir(spark, "bronze")
+    ingest.ingest(spark, ORDER_FEED, place, out, f"{out}/_state", "first")
+    return place, out
+
+
+@query
+def bronze_after_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per run after everything was loaded anew: only the new generation is seen, and it has all rows."""
+    place, out = twice_landed(spark, sf)
+    ingest.ingest(spark, ORDER_FEED, place, out, f"{out}/_state", "again", refresh=True)
+    rows = ingest.read_bronze(spark, out, f"{out}/_state", ORDER_FEED.feed)
+    return rows.groupBy(F.col("_run_id").alias("run_id")).agg(F.count("*").alias("n_rows"))
+
+
+@query
+def bronze_after_failed_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per run after a refresh that breaks off: the old generation stays the one that is seen."""
+    place, out = twice_landed(spark, sf)
+    with contextlib.suppress(StreamingQueryException):  # a policy that the drifted files do not satisfy
+        ingest.ingest(spark, ORDER_FEED, place, out, f"{out}/_state", "again", refresh=True, policy=casting.STRICT)
+    rows = ingest.read_bronze(spark, out, f"{out}/_state", ORDER_FEED.feed)
+    return rows.groupBy(F.col("_run_id").alias("run_id")).agg(F.count("*").alias("n_rows"))
+
+
+@query
+def bronze_empty_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Two feeds told apart by glob in one folder, of which one has no file yet: its table has no row."""
+    place, out = drifted_landing(spark, sf), work_dir(spark, "bronze")
+    missing = FeedContract("returns", "returns_*.parquet", ORDER_FEED.fields)
+    counts = []
+    for contract in (ORDER_FEED, missing):
+        ingest.ingest(spark, contract, place, out, f"{out}/_state")
+        rows = ingest.read_bronze(spark, out, f"{out}/_state", contract.feed)
+        counts.append(rows.agg(F.lit(contract.feed).alias("feed"), F.count("*").alias("n_rows"), F.count("o_orderkey").alias("n_keys")))
+    return counts[0].unionByName(counts[1])
+
+
+@query
+def catalog_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A named table written, replaced under another schema, and read by name."""
+    name = f"siltworks_orders_{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders")
+    tables.write_table(orders.select("o_orderkey", "o_orderstatus"), name)
+    tables.write_table(orders.select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("price")), name)
+    return tables.read_table(spark, name)
+
+
+@query
+def nulled_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders under a contract too narrow for them, where what does not fit is dropped."""
+    narrow = FeedContract("orders", "*.parquet", (Field("o_orderkey", "bigint"), Field("o_totalprice", "bigint"), Field("o_orderdate", "date")))
+    return rescue.conform(table(spark, sf, "orders"), narrow, casting.NULL).select("o_orderkey", "o_totalprice", "o_orderdate")
+
+
+@query
+def strict_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders under a contract that they satisfy, where anything else would raise."""
+    wide = FeedContract("orders", "*.parquet", (Field("o_orderkey", "decimal(20,0)"), Field("o_orderstatus", "string")))
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return rescue.conform(rows, wide, casting.STRICT).select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus")
+
+
+@query
+def inferred_reference(spark: SparkSession, sf: str) -> DataFrame:
+    """A reference file whose types are inferred from its text."""
+    place = work_dir(spark, "parts")
+    suppliers = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("SuppKey"), F.col("s_name").alias("Name"), F.col("s_nationkey").alias("Nation"))
+    suppliers.write.option("header", True).csv(place)
+    read = tables.read_reference_csv(spark, place)
+    kinds = F.concat_ws(",", *[F.lit(f"{f.name}:{f.dataType.simpleString()}") for f in read.schema if not f.name.startswith("_")])
+    return read.select("suppkey", "name", "nation", kinds.alias("kinds"))
+
+
 @query
 def schema_drift_report(spark: SparkSession, sf: str) -> DataFrame:
     columns = landing.file_columns(landing.inventory(spark, drifted_landing(spark, sf)))

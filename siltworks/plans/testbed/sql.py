@@ -171,11 +171,21 @@ SQL: dict[str, str] = {
         from orders where o_orderpriority in ('1-URGENT', '2-HIGH')
         union all
         select 'normal', o_orderkey, o_orderdate, o_totalprice, null, o_orderstatus
-        from orders where o_orderpriority not in ('1-URGENT', '2-HIGH')""",
+        from orders where o_orderpriority is null or o_orderpriority not in ('1-URGENT', '2-HIGH')""",
     "feed_row_counts": """
         select 'orders' as feed, (select count(*) from orders) as n_rows, 6 as n_columns
         union all select 'lineitem', (select count(*) from lineitem), 11
         union all select 'events', (select count(*) from events), 6""",
+    "bronze_after_refresh": "select 'again' as run_id, count(*) as n_rows from orders",
+    "bronze_after_failed_refresh": "select 'first' as run_id, count(*) as n_rows from orders",
+    "bronze_empty_feed": """select 'orders' as feed, count(*) as n_rows, count(o_orderkey) as n_keys from orders
+        union all select 'returns', 0, 0""",
+    "catalog_round_trip": "select o_orderkey, o_custkey, o_totalprice as price from orders",
+    "nulled_values": """select o_orderkey, case when o_totalprice = floor(o_totalprice) then cast(o_totalprice as bigint) end as o_totalprice,
+        case when o_orderdate = date_trunc('day', o_orderdate) then cast(o_orderdate as date) end as o_orderdate from orders""",
+    "strict_values": "select o_orderkey, o_orderstatus from orders",
+    "inferred_reference": """select s_suppkey as suppkey, s_name as name, s_nationkey as nation,
+        'suppkey:int,name:string,nation:int' as kinds from supplier""",
     "period_window_violations": f"""with {_TRIPS} select _source_file, _file_period, count(*) as rows_outside
         from trips where {_OUTSIDE} group by 1, 2""",
     "rescue_recovery": """select event_id, event_type,

@@ -73,6 +73,11 @@ def load_files(spark: SparkSession, paths: DataFrame, contract: FeedContract, po
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def stamped(rows: DataFrame, run_id: str) -> DataFrame:
+    """The time and id of the run, one value for all rows of a batch."""
+    return rows.withColumns({"_ingested_at": F.current_timestamp(), "_run_id": F.lit(run_id)})
+
+
 def ingest(
     spark: SparkSession,
     contract: FeedContract,
@@ -87,29 +92,30 @@ def ingest(
 ) -> Ingestion:
     """Load the files of a feed that no earlier run has loaded, then stop.
 
-    ``files_per_batch`` bounds what the driver holds: the paths of one batch. ``refresh`` starts a
-    new generation with its own checkpoint and table, and leaves the old one in place.
+    ``files_per_batch`` bounds a batch. Spark's file source lists the landing folder on the driver and remembers the
+    paths it has seen, so let ``landing_dir`` be a period's folder or a pattern of a few. ``refresh`` loads a
+    new generation with its own checkpoint and table. It becomes the current one when all files are in it; until
+    then, and after a failure, readers see the old one, and the next refresh goes on where this one stopped.
     """
     run_id = run_id or new_run_id()
-    number = generation(spark, state_dir, contract.feed)
-    if number is None or refresh:
-        number = 0 if number is None else number + 1
-        entry = (contract.feed, number, datetime.now(timezone.utc), run_id)
-        events_log.append(spark, _log_path(state_dir, contract.feed), _GENERATIONS, [entry])
+    current = generation(spark, state_dir, contract.feed)
+    number = 0 if current is None else current + refresh
     out = table_path(out_dir, contract.feed, number)
     state = f"{state_dir}/{contract.feed}/gen={number}"
     # The schema a generation began with stays in force until a refresh.
     kept = contracts.load(spark, f"{state}/schema")
     if kept is None:
         contracts.save(spark, contract, f"{state}/schema")
+        # A table without rows, for feeds that have no file yet.
+        stamped(rescue.conform(spark.createDataFrame([], contract.struct()), contract, policy), run_id).select(
+            "*", *[F.lit(None).cast("string").alias(c) for c in LINEAGE]
+        ).write.mode("overwrite").parquet(f"{out}/_batch=-1")
     effective = kept or contract
     written: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        rows = load_files(session, batch, effective, policy).withColumns(
-            {"_ingested_at": F.current_timestamp(), "_run_id": F.lit(run_id)}
-        )
+        rows = stamped(load_files(session, batch, effective, policy), run_id)
         rows.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
         written.append(batch_id)
 
@@ -131,6 +137,9 @@ def ingest(
     if not finished:
         query.stop()
         raise TimeoutError(f"{contract.feed}: not drained after {timeout_seconds} s")
+    if number != current:
+        entry = (contract.feed, number, datetime.now(timezone.utc), run_id)
+        events_log.append(spark, _log_path(state_dir, contract.feed), _GENERATIONS, [entry])
     return Ingestion(out, number, run_id, len(written))
 
 

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from siltworks.functions.casting import money_sum
 from siltworks.functions.dates import date_key
 from siltworks.operators import history
+from siltworks.plans.testbed import feeds
 from siltworks.plans.testbed.model import purchases, tier_changes, tier_versions
 from siltworks.plans.testbed.standins import query, table
-from siltworks.session import work_dir
-from siltworks.sources import layout, versions
+from siltworks.session import stored, work_dir
+from siltworks.sources import landing, layout, versions
 
 
 DAY_RANGE = (19970301, 19970307)
@@ -27,19 +28,18 @@ def order_days(spark: SparkSession, sf: str) -> DataFrame:
 def order_layouts(spark: SparkSession, sf: str) -> dict[str, str]:
     """Orders as they come and clustered by day, written once for each session."""
     orders, root = order_days(spark, sf), work_dir(spark, "layout")
-    plain = versions.publish(orders.repartition(4, "o_orderkey"), root, "orders")
-    arranged = versions.publish(layout.cluster(orders, ["pickup_date_key"], 4), root, "orders", versions.CLUSTER)
-    two = layout.cluster(orders, ["pickup_date_key", "o_custkey"], 4)
+    files = max(4, layout.suggested_files(landing.inventory(spark, f"{sf}/orders.parquet")))
+    plain = versions.publish(orders.repartition(files, "o_orderkey"), root, "orders")
+    arranged = versions.publish(layout.cluster(orders, ["pickup_date_key"], files), root, "orders", versions.CLUSTER)
+    two = layout.cluster(orders, ["pickup_date_key", "o_custkey"], files)
     both = versions.publish(two, root, "orders", versions.CLUSTER)
     named = {"plain": plain, "clustered": arranged, "morton": both}
-    paths = {label: versions.version_path(root, "orders", v) for label, v in named.items()}
-    layout.keep_stats(spark, paths["clustered"], ["pickup_date_key"])
-    return paths
+    return {label: versions.version_path(root, "orders", v) for label, v in named.items()}
 
 
 def pruned_measure(spark: SparkSession, sf: str, low: int, high: int) -> DataFrame:
-    path, ranges = order_layouts(spark, sf)["clustered"], {"pickup_date_key": (low, high)}
-    rows = layout.read_pruned(spark, path, layout.kept_stats(spark, path), ranges)
+    """A range of days from the clustered table; the scan skips what its footers exclude."""
+    rows = spark.read.parquet(order_layouts(spark, sf)["clustered"]).filter(F.col("pickup_date_key").between(low, high))
     return rows.agg(F.count("*").alias("trips"), F.coalesce(money_sum("o_totalprice"), F.lit(0.0)).alias("revenue"))
 
 
@@ -80,6 +80,22 @@ def files_scanned_report(spark: SparkSession, sf: str) -> DataFrame:
     return layout.layout_report(spark, order_layouts(spark, sf), {"pickup_date_key": DAY_RANGE})
 
 
+@query
+def clustered_opens_fewer(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether a week of days opens fewer files of the clustered orders than of the others, which hold as many rows."""
+    report = layout.layout_report(spark, order_layouts(spark, sf), {"pickup_date_key": DAY_RANGE})
+    opened = lambda label: F.max(F.when(F.col("layout") == label, F.col("files_scanned")))
+    return report.agg((opened("clustered") < opened("plain")).alias("fewer"))
+
+
+@query
+def landing_folders(spark: SparkSession, sf: str) -> DataFrame:
+    """The folders in which the inventory finds files."""
+    files = landing.inventory(spark, feeds.drifted_landing(spark, sf))
+    folder = F.regexp_extract("path", "(period=[^/]+)/", 1)
+    return files.groupBy(folder.alias("folder")).agg((F.count("*") > 0).alias("has_files"))
+
+
 @query
 def morton_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The table clustered by two columns holds the same rows."""
@@ -100,7 +116,7 @@ def version_compare(spark: SparkSession, sf: str) -> DataFrame:
     everything = tier_versions(spark, sf)
     signups = tier_changes(spark, sf).filter("event_type = 'signup'")
     known = history.history_from_log(signups, "user_id", "updated_at", ["contract_tier"])
-    partial = history.dimension(known, "user_id", ["contract_tier"], "version_key")
+    partial = stored(history.dimension(known, "user_id", ["contract_tier"], "version_key"), "partial-versions")
     attach, bought = {"version_key": "version_key"}, purchases(spark, sf)
     numbers = []
     for side in (partial, everything):

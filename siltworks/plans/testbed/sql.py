@@ -388,6 +388,8 @@ SQL: dict[str, str] = {
     "file_stats_summary": f"""with {_DAYS} select layout, count(*) as n_rows, min(pickup_date_key) as first_day,
         max(pickup_date_key) as last_day, min(o_orderkey) as first_order, max(o_orderkey) as last_order
         from days cross join (values ('plain'), ('clustered'), ('morton')) as t(layout) group by layout""",
+    "clustered_opens_fewer": "select true as fewer",
+    "landing_folders": "select distinct strftime(o_orderdate, 'period=%Y-%m') as folder, true as has_files from orders",
     "morton_rows": f"with {_DAYS} select o_orderkey, o_custkey, pickup_date_key, o_totalprice from days",
     "version_compare": """with spans as (
           select 0 as version, user_id, min(ts) as first_change from events where event_type = 'signup' group by user_id

@@ -14,56 +14,13 @@ _SPREAD = "_spread"
 
 
 def cluster(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
-    """Rows in ``files`` ranges of the columns, sorted within each.
+    """Rows in ``files`` ranges of the columns, in the order of the list, sorted within each.
 
-    One column is ordered by itself, several by Morton order. Rows of one value may outnumber a
-    file; the partition a row comes from then decides, so a frequent value fills several files.
-    That number is the same when a lost task is repeated, which a random one would not be.
+    Rows of one value may outnumber a file; the partition a row comes from then decides, so a frequent value fills
+    several files. That number is the same when a lost task is repeated, which a random one would not be.
     """
     spread = df.withColumn(_SPREAD, F.spark_partition_id())
-    if len(columns) == 1:
-        order = [F.col(columns[0])]
-        return spread.repartitionByRange(files, *order, _SPREAD).sortWithinPartitions(*order).drop(_SPREAD)
-    keyed = spread.withColumn("_morton", morton_key(df, columns))
-    ranged = keyed.repartitionByRange(files, "_morton", _SPREAD)
-    return ranged.sortWithinPartitions("_morton", *columns).drop("_morton", _SPREAD)
-
-
-def _rank(value: Column, bounds: Sequence, low: int = 0) -> Column:
-    """Number of bounds at or below the value, as a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(low)
-    middle = len(bounds) // 2
-    left, right = _rank(value, bounds[:middle], low), _rank(value, bounds[middle + 1 :], low + middle + 1)
-    return F.when(value < F.lit(bounds[middle]), left).otherwise(right)
-
-
-def morton_key(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
-    """Interleave the bits of each column's quantile rank.
-
-    One aggregate finds ``2 ** bits - 1`` quantiles per column; those are all the driver sees.
-    """
-    shares = [i / 2**bits for i in range(1, 2**bits)]
-    numbers = {c: _as_number(df, c) for c in columns}
-    found = df.agg(*[F.percentile_approx(n, shares, 1000).alias(c) for c, n in numbers.items()]).first()
-    ranks = [F.coalesce(_rank(numbers[c], sorted(set(found[c] or []))), F.lit(0)) for c in columns]
-    parts = []
-    for bit in range(bits):
-        for place, rank in enumerate(ranks):
-            digit = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("bigint")
-            parts.append(F.shiftleft(digit, bit * len(columns) + place))
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
-
-
-def _as_number(df: DataFrame, column: str) -> Column:
-    kind = dict(df.dtypes)[column]
-    if kind == "date":
-        return F.unix_date(column)
-    if kind.startswith("timestamp"):
-        return F.unix_timestamp(column)
-    if kind == "string":
-        raise ValueError(f"{column}: Morton order needs numbers, dates or timestamps")
-    return F.col(column)
+    return spread.repartitionByRange(files, *columns, _SPREAD).sortWithinPartitions(*columns).drop(_SPREAD)
 
 
 def _detail() -> list[Column]:
@@ -144,17 +101,6 @@ def file_stats(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFr
     return inventory(spark, path).select("path", "bytes").mapInPandas(_stats_reader(columns), ddl)
 
 
-def keep_stats(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
-    """Store the statistics beside the files they describe, where a scan of the table ignores them."""
-    stats = file_stats(spark, path, columns)
-    stats.coalesce(max(1, spark.sparkContext.defaultParallelism // 8)).write.mode("overwrite").parquet(f"{path}/_stats")
-
-
-def kept_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Statistics kept for a table version: a query then lists and opens no file it does not need."""
-    return spark.read.parquet(f"{path}/_stats")
-
-
 def may_hold(ranges: Mapping[str, tuple[object, object]]) -> Column:
     """Whether a file can hold rows with every column in its inclusive range."""
     tests = [
@@ -178,29 +124,6 @@ def files_scanned(stats: DataFrame, ranges: Mapping[str, tuple[object, object]])
     return stats.agg(F.count("*").alias("n_files"), *_opened(ranges))
 
 
-def read_pruned(
-    spark: SparkSession,
-    path: str,
-    stats: DataFrame,
-    ranges: Mapping[str, tuple[object, object]],
-    most_files: int = 10_000,
-) -> DataFrame:
-    """Read only the files that can hold matching rows, and filter them.
-
-    The predicate is also pushed to the scan, so row groups inside the files are skipped as well.
-    Where more than ``most_files`` remain, their paths are not brought to the driver: the table is
-    read as a whole, and only the row groups are skipped.
-    """
-    kept = [r["path"] for r in stats.filter(may_hold(ranges)).select("path").limit(most_files + 1).collect()]
-    if 0 < len(kept) <= most_files:
-        rows = spark.read.option("basePath", path).parquet(*kept)
-    else:
-        table = spark.read.parquet(path)
-        rows = table if kept else table.limit(0)
-    tests = [(F.col(c) >= F.lit(low)) & (F.col(c) <= F.lit(high)) for c, (low, high) in ranges.items()]
-    return rows.filter(reduce(lambda a, b: a & b, tests))
-
-
 def layout_report(spark: SparkSession, layouts: Mapping[str, str], ranges: Mapping[str, tuple[object, object]]) -> DataFrame:
     """Table detail and files scanned for several copies of a table: ``{label: path}``."""
     lines = [

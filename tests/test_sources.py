@@ -168,18 +168,9 @@ def test_fewer_files_are_opened(spark, skewed):
     report = {r["layout"]: r for r in layout.layout_report(spark, {n: f"{root}/{n}" for n in ("plain", "clustered")}, ranges).collect()}
     assert report["plain"]["files_scanned"] == report["plain"]["n_files"] == 8
     assert report["clustered"]["files_scanned"] <= 2
-    layout.keep_stats(spark, f"{root}/clustered", ["day"])
-    stats = layout.kept_stats(spark, f"{root}/clustered")
-    assert rows(stats) == rows(layout.file_stats(spark, f"{root}/clustered", ["day"]))
-    assert spark.read.parquet(f"{root}/clustered").count() == len(data)
-    found = layout.read_pruned(spark, f"{root}/clustered", stats, ranges)
-    assert rows(found) == sorted([r for r in data if 20230150 <= r[0] <= 20230153], key=repr)
-    assert rows(layout.read_pruned(spark, f"{root}/clustered", stats, ranges, most_files=0)) == rows(found)
-    nothing = layout.read_pruned(spark, f"{root}/clustered", stats, {"day": (1, 2)})
-    assert nothing.count() == 0 and nothing.columns == ["day", "other"]
-
-
-def test_morton_prunes_on_both_columns(spark, skewed):
+
+
+def test_two_columns_prune(spark, skewed):
     root, _ = skewed
     stats = layout.file_stats(spark, f"{root}/morton", ["day", "other"])
     total = stats.count()

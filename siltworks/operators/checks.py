@@ -144,31 +144,43 @@ class TableChecks:
     relationships: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
 
-def _row_checks(df: DataFrame, checks: TableChecks) -> DataFrame | None:
-    """Checks that look at one row at a time share a single scan."""
-    failing: list[tuple[str, str, Column]] = []
-    failing += [("not_null", c, F.col(c).isNull()) for c in checks.not_null]
+def _counted_checks(df: DataFrame, checks: TableChecks, tables: Mapping[str, DataFrame]) -> DataFrame | None:
+    """Row checks and foreign keys of a table from one scan.
+
+    Each row gives a pair of check and key for every check that it fails and every key that it refers to. Pairs are
+    counted before the shuffle; an anti join with the parents' keys, stacked in the same form, takes out those that are fine.
+    """
+    failing = [("not_null", c, F.col(c).isNull()) for c in checks.not_null]
     failing += [("accepted_values", c, ~F.col(c).isin(*v)) for c, v in checks.accepted_values.items()]
     failing += [("accepted_range", c, ~_in_range(c, low, None, False)) for c, low in checks.above.items()]
-    if not failing:
+    names = [(kind, column) for kind, column, _ in failing] + [("relationships", c) for c in checks.relationships]
+    if not names:
         return None
-    counted = df.agg(*[F.count_if(condition).alias(f"_c{i}") for i, (_, _, condition) in enumerate(failing)])
-    lines = [
-        F.struct(
-            F.lit(checks.table).alias("table"),
-            F.lit(kind).alias("check"),
-            F.lit(column).alias("column"),
-            F.col(f"_c{i}").alias("failures"),
-        )
-        for i, (kind, column, _) in enumerate(failing)
+    pairs = [F.when(condition, F.struct(F.lit(i).alias("i"), F.lit("").alias("key"))) for i, (_, _, condition) in enumerate(failing)]
+    parents = []
+    for i, (column, (parent, parent_column)) in enumerate(checks.relationships.items(), len(failing)):
+        kind = tables[parent].schema[parent_column].dataType
+        key = F.col(column).cast(kind).cast("string")
+        pairs.append(F.when(F.col(column).isNotNull(), F.struct(F.lit(i).alias("i"), F.coalesce(key, F.lit("")).alias("key"))))
+        known = tables[parent].filter(F.col(parent_column).isNotNull())
+        parents.append(known.select(F.lit(i).alias("i"), F.col(parent_column).cast("string").alias("key")).distinct())
+    found = df.select(F.inline(F.array_compact(F.array(*pairs)))).groupBy("i", "key").agg(F.count("*").alias("n"))
+    if parents:
+        found = found.join(reduce(lambda a, b: a.unionByName(b), parents), ["i", "key"], "left_anti")
+    sums = found.groupBy(F.col("i").alias("_i")).agg(F.sum("n").alias("_n"))
+    listed = [
+        F.struct(F.lit(i).alias("i"), F.lit(checks.table).alias("table"), F.lit(kind).alias("check"), F.lit(column).alias("column"))
+        for i, (kind, column) in enumerate(names)
     ]
-    return counted.select(F.inline(F.array(*lines)))
+    lines = df.sparkSession.range(1).select(F.inline(F.array(*listed)))
+    return lines.join(sums, F.col("i") == F.col("_i"), "left").select("table", "check", "column", F.coalesce("_n", F.lit(0)).alias("failures"))
 
 
 def run(tables: Mapping[str, DataFrame], suite: Sequence[TableChecks]) -> DataFrame:
     """Failures of every declared check: ``table, check, column, failures``.
 
-    ``unique`` counts repeated keys, ``relationships`` rows without a parent, the others rows.
+    ``unique`` counts repeated keys, ``relationships`` rows without a parent, the others rows. A table is scanned once
+    for all of its checks but ``unique``, which scans the key alone.
     """
     results: list[DataFrame] = []
 
@@ -178,12 +190,9 @@ def run(tables: Mapping[str, DataFrame], suite: Sequence[TableChecks]) -> DataFr
 
     for checks in suite:
         df = tables[checks.table]
-        row_level = _row_checks(df, checks)
-        if row_level is not None:
-            results.append(row_level)
+        counted = _counted_checks(df, checks, tables)
+        if counted is not None:
+            results.append(counted)
         for column in checks.unique:
             results.append(total(unique(df, [column]), F.count("*"), checks.table, "unique", column))
-        for column, (parent, parent_column) in checks.relationships.items():
-            orphans = relationships(df, column, tables[parent], parent_column)
-            results.append(total(orphans, F.sum("n"), checks.table, "relationships", column))
     return reduce(lambda a, b: a.unionByName(b), results)

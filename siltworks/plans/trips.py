@@ -166,6 +166,7 @@ def read_silver(spark: SparkSession, root: str, version: int | None = None) -> t
     return clean, rows.filter(F.col(_REJECTED)).drop(_REJECTED)
 
 
+# The flags that the metrics count, and the measures of the fact.
 METRIC_FLAGS = {"passenger_count_missing": "passenger_count_missing", "reversal_rows": "is_reversal"}
 
 
@@ -232,6 +233,24 @@ def fct_trips(trips: DataFrame, vendor_dim: DataFrame, strategy: str = "auto") -
     )
 
 
+def publish_star(trips: DataFrame, zones: DataFrame, vendor_history: DataFrame, root: str) -> Star:
+    """The gold tables as stored: the dimensions first, then the fact, which reads the stored versions."""
+    built = star(trips, zones, vendor_history).tables()
+    spark = trips.sparkSession
+    dims = {name: df for name, df in built.items() if name.startswith("dim_")}
+    versions.publish_all(dims, root)
+    kept = {name: versions.read(spark, root, name) for name in dims}
+    versions.publish(fct_trips(trips, kept["dim_vendor_scd2"]), root, "fct_trips")
+    return Star(**kept, fct_trips=versions.read(spark, root, "fct_trips"))
+
+
+def publish_metrics(clean: DataFrame, quarantine: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """The silver metrics as stored tables: quality per service, and reasons."""
+    per_service, reasons = silver_metrics(clean, quarantine)
+    versions.publish_all({"silver_metrics": per_service, "silver_reasons": reasons}, root)
+    return versions.read(clean.sparkSession, root, "silver_metrics"), versions.read(clean.sparkSession, root, "silver_reasons")
+
+
 def star(trips: DataFrame, zones: DataFrame, vendor_history: DataFrame) -> Star:
     vendor_dim = vendor_versions(vendor_history)
     zone_columns = {"location_key": "locationid", "borough": "borough", "zone_name": "zone", "service_zone": "service_zone"}

@@ -10,9 +10,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from siltworks.operators import duplicates, quality
-from siltworks.plans import trips
+from siltworks.operators import checks, duplicates, quality
+from siltworks.plans import testbed, trips
 from siltworks.sources import landing, layout
 
 SF = "/root/testdata/sf0.001"
@@ -35,9 +34,9 @@ def lines(spark):
     return spark.read.parquet(f"{SF}/lineitem.parquet")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(testbed.QUERIES))
 def test_no_query_pairs_all_rows(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(testbed.QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
@@ -77,3 +76,22 @@ def test_silver_parts_read_their_own_partition(spark, tmp_path):
     trips.publish_silver(rows, str(tmp_path))
     for part in trips.read_silver(spark, str(tmp_path)):
         assert re.search(r"PartitionFilters: \[.*_rejected", plan(part)) and part.count() == 1
+
+
+def test_checks_scan_the_fact_once(spark, tmp_path):
+    lines = spark.createDataFrame([(1, 2, "A"), (1, 9, "B"), (None, 2, None)], "a int, b bigint, kind string")
+    lines.write.parquet(f"{tmp_path}/fact")
+    parent = spark.createDataFrame([(1,), (2,)], "id bigint")
+    parent.write.parquet(f"{tmp_path}/parent")
+    tables = {"fact": spark.read.parquet(f"{tmp_path}/fact"), "parent": spark.read.parquet(f"{tmp_path}/parent")}
+    suite = checks.TableChecks(
+        "fact", not_null=("a", "kind"), accepted_values={"kind": ("A",)}, above={"b": 2},
+        relationships={"a": ("parent", "id"), "b": ("parent", "id")},
+    )
+    report = checks.run(tables, [suite])
+    assert plan(report).count(f"{tmp_path}/fact]") == 1
+    found = {(r["check"], r["column"]): r["failures"] for r in report.collect()}
+    assert found == {
+        ("not_null", "a"): 1, ("not_null", "kind"): 1, ("accepted_values", "kind"): 1, ("accepted_range", "b"): 2,
+        ("relationships", "a"): 0, ("relationships", "b"): 1,
+    }

@@ -123,7 +123,7 @@ def test_recovery_from_rescued_json(spark):
     assert found == [(2, 1.25), (2, 1.75), (7, 3.0), (None, None)]
 
 
-def test_star_passes_and_finds_the_unlisted_vendor(spark, silver):
+def test_star_passes_and_finds_the_unlisted_vendor(spark, silver, tmp_path_factory):
     zones = spark.createDataFrame(
         [(10, "Queens", "A", "Boro Zone"), (20, "Bronx", "B", "Boro Zone"), (30, "Bronx", "C", "Boro Zone")],
         "locationid int, borough string, zone string, service_zone string",
@@ -143,6 +143,10 @@ def test_star_passes_and_finds_the_unlisted_vendor(spark, silver):
     report = trips.check_star(star.tables())
     assert report.count() == 34
     assert rows(report.filter("failures > 0"), "check", "column", "failures") == [("not_null", "vendor_version_key", 1)]
+    stored = trips.publish_star(silver["clean"], zones, versions_of, str(tmp_path_factory.mktemp("gold")))
+    for name, built in star.tables().items():
+        assert rows(stored.tables()[name]) == rows(built)
+    assert rows(trips.check_star(stored.tables())) == rows(report)
     missing = history.missing_keys(star.fct_trips, star.dim_vendor_scd2, "vendor_key", "vendor_id")
     assert rows(missing) == [(9, 1)]
     assert rows(history.coverage(star.fct_trips, "vendor_version_key")) == [(10, 1)]

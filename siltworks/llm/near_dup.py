@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.llm.words import by_value, text_bytes
@@ -195,20 +195,24 @@ def unlinked_pairs(diffs: DataFrame, percent: int) -> DataFrame:
     y = diffs.select("a", "n_a", F.col("b").alias("y"), F.col("n_b").alias("n_y"), F.col("both").alias("both_y"), F.col("root").alias("root_y"))
     needed = F.col("n_x") + F.col("n_y")  # common shingles, times (100 + percent) / percent
     inside = F.least("both_x", "both_y")
-    rare = diffs.select("a", "b", F.explode("extra").alias("e"), "root")
-    split = rare.groupBy("a", "e").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low <> _high").drop("_low", "_high")
-    rare = stored(rare.join(split, ["a", "e"]), "rare")
-    one = rare.select("a", "e", F.col("b").alias("x"), F.col("root").alias("root_x"))
-    two = rare.select("a", "e", F.col("b").alias("y"), F.col("root").alias("root_y"))
-    shared = one.join(two, ["a", "e"]).filter("root_x < root_y").groupBy("a", "x", "y").agg(F.count("*").alias("n"))
-    shared = shared.join(x.drop("root_x"), ["a", "x"]).join(y.drop("root_y", "n_a"), ["a", "y"])
-    enough = percent * needed <= (100 + percent) * (inside + F.col("n"))
+    rare = diffs.select("a", "b", "n_b", "both", F.explode("extra").alias("e"), "root")
+    counts = rare.groupBy("a", "e").agg(F.count("*").alias("_n"), F.min("root").alias("_low"), F.max("root").alias("_high"))
+    rare = rare.join(counts.filter("_low <> _high").select("a", "e", "_n"), ["a", "e"])
+    # A partner has at least percent of x, so at least so many of these; among all but that many less one there is one.
+    least = F.greatest(F.ceil(percent * F.col("n_b") / 100 - F.col("both")), F.lit(1))
+    own = Window.partitionBy("a", "b")
+    rare = rare.withColumns({"_all": F.count("*").over(own), "_place": F.row_number().over(own.orderBy("_n", "e")), "_least": least})
+    rare = stored(rare.filter(F.col("_place") <= F.col("_all") - F.col("_least") + 1), "rare")
+    one = rare.select("a", "e", F.col("b").alias("x"), F.col("root").alias("root_x"), F.col("n_b").alias("n_x"), F.col("both").alias("both_x"), F.col("_all").alias("all_x"))
+    two = rare.select("a", "e", F.col("b").alias("y"), F.col("root").alias("root_y"), F.col("n_b").alias("n_y"), F.col("both").alias("both_y"), F.col("_all").alias("all_y"))
+    enough = percent * needed <= (100 + percent) * (inside + F.least("all_x", "all_y"))
+    shared = one.join(two, ["a", "e"]).filter((F.col("root_x") < F.col("root_y")) & enough)
     # Without a shared shingle outside of r: x is not similar to r, and y is smaller than r.
     far = x.join(diffs.select("a", F.col("b").alias("x"), "n_a"), ["a", "x"]).filter(100 * F.col("both_x") < percent * (F.col("n_a") + F.col("n_x") - F.col("both_x")))
     far = far.filter(percent * (F.col("n_x") + percent * F.col("n_x") / 100) <= (100 + percent) * F.col("both_x")).drop("n_a")
     small = y.filter("n_y < n_a").drop("n_a")
     none = far.join(small, "a").filter((F.col("root_x") != F.col("root_y")) & (percent * needed <= (100 + percent) * inside))
-    pairs = shared.filter(enough).select("x", "y").unionByName(none.select("x", "y"))
+    pairs = shared.select("x", "y").unionByName(none.select("x", "y"))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

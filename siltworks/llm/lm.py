@@ -44,10 +44,10 @@ from siltworks.session import stored
 CLASSES = (1 << 16) - 2
 OTHER, END = 0, 1
 LEAST_TRIGRAM = 2
-SHARD_TOKENS = 3_000_000
+SHARD_TOKENS = 2_000_000
 #: Tokens, and texts, of which trigrams are packed together.
-RUN_TOKENS, RUN_TEXTS = 3_000_000, 60_000
-REMEMBERED = 400_000
+RUN_TOKENS, RUN_TEXTS = 1_500_000, 60_000
+REMEMBERED = 200_000
 END_TOKEN = b"\n"  # no word has a line break
 
 Arrays = dict[str, np.ndarray]
@@ -416,35 +416,54 @@ def _class_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
             def columns(at: np.ndarray) -> tuple[bytes, ...]:
                 ends = np.cumsum(n[at])
                 where = np.arange(ends[-1]) + np.repeat(first[at] - ends + n[at], n[at])  # noqa: B023
-                texts_, short = np.unique(number[where], return_inverse=True)  # noqa: B023
-                return _deltas(distinct[at]), pack(n[at].astype(np.uint32)), pack(short.astype(np.uint16)), pack(rids[texts_])  # noqa: B023
+                return _deltas(distinct[at]), pack(n[at].astype(np.uint32)), pack(number[where])  # noqa: B023
 
-            yield _dealt(own, distinct, columns, ("keys", "counts", "numbers", "rids"))
+            run = signed(xxhash.xxh3_64_intdigest(rids.tobytes()))
+            dealt = _dealt(own, distinct, columns, ("keys", "counts", "numbers"))
+            yield dealt.append_column("run", pa.array([run] * dealt.num_rows, pa.int64()))
+            # Who the texts of the run are goes along under a negative number, past the shards.
+            names_ = pa.RecordBatch.from_arrays([pa.array([-1 - run % (4 * own.shards)], pa.int32()), *[pa.array([pack(rids)], pa.binary())] * 3], dealt.schema.names)
+            yield names_.append_column("run", pa.array([run], pa.int64()))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_unigram = np.log10(shared.value.unigram)
         at, trie = None, None
         for batch in batches:
             for i in range(batch.num_rows):
-                shard, turn, keys, counts, numbers, rids = (batch.column(c)[i].as_py() for c in range(6))
+                shard, turn, keys, counts, numbers, run = (batch.column(c)[i].as_py() for c in range(6))
                 if turn == 0:
                     at, trie = shard, Shard(keys)
                     continue
+                if shard < 0:
+                    yield pa.RecordBatch.from_arrays([pa.array([run]), pa.array([keys]), pa.array([None], pa.binary())], ["run", "texts", "sums"])
+                    continue
                 keys = _sums(unpack(keys, np.uint64))
                 if at == shard:
                     found = trie.log_p(keys, log_unigram)
                 else:  # a shard that nothing was learned for
                     found = log_unigram[(keys & np.uint64(0xFFFF)).astype(np.int64)]
-                n, short, rids = unpack(counts, np.uint32), unpack(numbers, np.uint16), unpack(rids, np.int64)
-                sums = np.bincount(short, np.repeat(found, n), len(rids))
-                yield pa.RecordBatch.from_arrays([pa.array(rids), pa.array(sums)], ["_rid", "lm"])
-
-    names = ("keys", "counts", "numbers", "rids")
-    asked = texts.mapInArrow(ask, "shard int, keys binary, counts binary, numbers binary, rids binary")
-    asked = asked.select("shard", F.lit(1).alias("turn"), *names)
-    tries = model.tries.select("shard", F.lit(0).alias("turn"), F.col("trie").alias("keys"), *(F.lit(None).cast("binary").alias(c) for c in names[1:]))
+                number, place = np.unique(unpack(numbers, np.uint16), return_inverse=True)
+                sums = np.bincount(place, np.repeat(found, unpack(counts, np.uint32)), len(number))
+                answered = [pa.array([run]), pa.array([pack(number)]), pa.array([pack(sums)])]
+                yield pa.RecordBatch.from_arrays(answered, ["run", "texts", "sums"])
+
+    def total(table: pa.Table) -> pa.Table:
+        """The sums of a run's texts over all shards. A run that repeats has its rows twice, and so its sums."""
+        texts_, sums = table["texts"].to_pylist(), table["sums"].to_pylist()
+        rids = unpack(next(t for t, s in zip(texts_, sums, strict=True) if s is None), np.int64)
+        out = np.zeros(len(rids))
+        for t, s in zip(texts_, sums, strict=True):
+            if s is not None:
+                out[unpack(t, np.uint16)] += unpack(s, np.float64)
+        return pa.table({"_rid": rids, "lm": out})
+
+    names = ("keys", "counts", "numbers")
+    asked = texts.mapInArrow(ask, "shard int, keys binary, counts binary, numbers binary, run long")
+    asked = asked.select("shard", F.lit(1).alias("turn"), *names, "run")
+    tries = model.tries.select("shard", F.lit(0).alias("turn"), F.col("trie").alias("keys"), *(F.lit(None).cast("binary").alias(c) for c in names[1:]), F.lit(None).cast("long").alias("run"))
     rows = tries.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "turn")
-    return rows.mapInArrow(answer, "_rid long, lm double")
+    parts = rows.mapInArrow(answer, "run long, texts binary, sums binary")
+    return parts.groupBy("run").applyInArrow(total, "_rid long, lm double")
 
 
 def _word_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:

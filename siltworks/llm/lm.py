@@ -1,8 +1,7 @@
 """Language-model scores from n-gram tries with Elias-Fano levels.
 
-The model is a trigram model over the ``CLASSES`` most frequent words, an end mark, and one class of all other words, whose
-members share its probability by add-one counts; so every text has a probability, and all words have one exact count.
-Probabilities are interpolated with absolute discounting: trigrams on bigrams with continuation counts on unigrams. All
+The model is a trigram model over all words met in training, an end mark, and one class for words never met. Probabilities
+are interpolated with absolute discounting: trigrams on bigrams with continuation counts on add-one unigrams. All
 trigrams are counted; those met once keep no entry of their own, their mass goes to the bigram (``LEAST_TRIGRAM``).
 
 The trie is dealt into shards by the word before the predicted one; a word with more than a shard's share of all tokens is
@@ -13,13 +12,15 @@ bits in unary. A child is the rank of the word among the root's successors, whic
 Probabilities and back-off weights are 8-bit codes into codebooks. Tasks write a shard's bytes to a temporary file,
 map it into memory, and remove it at once.
 
-Training counts distinct trigrams per task before the shuffle; scoring sends the distinct trigrams of a run of texts,
+Words are told apart by 64-bit hashes everywhere. Runs of texts, the pieces that they send, and shards number their own words
+by the order of the hashes and carry these, so nothing holds all words. Training counts distinct trigrams per run before
+the shuffle and joins the words of each shard with their counts; scoring sends the distinct trigrams of a run,
 with the numbers of the texts that have them, as packed columns to the shards, whose trie comes first in sorted order and
-is followed by its questions as a stream. Only the table of classes (16 bytes each, 1 MB) is broadcast.
+is followed by its questions as a stream. Where neither trigram nor bigram is known, the unigram of a word is wanted: the
+counts of the ``CLASSES`` most frequent words are broadcast (1 MB), those of the others come by a join, with the same result.
 
 Defined results: null and empty texts consist of one end; texts are never cut; repeated rows get equal scores; with
-nothing to learn from, every word belongs to the one class; empty tables give empty results. Words are told apart by 64-bit
-hashes. Other columns are ignored.
+nothing to learn from, no word is known; empty tables give empty results. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,17 +36,17 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm.words import by_value
 from siltworks.session import stored
 
+#: Words whose counts tasks have at hand. A cache: scores do not depend on it.
 CLASSES = (1 << 16) - 2
-OTHER, END = 0, 1
 LEAST_TRIGRAM = 2
 SHARD_TOKENS = 2_000_000
-#: Tokens, and texts, of which trigrams are packed together.
+#: Tokens, and texts, of which trigrams are packed together. Keys hold three numbers below 2 ** 21, so a run has fewer words.
 RUN_TOKENS, RUN_TEXTS = 1_500_000, 60_000
 REMEMBERED = 200_000
 END_TOKEN = b"\n"  # no word has a line break
@@ -157,39 +158,50 @@ def discount(counts: np.ndarray) -> float:
 
 def build_shard(keys: np.ndarray, n: np.ndarray, unigram: np.ndarray) -> bytes:
     """The trie of sorted trigram keys (root, word before it, predicted word; 16 bits each) with counts."""
-    root, context, word = keys >> np.uint64(32), keys >> np.uint64(16), keys & np.uint64(0xFFFF)
-    pairs, continued = np.unique((root << np.uint64(16)) | word, return_counts=True)
-    roots, first, kinds = np.unique(pairs >> np.uint64(16), return_index=True, return_counts=True)
+    numbers = ((keys >> np.uint64(shift)) & np.uint64(0xFFFF) for shift in (32, 16, 0))
+    return build_trie(*numbers, n, unigram)
+
+
+def build_trie(root: np.ndarray, before: np.ndarray, word: np.ndarray, n: np.ndarray, unigram: np.ndarray, words: np.ndarray | None = None) -> bytes:
+    """The trie of trigrams, sorted by root, word before it and predicted word, which are positions in ``unigram``.
+
+    ``words`` has the hashes of the words at these positions.
+    """
+    base = np.uint64(len(unigram) + 1)  # one number is left for words that the shard does not have
+    root, before, word = root.astype(np.uint64), before.astype(np.uint64), word.astype(np.uint64)
+    context = root * base + before
+    pairs, continued = np.unique(root * base + word, return_counts=True)
+    roots, first, kinds = np.unique(pairs // base, return_index=True, return_counts=True)
     total = np.add.reduceat(continued, first) if len(first) else np.zeros(0)
     at_root = np.repeat(np.arange(len(roots)), kinds)
     d2, d3 = discount(continued), discount(n)
     back2 = d2 * kinds / np.maximum(total, 1)
-    successor = (pairs & np.uint64(0xFFFF)).astype(np.int64)
-    p2 = (continued - d2) / total[at_root] + back2[at_root] * unigram[successor]
+    p2 = (continued - d2) / total[at_root] + back2[at_root] * unigram[(pairs % base).astype(np.int64)]
     contexts, begin = np.unique(context, return_index=True)
-    sizes = np.diff(np.append(begin, len(keys)))
+    sizes = np.diff(np.append(begin, len(context)))
     seen = np.add.reduceat(n, begin) if len(begin) else np.zeros(0)
     own = np.repeat(np.arange(len(contexts)), sizes)
     share = np.where(n >= LEAST_TRIGRAM, (n - d3) / seen[own], 0.0) if len(n) else np.zeros(0)
     back3 = 1 - (np.add.reduceat(share, begin) if len(begin) else np.zeros(0))
     kept = np.flatnonzero(share > 0)
     parents, number = np.unique(own[kept], return_inverse=True)
-    place = np.searchsorted(pairs, (root[kept] << np.uint64(16)) | word[kept])
+    place = np.searchsorted(pairs, root[kept] * base + word[kept])
     rank = place - first[at_root[place]]
     width = int(kinds.max()) if len(kinds) else 1
     p3 = share[kept] + back3[own[kept]] * p2[place]
-    root_of = np.searchsorted(roots, contexts[parents] >> np.uint64(16)).astype(np.uint64)
+    root_of = np.searchsorted(roots, contexts[parents] // base).astype(np.uint64)
     arrays = (
         elias_fano(roots, "roots")
-        | elias_fano((at_root.astype(np.uint64) << np.uint64(16)) | successor.astype(np.uint64), "successors")
+        | elias_fano(at_root.astype(np.uint64) * base + pairs % base, "successors")
         | elias_fano(np.append(first, len(pairs)), "pointers")
-        | elias_fano((root_of << np.uint64(16)) | (contexts[parents] & np.uint64(0xFFFF)), "contexts")
+        | elias_fano(root_of * base + contexts[parents] % base, "contexts")
         | elias_fano(number.astype(np.uint64) * np.uint64(width) + rank.astype(np.uint64), "children")
         | codebook(back2, "back2")
         | codebook(p2, "p2")
         | codebook(back3[parents], "back3")
         | codebook(p3, "p3")
-        | {"width": np.array([width], np.int64)}
+        | {"width": np.array([width], np.int64), "base": np.array([base], np.uint64)}
+        | {"words": np.zeros(0, np.uint64) if words is None else words}
     )
     head, body, at = {}, [], 0
     for name, a in arrays.items():
@@ -216,6 +228,13 @@ class Shard:
         self.a = {k: body[at : at + n * np.dtype(kind).itemsize].view(kind) for k, (kind, at, n) in head.items()}
         self.level = {k: EliasFano(self.a, k) for k in ("roots", "successors", "pointers", "contexts", "children")}
         self.width = int(self.a["width"][0])
+        self.base = self.a["base"][0]
+        self.words = self.a["words"]
+
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """The shard's numbers of words by hash; those that it does not have share the number after the last."""
+        at = np.minimum(np.searchsorted(self.words, words), max(len(self.words) - 1, 0))
+        return np.where(self.words[at] == words, at, len(self.words)).astype(np.uint64) if len(self.words) else np.zeros(len(words), np.uint64)
 
     def _value(self, name: str, at: np.ndarray, missing: np.ndarray | float) -> np.ndarray:
         """Logarithms at the positions, and ``missing`` where there is none."""
@@ -225,18 +244,23 @@ class Shard:
         return np.where(at >= 0, found, missing)
 
     def log_p(self, keys: np.ndarray, log_unigram: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each key's word."""
-        word = keys & np.uint64(0xFFFF)
-        root = self.level["roots"].find(keys >> np.uint64(32))
-        base = np.maximum(root, 0).astype(np.uint64) << np.uint64(16)
-        successor = np.where(root >= 0, self.level["successors"].find(base | word), -1)
-        context = np.where(root >= 0, self.level["contexts"].find(base | ((keys >> np.uint64(16)) & np.uint64(0xFFFF))), -1)
+        """log10 of the probability of each key's word, keys as those of ``build_shard``."""
+        root, before, word = ((keys >> np.uint64(shift)) & np.uint64(0xFFFF) for shift in (32, 16, 0))
+        found, missing = self.look_up(root, before, word)
+        return found + np.where(missing, log_unigram[word.astype(np.int64)], 0.0)
+
+    def look_up(self, root: np.ndarray, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of the probability, but for a factor that is the unigram of the word where the second result says so."""
+        root = self.level["roots"].find(root)
+        base = np.maximum(root, 0).astype(np.uint64) * self.base
+        successor = np.where(root >= 0, self.level["successors"].find(base + word), -1)
+        context = np.where(root >= 0, self.level["contexts"].find(base + before), -1)
         rank = successor - self.level["pointers"].get(np.maximum(root, 0)) if self.level["pointers"].n > 1 else successor
         ask = (successor >= 0) & (context >= 0)
-        child = np.full(len(keys), -1)
+        child = np.full(len(word), -1)
         child[ask] = self.level["children"].find(context[ask] * self.width + rank[ask])
-        lower = self._value("p2", successor, self._value("back2", root, 0.0) + log_unigram[word.astype(np.int64)])
-        return self._value("p3", child, self._value("back3", context, 0.0) + lower)
+        lower = self._value("p2", successor, self._value("back2", root, 0.0))
+        return self._value("p3", child, self._value("back3", context, 0.0) + lower), successor < 0
 
 
 # --- Tokens
@@ -244,36 +268,43 @@ class Shard:
 
 @dataclass
 class Classes:
-    """The frequent words by hash, with what is known of all words. At most ``CLASSES`` rows."""
+    """The frequent words by hash, with what is known of all words. At most ``CLASSES`` rows, and the roots that are dealt further."""
 
     hashes: np.ndarray
     counts: np.ndarray
-    n_end: int
     n_tokens: int
     n_distinct: int
-    shards: int = 1
+    shards: int
+    #: Words with more than a shard's share of all tokens, by sorted hash, with their counts.
+    frequent: np.ndarray
+    frequent_counts: np.ndarray
     ids: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        self.ids = {int(h): i + 2 for i, h in enumerate(self.hashes)}
-        other = self.n_tokens - self.n_end - int(self.counts.sum())
-        self.class_counts = np.concatenate([[other, self.n_end], self.counts]).astype(np.float64)
-        self.n_other, self.v_other = other, self.n_distinct - len(self.hashes) - (self.n_end > 0)
-        smooth = self.class_counts.copy()
-        smooth[:2] += 1
-        self.unigram = smooth / smooth.sum()
-        self.slots = np.maximum(1, np.ceil(self.class_counts / SHARD_TOKENS)).astype(np.uint64)
-
-    def shard_of(self, keys: np.ndarray) -> np.ndarray:
-        root, before = keys >> np.uint64(32), (keys >> np.uint64(16)) & np.uint64(0xFFFF)
-        slot = ((before * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % self.slots[root.astype(np.int64)]
+        order = np.argsort(self.hashes)
+        self.hashes, self.counts = self.hashes[order], self.counts[order]
+        self.ids = {int(h): i for i, h in enumerate(self.hashes)}
+        self.log_unigram = self.log_of(self.counts)
+        self.slots = np.ceil(self.frequent_counts / SHARD_TOKENS).astype(np.uint64)
+
+    def log_of(self, counts: np.ndarray) -> np.ndarray:
+        """log10 of the add-one unigram of words with these counts."""
+        return np.log10((counts + 1) / (self.n_tokens + self.n_distinct + 1))
+
+    def shard_of(self, root: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """The shards of trigrams, by the hashes of the root and of the word before it."""
+        slot = np.zeros(len(root), np.uint64)
+        if len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, root), len(self.frequent) - 1)
+            hit = np.flatnonzero(self.frequent[at] == root)
+            slot[hit] = ((before[hit] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)) % self.slots[at[hit]]
         mixed = (root * np.uint64(0xBF58476D1CE4E5B9)) ^ (slot * np.uint64(0x94D049BB133111EB))
         mixed ^= mixed >> np.uint64(29)
         return ((mixed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(self.shards)
 
 
 class ClassIds(dict):
-    """Class ids of the words that a task has met."""
+    """Positions of the words that a task has met in ``Classes``, or -1."""
 
     def __init__(self, classes: Classes):
         super().__init__()
@@ -282,37 +313,70 @@ class ClassIds(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self.of.get(token_hash(word), OTHER)
+        found = self.of.get(token_hash(word), -1)
         if len(word) <= 64:
             self[word] = found
         return found
 
 
+class Numbers(dict):
+    """Numbers of the words of a run in the order in which they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = len(self)
+        return found
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def trigram_keys(words: list[bytes], ids: ClassIds) -> np.ndarray:
-    """One key per token: the word before it, the word before that, and itself; a text begins after two ends."""
-    a = np.empty(len(words) + 3, np.uint64)
-    a[:2] = a[-1] = END
-    a[2:-1] = np.fromiter(map(ids.__getitem__, words), np.uint64, len(words))
-    return (a[1:-1] << np.uint64(32)) | (a[:-2] << np.uint64(16)) | a[2:]
+@dataclass
+class Run:
+    """Trigrams of texts. A key has the root, the word before it and the predicted word as positions in ``words``."""
+
+    words: np.ndarray  # sorted hashes
+    keys: np.ndarray
+    #: The text of each key, as a position in ``rids``.
+    number: np.ndarray
+    rids: np.ndarray
+
+
+def joined(root: np.ndarray, before: np.ndarray, word: np.ndarray, size: int) -> np.ndarray:
+    base = np.uint64(size)
+    return (root.astype(np.uint64) * base + before.astype(np.uint64)) * base + word.astype(np.uint64)
+
 
+def parted(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    context, word = np.divmod(keys, np.uint64(max(size, 1)))
+    root, before = np.divmod(context, np.uint64(max(size, 1)))
+    return root.astype(np.int64), before.astype(np.int64), word.astype(np.int64)
 
-def _runs(batches: Iterator[pa.RecordBatch], ids: ClassIds) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Keys, numbers of texts, and row ids, for runs of texts. A text longer than a run is a run of its own."""
-    keys, rows, held = [], [], 0
+
+def _run(numbers: Numbers, parts: list[np.ndarray], rows: list[int]) -> Run:
+    words, place = np.unique(np.array([token_hash(w) for w in numbers], np.int64).view(np.uint64), return_inverse=True)
+    root, before, word = (place[np.concatenate([a[i : len(a) - 2 + i] for a in parts])] for i in (1, 0, 2))
+    number = np.repeat(np.arange(len(rows), dtype=np.uint16), [len(a) - 2 for a in parts])
+    return Run(words, joined(root, before, word, len(words)), number, np.array(rows, np.int64))
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Run]:
+    """Runs of texts. A long text is several parts, which may lie in several runs; a text begins after two ends."""
+    numbers, parts, rows, held = Numbers(), [], [], 0
+    longest = max(1, RUN_TOKENS // 4)
     for batch in batches:
         for rid, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            keys.append(trigram_keys(words_of(text.as_py()), ids))
-            rows.append(rid)
-            held += len(keys[-1])
-            if held >= RUN_TOKENS or len(rows) >= RUN_TEXTS:
-                yield np.concatenate(keys), np.repeat(np.arange(len(rows), dtype=np.uint16), list(map(len, keys))), np.array(rows, np.int64)
-                keys, rows, held = [], [], 0
+            words = [END_TOKEN, END_TOKEN, *words_of(text.as_py()), END_TOKEN]
+            for at in range(0, len(words) - 2, longest):
+                part = words[at : at + longest + 2]
+                parts.append(np.fromiter(map(numbers.__getitem__, part), np.int64, len(part)))
+                rows.append(rid)
+                held += len(part) - 2
+                if held >= RUN_TOKENS or len(rows) >= RUN_TEXTS:
+                    yield _run(numbers, parts, rows)
+                    numbers, parts, rows, held = Numbers(), [], [], 0
     if rows:
-        yield np.concatenate(keys), np.repeat(np.arange(len(rows), dtype=np.uint16), list(map(len, keys))), np.array(rows, np.int64)
+        yield _run(numbers, parts, rows)
 
 
 @dataclass
@@ -356,32 +420,58 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
     spark = df.sparkSession
     texts = named_rows(df, key, text)
     counts = stored(count_words(texts), "word-counts")
-    whole = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when(F.col("h") == token_hash(END_TOKEN), F.col("n")))).first()
-    top = counts.filter(F.col("h") != token_hash(END_TOKEN)).orderBy(F.desc("n"), "h").limit(CLASSES).collect()
+    whole = counts.agg(F.sum("n"), F.count("*")).first()
+    top = counts.orderBy(F.desc("n"), "h").limit(CLASSES).collect()
+    often = counts.filter(F.col("n") > SHARD_TOKENS).collect()
+    often.sort(key=lambda r: r["h"] % (1 << 64))
     tokens = whole[0] or 0
+    column = lambda rows, name: np.array([r[name] for r in rows], np.int64)
     classes = Classes(
-        np.array([r["h"] for r in top], np.int64), np.array([r["n"] for r in top], np.int64), whole[2] or 0, tokens, whole[1],
-        max(1, -(-tokens // SHARD_TOKENS)),
+        column(top, "h").view(np.uint64), column(top, "n"), tokens, whole[1], max(1, -(-tokens // SHARD_TOKENS)),
+        column(often, "h").view(np.uint64), column(often, "n"),
     )
     shared = spark.sparkContext.broadcast(classes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for keys, _, _ in _runs(batches, ClassIds(own)):
-            distinct, n = np.unique(keys, return_counts=True)
-            yield _dealt(own, distinct, lambda at, d=distinct, m=n: (_deltas(d[at]), pack(m[at].astype(np.uint32))), ("keys", "counts"))
-
-    def build(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([_sums(unpack(b, np.uint64)) for b in table["keys"].to_pylist()])
+        for run in _runs(batches):
+            distinct, n = np.unique(run.keys, return_counts=True)
+            yield _dealt(shared.value, run.words, distinct, lambda at, m=n: (pack(m[at].astype(np.uint32)),), ("counts",))
+
+    def merge(table: pa.Table) -> pa.Table:
+        """The distinct trigrams of a shard, by number of its words."""
+        own = [_sums(unpack(b, np.uint64)) for b in table["words"].to_pylist()]
+        words = np.unique(np.concatenate(own))
+        at = [np.searchsorted(words, w) for w in own]
+        keys = [parted(_sums(unpack(b, np.uint64)), len(w)) for b, w in zip(table["keys"].to_pylist(), own, strict=True)]
+        root, before, word = (np.concatenate([a[k[i]] for a, k in zip(at, keys, strict=True)]) for i in range(3))
         n = np.concatenate([unpack(b, np.uint32) for b in table["counts"].to_pylist()]).astype(np.int64)
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        trie = build_shard(keys[first], np.add.reduceat(n, first), shared.value.unigram)
-        return pa.table({"shard": table["shard"][:1], "trie": pa.array([trie], pa.binary())})
-
-    dealt = texts.mapInArrow(count, "shard int, keys binary, counts binary")
-    return LanguageModel(classes, counts, stored(dealt.groupBy("shard").applyInArrow(build, "shard int, trie binary"), "tries"))
+        context = root * len(words) + before
+        order = np.lexsort((word, context))
+        context, word, n = context[order], word[order], n[order]
+        first = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])))
+        made = (_deltas(words), _deltas(context[first].astype(np.uint64)), pack(word[first].astype(np.uint32)), pack(np.add.reduceat(n, first)))
+        return pa.table([table["shard"][:1], *(pa.array([m], pa.binary()) for m in made)], names=["shard", "words", "contexts", "word", "counts"])
+
+    def words_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                h = _sums(unpack(words, np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), shard, np.int32)), pa.array(h)], ["shard", "h"])
+
+    def build(trigrams: pa.Table, known: pa.Table) -> pa.Table:
+        words = _sums(unpack(trigrams["words"][0].as_py(), np.uint64))
+        counted = np.zeros(len(words), np.int64)
+        counted[np.searchsorted(words, known["h"].to_numpy().view(np.uint64))] = known["n"].to_numpy()
+        root, before = np.divmod(_sums(unpack(trigrams["contexts"][0].as_py(), np.uint64)), np.uint64(len(words)))
+        word, n = unpack(trigrams["word"][0].as_py(), np.uint32), unpack(trigrams["counts"][0].as_py(), np.int64)
+        trie = build_trie(root, before, word, n, 10 ** shared.value.log_of(counted), words)
+        return pa.table({"shard": trigrams["shard"][:1], "trie": pa.array([trie], pa.binary())})
+
+    dealt = texts.mapInArrow(count, "shard int, words binary, keys binary, counts binary").groupBy("shard")
+    trigrams = stored(dealt.applyInArrow(merge, "shard int, words binary, contexts binary, word binary, counts binary"), "trigrams")
+    known = trigrams.select("shard", "words").mapInArrow(words_in, "shard int, h long").join(counts, "h").select("shard", "h", "n")
+    tries = trigrams.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(build, "shard int, trie binary")
+    return LanguageModel(classes, counts, stored(tries, "tries"))
 
 
 def _deltas(keys: np.ndarray) -> bytes:
@@ -392,126 +482,146 @@ def _sums(deltas: np.ndarray) -> np.ndarray:
     return np.cumsum(deltas, dtype=np.uint64)
 
 
-def _dealt(classes: Classes, keys: np.ndarray, columns, names: tuple[str, ...]) -> pa.RecordBatch:  # noqa: ANN001
-    """One row per shard that has some of the sorted keys, with what ``columns`` makes of their positions."""
-    shard = classes.shard_of(keys).astype(np.int32)
+def _dealt(classes: Classes, words: np.ndarray, keys: np.ndarray, columns, names: tuple[str, ...]) -> pa.RecordBatch:  # noqa: ANN001
+    """One row per shard that has some of the sorted keys: its words, its keys with their positions, and what ``columns`` makes of the places."""
+    root, before, word = parted(keys, len(words))
+    shard = classes.shard_of(words[root], words[before]).astype(np.int32)
     order = np.argsort(shard, kind="stable")
     own, first = np.unique(shard[order], return_index=True)
-    made = [columns(at) for at in np.split(order, first[1:])] if len(own) else []
-    arrays = [pa.array([m[i] for m in made], pa.binary()) for i in range(len(names))]
-    return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *arrays], ["shard", *names])
+    made = []
+    for at in np.split(order, first[1:]) if len(own) else []:
+        has, place = np.unique(np.concatenate([root[at], before[at], word[at]]), return_inverse=True)
+        made.append((_deltas(words[has]), _deltas(joined(*np.split(place, 3), len(has))), *columns(at)))
+    arrays = [pa.array([m[i] for m in made], pa.binary()) for i in range(len(names) + 2)]
+    return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *arrays], ["shard", "words", "keys", *names])
 
 
-def _class_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
-    """``_rid, lm``: sums of the logarithms of the classes' probabilities, in parts."""
+def _log_unigram(model: LanguageModel, rows: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """Rows with ``h`` joined with the counts of words, whether the word is known, and log10 of its unigram."""
+    c = model.classes
+    count = model.word_counts.select(F.col("h").alias("_h"), F.col("n").alias("_c"))
+    seen = F.coalesce(F.col("_c"), F.lit(0))
+    return rows.join(count, F.col("h") == F.col("_h"), "left"), seen > 0, F.log10((seen + 1) / F.lit(float(c.n_tokens + c.n_distinct + 1)))
+
+
+def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
+    """``_rid, lm``: sums of the logarithms of the words' probabilities, in parts."""
     shared = texts.sparkSession.sparkContext.broadcast(model.classes)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for keys, number, rids in _runs(batches, ClassIds(own)):
-            order = np.argsort(keys, kind="stable")
-            number = number[order]
-            distinct, first, n = np.unique(keys[order], return_index=True, return_counts=True)
+        for r in _runs(batches):
+            order = np.argsort(r.keys, kind="stable")
+            number = r.number[order]
+            distinct, first, n = np.unique(r.keys[order], return_index=True, return_counts=True)
 
             def columns(at: np.ndarray) -> tuple[bytes, ...]:
                 ends = np.cumsum(n[at])
                 where = np.arange(ends[-1]) + np.repeat(first[at] - ends + n[at], n[at])  # noqa: B023
-                return _deltas(distinct[at]), pack(n[at].astype(np.uint32)), pack(number[where])  # noqa: B023
+                return pack(n[at].astype(np.uint32)), pack(number[where])  # noqa: B023
 
-            run = signed(xxhash.xxh3_64_intdigest(rids.tobytes()))
-            dealt = _dealt(own, distinct, columns, ("keys", "counts", "numbers"))
+            run = signed(xxhash.xxh3_64_intdigest(r.rids.tobytes()))
+            dealt = _dealt(own, r.words, distinct, columns, ("counts", "numbers"))
             yield dealt.append_column("run", pa.array([run] * dealt.num_rows, pa.int64()))
             # Who the texts of the run are goes along under a negative number, past the shards.
-            names_ = pa.RecordBatch.from_arrays([pa.array([-1 - run % (4 * own.shards)], pa.int32()), *[pa.array([pack(rids)], pa.binary())] * 3], dealt.schema.names)
+            names_ = pa.RecordBatch.from_arrays([pa.array([-1 - run % (4 * own.shards)], pa.int32()), *[pa.array([pack(r.rids)], pa.binary())] * 4], dealt.schema.names)
             yield names_.append_column("run", pa.array([run], pa.int64()))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_unigram = np.log10(shared.value.unigram)
+        own = shared.value
         at, trie = None, None
+
+        def row(run: int, *values: bytes | None) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([run], pa.int64()), *(pa.array([v], pa.binary()) for v in values)], ["run", "texts", "sums", "open_texts", "open_words"])
+
         for batch in batches:
             for i in range(batch.num_rows):
-                shard, turn, keys, counts, numbers, run = (batch.column(c)[i].as_py() for c in range(6))
+                shard, turn, words, keys, counts, numbers, run = (batch.column(c)[i].as_py() for c in range(7))
                 if turn == 0:
-                    at, trie = shard, Shard(keys)
+                    at, trie = shard, Shard(words)
                     continue
                 if shard < 0:
-                    yield pa.RecordBatch.from_arrays([pa.array([run]), pa.array([keys]), pa.array([None], pa.binary())], ["run", "texts", "sums"])
+                    yield row(run, words, None, None, None)
                     continue
-                keys = _sums(unpack(keys, np.uint64))
+                words = _sums(unpack(words, np.uint64))
+                root, before, word = parted(_sums(unpack(keys, np.uint64)), len(words))
                 if at == shard:
-                    found = trie.log_p(keys, log_unigram)
+                    place = trie.numbers(words)
+                    found, missing = trie.look_up(place[root], place[before], place[word])
                 else:  # a shard that nothing was learned for
-                    found = log_unigram[(keys & np.uint64(0xFFFF)).astype(np.int64)]
-                number, place = np.unique(unpack(numbers, np.uint16), return_inverse=True)
-                sums = np.bincount(place, np.repeat(found, unpack(counts, np.uint32)), len(number))
-                answered = [pa.array([run]), pa.array([pack(number)]), pa.array([pack(sums)])]
-                yield pa.RecordBatch.from_arrays(answered, ["run", "texts", "sums"])
+                    found, missing = np.zeros(len(word)), np.ones(len(word), bool)
+                if len(own.hashes):
+                    near = np.minimum(np.searchsorted(own.hashes, words), len(own.hashes) - 1)
+                    cached = missing & (own.hashes[near] == words)[word]
+                    found = found + np.where(cached, own.log_unigram[near][word], 0.0)
+                    missing = missing & ~cached
+                counts, numbers = unpack(counts, np.uint32), unpack(numbers, np.uint16)
+                number, place = np.unique(numbers, return_inverse=True)
+                sums = np.bincount(place, np.repeat(found, counts), len(number))
+                still = np.repeat(missing, counts)
+                yield row(run, pack(number), pack(sums), pack(numbers[still]), pack(np.repeat(words[word], counts)[still]))
 
     def total(table: pa.Table) -> pa.Table:
-        """The sums of a run's texts over all shards. A run that repeats has its rows twice, and so its sums."""
+        """The sums of a run's texts over all shards, and tokens whose unigrams are to be added. A run that repeats has its rows twice, and so its sums."""
         texts_, sums = table["texts"].to_pylist(), table["sums"].to_pylist()
         rids = unpack(next(t for t, s in zip(texts_, sums, strict=True) if s is None), np.int64)
         out = np.zeros(len(rids))
         for t, s in zip(texts_, sums, strict=True):
             if s is not None:
                 out[unpack(t, np.uint16)] += unpack(s, np.float64)
-        return pa.table({"_rid": rids, "lm": out})
-
-    names = ("keys", "counts", "numbers")
-    asked = texts.mapInArrow(ask, "shard int, keys binary, counts binary, numbers binary, run long")
+        parts = [(unpack(t, np.uint16), unpack(w, np.uint64)) for t, w in zip(table["open_texts"].to_pylist(), table["open_words"].to_pylist(), strict=True) if t is not None]
+        text = np.concatenate([np.zeros(0, np.uint16), *(p[0] for p in parts)]).astype(np.int64)
+        words, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *(p[1] for p in parts)]), return_inverse=True)
+        open_, n = np.unique(place * len(rids) + text, return_counts=True)
+        word, text = np.divmod(open_, max(len(rids), 1))
+        h = pa.array([*[None] * len(rids), *words.view(np.int64)[word].tolist()], pa.int64())
+        return pa.table({"_rid": np.append(rids, rids[text]), "h": h, "n": np.append(np.zeros(len(rids), np.int64), n), "lm": np.append(out, np.zeros(len(n)))})
+
+    names = ("words", "keys", "counts", "numbers")
+    asked = texts.mapInArrow(ask, "shard int, words binary, keys binary, counts binary, numbers binary, run long")
     asked = asked.select("shard", F.lit(1).alias("turn"), *names, "run")
-    tries = model.tries.select("shard", F.lit(0).alias("turn"), F.col("trie").alias("keys"), *(F.lit(None).cast("binary").alias(c) for c in names[1:]), F.lit(None).cast("long").alias("run"))
+    tries = model.tries.select("shard", F.lit(0).alias("turn"), F.col("trie").alias("words"), *(F.lit(None).cast("binary").alias(c) for c in names[1:]), F.lit(None).cast("long").alias("run"))
     rows = tries.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "turn")
-    parts = rows.mapInArrow(answer, "run long, texts binary, sums binary")
-    return parts.groupBy("run").applyInArrow(total, "_rid long, lm double")
+    parts = rows.mapInArrow(answer, "run long, texts binary, sums binary, open_texts binary, open_words binary")
+    summed = stored(parts.groupBy("run").applyInArrow(total, "_rid long, h long, n long, lm double"), "trie-scores")
+    others, _, log_u = _log_unigram(model, summed.filter("h is not null"))
+    return summed.filter("h is null").select("_rid", "lm").unionByName(others.select("_rid", (F.col("n") * log_u).alias("lm")))
 
 
 def _word_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
-    """``_rid, n_tokens, n_known, base, other``: sums over tokens, frequent words at once and the others by a join.
-
-    ``base`` is the add-one unigram score, ``other`` the share of words of the one class within it.
-    """
+    """``_rid, n_tokens, n_known, base``: sums over tokens, frequent words at once and the others by a join."""
     shared = texts.sparkSession.sparkContext.broadcast(model.classes)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         ids = ClassIds(own)
-        base = np.log10((own.class_counts + 1) / (own.n_tokens + own.n_distinct + 1))
         for batch in batches:
             out = [[], [], [], [], []]
             for rid, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = words_of(text.as_py())
+                words = [*words_of(text.as_py()), END_TOKEN]
                 found = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-                known = found[found != OTHER]
-                others = Counter(words[i] for i in np.flatnonzero(found == OTHER))
+                known = found[found >= 0]
+                others = Counter(words[i] for i in np.flatnonzero(found < 0))
                 out[0] += [rid] * (len(others) + 1)
                 out[1] += [None, *map(token_hash, others)]
-                out[2] += [len(words) + 1, *others.values()]
-                out[3] += [len(known) + (own.n_end > 0)] + [0] * len(others)
-                out[4] += [float(base[known].sum() + base[END])] + [0.0] * len(others)
+                out[2] += [len(words), *others.values()]
+                out[3] += [len(known)] + [0] * len(others)
+                out[4] += [float(own.log_unigram[known].sum())] + [0.0] * len(others)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds, strict=True)], ["_rid", "h", "n", "known", "base"])
 
-    c = model.classes
     rows = stored(texts.mapInArrow(task, "_rid long, h long, n long, known long, base double"), "tokens")
-    count = model.word_counts.select(F.col("h").alias("_h"), F.col("n").alias("_c"))
-    others = rows.filter("h is not null").select("_rid", "h", "n").join(count, F.col("h") == F.col("_h"), "left")
-    seen = F.coalesce(F.col("_c"), F.lit(0))
-    log_base = F.log10((seen + 1) / F.lit(float(c.n_tokens + c.n_distinct + 1)))
-    log_other = F.log10((seen + 1) / F.lit(float(c.n_other + c.v_other + 1)))
-    others = others.select(
-        "_rid", F.lit(0).cast("long").alias("n_tokens"), F.when(seen > 0, F.col("n")).otherwise(0).alias("n_known"),
-        (F.col("n") * log_base).alias("base"), (F.col("n") * log_other).alias("other"),
-    )
-    local = rows.filter("h is null").select("_rid", F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), "base", F.lit(0.0).alias("other"))
+    others, known, log_u = _log_unigram(model, rows.filter("h is not null").select("_rid", "h", "n"))
+    others = others.select("_rid", F.lit(0).cast("long").alias("n_tokens"), F.when(known, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * log_u).alias("base"))
+    local = rows.filter("h is null").select("_rid", F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), "base")
     return local.unionByName(others)
 
 
 def score(df: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``key, n_tokens, n_known, train_tokens, base_score, score``, scores as log10."""
     texts = named_rows(df, key, text)
-    classes = _class_scores(texts, model).groupBy("_rid").agg(F.sum("lm").alias("lm"))
-    sums = _word_scores(texts, model).groupBy("_rid").agg(*(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "other")))
+    classes = _trie_scores(texts, model).groupBy("_rid").agg(F.sum("lm").alias("lm"))
+    sums = _word_scores(texts, model).groupBy("_rid").agg(*(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base")))
     names = df.select(F.col(key), F.xxhash64(F.col(key).cast("string"), F.coalesce(F.col(text), F.lit(""))).alias("_of"))
     names = stored(names, "row-names")
     copies = names.groupBy("_of").agg(F.count("*").alias("copies"))
@@ -520,7 +630,7 @@ def score(df: DataFrame, model: LanguageModel, key: str = "doc_id", text: str =
     return names.join(totals, F.col("_of") == F.col("_rid")).select(
         key, each("n_tokens", "long").alias("n_tokens"), each("n_known", "long").alias("n_known"),
         F.lit(model.classes.n_tokens).cast("long").alias("train_tokens"), each("base", "double").alias("base_score"),
-        ((F.col("lm") + F.col("other")) / F.col("copies")).alias("score"),
+        each("lm", "double").alias("score"),
     )
 
 

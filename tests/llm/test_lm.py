@@ -85,3 +85,52 @@ def test_awkward_rows(docs, no_docs):
     nothing = lm.train(no_docs)
     assert lm.score(no_docs, nothing).count() == 0
     assert lm.score(docs, nothing).filter(F.col("n_known") > 0).count() == 0
+
+
+def whole_model(learned, texts, least=1):
+    """Scores of the model on plain words, without classes, shards or codes."""
+    def trigrams(t):
+        w = [None, None, *(t or "").encode().lower().split(), None]
+        return list(zip(w, w[1:], w[2:], strict=False))
+
+    tri = Counter(x for t in learned for x in trigrams(t))
+    uni = Counter(x[2] for x in tri.elements())
+    bi = Counter((b, c) for _, b, c in tri)
+    d2, d3 = lm.discount(np.array(list(bi.values()))), lm.discount(np.array(list(tri.values())))
+    total, kinds, seen, share = Counter(), Counter(), Counter(), Counter()
+    for (b, _), n in bi.items():
+        total[b] += n
+        kinds[b] += 1
+    for (a, b, _), n in tri.items():
+        seen[a, b] += n
+    for (a, b, _), n in tri.items():
+        share[a, b] += (n - d3) / seen[a, b] * (n >= least)
+
+    def p(a, b, c):
+        low = (uni[c] + 1) / (sum(uni.values()) + len(uni) + 1)
+        if total[b]:
+            low = max(0, bi[b, c] - d2) / total[b] + d2 * kinds[b] / total[b] * low
+        n = tri[a, b, c]
+        return ((n - d3) / seen[a, b] if n >= least else 0) + (1 - share[a, b]) * low if seen[a, b] else low
+
+    return [sum(math.log10(p(*x)) for x in trigrams(t)) for t in texts]
+
+
+def zipf_rows(n=80):
+    rng = np.random.default_rng(7)
+    return [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 60) % 5000)) for i in range(n)]
+
+
+def compare_with_whole_model(spark, least):
+    rows = zipf_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["score"] for r in lm.score(df, lm.train(df.filter("doc_id % 4 <> 0"))).collect()}
+    want = whole_model([t for i, t in rows if i % 4], [t for _, t in rows], least)
+    off = [abs(found[i] - w) / 61 for (i, _), w in zip(rows, want, strict=True)]
+    assert max(off) < 0.01
+
+
+def test_rare_words_are_words_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CLASSES", 5)
+    monkeypatch.setattr(lm, "RUN_TOKENS", 200)  # texts in several parts
+    compare_with_whole_model(spark, lm.LEAST_TRIGRAM)

@@ -5,8 +5,9 @@ are interpolated with absolute discounting: trigrams on bigrams with continuatio
 trigrams are counted; those met once keep no entry of their own, their mass goes to the bigram (``LEAST_TRIGRAM``).
 
 The trie is dealt into shards by the word before the predicted one; a word with more than a shard's share of all tokens is
-dealt further by the word before it, and each of its shards then holds a distribution of its own, so no shard outgrows
-``SHARD_TOKENS`` by much. In a shard, roots are words; below them lie successors, and contexts (the word before the root)
+dealt further by the word before it. Each of its shards then has a part of its trigrams and the same whole bigram
+level, from counts over all shards; discounts are those of all counts. So the size of shards changes no probability.
+In a shard, roots are words; below them lie successors, and contexts (the word before the root)
 with their children. Each level is a monotone sequence of parent and child in Elias-Fano form, low bits packed and high
 bits in unary. A child is the rank of the word among the root's successors, which the successor level's pointers give.
 Probabilities and back-off weights are 8-bit codes into codebooks. Tasks write a shard's bytes to a temporary file,
@@ -29,11 +30,12 @@ import json
 import sys
 import tempfile
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -152,7 +154,10 @@ def codebook(values: np.ndarray, name: str) -> Arrays:
 
 
 def discount(counts: np.ndarray) -> float:
-    once, twice = float((counts == 1).sum()), float((counts == 2).sum())
+    return discount_of((counts == 1).sum(), (counts == 2).sum())
+
+
+def discount_of(once: float, twice: float) -> float:
     return min(0.95, max(0.1, once / (once + 2 * twice))) if once + twice else 0.5
 
 
@@ -162,19 +167,28 @@ def build_shard(keys: np.ndarray, n: np.ndarray, unigram: np.ndarray) -> bytes:
     return build_trie(*numbers, n, unigram)
 
 
-def build_trie(root: np.ndarray, before: np.ndarray, word: np.ndarray, n: np.ndarray, unigram: np.ndarray, words: np.ndarray | None = None) -> bytes:
+def build_trie(
+    root: np.ndarray, before: np.ndarray, word: np.ndarray, n: np.ndarray, unigram: np.ndarray,
+    words: np.ndarray | None = None, discounts: tuple[float, float] | None = None, lower: Sequence[np.ndarray] | None = None,
+) -> bytes:
     """The trie of trigrams, sorted by root, word before it and predicted word, which are positions in ``unigram``.
 
-    ``words`` has the hashes of the words at these positions.
+    ``words`` has the hashes of the words at these positions, ``discounts`` those of bigrams and trigrams, and ``lower`` the
+    bigrams (root, word, number of contexts) of the roots whose contexts are not all here.
     """
     base = np.uint64(len(unigram) + 1)  # one number is left for words that the shard does not have
     root, before, word = root.astype(np.uint64), before.astype(np.uint64), word.astype(np.uint64)
     context = root * base + before
     pairs, continued = np.unique(root * base + word, return_counts=True)
+    if lower is not None:
+        own = ~np.isin(pairs // base, np.unique(lower[0]))
+        pairs = np.concatenate([pairs[own], lower[0].astype(np.uint64) * base + lower[1].astype(np.uint64)])
+        order = np.argsort(pairs)
+        pairs, continued = pairs[order], np.concatenate([continued[own], lower[2]])[order]
     roots, first, kinds = np.unique(pairs // base, return_index=True, return_counts=True)
     total = np.add.reduceat(continued, first) if len(first) else np.zeros(0)
     at_root = np.repeat(np.arange(len(roots)), kinds)
-    d2, d3 = discount(continued), discount(n)
+    d2, d3 = discounts or (discount(continued), discount(n))
     back2 = d2 * kinds / np.maximum(total, 1)
     p2 = (continued - d2) / total[at_root] + back2[at_root] * unigram[(pairs % base).astype(np.int64)]
     contexts, begin = np.unique(context, return_index=True)
@@ -298,6 +312,15 @@ class Classes:
             at = np.minimum(np.searchsorted(self.frequent, root), len(self.frequent) - 1)
             hit = np.flatnonzero(self.frequent[at] == root)
             slot[hit] = ((before[hit] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)) % self.slots[at[hit]]
+        return self._mixed(root, slot)
+
+    def shards_of_frequent(self) -> list[tuple[int, int]]:
+        """The frequent roots' hashes, as signed numbers, with each shard that they are dealt to."""
+        root, slots = np.repeat(self.frequent, self.slots.astype(np.int64)), [np.arange(int(k), dtype=np.uint64) for k in self.slots]
+        shards = self._mixed(root, np.concatenate([np.zeros(0, np.uint64), *slots]))
+        return sorted(set(zip(root.view(np.int64).tolist(), shards.tolist(), strict=True)))
+
+    def _mixed(self, root: np.ndarray, slot: np.ndarray) -> np.ndarray:
         mixed = (root * np.uint64(0xBF58476D1CE4E5B9)) ^ (slot * np.uint64(0x94D049BB133111EB))
         mixed ^= mixed >> np.uint64(29)
         return ((mixed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(self.shards)
@@ -438,7 +461,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
             yield _dealt(shared.value, run.words, distinct, lambda at, m=n: (pack(m[at].astype(np.uint32)),), ("counts",))
 
     def merge(table: pa.Table) -> pa.Table:
-        """The distinct trigrams of a shard, by number of its words."""
+        """The distinct trigrams of a shard, by number of its words, and how many trigrams and bigrams of its own were met once and twice."""
         own = [_sums(unpack(b, np.uint64)) for b in table["words"].to_pylist()]
         words = np.unique(np.concatenate(own))
         at = [np.searchsorted(words, w) for w in own]
@@ -449,8 +472,27 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
         order = np.lexsort((word, context))
         context, word, n = context[order], word[order], n[order]
         first = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])))
-        made = (_deltas(words), _deltas(context[first].astype(np.uint64)), pack(word[first].astype(np.uint32)), pack(np.add.reduceat(n, first)))
-        return pa.table([table["shard"][:1], *(pa.array([m], pa.binary()) for m in made)], names=["shard", "words", "contexts", "word", "counts"])
+        context, word, n = context[first], word[first], np.add.reduceat(n, first)
+        root = context // len(words)
+        whole_ = ~np.isin(words[root], shared.value.frequent)
+        continued = np.unique((root * len(words) + word)[whole_], return_counts=True)[1]
+        made = (_deltas(words), _deltas(context.astype(np.uint64)), pack(word.astype(np.uint32)), pack(n))
+        met = ((continued == 1).sum(), (continued == 2).sum(), (n == 1).sum(), (n == 2).sum())
+        return pa.table(
+            [table["shard"][:1], *(pa.array([m], pa.binary()) for m in made), *(pa.array([int(m)]) for m in met)],
+            names=["shard", "words", "contexts", "word", "counts", "once2", "twice2", "once3", "twice3"],
+        )
+
+    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bigrams of the roots that are dealt to several shards, with the number of their contexts in each."""
+        for batch in batches:
+            for words, contexts, word in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = _sums(unpack(words, np.uint64))
+                root = (_sums(unpack(contexts, np.uint64)) // np.uint64(len(words))).astype(np.int64)
+                at = np.flatnonzero(np.isin(words[root], shared.value.frequent))
+                pairs, n = np.unique(root[at] * len(words) + unpack(word, np.uint32)[at], return_counts=True)
+                pair = [pa.array(words[x].view(np.int64)) for x in np.divmod(pairs, len(words))]
+                yield pa.RecordBatch.from_arrays([*pair, pa.array(n.astype(np.int64))], ["root", "h", "n"])
 
     def words_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -458,19 +500,43 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
                 h = _sums(unpack(words, np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), shard, np.int32)), pa.array(h)], ["shard", "h"])
 
-    def build(trigrams: pa.Table, known: pa.Table) -> pa.Table:
-        words = _sums(unpack(trigrams["words"][0].as_py(), np.uint64))
-        counted = np.zeros(len(words), np.int64)
-        counted[np.searchsorted(words, known["h"].to_numpy().view(np.uint64))] = known["n"].to_numpy()
-        root, before = np.divmod(_sums(unpack(trigrams["contexts"][0].as_py(), np.uint64)), np.uint64(len(words)))
-        word, n = unpack(trigrams["word"][0].as_py(), np.uint32), unpack(trigrams["counts"][0].as_py(), np.int64)
-        trie = build_trie(root, before, word, n, 10 ** shared.value.log_of(counted), words)
-        return pa.table({"shard": trigrams["shard"][:1], "trie": pa.array([trie], pa.binary())})
+    def build(trigrams: pa.Table, facts: pa.Table) -> pa.Table:
+        """The trie, from at most one row of trigrams, the counts of all words in it, and whole bigram levels of frequent roots."""
+        hashes = lambda t, name: t[name].to_numpy().view(np.uint64)
+        known, below = facts.filter(pc.field("root").is_null()), facts.filter(~pc.field("root").is_null())
+        words, counted = hashes(known, "h"), known["n"].to_numpy()
+        order = np.argsort(words)
+        words, counted = words[order], counted[order]
+        root = before = word = n = np.zeros(0, np.int64)
+        if trigrams.num_rows:
+            own = np.searchsorted(words, _sums(unpack(trigrams["words"][0].as_py(), np.uint64)))
+            root, before = (own[x.astype(np.int64)] for x in np.divmod(_sums(unpack(trigrams["contexts"][0].as_py(), np.uint64)), np.uint64(len(own))))
+            word, n = own[unpack(trigrams["word"][0].as_py(), np.uint32)], unpack(trigrams["counts"][0].as_py(), np.int64)
+        lower = (np.searchsorted(words, hashes(below, "root")), np.searchsorted(words, hashes(below, "h")), below["n"].to_numpy())
+        trie = build_trie(root, before, word, n, 10 ** shared.value.log_of(counted), words, discounts, lower)
+        return pa.table({"shard": facts["shard"][:1], "trie": pa.array([trie], pa.binary())})
 
     dealt = texts.mapInArrow(count, "shard int, words binary, keys binary, counts binary").groupBy("shard")
-    trigrams = stored(dealt.applyInArrow(merge, "shard int, words binary, contexts binary, word binary, counts binary"), "trigrams")
-    known = trigrams.select("shard", "words").mapInArrow(words_in, "shard int, h long").join(counts, "h").select("shard", "h", "n")
-    tries = trigrams.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(build, "shard int, trie binary")
+    met = ("once2", "twice2", "once3", "twice3")
+    columns = "shard int, words binary, contexts binary, word binary, counts binary, " + ", ".join(f"{m} long" for m in met)
+    trigrams = stored(dealt.applyInArrow(merge, columns), "trigrams")
+    found = trigrams.agg(*(F.coalesce(F.sum(m), F.lit(0)) for m in met)).first()
+    known = trigrams.select("shard", "words").mapInArrow(words_in, "shard int, h long")
+    spread = classes.shards_of_frequent()
+    below, more = [], (0, 0)
+    if spread:
+        shards = F.broadcast(spark.createDataFrame(spread, "root long, shard int"))
+        lower = trigrams.select("words", "contexts", "word").mapInArrow(bigrams, "root long, h long, n long")
+        lower = stored(lower.groupBy("root", "h").agg(F.sum("n").alias("n")), "frequent-bigrams")
+        more = lower.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
+        below = [lower.join(shards, "root").select("shard", "root", "h", "n")]
+        known = known.union(below[0].select("shard", "h")).union(shards.select("shard", "root")).distinct()
+    discounts = discount_of(found[0] + more[0], found[1] + more[1]), discount_of(found[2], found[3])
+    facts = known.join(counts, "h").select("shard", F.lit(None).cast("long").alias("root"), "h", "n")
+    for b in below:
+        facts = facts.union(b)
+    packed = trigrams.drop(*met).groupBy("shard")
+    tries = packed.cogroup(facts.groupBy("shard")).applyInArrow(build, "shard int, trie binary")
     return LanguageModel(classes, counts, stored(tries, "tries"))
 
 

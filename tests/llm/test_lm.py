@@ -134,3 +134,8 @@ def test_rare_words_are_words_of_their_own(spark, monkeypatch):
     monkeypatch.setattr(lm, "CLASSES", 5)
     monkeypatch.setattr(lm, "RUN_TOKENS", 200)  # texts in several parts
     compare_with_whole_model(spark, lm.LEAST_TRIGRAM)
+
+
+def test_shards_of_frequent_roots_share_their_bigrams(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 300)
+    compare_with_whole_model(spark, lm.LEAST_TRIGRAM)

@@ -7,7 +7,7 @@ words of class, id and role. A decision tree that Spark ML fits to the labelled
 blocks are main text. The tree has a few nodes and is sent to the tasks as nested tuples; pages are independent rows.
 
 Defined results: null or empty html gives an empty text; unclosed and stray tags are tolerated; an unclosed script,
-style or comment reaches to the end of the page; white space inside a block, including line breaks and no-break
+style or comment reaches to the end of the page; an unclosed head ends where text or an element of the body begins; white space inside a block, including line breaks and no-break
 spaces, becomes one space; repeated rows give equal texts; empty tables give empty results. A column of the input named
 like the result is replaced.
 """
@@ -32,7 +32,9 @@ ROWS_BACK = 512
 FEATURES = ("marked", "inside", "outside", "heading", "words", "links", "words_before", "links_before", "words_after", "links_after")
 
 #: Elements whose content is never text, elements that begin a block, and elements without content.
-SILENT = frozenset("script style noscript template svg math iframe object head title textarea select button canvas audio video".split())
+SILENT = frozenset("script style noscript template svg math iframe object title textarea select button canvas audio video".split())
+#: Elements of a head; any other one, and text, end a head that is not closed.
+OF_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td "
@@ -71,6 +73,7 @@ LABELLED = (
 )
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I) for tag in SILENT}
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
@@ -110,7 +113,7 @@ def _marked(tag: str, attributes: str, inside: bool) -> bool:
 def blocks(page: str) -> list[tuple]:
     """``(text, marked, in article, heading, words, words in links)`` of each block with text, in page order."""
     out, stack, depth = [], [], Counter()  # stack of (tag, marked); depth: open tags by name, and marked ones
-    pieces, linked, state = [], [], None
+    pieces, linked, in_head = [], [], False
     heading = False
 
     def flush() -> None:
@@ -123,7 +126,7 @@ def blocks(page: str) -> list[tuple]:
         pieces, linked = [], []
 
     def say(raw: str) -> None:
-        if raw and state is None:
+        if raw:
             pieces.append(raw)
             if depth["a"]:
                 linked.append(raw)
@@ -139,18 +142,16 @@ def blocks(page: str) -> list[tuple]:
         heading = any(depth[h] for h in ("h1", "h2", "h3", "h4", "h5", "h6"))
 
     at = 0
-    for m in _TAG.finditer(page):
-        if m.start() < at:
-            continue
-        if state is not None:  # inside a silent element: only its own end counts
-            if m[2] and m[1] and m[2].lower() == state:
-                state, at = None, m.end()
-            continue
-        say(page[at : m.start()])
-        at = m.end()
+    while m := _TAG.search(page, at):
+        text, at = page[at : m.start()], m.end()
+        if in_head:
+            in_head = not text.strip() and (m[2] is None or bool(m[1]) or m[2].lower() in OF_HEAD) and not (m[1] and m[2].lower() in ("head", "body", "html"))
+        if not in_head:
+            say(text)
         if m[2] is None:
             if m[0].startswith("<![CDATA["):
                 end = page.find("]]>", at)
+                in_head = False
                 say(html.escape(page[at : end if end >= 0 else len(page)]))
                 at = end + 3 if end >= 0 else len(page)
             continue
@@ -170,9 +171,13 @@ def blocks(page: str) -> list[tuple]:
                     close(implied)
         if tag in VOID:
             continue
-        if tag in SILENT:
+        if tag in SILENT:  # only its own end counts, whatever else looks like a tag
             if not m[3].rstrip().endswith("/"):
-                state = tag
+                end = _ENDS[tag].search(page, at)
+                at = end.end() if end else len(page)
+            continue
+        if tag == "head":
+            in_head = True
             continue
         if tag == "a" and depth["a"]:
             while depth["a"]:
@@ -183,8 +188,7 @@ def blocks(page: str) -> list[tuple]:
         depth["*"] += mark
         if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             heading = True
-    if state is None:
-        say(page[at:])
+    say(page[at:])
     flush()
     return out
 

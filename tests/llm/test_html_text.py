@@ -57,3 +57,16 @@ def test_awkward_rows(spark):
     assert [r["text"] for r in found[:2]] == ["", ""] and found[2] == found[3]
     assert found[4]["text"].count("\n") == 29_999
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<script>for(var i=0;i<n;i++){f(i)}</script><article>the text</article>", "<script>if(a<b)c();</SCRIPT ><article>the text</article>",
+        "<script>x='<!--'</script><article>the text</article>", "<style>a<b</style><article>the text<script>y<z '</script></article>",
+        "<head><title>T</title><meta charset=utf-8><article>the text</article>", "<head><script>i<n</script><body><article>the text</article>",
+        "<head><title>T</title><body><main>the text", "<head><title>a<b</title></head><article>the text</article>",
+    ],
+)
+def test_code_and_open_heads_silence_no_text(tree, page):
+    assert html_text.main_text(page, tree) == "the text"

@@ -1,11 +1,12 @@
 """URL verdicts from rules, and from trust that spreads over links between hosts, in column expressions only.
 
 A rule fits a host and its subdomains below a path; the longest decides. For urls without one, hosts are judged: a host
-with most of its pages allowed by rules is trusted, one with most of them blocked is not. Trust follows links
-(personalised PageRank from the trusted hosts), distrust goes against them, to hosts that link to blocked ones.
-Both are sums over walks, ``(1 - DAMPING) * DAMPING ** steps`` for each host at the start; a walk that reaches
-a host without links ends. A host is blocked if its distrust is above its trust and at least ``THRESHOLD`` of what a
-blocked host gives itself.
+with most of its pages allowed by rules is trusted, one with most of them blocked is not; hosts without pages are
+judged so by the urls that link to them. Trust follows links (personalised PageRank from the trusted hosts): ``(1 - DAMPING)
+* DAMPING ** steps`` for each walk from a trusted host. Distrust of a host is the sum of the same over the blocked hosts that
+a walk from it meets, so it is a matter of the share of its own links, however many others link to the same
+hosts. A walk that reaches a host without links ends. A host is blocked if its distrust is above its trust and at
+least ``THRESHOLD`` of what a blocked host gives itself.
 
 Links are counted per pair of hosts before anything is joined, so the graph has as many rows as hosts have links to
 different hosts. Each step is one join and one sum with partial sums, stored in the shared folder.
@@ -29,8 +30,8 @@ from siltworks.session import stored
 DAMPING = 0.85
 STEPS = 12
 THRESHOLD = 0.2
-#: Hosts of links with a scheme, or with two slashes.
-LINK = "(?i)<a\\s[^>]*?href\\s*=\\s*[\"']?\\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\\s>]+)"
+#: Host and path of links with a scheme, or with two slashes.
+LINK = "(?i)<a\\s[^>]*?href\\s*=\\s*[\"']?\\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\\s>]+(?:/[^?#\"'\\s>]*)?)"
 
 
 @dataclass(frozen=True)
@@ -72,20 +73,31 @@ def longest_rule(rules: Sequence[UrlRule], host: str = "host", path: str = "path
     return F.array_max(F.array(*every))
 
 
-def host_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``src, dst, pages``: how many pages of a host link to another."""
-    hosts = F.array_distinct(F.transform(F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(1)), lower_ascii))
-    pairs = pages.select(F.col("host").alias("src"), F.explode(hosts).alias("dst"))
-    return pairs.filter("src <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("pages"))
+def host_links(pages: DataFrame, html: str = "html", rules: Sequence[UrlRule] = ()) -> DataFrame:
+    """``src, dst, pages, urls, allowed, blocked``: how many pages of a host link to another, and to how many urls a page,
+
+    with how many of these the rules allow and block.
+    """
+    urls = F.array_distinct(F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(1)))
+    host = lambda u: lower_ascii(F.regexp_extract(u, "^[^/]*", 0))
+    one = lambda dst, path: F.struct(dst.alias("dst"), path.cast("string").alias("path"))
+    targets = F.array_distinct(F.transform(urls, lambda u: one(host(u), F.regexp_extract(u, "/.*$", 0))))
+    hosts = F.array_distinct(F.transform(urls, lambda u: one(host(u), F.lit(None))))  # without a path: the page itself
+    pairs = pages.select(F.col("host").alias("src"), F.explode(F.concat(hosts, targets)).alias("_to")).select("src", "_to.*")
+    verdict = longest_rule(rules, "dst")["verdict"]
+    pairs = pairs.filter("src <> '' and src <> dst").withColumn("_verdict", F.when(F.col("path").isNotNull(), verdict))
+    return pairs.groupBy("src", "dst").agg(
+        F.count_if(F.col("path").isNull()).alias("pages"), F.count("path").alias("urls"),
+        F.count_if(F.col("_verdict") == "allow").alias("allowed"), F.count_if(F.col("_verdict") == "block").alias("blocked"),
+    )
 
 
 def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
     """``host, trust, distrust`` after ``steps`` steps from ``seeds``, which has the same columns."""
     out = links.groupBy(F.col("src").alias("_s")).agg(F.sum("pages").alias("_out"))
-    into = links.groupBy(F.col("dst").alias("_d")).agg(F.sum("pages").alias("_in"))
-    edges = links.join(out, F.col("src") == F.col("_s")).join(into, F.col("dst") == F.col("_d"))
+    edges = links.join(out, F.col("src") == F.col("_s"))
     forth = edges.select(F.col("src").alias("_from"), F.col("dst").alias("_to"), (F.col("pages") / F.col("_out")).alias("_t"), F.lit(0.0).alias("_b"))
-    back = edges.select(F.col("dst").alias("_from"), F.col("src").alias("_to"), F.lit(0.0).alias("_t"), (F.col("pages") / F.col("_in")).alias("_b"))
+    back = edges.select(F.col("dst").alias("_from"), F.col("src").alias("_to"), F.lit(0.0).alias("_t"), (F.col("pages") / F.col("_out")).alias("_b"))
     both = stored(forth.unionByName(back), "host-edges")
     own = seeds.select("host", ((1 - damping) * F.col("trust")).alias("trust"), ((1 - damping) * F.col("distrust")).alias("distrust"))
     now = own
@@ -107,11 +119,14 @@ def judge(pages: DataFrame, rules: Sequence[UrlRule], key: str = "page_id", url:
     parsed = pages.select(F.col(key), host_of(url).alias("host"), path_of(url).alias("path"), F.col(html).alias("_html"))
     ruled = parsed.withColumn("_rule", longest_rule(rules))
     part = lambda verdict: F.avg(F.when(F.col("_rule.verdict") == verdict, 1.0).otherwise(0.0))
+    links = stored(host_links(parsed, "_html", rules), "host-links")
     hosts = ruled.filter("host <> ''").groupBy("host").agg(part("allow").alias("_allowed"), part("block").alias("_blocked"))
+    linked = links.groupBy(F.col("dst").alias("host")).agg(*((F.sum(c) / F.sum("urls")).alias(f"_{c}") for c in ("allowed", "blocked")))
+    hosts = hosts.unionByName(linked.join(hosts.select("host"), "host", "left_anti"))
     seeds = hosts.filter("_allowed > 0.5 or _blocked > 0.5").select(
         "host", (F.col("_allowed") > 0.5).cast("double").alias("trust"), (F.col("_blocked") > 0.5).cast("double").alias("distrust")
     )
-    scores = spread(stored(host_links(parsed, "_html"), "host-links"), stored(seeds, "host-seeds"))
+    scores = spread(links, stored(seeds, "host-seeds"))
     scores = scores.withColumnRenamed("host", "_host")
     blocked = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= THRESHOLD * (1 - DAMPING))
     judged = F.when(F.coalesce(blocked, F.lit(False)), "block").otherwise("allow")

@@ -101,3 +101,16 @@ def test_empty_and_without_rules(spark):
 def test_parts(spark, url, host, path):
     row = spark.createDataFrame([(url,)], "url string").select(url_filter.host_of("url"), url_filter.path_of("url")).first()
     assert tuple(row) == (host, path) == split(url)
+
+
+def test_many_linkers_and_targets_without_pages(spark):
+    to = lambda *urls: "".join(f'<a href="http://{u}">x</a>' for u in urls)
+    rows = [(0, "http://hub.net/es/", "")]
+    rows += [(i, f"http://farm{i}.org/", to("hub.net/es/")) for i in range(1, 301)]
+    rows += [(i, f"http://mixed{i}.org/", to("hub.net/es/", *(f"good{k}.org/a" for k in range(9)))) for i in range(301, 401)]
+    rows += [(401, "http://one.org/", to("unseen.net/fr/x", "unseen.net/fr/y")), (402, "http://two.org/", to("free.net/en/x", "other.net/"))]
+    df = spark.createDataFrame([(*r, "h", "t") for r in rows], SCHEMA)
+    found = {r["page_id"]: r["verdict"] for r in url_filter.judge(df, queries.URL_RULES).collect()}
+    assert {found[i] for i in range(1, 301)} == {"block"}  # however many link to it
+    assert {found[i] for i in range(301, 401)} == {"allow"}  # one link of ten
+    assert (found[401], found[402]) == ("block", "allow")

@@ -2,7 +2,7 @@
 
 The model is a trigram model over all words met in training, an end mark, and one class for words never met. Probabilities
 are interpolated with absolute discounting: trigrams on bigrams with continuation counts on add-one unigrams. All
-trigrams are counted; those met once keep no entry of their own, their mass goes to the bigram (``LEAST_TRIGRAM``).
+trigrams that are counted have an entry; ``LEAST_TRIGRAM`` names the count from which they do.
 
 The trie is dealt into shards by the word before the predicted one; a word with more than a shard's share of all tokens is
 dealt further by the word before it. Each of its shards then has a part of its trigrams and the same whole bigram
@@ -46,7 +46,7 @@ from siltworks.session import stored
 
 #: Words whose counts tasks have at hand. A cache: scores do not depend on it.
 CLASSES = (1 << 16) - 2
-LEAST_TRIGRAM = 2
+LEAST_TRIGRAM = 1
 SHARD_TOKENS = 2_000_000
 #: Tokens, and texts, of which trigrams are packed together. Keys hold three numbers below 2 ** 21, so a run has fewer words.
 RUN_TOKENS, RUN_TEXTS = 1_500_000, 60_000

@@ -139,3 +139,7 @@ def test_rare_words_are_words_of_their_own(spark, monkeypatch):
 def test_shards_of_frequent_roots_share_their_bigrams(spark, monkeypatch):
     monkeypatch.setattr(lm, "SHARD_TOKENS", 300)
     compare_with_whole_model(spark, lm.LEAST_TRIGRAM)
+
+
+def test_trigrams_met_once_have_entries(spark):
+    compare_with_whole_model(spark, 1)

@@ -6,7 +6,8 @@ once, one bit at a time, until the rows that share a prefix of that length reach
 without a cap, are candidates, and their exact distances decide.
 
 In Spark a tree is dealt by its first bits, as many as leave ``BLOCK`` rows to a part; a part with more (vectors that
-crowd together) is dealt into blocks, to each of which its queries go. Counts per prefix length add up over
+crowd together) is dealt into blocks, to each of which its queries go. Queries that need a shorter prefix than that are dealt
+again by half as many bits, down to none, so the parts bound the work and no query's candidates. Counts per prefix length add up over
 blocks and trees to the length at which a query stops, and the nearest of each block are merged, so no task holds
 more than a block. Equal vectors are one entry that lists their smallest ids, since only ``k + 1`` of these can be among
 a query's nearest, so one vector that makes up a third of all rows costs no more than any other.
@@ -180,24 +181,10 @@ def search(
     cut = {d: max(0, min(tuned.get(d, (0, 0))[1], int(math.log2(max(1, n / BLOCK))))) for d, n in sizes.items()}
     if not sizes:
         sizes = cut = {0: 0}
-    depth = F.element_at(F.create_map(*[F.lit(x) for pair in cut.items() for x in pair]), F.col("dim"))
     enough = {d: tuned.get(d, (k, 0))[0] for d in sizes}
+    by_dim = lambda of: F.element_at(F.create_map(*[F.lit(x) for pair in of.items() for x in pair]), F.col("dim"))
     tree = ["tree", "dim", "part"]
-
-    def in_trees(rows: DataFrame) -> DataFrame:
-        out = rows.select("vid", "first", "dim", "x", F.posexplode("codes").alias("tree", "code"))
-        return out.withColumn("part", F.floor(F.col("code") / F.pow(F.lit(2.0), F.lit(BITS) - depth)).cast("long"))
-
-    rows, ask = in_trees(index), stored(in_trees(index.join(queries, "vid")), "asked")
-    parts = rows.groupBy(*tree).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    asks = ask.groupBy(*tree).agg(F.ceil(F.count("*") / QUERIES).alias("rounds"))
-    parts = stored(parts.join(asks, tree), "parts")
-    block = F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int")
-    turn = F.pmod(F.xxhash64("vid", F.lit(1)), F.col("rounds")).cast("int")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
     where = [*tree, "block", "turn"]
-    rows = rows.join(parts, tree).withColumn("block", block).withColumn("turn", upto("rounds"))
-    ask = ask.join(parts, tree).withColumn("turn", turn).withColumn("block", upto("blocks"))
 
     def counted(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         codes = np.sort(left["code"].to_numpy())
@@ -208,14 +195,6 @@ def search(
             shared[:, b] = np.searchsorted(codes, low + (1 << (BITS - b))) - np.searchsorted(codes, low)
         return pa.table({"vid": right["vid"], "shared": pa.array(list(shared), pa.list_(pa.int64()))})
 
-    slim = [*where, "vid", "code"]
-    pieces = rows.select(*slim).groupBy(*where).cogroup(ask.select(*slim).groupBy(*where)).applyInArrow(counted, "vid long, shared array<long>")
-    total = pieces.select("vid", F.posexplode("shared").alias("bits", "n")).groupBy("vid", "bits").agg(F.sum("n").alias("n"))
-    wanted = F.element_at(F.create_map(*[F.lit(x) for pair in enough.items() for x in pair]), F.col("dim"))
-    reached = total.join(index.select("vid", "dim"), "vid").filter(F.col("n") - TREES >= wanted)  # without the query itself
-    stops = stored(reached.groupBy("vid").agg(F.max("bits").alias("stop")), "stops")
-    ask = ask.join(stops, "vid", "left").withColumn("stop", F.coalesce("stop", F.lit(0)))
-
     def nearest(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.sort_by("code")
         codes, vids, firsts = (left[c].to_numpy() for c in ("code", "vid", "first"))
@@ -233,9 +212,39 @@ def search(
         kinds = (("qid", pa.int64()), ("vid", pa.int64()), ("score", pa.float64()))
         return pa.table({n: pa.array([o[i] for o in out], t) for i, (n, t) in enumerate(kinds)})
 
-    left = rows.select(*where, "vid", "first", "code", "x").groupBy(*where)
-    right = ask.select(*where, "vid", "code", "stop", "x").groupBy(*where)
-    near = left.cogroup(right).applyInArrow(nearest, "qid long, vid long, score double").distinct()
+    def in_trees(rows: DataFrame, cut: dict[int, int]) -> DataFrame:
+        out = rows.select("vid", "first", "dim", "x", F.posexplode("codes").alias("tree", "code"))
+        return out.withColumn("part", F.floor(F.col("code") / F.pow(F.lit(2.0), F.lit(BITS) - by_dim(cut))).cast("long"))
+
+    def found_in_parts(asking: DataFrame, cut: dict[int, int]) -> tuple[DataFrame, DataFrame]:
+        """What the queries find in trees dealt by ``cut`` bits, and those of them that need a shorter prefix."""
+        rows, ask = in_trees(index, cut), stored(in_trees(index.join(asking, "vid"), cut), "asked")
+        parts = rows.groupBy(*tree).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        asks = ask.groupBy(*tree).agg(F.ceil(F.count("*") / QUERIES).alias("rounds"))
+        parts = stored(parts.join(asks, tree), "parts")
+        block = F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int")
+        turn = F.pmod(F.xxhash64("vid", F.lit(1)), F.col("rounds")).cast("int")
+        upto = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
+        rows = rows.join(parts, tree).withColumn("block", block).withColumn("turn", upto("rounds"))
+        ask = ask.join(parts, tree).withColumn("turn", turn).withColumn("block", upto("blocks"))
+        slim = [*where, "vid", "code"]
+        pieces = rows.select(*slim).groupBy(*where).cogroup(ask.select(*slim).groupBy(*where)).applyInArrow(counted, "vid long, shared array<long>")
+        total = pieces.select("vid", F.posexplode("shared").alias("bits", "n")).groupBy("vid", "bits").agg(F.sum("n").alias("n"))
+        at = total.join(index.select("vid", "dim"), "vid").groupBy("vid", "dim")
+        reached = F.col("n") - TREES >= by_dim(enough)  # without the query itself
+        stops = stored(at.agg(F.max(F.when(reached, F.col("bits"))).alias("stop")), "stops")
+        short = F.col("stop").isNull() & (by_dim(cut) > 0)
+        ask = ask.join(stops.filter(~short).select("vid", F.coalesce("stop", F.lit(0)).alias("stop")), "vid")
+        left = rows.select(*where, "vid", "first", "code", "x").groupBy(*where)
+        right = ask.select(*where, "vid", "code", "stop", "x").groupBy(*where)
+        near = left.cogroup(right).applyInArrow(nearest, "qid long, vid long, score double").distinct()
+        return near, stops.filter(short).select("vid")
+
+    near, again = found_in_parts(queries, cut)
+    while any(cut.values()) and not again.isEmpty():
+        cut = {d: bits // 2 for d, bits in cut.items()}
+        more, again = found_in_parts(again, cut)
+        near = near.unionByName(more)
     listed = near.join(distinct.select("vid", "ids"), "vid").select("qid", "score", F.explode("ids").alias("vec_id"))
     # Of a vector's rows one at most is the query itself.
     first = listed.withColumn("_r", F.row_number().over(Window.partitionBy("qid").orderBy("score", "vec_id"))).filter(F.col("_r") <= k + 1)

@@ -86,14 +86,14 @@ def test_codes():
 def test_parts_take_no_candidates(spark, monkeypatch):
     """Rows outside of the clusters need shorter prefixes than the sampled queries; parts must not change what they find."""
     rng = np.random.default_rng(3)
-    crowds = [c + 0.01 * rng.normal(size=8) for c in rng.normal(size=(10, 8)) for _ in range(150)]
-    rows = [(i, [float(c) for c in v]) for i, v in enumerate([*crowds, *(6 * rng.normal(size=(12, 8)))])]
+    crowds = [c + 0.01 * rng.normal(size=8) for c in 5 * np.array([np.ones(8), -np.ones(8)]) for _ in range(750)]
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate([*crowds, *(9 * rng.normal(size=(6, 8)))])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
-    monkeypatch.setattr(ann, "SAMPLE", 4)
-    asked = df.filter("vec_id % 100 = 0 or vec_id >= 1500")
+    monkeypatch.setattr(ann, "SAMPLE", 2)
+    asked = df.filter("vec_id % 25 = 0 or vec_id >= 1500")
     results = []
     for block in (16_384, 20):
         monkeypatch.setattr(ann, "BLOCK", block)
         results.append(sorted(map(tuple, ann.search(df, asked).select("query_id", "rank", "vec_id").collect())))
     assert results[0] == results[1]
-    assert len(results[1]) == 27 * 10
+    assert len(results[1]) == 66 * 10

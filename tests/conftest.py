@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import datetime
 
 import pytest
 
@@ -17,13 +16,3 @@ def spark(tmp_path_factory):
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, so that tests compare content and not order."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=repr)
-
-
-def at(text: str) -> datetime:
-    return datetime.fromisoformat(text)

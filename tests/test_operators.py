@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, rows
+from helpers import at, rows
 from siltworks.functions import casting, dates, keys
 from siltworks.operators import checks, dimensions, duplicates, facts, harmonize, history, quality
 from siltworks.operators.quality import Rule

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from trip_files import write_june, write_landing
 
-from conftest import rows
+from helpers import rows
 from siltworks import contracts
 from siltworks.contracts import FeedContract, Field
 from siltworks.functions import rescue

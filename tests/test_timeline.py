@@ -8,7 +8,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, rows
+from helpers import at, rows
 from siltworks.operators import checks, history, timeline
 
 BASE = at("2024-01-01")

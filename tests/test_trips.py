@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from trip_files import write_june, write_landing
 
-from conftest import at, rows
+from helpers import at, rows
 from siltworks.operators import duplicates, facts, history, quality
 from siltworks.plans import trips
 from siltworks.sources import versions

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import ann, bpe, html_text, language_id, lm, mixing, near_dup, quality_rules, url_filter, warc
+from siltworks.llm import ann, bpe, fim, html_text, language_id, lm, mixing, near_dup, quality_rules, runs, url_filter, warc
+from siltworks.llm.words import word_count, words
 from siltworks.session import stored, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,6 +123,43 @@ def op10_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op12_chunked_fim(spark: SparkSession, sf: str) -> DataFrame:
+    cut = fim.transform(table(spark, sf, "documents"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(fim.restored(), 256)}
+    return cut.withColumns(digests).drop("output")
+
+
+@query
+def op13_difference_cover_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = runs.detect(with_planted_runs(table(spark, sf, "documents")))
+    exponent = lambda r: F.floor(F.lit(1000) * r["length"] / r["period"]).cast("long")
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    # Of equal exponents the first stands; runs come by start and period.
+    more = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    none = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    best = F.aggregate("runs", none, lambda best, r: F.when(more(best, r), r).otherwise(best))
+    lines = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    digests = {"runs_sha256": F.sha2(lines, 256), "collapsed_sha256": F.sha2("collapsed", 256)}
+    found = found.withColumns({"_best": best, "n_runs": F.size("runs").cast("long"), **digests})
+    strongest = ["_best.start", "_best.length", "_best.period", exponent(F.col("_best")).alias("exponent_milli")]
+    return found.select("doc_id", "n_runs", *strongest, *digests)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; in every tenth document by hash, a tail of words repeats a shorter one."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), word_count("text")
+    chosen = (h % 10 == 0) & (n > 0)
+    docs = docs.select("doc_id", "text", g.alias("_g"), F.when(chosen, n).alias("_n"), F.when(chosen, words("text")).alias("_words"))
+    docs = docs.withColumn("_a", F.col("_g") % F.col("_n"))
+    docs = docs.withColumn("_p", 1 + F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8)))
+    a, p, n = (F.col(c).cast("int") for c in ("_a", "_p", "_n"))
+    tail = F.flatten(F.array_repeat(F.slice("_words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    planted = F.slice(F.concat(F.slice("_words", F.lit(1), a), tail), F.lit(1), n)
+    return docs.select("doc_id", F.when(F.col("_n").isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
 SQL["op5_warc_transactions"] = """
 with p as (select page_id, coalesce(html, '') as body from pages),
      d as (select page_id, octet_length(encode(body)) as n, sha256(body) as digest from p),
@@ -131,3 +169,22 @@ select d.page_id, cast(d.n as bigint) as payload_bytes, d.digest as payload_dige
        case when f.first_id <> d.page_id then f.first_id end as refers_to
 from d left join f on d.digest = f.digest and d.n >= 100
 """
+
+SQL["op12_chunked_fim"] = """
+with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || doc_id) as s from documents),
+     u as (select doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') as w,
+                  cast('0x' || s[1:8] as ubigint) as h1, cast('0x' || s[9:16] as ubigint) as h2,
+                  cast('0x' || s[17:24] as ubigint) as h3, cast('0x' || s[25:32] as ubigint) as h4 from d),
+     c as (select *, len(w) as n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) as a,
+                  greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) as b,
+                  case when doc_id is null or t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90
+                       then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from u),
+     p as (select *, array_to_string(w[1:a], '') as pre, array_to_string(w[a + 1:b], '') as mid,
+                  array_to_string(w[b + 1:], '') as suf from c)
+select doc_id, cast(n as bigint) as n, form,
+       case when form <> 'plain' then length(pre) end as prefix_chars, case when form <> 'plain' then length(mid) end as middle_chars,
+       sha256(case form when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        when 'spm' then '<S>' || suf || '<P>' || pre || '<M>' || mid else t end) as output_sha256,
+       sha256(t) as restored_sha256
+from p
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import ann, bpe, fim, html_text, language_id, lm, mixing, near_dup, quality_rules, runs, url_filter, warc
+from siltworks.llm import ann, bpe, cells, fim, html_text, language_id, lm, mixing, near_dup, quality_rules, runs, url_filter, warc
 from siltworks.llm.words import word_count, words
 from siltworks.session import stored, work_dir
 
@@ -123,6 +123,11 @@ def op10_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op11_spherical_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return cells.group(table(spark, sf, "embeddings"))
+
+
 @query
 def op12_chunked_fim(spark: SparkSession, sf: str) -> DataFrame:
     cut = fim.transform(table(spark, sf, "documents"))
@@ -170,6 +175,20 @@ select d.page_id, cast(d.n as bigint) as payload_bytes, d.digest as payload_dige
 from d left join f on d.digest = f.digest and d.n >= 100
 """
 
+SQL["op11_spherical_cells"] = """
+with recursive v as (
+    select vec_id, cast(embedding as double[]) as x from embeddings
+    where len(embedding) > 0 and len(list_filter(embedding, c -> c is null or not isfinite(c))) = 0
+      and len(list_filter(embedding, c -> c <> 0)) > 0),
+l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.x) = len(b.x)
+      where list_cosine_similarity(a.x, b.x) >= 0.9),
+r as (select vec_id, vec_id as reached from embeddings union select r.vec_id, l.b from r join l on l.a = r.reached),
+c as (select vec_id, min(reached) as component_id from r group by vec_id),
+n as (select a, count(*) as n from l group by a)
+select c.vec_id, coalesce(n.n, 0) as n_links, c.component_id, c.vec_id = c.component_id as kept
+from c left join n on n.a = c.vec_id
+"""
+
 SQL["op12_chunked_fim"] = """
 with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || doc_id) as s from documents),
      u as (select doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') as w,

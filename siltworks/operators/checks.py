@@ -60,6 +60,9 @@ def accepted_range(
     return df.filter(~_in_range(column, low, high, inclusive))
 
 
+#: Versions that are numbered in a row and compared together.
+STRETCH = 64
+
 _OLD_END, _OLD_KEY = "_before.end", "_before.version"
 
 
@@ -70,7 +73,7 @@ def _ordered(versions: DataFrame, key: str, version: str, start: str, end: str,
     """
     rows = versions.dropna("any", subset=[key, start, end])
     reach = F.struct(F.col(end).alias("end"), F.col(version).alias("version"))
-    return timeline.highest_before(rows, [key], start, reach, "_before", [end, version], rows_per_slot)
+    return timeline.running(rows, [key], start, reach, "_before", F.max, [end, version], rows_per_slot)
 
 
 def no_overlap(
@@ -99,7 +102,7 @@ def no_overlap(
     )
 
 
-def overlapping_pairs(
+def pair_candidates(
     versions: DataFrame,
     key: str,
     version: str,
@@ -107,28 +110,58 @@ def overlapping_pairs(
     end: str = "effective_end_date",
     rows_per_slot: int = timeline.ROWS_PER_SLOT,
 ) -> DataFrame:
-    """Every pair of overlapping versions, each once.
+    """Versions that begin before an earlier one ends, next to all that begin in the same or neighbouring stretches.
 
-    Versions are first cut into runs in which each begins before the earlier ones have ended. Only
-    runs of two and more are compared, so a sound history compares nothing. The ordered versions
-    are used several times and are therefore kept in the shared folder.
+    Versions of a key are numbered by start. Those that begin within a version have the numbers from its own to the number of
+    starts before its end, ``_upto``, so how many pairs it is in is known without looking at them. Numbers are cut into stretches of
+    ``STRETCH``; a version meets the stretches that it reaches, all of which but the first and last it overlaps whole. So
+    the rows here are at most the pairs and ``2 * STRETCH`` for each version that overlaps one, and none for a sound history.
     """
-    ordered = _ordered(versions.select(key, version, start, end), key, version, start, end, rows_per_slot)
-    begins = F.when(F.col(start) < F.col(_OLD_END), None).otherwise(F.col(start))
-    ordered = cut_lineage(ordered.select(key, version, start, end, begins.alias("_break")))
-    runs = timeline.highest_before(
-        ordered, [key], start, F.col("_break"), "_run", [end, version], rows_per_slot, inclusive=True
+    rows = versions.select(key, version, start, end).dropna("any", subset=[key, start, end])
+    ranked = timeline.running(rows, [key], start, F.lit(1), "_rank", F.sum, [version, end], rows_per_slot, inclusive=True)
+    ranked = cut_lineage(ranked)
+    # At one instant ends come before starts.
+    moments = ranked.withColumns({"_at": F.col(start), "_begins": F.lit(1)})
+    moments = moments.unionByName(ranked.withColumns({"_at": F.col(end), "_begins": F.lit(0)}))
+    counted = timeline.running(moments, [key], "_at", F.col("_begins"), "_upto", F.sum, ["_begins"], rows_per_slot, inclusive=True)
+    stretch = lambda rank: F.floor(rank / STRETCH)
+    earlier = counted.filter((F.col("_begins") == 0) & (F.col("_upto") > F.col("_rank"))).select(
+        key,
+        F.explode(F.sequence(stretch(F.col("_rank") + 1), stretch(F.col("_upto")))).alias("_stretch"),
+        F.col(version).alias("earlier_version"),
+        F.col(start).alias("_from"),
+        F.col(end).alias("earlier_end"),
+        F.col("_rank").alias("_after"),
+        "_upto",
+    )
+    later = ranked.select(
+        key,
+        stretch(F.col("_rank")).alias("_stretch"),
+        F.col(version).alias("later_version"),
+        F.col(start).alias("later_start"),
+        F.col(end).alias("_to"),
+        "_rank",
     )
-    runs = cut_lineage(runs.drop("_break"))
-    crowded = runs.groupBy(key, "_run").agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    suspects = runs.join(crowded, [key, "_run"], "left_semi")
-
-    earlier = suspects.select(key, "_run", F.col(version).alias("earlier_version"), F.col(start).alias("_from"), F.col(end).alias("earlier_end"))
-    later = suspects.select(key, "_run", F.col(version).alias("later_version"), F.col(start).alias("later_start"), F.col(end).alias("_to"))
-    # Of two versions the later one starts last. It is in the way if it starts before the other has ended; an empty one
-    # only if it starts after the other's first instant.
+    return earlier.join(later, [key, "_stretch"])
+
+
+def overlapping_pairs(
+    versions: DataFrame,
+    key: str,
+    version: str,
+    start: str = "effective_start_date",
+    end: str = "effective_end_date",
+    rows_per_slot: int = timeline.ROWS_PER_SLOT,
+) -> DataFrame:
+    """Every pair of overlapping versions, each once: work in proportion to the pairs, see ``pair_candidates``.
+
+    Runs jobs that look for frequent keys; the numbered versions are used three times and kept in the shared folder.
+    """
+    near = pair_candidates(versions, key, version, start, end, rows_per_slot)
+    inside = (F.col("_rank") > F.col("_after")) & (F.col("_rank") <= F.col("_upto"))
+    # An empty version is in the way only if it starts after the other's first instant; rows of one version and start are one.
     follows = F.struct("later_start", "later_version") > F.struct("_from", "earlier_version")
-    pairs = earlier.join(later, [key, "_run"]).filter(follows & (F.col("later_start") < F.col("earlier_end")) & (F.col("_from") < F.col("_to")))
+    pairs = near.filter(inside & follows & (F.col("_from") < F.col("_to")))
     return pairs.select(key, "earlier_version", "later_version", "earlier_end", "later_start")
 
 

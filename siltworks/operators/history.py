@@ -5,6 +5,7 @@ A version is valid in ``[valid_from, valid_to)``; the open version has no ``vali
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from siltworks.functions.dates import half_open, open_end
 from siltworks.functions.keys import version_key
 from siltworks.operators import timeline
+from siltworks.session import cut_lineage
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
@@ -22,8 +24,8 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 BROADCAST_VERSIONS_PER_KEY = 200
 
-# Spans of time that facts and overlapping versions are dealt into.
-SPANS = 64
+# Versions of a key that a fact is compared with at least, before they are cut into chapters.
+CHAPTER = 64
 
 
 def start_history(source: DataFrame, updated_at: str) -> DataFrame:
@@ -89,7 +91,7 @@ def history_from_log(
     """
     changes = log.groupBy(key, F.col(ts).alias(VALID_FROM)).agg(F.max(F.struct(*attributes)).alias("_last"))
     changes = changes.select(key, *[F.col(f"_last.{c}").alias(c) for c in attributes], VALID_FROM)
-    return timeline.next_instant(changes, [key], VALID_FROM, VALID_TO, (), rows_per_slot)
+    return timeline.next_instant(changes, [key], VALID_FROM, VALID_TO, (), rows_per_slot, sized_by=log)
 
 
 def can_broadcast(
@@ -107,25 +109,36 @@ def can_broadcast(
     return found["rows"] <= rows and found["most"] <= versions_per_key and found["bytes"] <= size
 
 
-def overlapping(versions: DataFrame, key: str, start: str, end: str, rows_per_slot: int = timeline.ROWS_PER_SLOT) -> bool:
-    """Whether two versions of a key, each of some length, are valid at one instant. Runs a job."""
-    real = versions.filter(F.col(start) < F.col(end)).select(key, start, end)
-    reached = timeline.highest_before(real, [key], start, F.col(end), "_reached", (end,), rows_per_slot)
-    return not reached.filter(F.col(start) < F.col("_reached")).isEmpty()
+def _by_chapters(fact: DataFrame, side: DataFrame, fact_key: str, ts: str, attach: Sequence[str], rows_per_slot: int) -> DataFrame:
+    """The interval join as equalities: a fact meets one row with the versions that may be valid, and keeps those that are.
 
-
-def _by_spans(fact: DataFrame, side: DataFrame, fact_key: str, ts: str) -> DataFrame:
-    """The interval join as an equality of key and span of time; a version stands in every span that it reaches."""
-    second = F.unix_timestamp(ts)
-    first, last = fact.agg(F.min(second), F.max(second)).first()
-    first, last = first or 0, last or 0
-    width = (last - first) // SPANS + 1
-    span = lambda c: F.floor((F.unix_timestamp(c) - first) / F.lit(width))
-    reach = F.sequence(F.greatest(span("_start"), F.lit(0)), F.least(span("_end"), F.lit(SPANS)))
-    inside = (span("_start") <= SPANS) & (span("_end") >= 0)
-    side = side.filter(inside).withColumn("_span", F.explode(reach))
-    valid = (F.col(fact_key) == F.col("_version_of")) & (span(ts) == F.col("_span")) & half_open(F.col(ts), F.col("_start"), F.col("_end"))
-    return fact.join(side, valid, "left").drop("_version_of", "_start", "_end", "_span")
+    The versions of a key are one such row if they are few. If some key has more than ``CHAPTER``, versions are numbered by start
+    and cut into chapters of about the root of the most that a key has; a chapter also holds the versions that reach into it, and a fact first
+    learns its chapter from the starts of all of its key's. Facts are read once, neither sorted by time nor counted, and a
+    frequent key is a skewed join, which adaptive execution splits.
+    """
+    most = side.groupBy("_version_of").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    entry = F.struct("_start", "_end", *attach)
+    if most <= CHAPTER:
+        book = side.filter("_version_of is not null").groupBy("_version_of").agg(F.collect_list(entry).alias("_versions"))
+        found = fact.join(book, F.col(fact_key) == F.col("_version_of"), "left")
+    else:
+        each = max(CHAPTER, math.isqrt(most))
+        ranked = side.filter("_version_of is not null")
+        ranked = timeline.running(ranked, ["_version_of"], "_start", F.lit(1), "_rank", F.sum, ["_end"], rows_per_slot, inclusive=True)
+        ranked = cut_lineage(ranked.withColumn("_chapter", F.floor((F.col("_rank") - 1) / each).cast("int")).drop("_rank"))
+        firsts = ranked.groupBy("_version_of", "_chapter").agg(F.min("_start").alias("_first"))
+        index = firsts.groupBy("_version_of").agg(F.array_sort(F.collect_list("_first")).alias("_firsts"))
+        before = lambda c, o: F.size(F.filter("_firsts", lambda f: (f <= F.col(c)) if o else (f < F.col(c)))) - 1
+        reach = F.sequence(F.col("_chapter"), F.greatest("_chapter", before("_end", False)))
+        chapters = ranked.join(index, "_version_of").withColumn("_chapter", F.explode(reach))
+        chapters = chapters.groupBy("_version_of", "_chapter").agg(F.collect_list(entry).alias("_versions"))
+        placed = fact.join(index.withColumnRenamed("_version_of", "_of"), F.col(fact_key) == F.col("_of"), "left")
+        placed = placed.withColumn("_at", before(ts, True)).drop("_of", "_firsts")
+        found = placed.join(chapters, (F.col(fact_key) == F.col("_version_of")) & (F.col("_at") == F.col("_chapter")), "left")
+    valid = F.filter("_versions", lambda v: (v["_start"] <= F.col(ts)) & (F.col(ts) < v["_end"]))
+    found = found.select(*(F.col(f"`{c}`") for c in fact.columns), F.explode_outer(valid).alias("_version"))
+    return found.select(*(F.col(f"`{c}`") for c in fact.columns), *(F.col(f"_version.{c}") for c in attach))
 
 
 def point_in_time(
@@ -144,10 +157,10 @@ def point_in_time(
 
     A fact without a version stays, with nulls; a fact with several has a row for each. All strategies give these
     rows at any size. ``broadcast`` is a hash join on the key with the interval as residual condition, hinted only if
-    ``can_broadcast`` says so. ``merge`` orders both sides by time, which finds one version, so overlapping versions
-    are joined by key and span of time instead. ``auto`` takes the first if it fits. Runs jobs that size up the versions.
+    ``can_broadcast`` says so. ``chapters`` joins each fact with a row of the versions that may be valid, however many there are, and
+    whether they overlap or not. ``auto`` takes the first if it fits. Runs jobs that size up the versions, not the facts.
     """
-    if strategy not in ("auto", "broadcast", "merge"):
+    if strategy not in ("auto", "broadcast", "chapters"):
         raise ValueError(f"unknown strategy {strategy!r}")
     side = versions.filter(F.col(start) < F.col(end)).select(
         F.col(key).alias("_version_of"),
@@ -155,18 +168,11 @@ def point_in_time(
         F.col(end).alias("_end"),
         *[F.col(c).alias(out) for out, c in attach.items()],
     )
-    small = strategy != "merge" and can_broadcast(side, "_version_of")
+    small = strategy != "chapters" and can_broadcast(side, "_version_of")
     if small or strategy == "broadcast":
         valid = (F.col(fact_key) == F.col("_version_of")) & half_open(F.col(ts), F.col("_start"), F.col("_end"))
         return fact.join(F.broadcast(side) if small else side, valid, "left").drop("_version_of", "_start", "_end")
-    if overlapping(side, "_version_of", "_start", "_end", rows_per_slot):
-        return _by_spans(fact, side, fact_key, ts)
-    value = F.struct("_end", *attach)
-    found = timeline.latest_version(
-        fact, F.col(fact_key), F.col(ts), side, F.col("_version_of"), F.col("_start"), value, "_version", rows_per_slot
-    )
-    valid = F.col(ts) < F.col("_version._end")
-    return found.withColumns({out: F.when(valid, F.col(f"_version.{out}")) for out in attach}).drop("_version")
+    return _by_chapters(fact, side, fact_key, ts, list(attach), rows_per_slot)
 
 
 def coverage(fact: DataFrame, version_column: str, by: Sequence[str] = ()) -> DataFrame:

@@ -1,12 +1,12 @@
 """Ordered computations per key that do not put a frequent key into one task.
 
-A window over ``partitionBy(key)`` sorts all rows of a key in a single task. Here a first pass counts
-the rows of each key, and the keys with more than ``rows_per_slot`` are cut at quantiles of their own times into
+A window over ``partitionBy(key)`` sorts all rows of a key in a single task. One job first asks for the rows of the
+most frequent key, from a scan of the keys alone. If no key has more than ``rows_per_slot``, that window is what
+runs. Otherwise the frequent keys are cut at quantiles of their own times into
 slots of about equal numbers of rows, so that the window runs over ``(key, slot)`` and a burst is no
 heavier than quiet times. What a slot has to know about its neighbours is
 aggregated to one small row per slot, looked up over the slots of the key, and fed back as one
-extra row of the slot; no join is needed for that. All other keys have one slot and pay only for
-the count.
+extra row of the slot; no join is needed for that. All other keys have one slot.
 
 There are at most ``rows / rows_per_slot`` frequent keys, which bounds what is broadcast. Slots are
 whole seconds, so only rows of one key in one second always stay together. A key has at most ``QUANTILES`` slots,
@@ -15,7 +15,7 @@ which keeps them within the target up to ``QUANTILES * rows_per_slot / 2`` rows
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -54,6 +54,13 @@ def _in_slots(df: DataFrame, keys: Sequence[str], ts: str, frequent: DataFrame,
     return placed.withColumn(_SLOT, slot.cast("bigint")).drop(*[f"_key_{k}" for k in keys], "_bounds", "_second")
 
 
+def _crowded(df: DataFrame, keys: Sequence[str], ts: str, rows_per_slot: int, sized_by: DataFrame | None) -> DataFrame | None:
+    """``frequent_keys``, or None if there are none. Runs a job on ``sized_by``, which has at least the rows of ``df`` per key."""
+    counted = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count("*").alias("n"))
+    most = counted.agg(F.max("n")).first()[0]
+    return frequent_keys(df, keys, ts, rows_per_slot) if most and most > rows_per_slot else None
+
+
 def next_instant(
     df: DataFrame,
     keys: Sequence[str],
@@ -61,9 +68,15 @@ def next_instant(
     out: str,
     tie_break: Sequence[str] = (),
     rows_per_slot: int = ROWS_PER_SLOT,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the time of the following row of the same key; null for the last."""
-    frequent = frequent_keys(df, keys, ts, rows_per_slot)
+    """Add the time of the following row of the same key; null for the last. Runs a job.
+
+    ``sized_by`` may be a cheaper table with at least as many rows of each key, such as the one that ``df`` was reduced from.
+    """
+    frequent = _crowded(df, keys, ts, rows_per_slot, sized_by)
+    if frequent is None:
+        return df.withColumn(out, F.lead(ts).over(Window.partitionBy(*keys).orderBy(ts, *tie_break)))
     rows = _in_slots(df, keys, ts, frequent, "left").withColumn(_REAL, F.lit(1))
     crowded = _in_slots(df.select(*keys, ts), keys, ts, frequent, "inner")
     firsts = crowded.groupBy(*keys, _SLOT).agg(F.min(ts).alias(ts))
@@ -74,83 +87,33 @@ def next_instant(
     return both.withColumn(out, F.lead(ts).over(within)).filter(F.col(_REAL) == 1).drop(_SLOT, _REAL)
 
 
-def highest_before(
+def running(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
     value: Column,
     out: str,
+    fold: Callable[[str], Column] = F.max,
     tie_break: Sequence[str] = (),
     rows_per_slot: int = ROWS_PER_SLOT,
     inclusive: bool = False,
 ) -> DataFrame:
-    """Add the largest ``value`` over the earlier rows of the same key.
+    """Add the ``fold``, a maximum or a sum, of ``value`` over the earlier rows of the same key; null if there are none. Runs a job.
 
     With ``inclusive`` the row itself counts too. ``value`` may be a struct.
     """
+    frame = Window.unboundedPreceding, 0 if inclusive else -1
     valued = df.withColumn("_value", value)
-    frequent = frequent_keys(df, keys, ts, rows_per_slot)
+    frequent = _crowded(df, keys, ts, rows_per_slot, None)
+    if frequent is None:
+        within = Window.partitionBy(*keys).orderBy(ts, *tie_break).rowsBetween(*frame)
+        return valued.withColumn(out, fold("_value").over(within)).drop("_value")
     rows = _in_slots(valued, keys, ts, frequent, "left").withColumn(_REAL, F.lit(1))
     crowded = _in_slots(valued.select(*keys, ts, "_value"), keys, ts, frequent, "inner")
-    tops = crowded.groupBy(*keys, _SLOT).agg(F.max("_value").alias("_value"))
+    tops = crowded.groupBy(*keys, _SLOT).agg(fold("_value").alias("_value"))
     earlier = Window.partitionBy(*keys).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    edges = tops.withColumns({"_value": F.max("_value").over(earlier), _REAL: F.lit(0)})
-    within = (
-        Window.partitionBy(*keys, _SLOT)
-        .orderBy(_REAL, ts, *tie_break)
-        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    )
+    edges = tops.withColumns({"_value": fold("_value").over(earlier), _REAL: F.lit(0)})
+    within = Window.partitionBy(*keys, _SLOT).orderBy(_REAL, ts, *tie_break).rowsBetween(*frame)
     both = rows.unionByName(edges.filter(F.col("_value").isNotNull()), allowMissingColumns=True)
-    found = both.withColumn(out, F.max("_value").over(within))
+    found = both.withColumn(out, fold("_value").over(within))
     return found.filter(F.col(_REAL) == 1).drop(_SLOT, _REAL, "_value")
-
-
-def latest_version(
-    fact: DataFrame,
-    key: Column,
-    ts: Column,
-    versions: DataFrame,
-    version_key: Column,
-    start: Column,
-    value: Column,
-    out: str,
-    rows_per_slot: int = ROWS_PER_SLOT,
-) -> DataFrame:
-    """Add to each fact row the ``value`` of the last version of its key that starts at or before it.
-
-    Both sides are merged in time order, so the work grows with ``n log n`` of a slot and not with
-    facts times versions. Facts without a key or a time match nothing; they are spread by the
-    partition they come from instead of meeting in one group.
-    """
-    usable = key.isNotNull() & ts.isNotNull()
-    facts = fact.withColumns({"_key": F.when(usable, key), "_at": ts, "_order": F.lit(1)})
-    starts = versions.filter(version_key.isNotNull() & start.isNotNull()).select(
-        version_key.alias("_key"), start.alias("_at"), F.lit(0).alias("_order"), value.alias(out)
-    )
-    moments = facts.select("_key", "_at").filter("_key is not null").unionByName(starts.select("_key", "_at"))
-    frequent = frequent_keys(moments, ["_key"], "_at", rows_per_slot)
-
-    def slotted(df: DataFrame, how: str) -> DataFrame:
-        return _in_slots(df, ["_key"], "_at", frequent, how)
-
-    slots = slotted(facts.select("_key", "_at").filter("_key is not null"), "inner").select("_key", _SLOT)
-    held = slots.unionByName(slotted(starts.drop("_order"), "inner"), allowMissingColumns=True)
-    last = F.max(F.when(F.col("_at").isNotNull(), F.struct("_at", out)))
-    earlier = Window.partitionBy("_key").orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    edges = (
-        held.groupBy("_key", _SLOT)
-        .agg(last.alias("_last"))
-        .withColumn("_last", F.last("_last", ignorenulls=True).over(earlier))
-        .filter(F.col("_last").isNotNull())
-        .select("_key", _SLOT, F.col("_last._at").alias("_at"), F.lit(0).alias("_order"), F.col(f"_last.{out}").alias(out))
-    )
-    spread = F.when(F.col("_key").isNull(), F.spark_partition_id()).otherwise(F.col(_SLOT)).cast("bigint")
-    merged = (
-        slotted(facts, "left")
-        .withColumn(_SLOT, spread)
-        .unionByName(slotted(starts, "left"), allowMissingColumns=True)
-        .unionByName(edges, allowMissingColumns=True)
-    )
-    within = Window.partitionBy("_key", _SLOT).orderBy("_at", "_order").rowsBetween(Window.unboundedPreceding, 0)
-    found = merged.withColumn(out, F.last(out, ignorenulls=True).over(within)).filter(F.col("_order") == 1)
-    return found.drop("_key", "_at", "_order", _SLOT)

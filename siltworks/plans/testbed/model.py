@@ -143,7 +143,7 @@ def fact_point_in_time(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def fact_point_in_time_merge(spark: SparkSession, sf: str) -> DataFrame:
-    return purchase_fact(spark, sf, "merge")
+    return purchase_fact(spark, sf, "chapters")
 
 
 @query

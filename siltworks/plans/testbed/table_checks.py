@@ -75,7 +75,7 @@ def fact_point_in_time_overlapping_broadcast(spark: SparkSession, sf: str) -> Da
 
 @query
 def fact_point_in_time_overlapping_merge(spark: SparkSession, sf: str) -> DataFrame:
-    return stretched_fact(spark, sf, "merge")
+    return stretched_fact(spark, sf, "chapters")
 
 
 @query

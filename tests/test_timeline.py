@@ -71,7 +71,7 @@ def test_point_in_time_keeps_every_fact_once(spark, rows_per_slot):
         valid = [v for k, v, s, e in data if key is not None and k == key and ts is not None and s <= ts < e]
         assert len(valid) <= 1
         expected.append((i, key, ts, valid[0] if valid else None))
-    for strategy in ("broadcast", "merge"):
+    for strategy in ("broadcast", "chapters"):
         joined = history.point_in_time(
             fact_df, version_df, "key", "ts", {"v": "version"}, "k", strategy=strategy, rows_per_slot=rows_per_slot
         )
@@ -161,11 +161,44 @@ def test_point_in_time_does_not_depend_on_strategy(spark, monkeypatch, seed):
         return sorted(map(tuple, out.select("f", "v").collect()), key=repr)
 
     assert set(found("broadcast")) == expected
-    assert found("broadcast") == found("merge") == found("auto")
+    assert found("broadcast") == found("chapters") == found("auto")
     monkeypatch.setattr(history.can_broadcast, "__defaults__", (1, 1, 1))
     assert set(found("auto")) == expected and set(found("broadcast")) == expected
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("rows_per_slot", [4, 10**6])
+def test_chapters_of_many_versions(spark, monkeypatch, seed, rows_per_slot):
+    """Versions of a key fill several chapters, reach over several, tie at their borders, and leave gaps."""
+    monkeypatch.setattr(history, "CHAPTER", 3)
+    data = random_versions(seed, 90, True)
+    versions = spark.createDataFrame(data, VERSION_DDL)
+    moments = [m for _, _, s, e in data for m in (s, e) if m is not None]
+    facts = [(i, key, at) for i, at in enumerate(moments) for key in (1, 2)] + [(900, None, BASE), (901, 77, BASE), (902, 1, None)]
+    fact = spark.createDataFrame(facts, "f long, k long, at timestamp_ntz")
+    expected = []
+    for f, k, at in facts:
+        valid = [v for key, v, s, e in data if None not in (key, s, e, k, at) and key == k and s <= at < e]
+        expected += [(f, k, v) for v in valid or [None]]
+    out = history.point_in_time(fact, versions, "k", "at", {"v": "version"}, "k", strategy="chapters", rows_per_slot=rows_per_slot)
+    assert rows(out, "f", "k", "v") == sorted(expected, key=repr)
+
+
+def test_pairs_of_a_long_run_cost_what_they_give(spark):
+    """A hundred thousand versions, each overlapping the next and a few long ones, all in one run."""
+    n = 100_000
+    begin = F.timestamp_seconds(F.col("id") * 10).cast("timestamp_ntz")
+    length = F.when(F.col("id") % 25_000 == 0, 20_000).otherwise(15)
+    end = F.timestamp_seconds(F.col("id") * 10 + length).cast("timestamp_ntz")
+    df = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("v"), begin.alias("effective_start_date"), end.alias("effective_end_date"))
+    pairs = (n - 1) + 4 * 1998
+    assert checks.overlapping_pairs(df, "k", "v", rows_per_slot=20_000).count() == pairs
+    near = checks.pair_candidates(df, "k", "v", rows_per_slot=20_000).count()
+    assert near <= pairs + 2 * checks.STRETCH * n
+    sound = df.withColumn("effective_end_date", F.timestamp_seconds(F.col("v") * 10 + 10).cast("timestamp_ntz"))
+    assert checks.pair_candidates(sound, "k", "v").count() == 0
+
+
 def test_changes_at_one_instant_give_one_version(spark):
     data = [(1, "a", BASE), (1, "b", BASE), (1, "c", BASE + timedelta(1)), (2, "x", BASE), (2, "x", BASE)]
     log = spark.createDataFrame(data, "k long, v string, at timestamp_ntz")

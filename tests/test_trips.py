@@ -151,7 +151,7 @@ def test_star_passes_and_finds_the_unlisted_vendor(spark, silver, tmp_path_facto
     assert rows(missing) == [(9, 1)]
     assert rows(history.coverage(star.fct_trips, "vendor_version_key")) == [(10, 1)]
     assert star.fct_trips.filter("pu_location_key = -1").count() == 2
-    merged = trips.fct_trips(silver["clean"], star.dim_vendor_scd2, "merge")
+    merged = trips.fct_trips(silver["clean"], star.dim_vendor_scd2, "chapters")
     assert rows(merged) == rows(star.fct_trips)
     gross = facts.gross_net(star.fct_trips, "total_amount", "is_reversal")
     assert rows(gross) == [(10, 1, 100.0, 96.0)]

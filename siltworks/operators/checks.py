@@ -177,34 +177,64 @@ class TableChecks:
     relationships: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
 
-def _counted_checks(df: DataFrame, checks: TableChecks, tables: Mapping[str, DataFrame]) -> DataFrame | None:
+#: Parents with at most so many rows, and bytes of keys, are looked up within the scan of the child.
+PARENT_ROWS, PARENT_BYTES = 500_000, 32 << 20
+
+
+def small_parents(tables: Mapping[str, DataFrame], suite: Sequence[TableChecks]) -> set[tuple[str, str]]:
+    """Parents and their columns whose keys fit into every task. One job reads the key columns of all."""
+    asked = sorted({parent for checks in suite for parent in checks.relationships.values()})
+    sizes = []
+    for i, (parent, column) in enumerate(asked):
+        width = F.coalesce(F.length(F.col(column).cast("string")), F.lit(0)) + 32
+        sizes.append(tables[parent].agg(F.lit(i).alias("i"), F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")))
+    found = reduce(lambda a, b: a.unionByName(b), sizes).collect() if sizes else []
+    return {asked[r["i"]] for r in found if r["n"] <= PARENT_ROWS and r["bytes"] <= PARENT_BYTES}
+
+
+def _known_keys(tables: Mapping[str, DataFrame], parent: str, column: str) -> DataFrame:
+    return tables[parent].filter(F.col(column).isNotNull()).select(F.col(column).alias("key")).distinct()
+
+
+def _counted_checks(df: DataFrame, checks: TableChecks, tables: Mapping[str, DataFrame], small: set[tuple[str, str]]) -> DataFrame | None:
     """Row checks and foreign keys of a table from one scan.
 
-    Each row gives a pair of check and key for every check that it fails and every key that it refers to. Pairs are
-    counted before the shuffle; an anti join with the parents' keys, stacked in the same form, takes out those that are fine.
+    Foreign keys of ``small`` parents are looked up in the scan, so they and the row checks are conditional counts. Of
+    foreign keys of large parents each row gives its keys; these are counted before the shuffle, and an anti join with the parents' keys,
+    stacked in the same form, leaves those without a parent.
     """
     failing = [("not_null", c, F.col(c).isNull()) for c in checks.not_null]
     failing += [("accepted_values", c, ~F.col(c).isin(*v)) for c, v in checks.accepted_values.items()]
     failing += [("accepted_range", c, ~_in_range(c, low, None, False)) for c, low in checks.above.items()]
-    names = [(kind, column) for kind, column, _ in failing] + [("relationships", c) for c in checks.relationships]
+    large = []
+    for i, (column, parent) in enumerate(checks.relationships.items()):
+        kind = tables[parent[0]].schema[parent[1]].dataType
+        if parent in small:
+            known = _known_keys(tables, *parent).withColumnsRenamed({"key": f"_parent_{i}"})
+            df = df.join(F.broadcast(known), F.col(column).cast(kind) == F.col(f"_parent_{i}"), "left")
+            failing.append(("relationships", column, F.col(column).isNotNull() & F.col(f"_parent_{i}").isNull()))
+        else:
+            large.append((column, parent, kind))
+    names = [(kind, column) for kind, column, _ in failing] + [("relationships", c) for c, _, _ in large]
     if not names:
         return None
+    listed = [
+        F.struct(F.lit(i).alias("i"), F.lit(checks.table).alias("table"), F.lit(kind).alias("check"), F.lit(column).alias("column"))
+        for i, (kind, column) in enumerate(names)
+    ]
+    if not large:
+        counted = df.agg(*[F.count_if(condition).alias(f"_n{i}") for i, (_, _, condition) in enumerate(failing)])
+        lines = [F.struct(*[line[c].alias(c) for c in ("table", "check", "column")], F.col(f"_n{i}").alias("failures")) for i, line in enumerate(listed)]
+        return counted.select(F.inline(F.array(*lines)))
     pairs = [F.when(condition, F.struct(F.lit(i).alias("i"), F.lit("").alias("key"))) for i, (_, _, condition) in enumerate(failing)]
     parents = []
-    for i, (column, (parent, parent_column)) in enumerate(checks.relationships.items(), len(failing)):
-        kind = tables[parent].schema[parent_column].dataType
+    for i, (column, parent, kind) in enumerate(large, len(failing)):
         key = F.col(column).cast(kind).cast("string")
         pairs.append(F.when(F.col(column).isNotNull(), F.struct(F.lit(i).alias("i"), F.coalesce(key, F.lit("")).alias("key"))))
-        known = tables[parent].filter(F.col(parent_column).isNotNull())
-        parents.append(known.select(F.lit(i).alias("i"), F.col(parent_column).cast("string").alias("key")).distinct())
+        parents.append(_known_keys(tables, *parent).select(F.lit(i).alias("i"), F.col("key").cast("string").alias("key")))
     found = df.select(F.inline(F.array_compact(F.array(*pairs)))).groupBy("i", "key").agg(F.count("*").alias("n"))
-    if parents:
-        found = found.join(reduce(lambda a, b: a.unionByName(b), parents), ["i", "key"], "left_anti")
+    found = found.join(reduce(lambda a, b: a.unionByName(b), parents), ["i", "key"], "left_anti")
     sums = found.groupBy(F.col("i").alias("_i")).agg(F.sum("n").alias("_n"))
-    listed = [
-        F.struct(F.lit(i).alias("i"), F.lit(checks.table).alias("table"), F.lit(kind).alias("check"), F.lit(column).alias("column"))
-        for i, (kind, column) in enumerate(names)
-    ]
     lines = df.sparkSession.range(1).select(F.inline(F.array(*listed)))
     return lines.join(sums, F.col("i") == F.col("_i"), "left").select("table", "check", "column", F.coalesce("_n", F.lit(0)).alias("failures"))
 
@@ -213,9 +243,10 @@ def run(tables: Mapping[str, DataFrame], suite: Sequence[TableChecks]) -> DataFr
     """Failures of every declared check: ``table, check, column, failures``.
 
     ``unique`` counts repeated keys, ``relationships`` rows without a parent, the others rows. A table is scanned once
-    for all of its checks but ``unique``, which scans the key alone.
+    for all of its checks but ``unique``, which scans the key alone. Runs a job that sizes up the parents.
     """
     results: list[DataFrame] = []
+    small = small_parents(tables, suite)
 
     def total(offenders: DataFrame, failures: Column, table: str, kind: str, column: str) -> DataFrame:
         named = [F.lit(v).alias(n) for n, v in (("table", table), ("check", kind), ("column", column))]
@@ -223,7 +254,7 @@ def run(tables: Mapping[str, DataFrame], suite: Sequence[TableChecks]) -> DataFr
 
     for checks in suite:
         df = tables[checks.table]
-        counted = _counted_checks(df, checks, tables)
+        counted = _counted_checks(df, checks, tables, small)
         if counted is not None:
             results.append(counted)
         for column in checks.unique:

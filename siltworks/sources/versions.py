@@ -91,20 +91,18 @@ def publish(
 def read(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
     """The latest version of a table, or the one asked for, with the schema it was published with."""
     log = history(spark, root, name)
-    if version is None:
-        log = log.filter(F.col("operation") != EXPIRE)
-        version = log.agg(F.max("version").alias("v")).first()["v"]
-        if version is None:
-            raise VersionNotFound(f"{name} has no published version in {root}")
-    states = log.filter(F.col("version") == version).agg(
-        F.count("*").alias("n"), F.count_if(F.col("operation") == EXPIRE).alias("expired"), F.max("schema").alias("schema")
-    ).first()
-    if states["n"] == 0:
-        raise VersionNotFound(f"{name} has no version {version} in {root}")
-    if states["expired"]:
+    if version is not None:
+        log = log.filter(F.col("version") == version)
+    published = F.when(F.col("operation") != EXPIRE, F.struct("version", "schema"))
+    # Without a number the newest counts, and that never expires.
+    found = log.agg(F.count("*").alias("n"), F.count_if(F.col("operation") == EXPIRE).alias("expired"), F.max(published).alias("last")).first()
+    if found["last"] is None:
+        asked = "published version" if version is None else f"version {version}"
+        raise VersionNotFound(f"{name} has no {asked} in {root}")
+    if version is not None and found["expired"]:
         raise VersionExpired(f"version {version} of {name} is past retention; its history remains")
-    schema = T.StructType.fromJson(json.loads(states["schema"]))
-    return spark.read.schema(schema).parquet(version_path(root, name, version))
+    schema = T.StructType.fromJson(json.loads(found["last"]["schema"]))
+    return spark.read.schema(schema).parquet(version_path(root, name, found["last"]["version"]))
 
 
 def compare(

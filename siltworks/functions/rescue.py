@@ -15,9 +15,15 @@ from siltworks.functions import casting
 RESCUED = "_rescued_data"
 
 
-def rescued_field(field: str, target: str, column: str = RESCUED) -> Column:
+def rescued_map(column: str = RESCUED) -> Column:
+    """All rescued fields of a row as text by name. As one expression it is evaluated once, however many fields are taken from it."""
+    return F.from_json(F.col(column), "map<string,string>")
+
+
+def rescued_field(field: str, target: str, column: str | Column = RESCUED) -> Column:
     """One field of the rescued JSON. Field names are case-sensitive; a bad value gives null."""
-    text = F.get_json_object(F.col(column), f"$['{field}']")
+    fields = rescued_map(column) if isinstance(column, str) else column
+    text = fields[field]
     kind = T.DataType.fromDDL(target)
     if not isinstance(kind, T.IntegralType):
         return casting.parse(text, kind)

@@ -49,14 +49,21 @@ def _nested(key_lists: Mapping[str, Sequence[str]]) -> list[tuple[str, list[str]
 
 
 def compare_keys(df: DataFrame, key_lists: Mapping[str, Sequence[str]]) -> DataFrame:
-    """``audit`` for several candidate keys.
+    """``audit`` for several candidate keys, from a single scan and one shuffle of its rows.
 
-    Where each key extends the next, the narrower ones are counted from the groups of the wider
-    one: a single scan, and each further key shuffles groups instead of rows.
+    Where each key extends the next, the narrower ones are counted from the groups of the wider one. Keys that are not
+    nested are counted from the groups of all their columns together, which every key shuffles for itself.
     """
     chain = _nested(key_lists)
     if chain is None:
-        audits = [audit(df, keys).select(F.lit(name).alias("candidate"), "*") for name, keys in key_lists.items()]
+        columns = list(dict.fromkeys(c for keys in key_lists.values() for c in keys))
+        # Once for all keys: the plans below share this exchange.
+        together = df.groupBy(*columns).agg(F.count("*").alias("_rows"))
+        audits = []
+        for name, keys in key_lists.items():
+            counted = together.groupBy(*keys).agg(F.sum("_rows").alias("n"))
+            measures = _measure(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count_if(F.col("n") > 1))
+            audits.append(counted.agg(*measures).select(F.lit(name).alias("candidate"), "*"))
         return reduce(lambda a, b: a.unionByName(b), audits)
 
     carried: list[str] = []

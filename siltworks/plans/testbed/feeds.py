@@ -245,6 +245,17 @@ def bronze_empty_feed(spark: SparkSession, sf: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+@query
+def ingest_instants(spark: SparkSession, sf: str) -> DataFrame:
+    """A run over one month's folder and one over all, in batches of two files: each has one instant for all its rows."""
+    place, out = drifted_landing(spark, sf), work_dir(spark, "bronze")
+    month = table(spark, sf, "orders").agg(month_text(F.min("o_orderdate"))).first()[0]
+    for run_id, folder in (("first", f"{place}/period={month}"), ("second", place)):
+        ingest.ingest(spark, ORDER_FEED, folder, out, f"{out}/_state", run_id, files_per_batch=2 if run_id == "first" else 40)
+    rows = ingest.read_bronze(spark, out, f"{out}/_state", ORDER_FEED.feed).groupBy(F.col("_run_id").alias("run_id"))
+    return rows.agg(F.count("*").alias("n_rows"), F.count_distinct("_ingested_at").alias("n_instants"))
+
+
 @query
 def catalog_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """A named table written, replaced under another schema, and read by name."""

@@ -15,7 +15,7 @@ from siltworks.functions.dates import instant
 from siltworks.operators import dimensions, facts, history
 from siltworks.plans.testbed.standins import classified, query, table, trips
 from siltworks.session import work_dir
-from siltworks.sources import tables, versions
+from siltworks.sources import snapshots, tables, versions
 
 
 def date_dimension(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,6 +136,35 @@ def snapshot_apply(spark: SparkSession, sf: str) -> DataFrame:
     return result
 
 
+@cache
+def seeded_history(spark: SparkSession, sf: str) -> str:
+    """The history that three seed files leave in stored snapshots, the second of them taken twice."""
+    place = work_dir(spark, "seeds")
+    ddl = "user_id bigint, contract_tier string, updated_at timestamp_ntz"
+    for cut in ("2024-01-08", "2024-01-15", "2024-01-31"):
+        seen = tier_changes(spark, sf).filter(F.col("updated_at") < instant(cut))
+        latest = seen.groupBy("user_id").agg(F.max(F.struct("updated_at", "contract_tier")).alias("last"))
+        seed = latest.select("user_id", "last.contract_tier", F.col("last.updated_at").cast("string").alias("updated_at"))
+        seed.write.option("header", True).csv(f"{place}/{cut}")
+        for _ in range(1 + (cut == "2024-01-15")):
+            snapshots.apply(tables.read_seed(spark, f"{place}/{cut}", ddl), f"{place}/root", "user_tiers", "user_id", "updated_at")
+    return f"{place}/root"
+
+
+@query
+def seed_snapshot_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    """Seed files, the snapshots stored of each, and the dimension that they give."""
+    stored = snapshots.read(spark, seeded_history(spark, sf), "user_tiers")
+    return history.dimension(stored, "user_id", ["contract_tier"], "version_key").drop("version_key")
+
+
+@query
+def seed_snapshot_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """What each run stored: a repeated seed has no run."""
+    log = versions.history(spark, seeded_history(spark, sf))
+    return log.groupBy("version").pivot("name", ["user_tiers_open", "user_tiers_closed"]).agg(F.sum("rows"))
+
+
 @query
 def fact_point_in_time(spark: SparkSession, sf: str) -> DataFrame:
     return purchase_fact(spark, sf)

@@ -131,6 +131,16 @@ _RANGE_SUM = (
     f"with {_DAYS} select count(*) as trips, coalesce({_money('o_totalprice')}, 0) as revenue from days where pickup_date_key "
 )
 
+_SEEDS = """with changes as (
+          select user_id, case when value >= 100 then 'Premium' else 'Standard' end as contract_tier, ts
+          from events where event_type in ('signup', 'error')),
+        latest as (
+          select cut, user_id, max((ts, contract_tier)) as last
+          from changes, (values (timestamp '2024-01-08'), (timestamp '2024-01-15'), (timestamp '2024-01-31')) as c(cut)
+          where ts < cut and user_id is not null group by cut, user_id),
+        looks as (select cut, user_id, last[2] as contract_tier, last[1] as updated_at from latest),
+        seen as (select distinct user_id, contract_tier, updated_at from looks)"""
+
 SQL: dict[str, str] = {
     "profile_checks": f"with {_TRIPS} "
     + " union all ".join(
@@ -148,6 +158,9 @@ SQL: dict[str, str] = {
         f"select service_type, '{name}' as rule, count(*) as rows_failed from trips where {test} group by 1"
         for name, test in _RULES.items()
     ),
+    "stored_quality_metrics": f"""with {_CLASSIFIED} select count(_quarantine_reason)::bigint as rows_quarantined,
+          (count(*) - count(_quarantine_reason))::bigint as rows_clean, 1::bigint as n_instants,
+          count(_quarantine_reason)::bigint as by_reason, count(distinct _quarantine_reason)::bigint as n_reasons from classified""",
     "quality_metrics": f"with {_CLASSIFIED} {_METRICS}",
     "quality_metrics_one_pass": f"with {_CLASSIFIED} {_METRICS}",
     "clean_rows": f"""with {_CLASSIFIED} select {_ROW}, passenger_count_missing, is_reversal, _file_period
@@ -178,6 +191,9 @@ SQL: dict[str, str] = {
         union all select 'events', (select count(*) from events), 6""",
     "bronze_after_refresh": "select 'again' as run_id, count(*) as n_rows from orders",
     "bronze_after_failed_refresh": "select 'first' as run_id, count(*) as n_rows from orders",
+    "ingest_instants": """with months as (select strftime(o_orderdate, '%Y-%m') as month from orders)
+        select case when month = (select min(month) from months) then 'first' else 'second' end as run_id, count(*) as n_rows, 1::bigint as n_instants
+        from months group by 1""",
     "bronze_empty_feed": """select 'orders' as feed, count(*) as n_rows, count(o_orderkey) as n_keys from orders
         union all select 'returns', 0, 0""",
     "catalog_round_trip": "select o_orderkey, o_custkey, o_totalprice as price from orders",
@@ -252,6 +268,17 @@ SQL: dict[str, str] = {
         seen as (select distinct user_id, last[2] as contract_tier, last[1] as updated_at from looks)
         select user_id, contract_tier, updated_at, updated_at as valid_from,
           lead(updated_at) over (partition by user_id order by updated_at) as valid_to from seen""",
+    "seed_snapshot_dimension": f"""{_SEEDS}
+        select user_id, contract_tier, updated_at as effective_start_date,
+          coalesce(lead(updated_at) over w, timestamp '9999-12-31') as effective_end_date, lead(updated_at) over w is null as is_current
+        from seen window w as (partition by user_id order by updated_at)""",
+    "seed_snapshot_runs": f"""{_SEEDS}, first as (select user_id, updated_at, min(cut) as cut from looks group by 1, 2),
+        runs as (select *, row_number() over (order by cut) - 1 as version from (select distinct cut from looks))
+        select cast(version as int) as version,
+          (select count(distinct user_id) from first f where f.cut <= r.cut) as user_tiers_open,
+          (select count(*) from (select cut, row_number() over (partition by user_id order by updated_at) as place from first) f
+           where f.cut = r.cut and place > 1) as user_tiers_closed
+        from runs r""",
     "fact_point_in_time": f"with {_FACT} select event_id, user_id, ts, amount, version_key from fact",
     "fact_point_in_time_merge": f"with {_FACT} select event_id, user_id, ts, amount, version_key from fact",
     "version_coverage": f"with {_FACT} select count(*) as rows_total, count(*) - count(version_key) as rows_unmatched from fact",

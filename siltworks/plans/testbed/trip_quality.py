@@ -9,7 +9,8 @@ from siltworks.functions.casting import money_sum
 from siltworks.functions.dates import instant, outside_period
 from siltworks.operators import harmonize, quality
 from siltworks.plans.testbed.standins import FLAGS, ROW, classified, query, rules, silver_root, trips
-from siltworks.plans.trips import read_silver
+from siltworks.plans.trips import publish_metrics, read_silver
+from siltworks.session import work_dir
 
 
 @query
@@ -49,10 +50,21 @@ def failed_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    clean, rejected = quality.split(classified(spark, sf))
+    """Of trips that are published apart: each part is scanned once, and what they have in common counted together."""
+    clean, rejected = read_silver(spark, silver_root(spark, sf))
     return quality.metrics(clean, rejected, ["service_type"], FLAGS)
 
 
+@query
+def stored_quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics and reasons of the published trips as tables of their own, measured at one instant."""
+    per_service, reasons = publish_metrics(*read_silver(spark, silver_root(spark, sf)), work_dir(spark, "metrics"))
+    instants = F.count_distinct("measured_at").alias("n_instants")
+    total = per_service.agg(F.sum("rows_quarantined").alias("rows_quarantined"), F.sum("rows_clean").alias("rows_clean"), instants)
+    counted = reasons.agg(F.sum("rows_quarantined").alias("by_reason"), F.count_distinct(quality.REASON).alias("n_reasons"))
+    return total.join(counted, F.col("rows_quarantined") == F.col("by_reason"), "left")
+
+
 @query
 def quality_metrics_one_pass(spark: SparkSession, sf: str) -> DataFrame:
     return quality.metrics_in_one_pass(classified(spark, sf), ["service_type"], FLAGS)

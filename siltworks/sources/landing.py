@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks import contracts
-from siltworks.contracts import NUMERIC_ORDER, FeedContract
+from siltworks.contracts import FeedContract
+from siltworks.session import stored
 
 
 def expand_template(template: str) -> Column:
@@ -41,6 +43,52 @@ def inventory(spark: SparkSession, directory: str, glob: str = "*.parquet", recu
     )
 
 
+_LISTED = "path string, is_folder boolean, bytes bigint, modified_at timestamp"
+
+
+def _lister(glob: str) -> Callable[[Iterator], Iterator]:
+    """A function for ``mapInPandas`` that lists folders, each by itself; names that begin with _ or . are not data."""
+
+    def read(batches: Iterator) -> Iterator:
+        from fnmatch import fnmatchcase
+
+        import pandas as pd
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch["path"]:
+                if folder.startswith("file:") or "://" not in folder:
+                    source, inner, head = fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/"), "file:"
+                else:
+                    source, inner = fs.FileSystem.from_uri(folder)
+                    head = folder[: len(folder) - len(inner)] if folder.endswith(inner) else folder.split("://")[0] + "://"
+                rows = []
+                for entry in source.get_file_info(fs.FileSelector(inner)):
+                    is_folder = entry.type == fs.FileType.Directory
+                    if entry.base_name[:1] not in ("_", ".") and (is_folder or fnmatchcase(entry.base_name, glob)):
+                        rows.append((head + entry.path, is_folder, None if is_folder else entry.size, entry.mtime))
+                for at in range(0, len(rows), 10_000):
+                    yield pd.DataFrame(rows[at : at + 10_000], columns=["path", "is_folder", "bytes", "modified_at"])
+
+    return read
+
+
+def list_files(spark: SparkSession, directory: str, glob: str = "*.parquet") -> DataFrame:
+    """``path, bytes, modified_at`` of the files in a folder and all below it, listed by the executors, one job for each depth.
+
+    The driver holds no path but that of the folder itself; what was found is kept in the shared folder.
+    """
+    level, found = spark.createDataFrame([(directory,)], "path string"), []
+    while True:
+        listed = stored(level.mapInPandas(_lister(glob), _LISTED), "listing")
+        found.append(listed.filter("not is_folder").drop("is_folder"))
+        level = listed.filter("is_folder").select("path")
+        n = level.count()
+        if not n:
+            return reduce(lambda a, b: a.unionByName(b), found)
+        level = level.repartition(min(n, 4 * spark.sparkContext.defaultParallelism))
+
+
 def completeness(manifest: DataFrame, files: DataFrame, name: str = "file_name") -> DataFrame:
     """Every file that is listed or present, with ``status`` present, missing or unexpected."""
     listed = manifest.select(name).distinct().withColumn("_listed", F.lit(True))
@@ -128,7 +176,7 @@ def schema_mismatches(columns: DataFrame, contract: FeedContract) -> DataFrame:
     """File columns that a plain read under the contract's types rejects or does not find.
 
     Which differences of type Spark's reader bridges is its own business: for each pair of physical and declared type that
-    occurs, one file that has it is read under the declared type. Runs these reads; types are few, however many the files.
+    occurs, one file that has it is read under the declared type, all in one job. Types are few, however many the files.
     """
     known = [
         F.struct(F.lit(s.lower()).alias("name"), F.lit(f.type).alias("declared"))
@@ -139,8 +187,8 @@ def schema_mismatches(columns: DataFrame, contract: FeedContract) -> DataFrame:
     lookup = spark.range(1).select(F.inline(F.array(*known))).distinct()
     both = columns.withColumn("name", F.lower("column")).join(F.broadcast(lookup), "name", "left")
     differing = both.filter("declared is not null and type <> declared")
-    samples = differing.groupBy("type", "declared").agg(F.min(F.struct("path", "column")).alias("one")).collect()
-    bad = [f"{r['type']}>{r['declared']}" for r in samples if not _readable(spark, r["one"]["path"], r["one"]["column"], r["declared"])]
+    samples = differing.groupBy("type", "declared").agg(F.min(F.struct("path", "column")).alias("one")).select("type", "declared", "one.*")
+    bad = [f"{r['type']}>{r['declared']}" for r in unreadable(spark, samples.collect())]
     fails = F.concat_ws(">", "type", "declared").isin(bad) if bad else F.lit(False)
     return both.select(
         "path",
@@ -151,15 +199,23 @@ def schema_mismatches(columns: DataFrame, contract: FeedContract) -> DataFrame:
     ).filter("problem is not null")
 
 
-def _readable(spark: SparkSession, path: str, column: str, kind: str) -> bool:
-    """Whether the reader gives a file's column in that type; the whole column is read, as values may decide."""
-    try:
-        spark.read.schema(f"`{column}` {kind}").parquet(path).agg(F.count(f"`{column}`")).first()
-    except Exception as error:  # the reader's own errors come in several classes
-        if "PARQUET" in str(error).upper() or "CANNOT_READ" in str(error) or "SchemaColumnConvert" in str(error):
-            return False
-        raise
-    return True
+def unreadable(spark: SparkSession, probes: list[Row]) -> list[Row]:
+    """Those of ``type, declared, path, column`` whose file the reader does not give in the declared type.
+
+    All are tried in one job. The reader leaves a file where it fails, so fewer rows than the footer states tell. The whole column is
+    read, as values may decide.
+    """
+    tried = []
+    for i, r in enumerate(probes):
+        for kind, column in ((r["type"], None), (r["declared"], r["column"])):
+            rows = spark.read.option("ignoreCorruptFiles", True).schema(f"`{r['column']}` {kind}").parquet(r["path"])
+            values = F.count(F.lit(1) if column is None else F.col(f"`{column}`"))
+            tried.append(rows.agg(F.lit(i).alias("i"), F.lit(column is None).alias("plain"), F.count("*").alias("n"), values.alias("values")))
+    if not tried:
+        return []
+    found = reduce(lambda a, b: a.unionByName(b), tried).collect()
+    sizes = {(r["i"], r["plain"]): r["n"] for r in found}
+    return [r for i, r in enumerate(probes) if sizes[i, False] < sizes[i, True]]
 
 
 def schema_groups(columns: DataFrame) -> dict[str, list[str]]:

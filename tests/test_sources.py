@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -14,7 +15,8 @@ from siltworks.contracts import FeedContract, Field
 from siltworks.functions import rescue
 from siltworks.plans import trips
 from siltworks.session import shared_root, work_dir
-from siltworks.sources import landing, layout, tables
+from siltworks.sources import landing, layout, snapshots, tables, versions
+from siltworks.streaming import ingest
 
 
 def test_contract_rejects_ambiguous_names():
@@ -193,3 +195,50 @@ def write_doubles(folder) -> str:
     folder.mkdir()
     pq.write_table(pa.table({"y": pa.array([1.0])}), folder / "y.parquet")
     return str(folder)
+
+
+def test_listing_by_executors(spark, tmp_path):
+    """A hundred thousand files in folders of two depths go to the ledger in bounded files, and only once."""
+    for folder in range(10):
+        place = tmp_path / "landing" / f"period={folder % 5}" / f"part={folder}"
+        place.mkdir(parents=True)
+        for i in range(10_000):
+            (place / f"a_{i}.parquet").touch()
+    (tmp_path / "landing" / "_hidden").mkdir()
+    (tmp_path / "landing" / "_hidden" / "a_1.parquet").touch()
+    (tmp_path / "landing" / "a_top.parquet").touch()
+    (tmp_path / "landing" / "b_1.parquet").touch()
+    found = landing.list_files(spark, str(tmp_path / "landing"), "a_*.parquet")
+    assert (found.count(), found.select("path").distinct().count()) == (100_001, 100_001)
+    place, ledger = str(tmp_path / "landing"), str(tmp_path / "ledger")
+    assert ingest.note_new_files(spark, place, "a_*.parquet", ledger, "one", 1_000) == 100_001
+    assert ingest.note_new_files(spark, place, "a_*.parquet", ledger, "two", 1_000) == 0
+    (tmp_path / "landing" / "a_late.parquet").touch()
+    assert ingest.note_new_files(spark, place, "a_*.parquet", ledger, "three", 1_000) == 1
+    sizes = spark.read.parquet(ledger).groupBy(F.input_file_name()).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 1_000 and sizes.count() < 250
+
+
+def test_snapshots_are_safe_to_repeat(spark, tmp_path):
+    def look(*rows):
+        data = [(k, v, None if d is None else datetime(2024, 1, d)) for k, v, d in rows]
+        return spark.createDataFrame(data, "id int, tier string, updated_at timestamp_ntz")
+
+    def seen():
+        return rows(snapshots.read(spark, root, "t").select("id", "tier", F.dayofmonth("valid_from"), F.dayofmonth("valid_to")))
+
+    root = str(tmp_path)
+    first = look((1, "a", 1), (2, "b", 1), (2, "c", 2), (None, "x", 3), (3, "n", None))
+    assert snapshots.apply(first, root, "t", "id", "updated_at") == 0
+    assert seen() == [(1, "a", 1, None), (2, "c", 2, None)]
+    assert snapshots.apply(first, root, "t", "id", "updated_at") is None
+    second = look((1, "d", 5), (2, "z", 1), (4, "e", 5))
+    assert snapshots.apply(second, root, "t", "id", "updated_at") == 1
+    assert snapshots.apply(second, root, "t", "id", "updated_at") is None
+    assert snapshots.apply(look(), root, "t", "id", "updated_at") is None
+    assert snapshots.apply(look((4, "f", 7)), root, "t", "id", "updated_at") == 2
+    assert seen() == [(1, "a", 1, 5), (1, "d", 5, None), (2, "c", 2, None), (4, "e", 5, 7), (4, "f", 7, None)]
+    assert versions.read(spark, root, "t_closed").count() == 1
+    empty = str(tmp_path / "empty")
+    assert snapshots.apply(look(), empty, "t", "id", "updated_at") == 0
+    assert snapshots.apply(second, empty, "t", "id", "updated_at") == 1 and snapshots.read(spark, empty, "t").count() == 3

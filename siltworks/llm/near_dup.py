@@ -8,14 +8,15 @@ other document has are dropped before bands are combined, so documents without n
 
 Documents with equal sets are one node from the start, named by a 64-bit hash of the set. In each table bucket the node
 with most bucket mates stands for it, so that a group of thousands gives a star and not all pairs, and pairs are
-confirmed in three rounds: each node with the representative it shares most buckets with; then with all
-others that are not yet in its component; then pairs of nodes that share a bucket but still lie in different components.
-Of these, most can't be similar, and which ones is known exactly from their representative r. With I(x, r) common
+confirmed in three rounds. First each node points to the representative with which it shares most buckets; pointers lead to ever
+heavier nodes, so following them gives components without a search. Then nodes are compared with
+all other representatives of theirs in other components; then pairs of nodes that share a bucket but still lie in different components.
+Of these, most can't be similar, and which ones is known exactly from a representative r that both have. With I(x, r) common
 shingles, x and y have at most ``min(I(x, r), I(y, r))`` in common within r, so they need the rest among the shingles that r
 lacks. These are rare, and a join on them finds the pairs that share enough; pairs that need none, since one is smaller than
-r, are found by their sizes. No bucket is capped. A pair is confirmed by streaming: partitions are sorted so that the representative's
-set comes first and its partners follow; partners of a frequent one are dealt to several tasks. Components are found by
-alternating large-star and small-star steps on tables in the shared folder.
+r, are found by their sizes. A pair with several such representatives is looked at for the first one only. No bucket is capped. A pair is confirmed by streaming: partitions are sorted so that the representative's
+set comes first and its partners follow; partners of a frequent one are dealt to several tasks. Links of the later rounds join
+components by alternating large-star and small-star steps on tables in the shared folder.
 
 Defined results: a text with fewer words than a shingle is one shingle of all its words; null and blank texts have no
 shingle, are linked with nothing and form their own component; repeated rows have equal sets and so one component; the
@@ -106,35 +107,36 @@ def set_name(shingles: np.ndarray) -> int:
 
 
 def sketch(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Per row: ``_key``, ``n_shingles``, ``node`` and ``halves``, the bands of both collections."""
-    read = text_bytes(df, key, text)
+    """Per row: ``_key``, ``_same`` (a hash of the text), ``n_shingles``, ``node`` and ``halves``, the bands of both collections."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    read = df.select(F.col(key).alias("_key"), F.xxhash64(whole).alias("_same"), whole.cast("binary").alias("_text"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, half = WordHashes(), Bands(bands, rows)
         for batch in batches:
-            sets = (shingle_set(x.as_py(), width, hashes) for x in batch.column(1))
+            sets = (shingle_set(x.as_py(), width, hashes) for x in batch.column(2))
             made = [(len(s), set_name(s), half.of(s)) if len(s) else (0, None, None) for s in sets]
             columns = [pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64())))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["_key", "n_shingles", "node", "halves"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["_key", "_same", "n_shingles", "node", "halves"])
 
     kind = df.schema[key].dataType.simpleString()
-    return read.mapInArrow(task, f"_key {kind}, n_shingles long, node long, halves array<long>")
+    return read.mapInArrow(task, f"_key {kind}, _same long, n_shingles long, node long, halves array<long>")
 
 
 def bucket_entries(nodes: DataFrame, bands: int = BANDS) -> DataFrame:
-    """``node, n, bucket`` for buckets of two or more nodes, with the node's weight: its number of bucket mates."""
-    own = nodes.select("node", "n", F.posexplode("halves").alias("i", "half"))
+    """``node, key, n, bucket`` for buckets of two or more nodes, with the node's weight: its number of bucket mates."""
+    own = nodes.select("node", "key", "n", F.posexplode("halves").alias("i", "half"))
     common = own.groupBy("i", "half").agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    sides = own.join(common, ["i", "half"]).groupBy("node", "n").agg(
+    sides = own.join(common, ["i", "half"]).groupBy("node", "key", "n").agg(
         F.collect_list(F.when(F.col("i") < bands, F.struct("i", "half"))).alias("left"),
         F.collect_list(F.when(F.col("i") >= bands, F.struct("i", "half"))).alias("right"),
     )
     crossed = sides.withColumn("l", F.explode("left")).withColumn("r", F.explode("right"))
-    entries = crossed.select("node", "n", F.xxhash64("l.i", "r.i", "l.half", "r.half").alias("bucket"))
+    entries = crossed.select("node", "key", "n", F.xxhash64("l.i", "r.i", "l.half", "r.half").alias("bucket"))
     mates = entries.groupBy("bucket").agg(F.count("*").alias("mates")).filter("mates > 1")
-    shared = stored(entries.join(mates, "bucket"), "buckets")
-    weight = shared.groupBy("node").agg(F.sum("mates").alias("weight"))
-    return stored(shared.join(weight, "node").select("node", "n", "bucket", "weight"), "buckets")
+    # A node has at most one entry in each of the tables.
+    weight = F.sum("mates").over(Window.partitionBy("node"))
+    return stored(entries.join(mates, "bucket").withColumn("weight", weight).drop("mates"), "buckets")
 
 
 def compare_sets(pairs: DataFrame, df: DataFrame, key: str, text: str, width: int, extras: bool = False) -> DataFrame:
@@ -144,9 +146,12 @@ def compare_sets(pairs: DataFrame, df: DataFrame, key: str, text: str, width: in
     documents' texts; the join that finds them broadcasts the pairs only if they are counted to be few. ``extra`` is
     null unless asked for.
     """
-    partners = pairs.groupBy("a").agg(F.count("*").alias("_n"))
-    dealt = pairs.join(partners, "a").withColumn("slot", F.pmod(F.xxhash64("b"), F.ceil(F.col("_n") / PARTNERS)).cast("int"))
-    dealt = stored(dealt, "pairs")
+    # Only representatives with many partners are looked up: at most one in PARTNERS of the pairs.
+    many = pairs.groupBy("a").agg(F.count("*").alias("_n")).filter(F.col("_n") > PARTNERS).withColumnRenamed("a", "_many")
+    many = F.broadcast(many) if many.count() <= MOST_BROADCAST else many
+    slots = F.ceil(F.coalesce("_n", F.lit(1)) / PARTNERS)
+    dealt = pairs.join(many, F.col("a") == F.col("_many"), "left").withColumn("slot", F.pmod(F.xxhash64("b"), slots).cast("int"))
+    dealt = stored(dealt.drop("_many", "_n"), "pairs")
     heads = dealt.select("a", "slot", F.col("a").alias("node"), F.col("a_key").alias("_k"), F.lit(0).alias("turn")).distinct()
     tails = dealt.select("a", "slot", F.col("b").alias("node"), F.col("b_key").alias("_k"), F.lit(1).alias("turn"))
     wanted = stored(heads.unionByName(tails), "wanted")
@@ -187,33 +192,62 @@ def compare_sets(pairs: DataFrame, df: DataFrame, key: str, text: str, width: in
 
 
 def unlinked_pairs(diffs: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of nodes of different roots that may be similar, from their differences to one representative.
+    """Pairs ``a, a_key, b, b_key`` of nodes of different roots that may be similar, from their differences to one representative.
 
-    ``diffs`` is what ``compare_sets`` gives for representatives and partners, with each partner's ``root``.
+    ``diffs`` is what ``compare_sets`` gives for representatives and partners, with each partner's ``b_key``, ``root`` and ``heads``, all
+    representatives that it is compared with in this way, by which a pair with several of them is looked at once.
     """
-    x = diffs.select("a", F.col("b").alias("x"), F.col("n_b").alias("n_x"), F.col("both").alias("both_x"), F.col("root").alias("root_x"))
-    y = diffs.select("a", "n_a", F.col("b").alias("y"), F.col("n_b").alias("n_y"), F.col("both").alias("both_y"), F.col("root").alias("root_y"))
-    needed = F.col("n_x") + F.col("n_y")  # common shingles, times (100 + percent) / percent
+
+    def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+        columns = {"b": name, "b_key": f"key_{name}", "root": f"root_{name}", "heads": f"heads_{name}", "n_b": f"n_{name}", "both": f"both_{name}"}
+        return rows.select("a", *(F.col(c).alias(n) for c, n in columns.items()), *(F.col(c).alias(f"{c}_{name}") for c in more))
+
+    needed = percent * (F.col("n_x") + F.col("n_y"))  # common shingles, times 100 + percent
     inside = F.least("both_x", "both_y")
-    rare = diffs.select("a", "b", "n_b", "both", F.explode("extra").alias("e"), "root")
+    first = F.col("a") == F.array_min(F.array_intersect("heads_x", "heads_y"))
+    rare = diffs.withColumn("e", F.explode("extra")).drop("extra")
     counts = rare.groupBy("a", "e").agg(F.count("*").alias("_n"), F.min("root").alias("_low"), F.max("root").alias("_high"))
     rare = rare.join(counts.filter("_low <> _high").select("a", "e", "_n"), ["a", "e"])
     # A partner has at least percent of x, so at least so many of these; among all but that many less one there is one.
     least = F.greatest(F.ceil(percent * F.col("n_b") / 100 - F.col("both")), F.lit(1))
     own = Window.partitionBy("a", "b")
-    rare = rare.withColumns({"_all": F.count("*").over(own), "_place": F.row_number().over(own.orderBy("_n", "e")), "_least": least})
-    rare = stored(rare.filter(F.col("_place") <= F.col("_all") - F.col("_least") + 1), "rare")
-    one = rare.select("a", "e", F.col("b").alias("x"), F.col("root").alias("root_x"), F.col("n_b").alias("n_x"), F.col("both").alias("both_x"), F.col("_all").alias("all_x"))
-    two = rare.select("a", "e", F.col("b").alias("y"), F.col("root").alias("root_y"), F.col("n_b").alias("n_y"), F.col("both").alias("both_y"), F.col("_all").alias("all_y"))
-    enough = percent * needed <= (100 + percent) * (inside + F.least("all_x", "all_y"))
-    shared = one.join(two, ["a", "e"]).filter((F.col("root_x") < F.col("root_y")) & enough)
-    # Without a shared shingle outside of r: x is not similar to r, and y is smaller than r.
-    far = x.join(diffs.select("a", F.col("b").alias("x"), "n_a"), ["a", "x"]).filter(100 * F.col("both_x") < percent * (F.col("n_a") + F.col("n_x") - F.col("both_x")))
-    far = far.filter(percent * (F.col("n_x") + percent * F.col("n_x") / 100) <= (100 + percent) * F.col("both_x")).drop("n_a")
-    small = y.filter("n_y < n_a").drop("n_a")
-    none = far.join(small, "a").filter((F.col("root_x") != F.col("root_y")) & (percent * needed <= (100 + percent) * inside))
-    pairs = shared.select("x", "y").unionByName(none.select("x", "y"))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rare = rare.withColumns({"all": F.count("*").over(own), "_place": F.row_number().over(own.orderBy("_n", "e")), "_least": least})
+    rare = stored(rare.filter(F.col("_place") <= F.col("all") - F.col("_least") + 1), "rare")
+    enough = needed <= (100 + percent) * (inside + F.least("all_x", "all_y"))
+    met = (F.col("a_x") == F.col("a")) & (F.col("e_x") == F.col("e_y"))
+    one, two = side(rare, "x", "e", "all").withColumnRenamed("a", "a_x"), side(rare, "y", "e", "all")
+    shared = one.join(two, met & (F.col("root_x") < F.col("root_y")) & enough & first)
+    # Without a shared shingle outside of r: x is not similar to r, and y is smaller than r, so small that x can do with what it has in r.
+    x = side(diffs, "x", "n_a").filter(100 * F.col("both_x") < percent * (F.col("n_a_x") + F.col("n_x") - F.col("both_x")))
+    smallest, largest = F.ceil(percent * F.col("n_x") / 100), F.floor((100 + percent) * F.col("both_x") / percent) - F.col("n_x")
+    x = x.filter(smallest <= largest).withColumn("size", F.explode(F.sequence(smallest, largest))).withColumnRenamed("a", "a_x")
+    y = side(diffs.filter("n_b < n_a"), "y")
+    fits = (F.col("a_x") == F.col("a")) & (F.col("size") == F.col("n_y")) & (needed <= (100 + percent) * inside)
+    none = x.join(y, fits & (F.col("root_x") != F.col("root_y")) & first)
+    pairs = [p.select("x", "key_x", "y", "key_y") for p in (shared, none)]
+    swap = F.col("x") > F.col("y")
+    sides = F.struct(F.col("x").alias("n"), F.col("key_x").alias("k")), F.struct(F.col("y").alias("n"), F.col("key_y").alias("k"))
+    ordered = pairs[0].unionByName(pairs[1]).select(F.when(swap, sides[1]).otherwise(sides[0]).alias("a"), F.when(swap, sides[0]).otherwise(sides[1]).alias("b"))
+    return ordered.select(F.col("a.n").alias("a"), F.col("a.k").alias("a_key"), F.col("b.n").alias("b"), F.col("b.k").alias("b_key")).dropDuplicates(["a", "b"])
+
+
+def followed(pointers: DataFrame) -> DataFrame:
+    """``node, root`` of pointers ``b`` to ``a`` that form no circle, by following twice as far in each step."""
+    found = pointers.select(F.col("b").alias("node"), F.col("a").alias("root"))
+    while True:
+        ahead = found.select(F.col("node").alias("root"), F.col("root").alias("_next"))
+        found = stored(found.join(ahead, "root", "left").select("node", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("_moved")), "followed")
+        if found.filter("_moved").isEmpty():
+            return found.select("node", "root")
+        found = found.drop("_moved")
+
+
+def rooted(pairs: DataFrame, roots: DataFrame, *sides: str) -> DataFrame:
+    """The pairs with the ``root_`` of their sides; a node without one is its own."""
+    for side in sides:
+        known = roots.select(F.col("node").alias(side), F.col("root").alias("_root"))
+        pairs = pairs.join(known, side, "left").withColumn(f"root_{side}", F.coalesce("_root", side)).drop("_root")
+    return pairs
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -239,83 +273,89 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def cluster(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """One row per input row: ``key``, ``n_shingles``, ``component_id`` and ``kept`` (the key is the component's).
-
-    Starts jobs; tables of sketches, buckets and links are written to the shared folder.
-    """
+def judged(df: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """Per row ``_key``, ``_same`` (a hash of the text), ``n_shingles``, ``root`` (null without shingles) and ``component_id``."""
     rows = stored(sketch(df, key, text, width), "sketches")
     nodes = rows.filter("n_shingles > 0").groupBy("node")
-    nodes = stored(nodes.agg(F.min("_key").alias("_key"), F.first("halves").alias("halves"), F.max("n_shingles").alias("n")), "nodes")
-    entries = bucket_entries(nodes.filter(F.col("_key").isNotNull()))
-    head = entries.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("_h"))
-    starred = entries.join(head.select("bucket", F.col("_h.node").alias("a"), F.col("_h.n").alias("_n")), "bucket")
+    nodes = stored(nodes.agg(F.min("_key").alias("key"), F.first("halves").alias("halves"), F.max("n_shingles").alias("n")), "nodes")
+    entries = bucket_entries(nodes.filter("key is not null"))
+    head = entries.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n", "key")).alias("_h"))
+    starred = entries.join(head.select("bucket", F.col("_h.node").alias("a"), F.col("_h.key").alias("a_key"), F.col("_h.n").alias("_n")), "bucket")
+    starred = stored(starred.select("bucket", "a", "a_key", "_n", F.col("node").alias("b"), F.col("key").alias("b_key"), "n"), "stars")
     fits = 100 * F.least("n", "_n") >= percent * F.greatest("n", "_n")  # else the sets are too unequal in size
-    stars = stored(starred.filter((F.col("a") != F.col("node")) & fits).groupBy("a", F.col("node").alias("b")).count(), "stars")
-    keys = nodes.select(F.col("node").alias("_node"), "_key")
-
-    def compared(pairs: DataFrame, extras: bool = False) -> DataFrame:
-        named = pairs.select("a", "b")
-        for side in ("a", "b"):
-            named = named.join(keys.select("_node", F.col("_key").alias(f"{side}_key")), F.col(side) == F.col("_node")).drop("_node")
-        return stored(compare_sets(named, df, key, text, width, extras), "compared")
+    stars = starred.filter((F.col("a") != F.col("b")) & fits).groupBy("a", "a_key", "b", "b_key").agg(F.count("*").alias("_shared"))
+    order = Window.partitionBy("b").orderBy(F.desc("_shared"), F.desc("a"))  # a node has at most one star in each table
+    stars = stored(stars.withColumn("_turn", F.row_number().over(order)).drop("_shared"), "stars")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        return compared(pairs).filter(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b").distinct()
-
-    best = stars.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
-    links = confirmed(best)
-    roots = stored(components(links), "roots")
-
-    def rooted(pairs: DataFrame) -> DataFrame:
-        """The pairs whose nodes lie in different components so far."""
-        for side in ("a", "b"):
-            known = roots.select(F.col("node").alias("_node"), F.col("root").alias(f"_{side}"))
-            pairs = pairs.join(known, F.col(side) == F.col("_node"), "left").drop("_node")
-        apart = F.coalesce("_a", "a") != F.coalesce("_b", "b")
-        return pairs.filter(apart).drop("_a", "_b")
-
-    tried = best
-    rest = stored(rooted(stars.select("a", "b").join(best.select("a", "b"), ["a", "b"], "left_anti")), "rest")
-    tried = tried.select("a", "b").unionByName(rest)
-    links = links.unionByName(confirmed(rest))
-    roots = stored(components(links), "roots")
+        compared = compare_sets(pairs.select("a", "a_key", "b", "b_key"), df, key, text, width)
+        similar = 100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))
+        return stored(compared.filter(similar).select("a", "b").distinct(), "confirmed")
+
+    roots = followed(confirmed(stars.filter("_turn = 1")))
+    rest = stored(rooted(stars.filter("_turn > 1"), roots, "a", "b").filter("root_a <> root_b"), "rest")
+    links = confirmed(rest)
+    # Components that these links join take the smallest root that one link leads to, which is enough to leave out most pairs.
+    led = rooted(links, roots, "a", "b").select(F.greatest("root_a", "root_b").alias("root"), F.least("root_a", "root_b").alias("_led"))
+    led = led.groupBy("root").agg(F.min("_led").alias("_led"))
     # What is left: nodes of one bucket in different components.
-    labelled = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    labelled = rooted(starred, roots, "b").withColumnRenamed("root_b", "root").join(led, "root", "left")
+    labelled = stored(labelled.withColumn("root", F.coalesce("_led", "root")).drop("_led"), "labelled")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low <> _high")
-    mixed = stored(labelled.join(mixed.select("bucket"), "bucket").select("bucket", "node", "n", "root"), "mixed")
-    around = mixed.join(head.select("bucket", F.col("_h.node").alias("a")), "bucket").filter("a <> node")
-    around = stored(around.select("a", F.col("node").alias("b"), "root").distinct(), "around")
-    diffs = compared(around, extras=True).dropDuplicates(["a", "b"]).join(around, ["a", "b"])
-    both = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    last = stored(unlinked_pairs(stored(diffs, "differences"), percent).join(both, ["a", "b"], "left_anti"), "last")
-    links = links.unionByName(confirmed(last))
-    roots = stored(components(links), "roots")
-    named = roots.join(nodes.select("node", "_key"), "node")
-    smallest = stored(named.groupBy("root").agg(F.min("_key").alias("component_id")), "components")
-    ids = nodes.join(roots, "node", "left").join(smallest, "root", "left")
-    ids = ids.select("node", F.coalesce("component_id", "_key").alias("component_id"))
+    around = labelled.join(mixed.select("bucket"), "bucket", "left_semi").filter("a <> b")
+    around = around.groupBy("a", "a_key", "b", "b_key", "root").agg(F.lit(1)).drop("1")
+    around = stored(around.withColumn("heads", F.array_sort(F.collect_set("a").over(Window.partitionBy("b")))), "around")
+    diffs = stored(compare_sets(around.select("a", "a_key", "b", "b_key"), df, key, text, width, extras=True), "differences")
+    diffs = diffs.dropDuplicates(["a", "b"]).join(around.select("a", "b", "b_key", "root", "heads"), ["a", "b"])
+    tried = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    last = stored(unlinked_pairs(stored(diffs, "differences"), percent).join(tried, ["a", "b"], "left_anti"), "last")
+    links = rooted(links.unionByName(confirmed(last)), roots, "a", "b")
+    joined = components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    placed = rooted(nodes.select(F.col("node").alias("b"), "key"), roots, "b").withColumnRenamed("root_b", "node")
+    placed = placed.join(joined, "node", "left").select(F.col("b").alias("node"), "key", F.coalesce("root", "node").alias("root"))
+    placed = stored(placed, "components")
+    smallest = placed.groupBy("root").agg(F.min("key").alias("component_id"))
+    ids = placed.select("node", "root").join(smallest, "root")
     out = rows.join(ids, "node", "left").withColumn("component_id", F.coalesce("component_id", "_key"))
+    return out.select("_key", "_same", "n_shingles", "root", "component_id")
+
+
+def cluster(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """One row per input row: ``key``, ``n_shingles``, ``component_id`` and ``kept`` (the key is the component's).
+
+    Starts jobs; tables of sketches, buckets and links are written to the shared folder.
+    """
+    out = judged(df, key, text, width, percent)
     kept = F.col("_key").eqNullSafe(F.col("component_id"))
     return out.select(F.col("_key").alias(key), "n_shingles", "component_id", kept.alias("kept"))
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The input rows of which each component keeps the one with the smallest key.
+    """The input rows of which each component keeps one: that with the smallest key, and of these with the smallest hash of the text.
 
-    Rows that repeat a kept key become one of them; rows without a key all stay.
+    A row is known by key and text, so different texts that share a key don't replace each other. Rows that repeat both become
+    one of them if they have words; rows without words all stay.
     """
-    judged = stored(cluster(df, key, text, width, percent), "clusters")
-    gone = stored(judged.filter(~F.col("kept")).select(F.col(key).alias("_gone")).distinct(), "gone")
-    repeated = stored(judged.filter("kept").groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).filter("_n > 1"), "repeated")
-    few = gone.count() <= MOST_BROADCAST
-    rest = df.join(F.broadcast(gone) if few else gone, F.col(key) == F.col("_gone"), "left_anti")
-    n = repeated.filter(F.col("_key").isNotNull()).count()
-    if not n:
+    rows = stored(judged(df, key, text, width, percent).filter("root is not null"), "clusters")
+    alike = rows.groupBy("root", F.col("_key").alias("_k"), F.col("_same").alias("_s")).agg(F.count("*").alias("_n"))
+    alike = stored(alike, "clusters")
+    place = F.struct(F.col("_k").isNull().alias("none"), F.col("_k").alias("k"), F.col("_s").alias("s"))
+    first = alike.groupBy("root").agg(F.min(place).alias("_first"))
+    marked = alike.join(first, "root").withColumn("_stays", F.col("_k").eqNullSafe(F.col("_first.k")) & (F.col("_s") == F.col("_first.s")))
+    marked = stored(marked.select("_k", "_s", "_n", "_stays"), "marked")
+    same = F.col(key).eqNullSafe(F.col("_k")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_s"))
+
+    def listed(rows: DataFrame) -> DataFrame:
+        rows = rows.select("_k", "_s")
+        return F.broadcast(rows) if rows.count() <= MOST_BROADCAST else rows
+
+    rest = df.join(listed(marked.filter("not _stays")), same, "left_anti")
+    repeated = marked.filter("_stays and _n > 1")
+    if repeated.isEmpty():
         return rest
-    ids = F.broadcast(repeated) if n <= MOST_BROADCAST else repeated
-    once = rest.join(ids, F.col(key) == F.col("_key"), "left_semi").dropDuplicates([key])
-    return rest.join(ids, F.col(key) == F.col("_key"), "left_anti").unionByName(once)
+    ids = listed(repeated)
+    once = rest.join(ids, same, "left_semi").withColumn("_s", F.xxhash64(F.coalesce(F.col(text), F.lit("")))).dropDuplicates([key, "_s"])
+    return rest.join(ids, same, "left_anti").unionByName(once.drop("_s"))
 
 
 by_value(sys.modules[__name__])

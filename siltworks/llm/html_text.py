@@ -1,12 +1,17 @@
 """Main text of web pages: flat blocks of text, classified by a small decision tree.
 
 A page is read as a flat list of blocks, the text between two block-level tags. Each has its number of words, its link
-density (share of words inside links), the same of the block before and after it, and whether a container marks
-it: an enclosing article, or an enclosing menu, footer, advert, comment list and the like, told by tag name or by the
-words of class, id and role. A decision tree that Spark ML fits to the labelled table ``LABELLED`` decides which
+density (share of words inside links), the same of the block before and after it, whether it is a heading, whether it lies in the page's article or
+beside it, and whether a container marks it: a menu, footer, advert, comment list and the like, told by tag name or by the
+words of class, id and role. A word marks a container only if the container does not hold most of the page's text, and a name that
+speaks of a state (``has-sidebar``, ``comments-enabled``) marks none, so no name of a class can silence an article. A decision tree that Spark ML
+fits to the blocks of the hand-labelled pages of ``labelled_pages`` decides which
 blocks are main text. The tree has a few nodes and is sent to the tasks as nested tuples; pages are independent rows.
 
-Defined results: null or empty html gives an empty text; unclosed and stray tags are tolerated; an unclosed script,
+Tags end as in browsers: at the first ``>`` outside of a quoted value, and quotes count only after an equals sign. The reader goes once
+over a page, so its time grows with the page's length whatever is in it.
+
+Defined results: null or empty html gives an empty text; unclosed and stray tags are tolerated; an unclosed tag, script,
 style or comment reaches to the end of the page; an unclosed head ends where text or an element of the body begins; white space inside a block, including line breaks and no-break
 spaces, becomes one space; repeated rows give equal texts; empty tables give empty results. A column of the input named
 like the result is replaced.
@@ -19,6 +24,7 @@ import re
 import sys
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -26,6 +32,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltworks.llm.labelled_pages import PAGES, html_and_labels
 from siltworks.llm.words import added_schema, by_value
 
 ROWS_BACK = 512
@@ -51,40 +58,45 @@ MARKED_WORDS = frozenset(
 )
 HEADERS = frozenset(("header", "banner", "hgroup"))
 
-#: Labelled blocks: the features in order, then 1 for main text. An article decides for its blocks and against the rest
-#: of the page; without one, long blocks with few links count, and short ones beside them.
-LABELLED = (
-    # marked
-    *[(1, i, o, 0, w, l, b, 0, a, 0, 0) for i, o in ((0, 0), (1, 0), (0, 1)) for w in (2, 8, 30, 120) for l in (0, 1) for b, a in ((0, 0), (60, 60))],
-    # inside an article
-    *[(0, 1, 0, h, w, l, b, 0, a, 0, 1) for h in (0, 1) for w in (1, 4, 9, 14, 25, 90, 300) for l in (0, 0.4, 1) for b, a in ((0, 0), (3, 3), (12, 0), (0, 12), (5, 80), (80, 5), (80, 80))],
-    # outside of the page's article
-    *[(0, 0, 1, h, w, l, b, 0, a, 0, 0) for h in (0, 1) for w in (1, 4, 9, 14, 25, 90, 300) for l in (0, 0.4, 1) for b, a in ((0, 0), (3, 3), (12, 0), (5, 80), (80, 5))],
-    # pages without an article: long blocks
-    *[(0, 0, 0, 0, w, l, b, k, a, k, 1) for w in (18, 40, 90, 300) for l in (0, 0.15, 0.3) for b, a, k in ((0, 0, 0), (3, 3, 1), (60, 60, 0), (3, 60, 0.5))],
-    # ... short blocks between long ones, and headings before them
-    *[(0, 0, 0, h, w, l, b, 0, a, 0, 1) for h in (0, 1) for w in (4, 10) for l in (0, 0.2) for b, a in ((60, 60), (40, 25), (25, 40))],
-    *[(0, 0, 0, 1, w, 0, b, k, a, 0, 1) for w in (3, 8, 14) for b, k, a in ((3, 1, 40), (0, 0, 60), (2, 1, 25))],
-    # ... blocks that are all there is
-    *[(0, 0, 0, h, w, 0, 0, 0, 0, 0, 1) for h in (0, 1) for w in (1, 4, 9, 14)],
-    # ... links, and short blocks among others
-    *[(0, 0, 0, h, w, l, b, k, a, m, 0) for h in (0, 1) for w in (1, 4, 20, 60) for l in (0.6, 1) for b, k, a, m in ((2, 1, 2, 1), (0, 0, 3, 1), (60, 0, 3, 1), (60, 0, 60, 0))],
-    *[(0, 0, 0, 0, w, 0, b, k, a, m, 0) for w in (1, 4, 9) for b, k, a, m in ((2, 1, 2, 1), (0, 0, 3, 1), (3, 1, 0, 0), (3, 0, 4, 0), (60, 0, 0, 0))],
-)
-
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Words that mark what readers say, and words of names that tell a state of the page.
+REMARKS = frozenset("comment comments commentlist disqus replies reply respond".split())
+STATES = frozenset("has have with without no not is are can enabled disabled enable disable allow allows allowed open closed opened on off show shows hide js supports".split())
+
+_MARKUP = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+#: An attribute: its name, and its value in quotes or without; or the end of the tag.
+_ATTRIBUTE = re.compile(r"[\s/]*(?:(>)|([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([\"'])|([^\s>]*)))?)")
 _ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I) for tag in SILENT}
-_MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none", re.I)
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
 
 Node = tuple  # (feature, threshold, left, right) or (label,)
 
 
-def fit_tree(spark: SparkSession, labelled: Sequence[tuple] = LABELLED, depth: int = 12) -> Node:
+def features(found: list[Block]) -> list[tuple]:
+    """What the tree sees of each block of a page, in the order of ``FEATURES``."""
+    marked = silenced(found)
+    article = any(b.inside and not m for b, m in zip(found, marked, strict=True))
+    sizes = [(0, 0.0), *((b.words, min(1.0, b.linked / b.words)) for b in found), (0, 0.0)]
+    return [
+        (int(m), int(b.inside), int(article and not b.inside), int(b.heading), *sizes[i + 1], *sizes[i], *sizes[i + 2])
+        for i, (b, m) in enumerate(zip(found, marked, strict=True))
+    ]
+
+
+def labelled_blocks() -> list[tuple]:
+    """Features and label of every block of the labelled pages."""
+    rows = []
+    for pieces in PAGES:
+        page, labels = html_and_labels(pieces)
+        rows += [(*x, y) for x, y in zip(features(blocks(page)), labels, strict=True)]
+    return rows
+
+
+def fit_tree(spark: SparkSession, labelled: Sequence[tuple] | None = None, depth: int = 12) -> Node:
     """The tree that Spark ML fits to the labelled table."""
-    rows = spark.createDataFrame([(Vectors.dense(r[:-1]), float(r[-1])) for r in labelled], ["features", "label"])
-    model = DecisionTreeClassifier(maxDepth=depth, seed=1).fit(rows.coalesce(1))
+    rows = labelled_blocks() if labelled is None else labelled
+    table = spark.createDataFrame([(Vectors.dense([float(v) for v in r[:-1]]), float(r[-1])) for r in rows], ["features", "label"])
+    model = DecisionTreeClassifier(maxDepth=depth, maxBins=64, seed=1).fit(table.coalesce(1))
 
     def node(n) -> Node:  # noqa: ANN001  a node of the JVM's tree
         if n.subtreeDepth() == 0:
@@ -94,35 +106,103 @@ def fit_tree(spark: SparkSession, labelled: Sequence[tuple] = LABELLED, depth: i
     return node(model._java_obj.rootNode())
 
 
-def _marked(tag: str, attributes: str, inside: bool) -> bool:
+@dataclass(slots=True)
+class Block:
+    text: str
+    #: Whether a tag marks it, or what readers say, or that it is hidden; and the containers around it that are marked by a word.
+    marked: bool
+    named: tuple[int, ...]
+    inside: bool
+    heading: bool
+    words: int
+    linked: int
+
+
+def silenced(found: list[Block]) -> list[bool]:
+    """Whether each block is marked. A container with at least half of the page's text is not marked by its name."""
+    spoken = [b for b in found if not b.marked and b.inside] or [b for b in found if not b.marked and b.words >= 10 and 2 * b.linked <= b.words]
+    held: Counter = Counter()
+    for b in spoken:
+        for c in b.named:
+            held[c] += b.words
+    most = sum(b.words for b in spoken)
+    real = {c for b in found for c in b.named if 2 * held[c] < most or not most}
+    return [b.marked or any(c in real for c in b.named) for b in found]
+
+
+HARD, NAMED = 1, 2
+
+
+def _mark(tag: str, attributes: dict[str, str], inside: bool) -> int:
+    """0, ``HARD`` for what is never main text, ``NAMED`` if a word of class, id or role says so."""
     if tag in MARKED_TAGS or (tag in HEADERS and not inside):
-        return True
+        return HARD
     if not attributes:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    if "=" not in attributes or tag in ("body", "html", "main"):
-        return False
-    for value in _MARKS.finditer(attributes):
-        found = {w.lower() for w in _WORDS.findall(value[1] or value[2] or value[3] or "")}
-        if found & MARKED_WORDS or (not inside and found & HEADERS):
-            return True
-    return False
-
-
-def blocks(page: str) -> list[tuple]:
-    """``(text, marked, in article, heading, words, words in links)`` of each block with text, in page order."""
-    out, stack, depth = [], [], Counter()  # stack of (tag, marked); depth: open tags by name, and marked ones
+        return 0
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or _NO_DISPLAY.search(attributes.get("style", "")):
+        return HARD
+    if tag in ("body", "html", "main"):
+        return 0
+    found = 0
+    for name in ("class", "id", "role"):
+        for token in attributes.get(name, "").split():
+            said = {x.lower() for x in _WORDS.findall(token)}
+            if said & STATES:
+                continue
+            if said & REMARKS:
+                return HARD
+            if said & MARKED_WORDS or (not inside and said & HEADERS):
+                found = NAMED
+    return found
+
+
+def markup(page: str) -> Iterator[tuple[int, int, str, bool, dict[str, str]]]:
+    """Begin and end, name (empty for comments), whether it is an end tag, and attributes of each tag.
+
+    The caller may send the place at which to go on.
+    """
+    at = 0
+    while m := _MARKUP.search(page, at):
+        begin, at = m.start(), m.end()
+        if m[1] or m[3]:
+            end = page.find("-->" if m[1] else ">", at - 2 if m[1] else at)  # <!--> is a whole comment
+            at = len(page) if end < 0 else end + (3 if m[1] else 1)
+            at = (yield begin, at, "", False, {}) or at
+        elif m[2]:
+            end = page.find("]]>", at)
+            at = (yield begin, at, "[CDATA[", False, {}) or (len(page) if end < 0 else end + 3)
+        else:
+            attributes: dict[str, str] = {}
+            while True:
+                a = _ATTRIBUTE.match(page, at)
+                if a is None or a[5]:  # the page ends within the tag
+                    at = len(page)
+                    break
+                at = a.end()
+                if a[1]:
+                    break
+                value = next((v for v in (a[3], a[4], a[6]) if v is not None), "")
+                attributes.setdefault(a[2].lower(), value)
+            closed = page.startswith("/>", max(at - 2, begin))
+            if closed:
+                attributes.setdefault("/", "")
+            at = (yield begin, at, m[5].lower(), bool(m[4]), attributes) or at
+
+
+def blocks(page: str) -> list[Block]:
+    """The blocks with text, in page order."""
+    out, stack, depth = [], [], Counter()  # stack of (tag, mark); depth: open tags by name, and marked ones
     pieces, linked, in_head = [], [], False
-    heading = False
+    named: list[int] = []
+    heading, containers = False, 0
 
     def flush() -> None:
-        nonlocal pieces, linked, heading
+        nonlocal pieces, linked
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                words = text.count(" ") + 1
-                out.append((text, depth["*"] > 0, depth["article"] + depth["main"] > 0, heading, words, sum(len(html.unescape(x).split()) for x in linked)))
+                inside = depth["article"] + depth["main"] > 0
+                out.append(Block(text, depth["*"] > 0, tuple(named), inside, heading, text.count(" ") + 1, sum(len(html.unescape(x).split()) for x in linked)))
         pieces, linked = [], []
 
     def say(raw: str) -> None:
@@ -136,27 +216,34 @@ def blocks(page: str) -> list[tuple]:
         while stack:
             name, mark = stack.pop()
             depth[name] -= 1
-            depth["*"] -= mark
+            depth["*"] -= mark == HARD
+            if mark == NAMED:
+                named.pop()
             if name == tag:
                 break
         heading = any(depth[h] for h in ("h1", "h2", "h3", "h4", "h5", "h6"))
 
-    at = 0
-    while m := _TAG.search(page, at):
-        text, at = page[at : m.start()], m.end()
+    at, tags, go = 0, markup(page), None
+    while True:
+        try:
+            begin, end, tag, ends, attributes = tags.send(go)
+        except StopIteration:
+            break
+        go = None
+        text, at = page[at:begin], end
         if in_head:
-            in_head = not text.strip() and (m[2] is None or bool(m[1]) or m[2].lower() in OF_HEAD) and not (m[1] and m[2].lower() in ("head", "body", "html"))
+            in_head = not text.strip() and (not tag or ends or tag in OF_HEAD) and not (ends and tag in ("head", "body", "html"))
         if not in_head:
             say(text)
-        if m[2] is None:
-            if m[0].startswith("<![CDATA["):
-                end = page.find("]]>", at)
-                in_head = False
-                say(html.escape(page[at : end if end >= 0 else len(page)]))
-                at = end + 3 if end >= 0 else len(page)
+        if not tag:
+            continue
+        if tag == "[CDATA[":
+            in_head = False
+            stop = page.find("]]>", at)
+            say(html.escape(page[at : stop if stop >= 0 else len(page)]))
+            at = stop + 3 if stop >= 0 else len(page)
             continue
-        tag = m[2].lower()
-        if m[1]:
+        if ends:
             if tag in BLOCKS:
                 flush()
             if depth[tag] > 0:
@@ -172,9 +259,9 @@ def blocks(page: str) -> list[tuple]:
         if tag in VOID:
             continue
         if tag in SILENT:  # only its own end counts, whatever else looks like a tag
-            if not m[3].rstrip().endswith("/"):
-                end = _ENDS[tag].search(page, at)
-                at = end.end() if end else len(page)
+            if "/" not in attributes:
+                stop = _ENDS[tag].search(page, at)
+                at = go = stop.end() if stop else len(page)
             continue
         if tag == "head":
             in_head = True
@@ -182,10 +269,13 @@ def blocks(page: str) -> list[tuple]:
         if tag == "a" and depth["a"]:
             while depth["a"]:
                 close("a")
-        mark = _marked(tag, m[3], depth["article"] + depth["main"] > 0)
+        mark = _mark(tag, attributes, depth["article"] + depth["main"] > 0)
         stack.append((tag, mark))
         depth[tag] += 1
-        depth["*"] += mark
+        depth["*"] += mark == HARD
+        if mark == NAMED:
+            containers += 1
+            named.append(containers)
         if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             heading = True
     say(page[at:])
@@ -201,14 +291,7 @@ def _label(tree: Node, x: tuple) -> int:
 
 def main_text(page: str, tree: Node) -> str:
     found = blocks(page)
-    article = any(b[2] and not b[1] for b in found)
-    sizes = [(0, 0.0), *((b[4], min(1.0, b[5] / b[4])) for b in found), (0, 0.0)]
-    kept = []
-    for i, b in enumerate(found):
-        x = (b[1], b[2], article and not b[2], b[3], *sizes[i + 1], *sizes[i], *sizes[i + 2])
-        if _label(tree, x):
-            kept.append(b[0])
-    return "\n".join(kept)
+    return "\n".join(b.text for b, x in zip(found, features(found), strict=True) if _label(tree, x))
 
 
 def extract(df: DataFrame, source: str = "html", result: str = "text", keep: Sequence[str] | None = None) -> DataFrame:

@@ -4,9 +4,10 @@ Each learned language is a distribution over letter trigrams (byte trigrams of t
 ``BINS``). Expectation-maximisation finds the shares of all languages in a text. A larger set of languages never fits
 worse, so sets are compared by penalised likelihood: each language after the first costs ``PENALTY`` plus half
 the logarithm of the number of trigrams. Where even all languages together gain less than one such cost, one
-language is chosen at once; else the sets of the 1, 2, ... largest shares are fitted and compared.
+language is chosen at once; else the sets of the 1, 2, ... largest shares are fitted and compared, up to the size from which
+even the fit of all languages could not pay for one more.
 
-Learning counts trigrams in Arrow tasks, whose partial counts Spark sums. The model is a table of at most
+Learning counts trigrams in Arrow tasks, which hold ``HELD`` languages at once; Spark sums their partial counts. The model is a table of at most
 ``MOST_LANGUAGES * BINS`` counts, some 130 MB at worst and 1 MB for four languages, which bounds the broadcast. Texts are
 scored whole and one by one, without a shuffle.
 
@@ -34,7 +35,8 @@ MOST_LANGUAGES = 500
 SMOOTHING = 0.1
 STEPS = 15
 PENALTY = 8.0
-MOST_SET = 4
+#: Languages whose counts a task holds before it hands them on.
+HELD = 64
 #: Elements (distinct trigrams of texts) that are fitted at once.
 ELEMENTS = 300_000
 UNDETERMINED = "und"
@@ -57,15 +59,22 @@ def learn(df: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for name, own in counts.items():
+                at = np.flatnonzero(own)
+                columns = [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(own[at])]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "bin", "n"])
+            counts.clear()
+
         for batch in batches:
             for lang_, text_ in zip(batch.column(0), batch.column(1), strict=True):
-                own = counts.setdefault(lang_.as_py(), np.zeros(BINS, np.int64))
+                name = lang_.as_py()
+                if name not in counts and len(counts) == HELD:
+                    yield from out()
+                own = counts.setdefault(name, np.zeros(BINS, np.int64))
                 own += np.bincount(trigrams(text_.as_py()), minlength=BINS)
-        for name, own in counts.items():
-            at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(own[at])], ["lang", "bin", "n"]
-            )
+        yield from out()
 
     return rows.mapInArrow(task, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
 
@@ -121,21 +130,22 @@ def mixtures(model: Model, texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[
     score = 1 / odds.sum(axis=1)
     cost = PENALTY + 0.5 * np.log(np.maximum(total, 1))
     value = single.max(axis=1)
-    mixed = np.flatnonzero(all_fit - value > cost)
-    if len(mixed):
+    order = np.argsort(-shares, axis=1, kind="stable")
+    for k in range(2, width + 1):
+        # No set fits better than all languages, so from here on only these can gain.
+        mixed = np.flatnonzero(all_fit - (k - 1) * cost > value)
+        if not len(mixed):
+            break
         keep = np.concatenate([np.arange(starts[i], starts[i] + counts[i]) for i in mixed])
-        p, n, own = p[keep], n[keep], counts[mixed]
-        starts = np.concatenate([[0], np.cumsum(own)[:-1]])
-        order = np.argsort(-shares[mixed], axis=1, kind="stable")
-        for k in range(2, min(MOST_SET, width) + 1):
-            start = np.zeros((len(mixed), width), np.float32)
-            np.put_along_axis(start, order[:, :k], np.float32(1 / k), axis=1)
-            fitted, fit = _fit(p + np.float32(1e-12), n, starts, total[mixed], start)
-            better = fit - (k - 1) * cost[mixed] > value[mixed]
-            at = mixed[better]
-            value[at] = (fit - (k - 1) * cost[mixed])[better]
-            chosen[at] = fitted[better]
-            score[at] = fitted[better].max(axis=1)
+        begin = np.concatenate([[0], np.cumsum(counts[mixed])[:-1]])
+        start = np.zeros((len(mixed), width), np.float32)
+        np.put_along_axis(start, order[mixed, :k], np.float32(1 / k), axis=1)
+        fitted, fit = _fit(p[keep] + np.float32(1e-12), n[keep], begin, total[mixed], start)
+        better = fit - (k - 1) * cost[mixed] > value[mixed]
+        at = mixed[better]
+        value[at] = (fit - (k - 1) * cost[mixed])[better]
+        chosen[at] = fitted[better]
+        score[at] = fitted[better].max(axis=1)
     return chosen, np.clip(score, 0, 1)
 
 

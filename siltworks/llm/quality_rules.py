@@ -3,7 +3,8 @@
 Counts of each text are turned into ratios. For every language and source a mergeable quantile sketch
 (``percentile_approx``) summarises each ratio, and a document is rejected where a ratio lies above the fence of its
 own group: the upper quartile plus a multiple of the distance between median and upper quartile, at least a margin
-for groups whose documents are all alike. No cutoff on a ratio is fixed; what is usual in the group decides.
+for groups whose documents are all alike. No cutoff on a ratio is fixed; what is usual in the group decides. Groups of fewer than
+``LEAST_GROUP`` documents are judged by the sketch of their language, or of all documents.
 
 Defined results: a null or empty text has no words and is rejected; a null language or source is a group of its own;
 repeated rows are judged one by one; an empty table gives an empty result. Columns of the input are kept; in ``judge``
@@ -46,6 +47,8 @@ RATIOS = (
     Ratio("word_length", "word_chars", "n_words", 3.0),
 )
 SPREADS = 4.0
+#: Documents from which a group has fences of its own.
+LEAST_GROUP = 20
 ACCURACY = 2000
 #: Groups whose thresholds may be broadcast: at about 100 bytes a row, 20 MB.
 MOST_BROADCAST = 200_000
@@ -112,9 +115,12 @@ def _ratio(r: Ratio) -> Column:
     return F.when(F.col(r.bottom) > 0, F.col(r.top) / F.col(r.bottom)).otherwise(0.0)
 
 
-def thresholds(measured: DataFrame, by: Sequence[str], ratios: Sequence[Ratio] = RATIOS) -> DataFrame:
+def thresholds(measured: DataFrame, by: Sequence[str], ratios: Sequence[Ratio] = RATIOS, least: int = LEAST_GROUP) -> DataFrame:
     """One row per group with the fence of each ratio, from sketches over all its documents that pass the base rules.
 
+    A group with fewer than ``least`` of these takes the fences of the next larger one that has as many: of its language, say, then of
+    all documents.
+
     The sketches are merged from partial ones, so a group that holds a third of all rows is no burden to one task.
     """
     sketches = [F.percentile_approx(_ratio(r), F.array(F.lit(0.5), F.lit(0.75)), F.lit(ACCURACY)).alias(r.name) for r in ratios]
@@ -125,7 +131,23 @@ def thresholds(measured: DataFrame, by: Sequence[str], ratios: Sequence[Ratio] =
     keys = [F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]
     rows = measured.filter(~F.col("base_failed")).select(*keys, *(c for c in MEASURES))
     names = [f"_by{i}" for i in range(len(by))]
-    return rows.groupBy(*names).agg(*sketches).select(*names, *fences)
+    most = [f"_most_{r.name}" for r in ratios]
+    # Sketches of all groups, of those that share all but the last column, and so on to all rows, from one pass.
+    level = F.grouping_id() if names else F.lit(0)
+    rolled = (rows.rollup(*names) if names else rows.groupBy()).agg(*sketches, F.count("*").alias("_n"), level.alias("_level"))
+    rolled = stored(rolled.select(*names, *fences, "_n", "_level"), "sketches")
+    found = rolled.filter("_level = 0").select(*names, F.when((F.col("_n") >= least) | F.lit(not names), F.struct(*most)).alias("_fences"))
+    for k in range(1, len(names) + 1):
+        shared = names[: len(names) - k]
+        parent = rolled.filter(F.col("_level") == (1 << k) - 1)
+        enough = (F.col("_n") >= least) | F.lit(not shared)
+        parent = parent.select(*(F.col(c).alias(f"_of{c}") for c in shared), F.when(enough, F.struct(*most)).alias("_parent"), F.lit(k).alias("_k"))
+        same = F.col("_k") == F.lit(k)
+        for c in shared:
+            same = same & F.col(c).eqNullSafe(F.col(f"_of{c}"))
+        found = found.withColumn("_mine", F.lit(k)).join(parent, same & (F.col("_mine") == F.col("_k")), "left")
+        found = found.select(*names, F.coalesce("_fences", "_parent").alias("_fences"))
+    return found.select(*names, "_fences.*")
 
 
 def _judged(df: DataFrame, text: str, by: Sequence[str], ratios: Sequence[Ratio]) -> DataFrame:

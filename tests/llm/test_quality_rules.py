@@ -61,6 +61,20 @@ def test_fences_follow_the_group(spark):
     assert gone == {i for i in range(0, 400, 2) if i % 20 == 2}
 
 
+def test_small_groups_take_the_fences_of_larger_ones(spark):
+    rng = random.Random(5)
+    rows = [(i, corpus.text(rng, "en", 60), "en", "large") for i in range(200)]
+    rows += [(1000 + i, " ".join(w + "#" for w in corpus.text(rng, "en", 15).split()), "en", "small") for i in range(3)]
+    rows += [(2000 + i, corpus.text(rng, "en", 60), "en", "small") for i in range(3)]
+    rows += [(3000 + i, " ".join(w + "#" for w in corpus.text(rng, "de", 15).split()), "de", None) for i in range(3)]  # no language as large
+    rows += [(4000, corpus.text(rng, "de", 60), None, "large")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    gone = {r["doc_id"] for r in quality_rules.judge(df).filter("not kept").collect()}
+    assert gone == {1000, 1001, 1002, 3000, 3001, 3002}
+    alone = {r["doc_id"] for r in quality_rules.judge(df, by=()).filter("not kept").collect()}
+    assert alone == gone
+
+
 def test_empty(no_docs):
     assert quality_rules.judge(no_docs).count() == 0
     assert quality_rules.keep_good(no_docs).count() == 0

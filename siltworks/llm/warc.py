@@ -38,7 +38,7 @@ CRLF = "\r\n"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 RECORD_KIND = (
-    "record_type string, record_id string, concurrent_to string, target_uri string, date string, "
+    "record_type string, record_id string, concurrent_to array<string>, target_uri string, date string, "
     "payload_digest string, refers_to_uri string, http_length long, payload binary"
 )
 
@@ -149,15 +149,20 @@ class _Stream:
 
 
 def _fields(head: bytes) -> dict[str, str]:
+    return dict(_named_fields(head))
+
+
+def _named_fields(head: bytes) -> list[tuple[str, str]]:
     lines = (x.partition(b":") for x in head.split(b"\r\n")[1:])
-    return {k.strip().lower().decode("utf-8", "replace"): v.strip().decode("utf-8", "replace") for k, _, v in lines}
+    return [(k.strip().lower().decode("utf-8", "replace"), v.strip().decode("utf-8", "replace")) for k, _, v in lines]
 
 
 def parse(content: bytes) -> Iterator[tuple]:
     """The records of an archive, as tuples of ``RECORD_KIND``. Of HTTP answers, the payload is the body."""
     stream = _Stream(content)
     while (head := stream.until(b"\r\n\r\n")) is not None:
-        f = _fields(head.lstrip(b"\r\n"))
+        fields = _named_fields(head.lstrip(b"\r\n"))
+        f = dict(fields)
         block = stream.take(int(f.get("content-length", 0)))
         stream.until(b"\r\n\r\n")
         kind, http_length = f.get("warc-type"), None
@@ -165,15 +170,16 @@ def parse(content: bytes) -> Iterator[tuple]:
             http, _, block = block.partition(b"\r\n\r\n")
             stated = _fields(http).get("content-length", "")
             http_length = int(stated) if stated.isdigit() else None
-        names = ("warc-record-id", "warc-concurrent-to", "warc-target-uri", "warc-date", "warc-payload-digest", "warc-refers-to-target-uri")
-        yield (kind, *(f.get(n) for n in names), http_length, block)
+        others = [v for k, v in fields if k == "warc-concurrent-to"] or None  # the one field that may repeat
+        names = ("warc-target-uri", "warc-date", "warc-payload-digest", "warc-refers-to-target-uri")
+        yield (kind, f.get("warc-record-id"), others, *(f.get(n) for n in names), http_length, block)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the archives below ``path``."""
     files = spark.read.format("binaryFile").load(path).select("content")
     names = [x.split()[0] for x in RECORD_KIND.split(", ")]
-    kinds = [pa.string()] * 7 + [pa.int64(), pa.binary()]
+    kinds = [pa.string(), pa.string(), pa.list_(pa.string()), *[pa.string()] * 4, pa.int64(), pa.binary()]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(rows: list[tuple]) -> pa.RecordBatch:
@@ -196,16 +202,20 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture``, ``response`` (or revisit), ``request`` and the list ``metadata``.
 
-    ``records`` may have any columns beside ``record_type``, ``record_id`` and ``concurrent_to``. Records join the
-    response that they name, or that names them.
+    ``records`` may have any columns beside ``record_type``, ``record_id`` and the list ``concurrent_to``. Records join the
+    response that they name, or that names them; of several that they name, a response that is there, the smallest.
     """
     main = F.col("record_type").isin("response", "revisit")
     whole = F.struct(*records.columns)
     answers = records.filter(main).select(F.col("record_id").alias("capture"), whole.alias("response"))
     named = records.filter(main & F.col("concurrent_to").isNotNull())
-    named = named.select(F.col("concurrent_to").alias("_other"), F.col("record_id").alias("_by")).dropDuplicates(["_other"])
+    named = named.select(F.explode("concurrent_to").alias("_other"), F.col("record_id").alias("_by"))
+    named = named.groupBy("_other").agg(F.min("_by").alias("_by"))
     others = records.filter(~main | F.col("record_type").isNull()).join(named, F.col("record_id") == F.col("_other"), "left")
-    capture = F.coalesce("_by", "concurrent_to", "record_id")
+    several = records.filter(~main & (F.size("concurrent_to") > 1)).select(F.col("record_id").alias("_of"), F.explode("concurrent_to").alias("capture"))
+    several = several.join(answers.select("capture"), "capture", "left_semi").groupBy("_of").agg(F.min("capture").alias("_one"))
+    others = others.join(several, F.col("record_id") == F.col("_of"), "left").drop("_of")
+    capture = F.coalesce("_by", "_one", F.get("concurrent_to", F.lit(0)), "record_id")
     sides = others.groupBy(capture.alias("capture")).agg(
         F.min(F.when(F.col("record_type") == "request", whole)).alias("request"),
         F.collect_list(F.when(F.col("record_type") == "metadata", whole)).alias("metadata"),

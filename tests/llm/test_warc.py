@@ -79,6 +79,29 @@ def test_archives_of_others(spark, tmp_path):
     assert rows["<gone>"]["response"] is None and rows["<r2>"]["request"] is None
 
 
+def test_several_concurrent_records(spark, tmp_path):
+    """The one field that may repeat: a response that names request and notes, and notes that name a request and a response."""
+    http = b"HTTP/1.1 200 OK\r\n\r\nabc"
+    twice = lambda kind, name, one, two, block: record(kind, name, block, WARC_Concurrent_To=one).replace(
+        b"WARC-Concurrent-To: " + one, b"WARC-Concurrent-To: " + one + b"\r\nWARC-Concurrent-To: " + two
+    )
+    parts = [
+        twice(b"response", b"<r1>", b"<q1>", b"<m1>", http),
+        record(b"request", b"<q1>", b"GET /1"),
+        record(b"metadata", b"<m1>", b"a: 1\r\n"),
+        record(b"response", b"<r2>", http),
+        record(b"request", b"<q2>", b"GET /2", WARC_Concurrent_To=b"<r2>"),
+        twice(b"metadata", b"<m2>", b"<q2>", b"<r2>", b"b: 2\r\n"),
+        twice(b"metadata", b"<m3>", b"<x1>", b"<x2>", b"c: 3\r\n"),
+    ]
+    (tmp_path / "a.warc").write_bytes(b"".join(parts))
+    rows = {r["capture"]: r for r in warc.assemble(warc.read(spark, str(tmp_path))).collect()}
+    assert set(rows) == {"<r1>", "<r2>", "<x1>"}
+    for name, n in (("<r1>", 1), ("<r2>", 2)):
+        assert bytes(rows[name]["request"]["payload"]) == b"GET /%d" % n
+        assert [m["record_id"] for m in rows[name]["metadata"]] == [f"<m{n}>"]
+
+
 def test_cut_archive_raises():
     with pytest.raises(ValueError, match="ends within"):
         list(warc.parse(record(b"response", b"<r>", b"abcdef")[:-8]))

@@ -28,7 +28,8 @@ from siltworks.llm.words import word_count
 from siltworks.session import stored
 
 MOST = 3
-NEWTON_STEPS = 24
+#: Steps after which an open gap raises; halving the bracket alone needs some seventy.
+NEWTON_STEPS = 200
 REPAIRS = 6
 #: Documents of one class that are ranked in one task.
 RANKED = 20_000
@@ -68,15 +69,17 @@ def balance(classes: DataFrame, goal: DataFrame, most: int = MOST, steps: int =
 
     Each step is one distributed aggregation of the dual's first and second derivative per source. The state, one row
     per source, is written to the shared folder after each step, so lineage stays short. Sources whose target is all
-    or nothing, or equal to their size, need no step.
+    that they may give, or their size, need no step. Steps end when every gap is closed or its bracket is as narrow as numbers are.
     """
     mean = classes.groupBy("_source").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("_mean"))
     state = goal.withColumnRenamed("_source", "_of").join(mean, _same("_of", "_source")).drop("_source")
     low = F.log(F.greatest(F.col("target"), F.lit(1e-9)) / F.greatest(F.col("source_size"), F.lit(1)))
     # At lambda = 0 every rate is 1; the bracket holds the root on the side the target asks for.
     more = F.col("target") >= F.col("source_size")
+    # With all that a source may give, every document with words is taken as often as it may be.
+    full = F.col("target") >= most * F.col("source_size") * (1 - 1e-12)
     state = state.select(
-        "_of", "target", F.greatest("_mean", F.lit(1e-9)).alias("_mean"), F.lit(0.0).alias("_lambda"),
+        "_of", "target", F.greatest("_mean", F.lit(1e-9)).alias("_mean"), F.when(full, 1e9).otherwise(0.0).alias("_lambda"), full.alias("_full"),
         F.when(more, 0.0).otherwise(4 * low - 64.0).alias("_low"), F.when(more, 4 * F.abs(low) + 64.0).otherwise(0.0).alias("_high"),
     )
     state = stored(state, "dual")
@@ -95,12 +98,15 @@ def balance(classes: DataFrame, goal: DataFrame, most: int = MOST, steps: int =
         )
         newton = F.col("_lambda") - gap / F.col("_df")
         inside = (F.col("_df") > 0) & (newton > F.col("_low")) & (newton < F.col("_high"))
-        near = F.abs(gap) <= 1e-9 * F.greatest(F.col("target"), F.lit(1.0))
+        narrow = F.col("_high") - F.col("_low") <= 1e-14 * F.greatest(F.abs("_high"), F.abs("_low"))
+        near = F.col("_full") | narrow | (F.abs(gap) <= 1e-9 * F.greatest(F.col("target"), F.lit(1.0)))
         step = F.when(near, F.col("_lambda")).when(inside, newton).otherwise((F.col("_low") + F.col("_high")) / 2)
-        state = stored(state.select("_of", "target", "_mean", step.alias("_lambda"), "_low", "_high", near.alias("_near")), "dual")
+        state = stored(state.select("_of", "target", "_mean", step.alias("_lambda"), "_full", "_low", "_high", near.alias("_near")), "dual")
         if state.filter(~F.col("_near")).isEmpty():
             break
         state = state.drop("_near")
+    else:
+        raise ArithmeticError(f"the dual has open gaps after {steps} steps")
     state = state.select("_of", "_mean", "_lambda", "target")
     return classes.join(state, _same("_source", "_of")).withColumn("rate", rate).drop("_of", "_mean", "_lambda")
 

@@ -38,7 +38,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.llm.words import by_value
@@ -326,6 +327,16 @@ class Classes:
         return ((mixed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(self.shards)
 
 
+def sent(spark: SparkSession, classes: Classes) -> Broadcast:
+    """What ``received`` makes classes of: arrays and numbers, which workers can read without this package."""
+    c = classes
+    return spark.sparkContext.broadcast((c.hashes, c.counts, c.n_tokens, c.n_distinct, c.shards, c.frequent, c.frequent_counts))
+
+
+def received(shared: Broadcast) -> Classes:
+    return Classes(*shared.value)
+
+
 class ClassIds(dict):
     """Positions of the words that a task has met in ``Classes``, or -1."""
 
@@ -453,12 +464,13 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
         column(top, "h").view(np.uint64), column(top, "n"), tokens, whole[1], max(1, -(-tokens // SHARD_TOKENS)),
         column(often, "h").view(np.uint64), column(often, "n"),
     )
-    shared = spark.sparkContext.broadcast(classes)
+    shared = sent(spark, classes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = received(shared)
         for run in _runs(batches):
             distinct, n = np.unique(run.keys, return_counts=True)
-            yield _dealt(shared.value, run.words, distinct, lambda at, m=n: (pack(m[at].astype(np.uint32)),), ("counts",))
+            yield _dealt(own, run.words, distinct, lambda at, m=n: (pack(m[at].astype(np.uint32)),), ("counts",))
 
     def merge(table: pa.Table) -> pa.Table:
         """The distinct trigrams of a shard, by number of its words, and how many trigrams and bigrams of its own were met once and twice."""
@@ -474,7 +486,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
         first = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])))
         context, word, n = context[first], word[first], np.add.reduceat(n, first)
         root = context // len(words)
-        whole_ = ~np.isin(words[root], shared.value.frequent)
+        whole_ = ~np.isin(words[root], received(shared).frequent)
         continued = np.unique((root * len(words) + word)[whole_], return_counts=True)[1]
         made = (_deltas(words), _deltas(context.astype(np.uint64)), pack(word.astype(np.uint32)), pack(n))
         met = ((continued == 1).sum(), (continued == 2).sum(), (n == 1).sum(), (n == 2).sum())
@@ -489,7 +501,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
             for words, contexts, word in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = _sums(unpack(words, np.uint64))
                 root = (_sums(unpack(contexts, np.uint64)) // np.uint64(len(words))).astype(np.int64)
-                at = np.flatnonzero(np.isin(words[root], shared.value.frequent))
+                at = np.flatnonzero(np.isin(words[root], received(shared).frequent))
                 pairs, n = np.unique(root[at] * len(words) + unpack(word, np.uint32)[at], return_counts=True)
                 pair = [pa.array(words[x].view(np.int64)) for x in np.divmod(pairs, len(words))]
                 yield pa.RecordBatch.from_arrays([*pair, pa.array(n.astype(np.int64))], ["root", "h", "n"])
@@ -513,7 +525,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
             root, before = (own[x.astype(np.int64)] for x in np.divmod(_sums(unpack(trigrams["contexts"][0].as_py(), np.uint64)), np.uint64(len(own))))
             word, n = own[unpack(trigrams["word"][0].as_py(), np.uint32)], unpack(trigrams["counts"][0].as_py(), np.int64)
         lower = (np.searchsorted(words, hashes(below, "root")), np.searchsorted(words, hashes(below, "h")), below["n"].to_numpy())
-        trie = build_trie(root, before, word, n, 10 ** shared.value.log_of(counted), words, discounts, lower)
+        trie = build_trie(root, before, word, n, 10 ** received(shared).log_of(counted), words, discounts, lower)
         return pa.table({"shard": facts["shard"][:1], "trie": pa.array([trie], pa.binary())})
 
     dealt = texts.mapInArrow(count, "shard int, words binary, keys binary, counts binary").groupBy("shard")
@@ -572,10 +584,10 @@ def _log_unigram(model: LanguageModel, rows: DataFrame) -> tuple[DataFrame, Colu
 
 def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
     """``_rid, lm``: sums of the logarithms of the words' probabilities, in parts."""
-    shared = texts.sparkSession.sparkContext.broadcast(model.classes)
+    shared = sent(texts.sparkSession, model.classes)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = received(shared)
         for r in _runs(batches):
             order = np.argsort(r.keys, kind="stable")
             number = r.number[order]
@@ -594,7 +606,7 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
             yield names_.append_column("run", pa.array([run], pa.int64()))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = received(shared)
         at, trie = None, None
 
         def row(run: int, *values: bytes | None) -> pa.RecordBatch:
@@ -656,10 +668,10 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
 
 def _word_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
     """``_rid, n_tokens, n_known, base``: sums over tokens, frequent words at once and the others by a join."""
-    shared = texts.sparkSession.sparkContext.broadcast(model.classes)
+    shared = sent(texts.sparkSession, model.classes)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = received(shared)
         ids = ClassIds(own)
         for batch in batches:
             out = [[], [], [], [], []]

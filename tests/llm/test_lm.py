@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pickle
 import math
 import random
 from collections import Counter
@@ -143,3 +144,10 @@ def test_shards_of_frequent_roots_share_their_bigrams(spark, monkeypatch):
 
 def test_trigrams_met_once_have_entries(spark):
     compare_with_whole_model(spark, 1)
+
+
+def test_workers_need_no_package(spark):
+    classes = lm.Classes(np.array([5, 3], np.uint64), np.array([2, 1]), 3, 2, 1, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    shared = lm.sent(spark, classes)
+    assert b"siltworks" not in pickle.dumps(shared.value)
+    assert lm.received(shared).ids == classes.ids == {3: 0, 5: 1}

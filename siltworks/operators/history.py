@@ -87,11 +87,11 @@ def history_from_log(
     """The same history from a change log, in one run: each change is valid until the next.
 
     Of several changes of a key at one instant the last stands, in the order of ``attributes``; so no version is
-    empty, and key and start identify a version.
+    empty, and key and start identify a version. Changes without an instant are left out. The log is shuffled once.
     """
-    changes = log.groupBy(key, F.col(ts).alias(VALID_FROM)).agg(F.max(F.struct(*attributes)).alias("_last"))
-    changes = changes.select(key, *[F.col(f"_last.{c}").alias(c) for c in attributes], VALID_FROM)
-    return timeline.next_instant(changes, [key], VALID_FROM, VALID_TO, (), rows_per_slot, sized_by=log)
+    changes = log.filter(F.col(ts).isNotNull()).select(key, *attributes, F.col(ts).alias(VALID_FROM))
+    followed = timeline.next_instant(changes, [key], VALID_FROM, VALID_TO, attributes, rows_per_slot)
+    return followed.filter(F.col(VALID_TO).isNull() | (F.col(VALID_TO) > F.col(VALID_FROM)))
 
 
 def can_broadcast(

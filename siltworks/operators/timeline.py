@@ -54,11 +54,11 @@ def _in_slots(df: DataFrame, keys: Sequence[str], ts: str, frequent: DataFrame,
     return placed.withColumn(_SLOT, slot.cast("bigint")).drop(*[f"_key_{k}" for k in keys], "_bounds", "_second")
 
 
-def _crowded(df: DataFrame, keys: Sequence[str], ts: str, rows_per_slot: int, sized_by: DataFrame | None) -> DataFrame | None:
-    """``frequent_keys``, or None if there are none. Runs a job on ``sized_by``, which has at least the rows of ``df`` per key."""
-    counted = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count("*").alias("n"))
-    most = counted.agg(F.max("n")).first()[0]
-    return frequent_keys(df, keys, ts, rows_per_slot) if most and most > rows_per_slot else None
+def _crowded(df: DataFrame, keys: Sequence[str], ts: str, rows_per_slot: int) -> DataFrame | None:
+    """``frequent_keys``, or None if there are none. Runs a job that counts the rows of each key."""
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    none = counted.filter(F.col("_n") > rows_per_slot).isEmpty()
+    return None if none else frequent_keys(df, keys, ts, rows_per_slot)
 
 
 def next_instant(
@@ -68,13 +68,9 @@ def next_instant(
     out: str,
     tie_break: Sequence[str] = (),
     rows_per_slot: int = ROWS_PER_SLOT,
-    sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the time of the following row of the same key; null for the last. Runs a job.
-
-    ``sized_by`` may be a cheaper table with at least as many rows of each key, such as the one that ``df`` was reduced from.
-    """
-    frequent = _crowded(df, keys, ts, rows_per_slot, sized_by)
+    """Add the time of the following row of the same key; null for the last. Runs a job."""
+    frequent = _crowded(df, keys, ts, rows_per_slot)
     if frequent is None:
         return df.withColumn(out, F.lead(ts).over(Window.partitionBy(*keys).orderBy(ts, *tie_break)))
     rows = _in_slots(df, keys, ts, frequent, "left").withColumn(_REAL, F.lit(1))
@@ -104,7 +100,7 @@ def running(
     """
     frame = Window.unboundedPreceding, 0 if inclusive else -1
     valued = df.withColumn("_value", value)
-    frequent = _crowded(df, keys, ts, rows_per_slot, None)
+    frequent = _crowded(df, keys, ts, rows_per_slot)
     if frequent is None:
         within = Window.partitionBy(*keys).orderBy(ts, *tie_break).rowsBetween(*frame)
         return valued.withColumn(out, fold("_value").over(within)).drop("_value")

@@ -148,7 +148,7 @@ def _ranked(sized: DataFrame, classes: DataFrame, key: str) -> DataFrame:
         classes.withColumnsRenamed({"_source": "_of", "size": "_size"}), _same("_source", "_of") & (F.col("size") == F.col("_size"))
     ).drop("_of", "_size")
     extra = F.col("copies") % F.col("n")
-    rows = rows.withColumn("_hash", F.xxhash64(F.col(key).cast("string"), F.lit("mix")))
+    rows = rows.withColumn("_hash", F.xxhash64(F.col(key).cast("string"), "_same", F.lit("mix")))
     # The hash in order of buckets: those of a class divide the range evenly.
     share = (F.col("_hash").cast("double") / 2.0**64) + 0.5
     bucket = F.floor(share * F.ceil(F.col("n") / RANKED)).cast("long")
@@ -160,7 +160,7 @@ def _ranked(sized: DataFrame, classes: DataFrame, key: str) -> DataFrame:
         F.col("_source").alias("_of"), F.col("size").alias("_size"), F.col("_bucket").alias("_in"),
         F.coalesce(F.sum("count").over(in_order), F.lit(0)).alias("_before"),
     )
-    rows = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*where).orderBy("_hash", key)))
+    rows = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*where).orderBy("_hash", key, "_same")))
     rows = rows.join(
         counted, _same("_source", "_of") & (F.col("size") == F.col("_size")) & (F.col("_bucket") == F.col("_in")), "left"
     )
@@ -169,6 +169,20 @@ def _ranked(sized: DataFrame, classes: DataFrame, key: str) -> DataFrame:
     return rows.withColumn("_each", each.cast("long")).drop("_of", "_size", "_in", "_before", "_rank", "_bucket", "_hash")
 
 
+def _planned(docs: DataFrame, weights: Sequence[int], key: str, source: str, text: str, most: int) -> DataFrame:
+    """What ``plan_mix`` gives, with ``_same``, a hash of the text."""
+    same = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    sized = docs.select(F.col(key), F.col(source).alias("_source"), word_count(text).alias("size"), same.alias("_same"))
+    sized = stored(sized, "sizes")
+    classes = stored(sized.groupBy("_source", "size").agg(F.count("*").alias("n")), "size-classes")
+    per_source = classes.groupBy("_source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    goal = stored(targets(per_source, weights, most), "targets")
+    dealt = round_classes(balance(classes, goal, most), most)
+    names = goal.withColumnRenamed("_source", "_of")
+    rows = _ranked(sized, dealt, key).join(names, _same("_source", "_of"))
+    return rows.select(key, "_same", "size", "source_size", "target", F.col("_each").alias("copies"))
+
+
 def plan_mix(
     docs: DataFrame,
     weights: Sequence[int] = (5, 2, 1),
@@ -181,23 +195,17 @@ def plan_mix(
 
     Starts jobs, which write small tables to the shared folder: the sizes, and one row per source and size.
     """
-    sized = docs.select(F.col(key), F.col(source).alias("_source"), word_count(text).alias("size"))
-    sized = stored(sized, "sizes")
-    classes = stored(sized.groupBy("_source", "size").agg(F.count("*").alias("n")), "size-classes")
-    per_source = classes.groupBy("_source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    goal = stored(targets(per_source, weights, most), "targets")
-    dealt = round_classes(balance(classes, goal, most), most)
-    names = goal.withColumnRenamed("_source", "_of")
-    rows = _ranked(sized, dealt, key).join(names, _same("_source", "_of"))
-    return rows.select(key, "size", "source_size", "target", F.col("_each").alias("copies"))
+    return _planned(docs, weights, key, source, text, most).drop("_same")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The mixed corpus: each document as often as it has copies, with the columns of the input.
 
-    ``key`` should be unique: rows that share one get the copies of all of them.
+    A document is known by key and text, so texts that share a key have copies of their own. Rows that repeat both, of one source
+    or of several, all get the most copies that one of them has.
     """
-    plan = plan_mix(docs, weights, key, source, text)
-    copies = plan.groupBy(F.col(key).alias("_key")).agg(F.max("copies").alias("_copies")).filter("_copies > 0")
-    rows = docs.join(copies, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    plan = _planned(docs, weights, key, source, text, MOST)
+    copies = plan.groupBy(F.col(key).alias("_key"), "_same").agg(F.max("copies").alias("_copies")).filter("_copies > 0")
+    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    rows = docs.join(copies, F.col(key).eqNullSafe(F.col("_key")) & (own == F.col("_same"))).drop("_key", "_same")
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

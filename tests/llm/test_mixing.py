@@ -71,3 +71,15 @@ def test_awkward_rows(docs, no_docs):
     assert mixing.mix(docs).columns == docs.columns
     assert mixing.plan_mix(no_docs).count() == 0
     assert mixing.mix(no_docs).count() == 0
+
+
+def test_texts_that_share_a_key_have_their_own_copies(spark):
+    """One key, or none, for a third of all rows: copies go to texts, and ranks split them."""
+    rng = random.Random(3)
+    rows = [(1 if i % 3 == 0 else None if i % 3 == 1 else i, f"t{i} " + corpus.text(rng, "en", 9), f"s{i % 2}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = [r["text"] for r in mixing.mix(df).collect()]
+    by = {s: sum(10 * mixed.count(t) for _, t, source in rows if source == s) for s in ("s0", "s1")}
+    # Targets are 5/7 and 2/7 of 3000 words.
+    assert abs(by["s0"] - 3000 * 5 / 7) <= 15 and abs(by["s1"] - 3000 * 2 / 7) <= 15
+    assert max(mixed.count(t) for _, t, _ in rows) <= 3

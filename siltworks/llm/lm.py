@@ -13,12 +13,13 @@ bits in unary. A child is the rank of the word among the root's successors, whic
 Probabilities and back-off weights are 8-bit codes into codebooks. Tasks write a shard's bytes to a temporary file,
 map it into memory, and remove it at once.
 
-Words are told apart by 64-bit hashes everywhere. Runs of texts, the pieces that they send, and shards number their own words
-by the order of the hashes and carry these, so nothing holds all words. Training counts distinct trigrams per run before
-the shuffle and joins the words of each shard with their counts; scoring sends the distinct trigrams of a run,
+Words are told apart by 64-bit hashes. The ``CLASSES`` most frequent ones, which are nearly all tokens, have a number by falling count,
+which every task knows (20 MB broadcast at most), so the keys of trigrams are small numbers; pieces and shards number the others
+by the order of their hashes and carry these, so nothing holds all words and no word lacks a number. Scores don't depend on ``CLASSES``. Training counts distinct trigrams per run before
+the shuffle and joins the rare words of each shard with their counts; scoring sends the distinct trigrams of a run,
 with the numbers of the texts that have them, as packed columns to the shards, whose trie comes first in sorted order and
 is followed by its questions as a stream. Where neither trigram nor bigram is known, the unigram of a word is wanted: the
-counts of the ``CLASSES`` most frequent words are broadcast (1 MB), those of the others come by a join, with the same result.
+counts of numbered words are at hand, those of the others come by a join, with the same result.
 
 Defined results: null and empty texts consist of one end; texts are never cut; repeated rows get equal scores; with
 nothing to learn from, no word is known; empty tables give empty results. Other columns are ignored.
@@ -31,7 +32,7 @@ import sys
 import tempfile
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,8 @@ from pyspark.sql import functions as F
 from siltworks.llm.words import by_value
 from siltworks.session import stored
 
-#: Words whose counts tasks have at hand. A cache: scores do not depend on it.
-CLASSES = (1 << 16) - 2
+#: Words that have a number in all tasks, and whose counts these have at hand. Scores do not depend on it.
+CLASSES = (1 << 20) - 2
 LEAST_TRIGRAM = 1
 SHARD_TOKENS = 2_000_000
 #: Tokens, and texts, of which trigrams are packed together. Keys hold three numbers below 2 ** 21, so a run has fewer words.
@@ -247,9 +248,12 @@ class Shard:
         self.words = self.a["words"]
 
     def numbers(self, words: np.ndarray) -> np.ndarray:
-        """The shard's numbers of words by hash; those that it does not have share the number after the last."""
-        at = np.minimum(np.searchsorted(self.words, words), max(len(self.words) - 1, 0))
-        return np.where(self.words[at] == words, at, len(self.words)).astype(np.uint64) if len(self.words) else np.zeros(len(words), np.uint64)
+        """The shard's numbers of rare words by hash, after those of the classes; those that it does not have share the last number."""
+        last = int(self.base) - 1
+        if not len(self.words):
+            return np.full(len(words), last)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, last - len(self.words) + at, last)
 
     def _value(self, name: str, at: np.ndarray, missing: np.ndarray | float) -> np.ndarray:
         """Logarithms at the positions, and ``missing`` where there is none."""
@@ -283,43 +287,53 @@ class Shard:
 
 @dataclass
 class Classes:
-    """The frequent words by hash, with what is known of all words. At most ``CLASSES`` rows, and the roots that are dealt further."""
+    """The frequent words, with what is known of all words. At most ``CLASSES`` rows, and the words that are dealt further."""
 
+    #: Sorted hashes, and the number of each: its place by falling count. ``counts`` is in the order of numbers.
     hashes: np.ndarray
+    number: np.ndarray
     counts: np.ndarray
     n_tokens: int
     n_distinct: int
     shards: int
-    #: Words with more than a shard's share of all tokens, by sorted hash, with their counts.
-    frequent: np.ndarray
-    frequent_counts: np.ndarray
-    ids: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        order = np.argsort(self.hashes)
-        self.hashes, self.counts = self.hashes[order], self.counts[order]
-        self.ids = {int(h): i for i, h in enumerate(self.hashes)}
         self.log_unigram = self.log_of(self.counts)
-        self.slots = np.ceil(self.frequent_counts / SHARD_TOKENS).astype(np.uint64)
+        #: The first numbers are words with more than a shard's share of all tokens.
+        often = int((self.counts > SHARD_TOKENS).sum())
+        self.slots = np.ceil(self.counts[:often] / SHARD_TOKENS).astype(np.uint64)
+        self.hash_of = np.zeros(often, np.uint64)
+        near = self.number < often
+        self.hash_of[self.number[near]] = self.hashes[near]
+
+    @property
+    def size(self) -> int:
+        return len(self.counts)
+
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """The numbers of words by hash, or -1."""
+        if not self.size:
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.hashes, words), self.size - 1)
+        return np.where(self.hashes[at] == words, self.number[at].astype(np.int64), -1)
 
     def log_of(self, counts: np.ndarray) -> np.ndarray:
         """log10 of the add-one unigram of words with these counts."""
         return np.log10((counts + 1) / (self.n_tokens + self.n_distinct + 1))
 
-    def shard_of(self, root: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """The shards of trigrams, by the hashes of the root and of the word before it."""
+    def shard_of(self, number: np.ndarray, root: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """The shards of trigrams, by the number of the root, its hash, and that of the word before it."""
         slot = np.zeros(len(root), np.uint64)
-        if len(self.frequent):
-            at = np.minimum(np.searchsorted(self.frequent, root), len(self.frequent) - 1)
-            hit = np.flatnonzero(self.frequent[at] == root)
-            slot[hit] = ((before[hit] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)) % self.slots[at[hit]]
+        hit = np.flatnonzero((number >= 0) & (number < len(self.slots)))
+        slot[hit] = ((before[hit] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)) % self.slots[number[hit]]
         return self._mixed(root, slot)
 
     def shards_of_frequent(self) -> list[tuple[int, int]]:
-        """The frequent roots' hashes, as signed numbers, with each shard that they are dealt to."""
-        root, slots = np.repeat(self.frequent, self.slots.astype(np.int64)), [np.arange(int(k), dtype=np.uint64) for k in self.slots]
-        shards = self._mixed(root, np.concatenate([np.zeros(0, np.uint64), *slots]))
-        return sorted(set(zip(root.view(np.int64).tolist(), shards.tolist(), strict=True)))
+        """The numbers of the frequent roots, with each shard that they are dealt to."""
+        own = np.repeat(np.arange(len(self.slots)), self.slots.astype(np.int64))
+        slots = [np.arange(int(k), dtype=np.uint64) for k in self.slots]
+        shards = self._mixed(self.hash_of[own], np.concatenate([np.zeros(0, np.uint64), *slots]))
+        return sorted(set(zip(own.tolist(), shards.tolist(), strict=True)))
 
     def _mixed(self, root: np.ndarray, slot: np.ndarray) -> np.ndarray:
         mixed = (root * np.uint64(0xBF58476D1CE4E5B9)) ^ (slot * np.uint64(0x94D049BB133111EB))
@@ -330,7 +344,7 @@ class Classes:
 def sent(spark: SparkSession, classes: Classes) -> Broadcast:
     """What ``received`` makes classes of: arrays and numbers, which workers can read without this package."""
     c = classes
-    return spark.sparkContext.broadcast((c.hashes, c.counts, c.n_tokens, c.n_distinct, c.shards, c.frequent, c.frequent_counts))
+    return spark.sparkContext.broadcast((c.hashes, c.number, c.counts, c.n_tokens, c.n_distinct, c.shards))
 
 
 def received(shared: Broadcast) -> Classes:
@@ -338,16 +352,16 @@ def received(shared: Broadcast) -> Classes:
 
 
 class ClassIds(dict):
-    """Positions of the words that a task has met in ``Classes``, or -1."""
+    """Numbers of the words that a task has met, or -1."""
 
     def __init__(self, classes: Classes):
         super().__init__()
-        self.of = classes.ids
+        self.of = classes.numbers
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self.of.get(token_hash(word), -1)
+        found = int(self.of(np.array([token_hash(word)], np.int64).view(np.uint64))[0])
         if len(word) <= 64:
             self[word] = found
         return found
@@ -449,21 +463,33 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("_text").mapInArrow(task, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, tokens: int, distinct: int) -> Classes:
+    """Words down to the least count that at most ``CLASSES`` words have, and in any case those that are dealt further.
+
+    There are about as many different counts as the root of twice the tokens.
+    """
+    held, least = 0, SHARD_TOKENS + 1
+    for r in sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["n"]):
+        held += r["words"]
+        if held > CLASSES:
+            break
+        least = min(least, r["n"])
+    top = counts.filter(F.col("n") >= least).toArrow()
+    h, n = (top[c].to_numpy().astype(np.int64) for c in ("h", "n"))
+    falling = np.lexsort((h, -n))
+    h, n = h[falling].view(np.uint64), n[falling]
+    order = np.argsort(h)
+    return Classes(h[order], order.astype(np.uint32), n, tokens, distinct, max(1, -(-tokens // SHARD_TOKENS)))
+
+
 def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageModel:
     """Learn from every row. Starts jobs; the word counts and the tries are stored in the shared folder."""
     spark = df.sparkSession
     texts = named_rows(df, key, text)
     counts = stored(count_words(texts), "word-counts")
     whole = counts.agg(F.sum("n"), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "h").limit(CLASSES).collect()
-    often = counts.filter(F.col("n") > SHARD_TOKENS).collect()
-    often.sort(key=lambda r: r["h"] % (1 << 64))
     tokens = whole[0] or 0
-    column = lambda rows, name: np.array([r[name] for r in rows], np.int64)
-    classes = Classes(
-        column(top, "h").view(np.uint64), column(top, "n"), tokens, whole[1], max(1, -(-tokens // SHARD_TOKENS)),
-        column(often, "h").view(np.uint64), column(often, "n"),
-    )
+    classes = frequent_words(counts, tokens, whole[1])
     shared = sent(spark, classes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -474,37 +500,40 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
 
     def merge(table: pa.Table) -> pa.Table:
         """The distinct trigrams of a shard, by number of its words, and how many trigrams and bigrams of its own were met once and twice."""
+        size = shared.value[2].size
         own = [_sums(unpack(b, np.uint64)) for b in table["words"].to_pylist()]
         words = np.unique(np.concatenate(own))
-        at = [np.searchsorted(words, w) for w in own]
-        keys = [parted(_sums(unpack(b, np.uint64)), len(w)) for b, w in zip(table["keys"].to_pylist(), own, strict=True)]
-        root, before, word = (np.concatenate([a[k[i]] for a, k in zip(at, keys, strict=True)]) for i in range(3))
+        keys = [renumbered(unpacked_keys(*blobs), size, size + np.searchsorted(words, w)) for w, *blobs in zip(own, *(table[c].to_pylist() for c in KEYS), strict=True)]
+        root, before, word = (np.concatenate([k[i] for k in keys]) for i in range(3))
         n = np.concatenate([unpack(b, np.uint32) for b in table["counts"].to_pylist()]).astype(np.int64)
-        context = root * len(words) + before
-        order = np.lexsort((word, context))
-        context, word, n = context[order], word[order], n[order]
-        first = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])))
-        context, word, n = context[first], word[first], np.add.reduceat(n, first)
-        root = context // len(words)
-        whole_ = ~np.isin(words[root], received(shared).frequent)
-        continued = np.unique((root * len(words) + word)[whole_], return_counts=True)[1]
-        made = (_deltas(words), _deltas(context.astype(np.uint64)), pack(word.astype(np.uint32)), pack(n))
+        order = np.lexsort((word, before, root))
+        root, before, word, n = root[order], before[order], word[order], n[order]
+        first = np.flatnonzero(np.append(True, (root[1:] != root[:-1]) | (before[1:] != before[:-1]) | (word[1:] != word[:-1])))
+        root, before, word, n = root[first], before[first], word[first], np.add.reduceat(n, first)
+        whole_ = root >= len(received(shared).slots)
+        continued = np.unique((root * (size + len(words)) + word)[whole_], return_counts=True)[1]
+        made = (_deltas(words), *packed_keys(root, before, word), pack(n))
         met = ((continued == 1).sum(), (continued == 2).sum(), (n == 1).sum(), (n == 2).sum())
         return pa.table(
             [table["shard"][:1], *(pa.array([m], pa.binary()) for m in made), *(pa.array([int(m)]) for m in met)],
-            names=["shard", "words", "contexts", "word", "counts", "once2", "twice2", "once3", "twice3"],
+            names=["shard", "words", *KEYS, "counts", "once2", "twice2", "once3", "twice3"],
         )
 
     def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Bigrams of the roots that are dealt to several shards, with the number of their contexts in each."""
+        """Bigrams of the roots that are dealt to several shards, with the number of their contexts in each; a word is a class or a hash."""
+        own = received(shared)
         for batch in batches:
-            for words, contexts, word in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for words, *blobs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = _sums(unpack(words, np.uint64))
-                root = (_sums(unpack(contexts, np.uint64)) // np.uint64(len(words))).astype(np.int64)
-                at = np.flatnonzero(np.isin(words[root], received(shared).frequent))
-                pairs, n = np.unique(root[at] * len(words) + unpack(word, np.uint32)[at], return_counts=True)
-                pair = [pa.array(words[x].view(np.int64)) for x in np.divmod(pairs, len(words))]
-                yield pa.RecordBatch.from_arrays([*pair, pa.array(n.astype(np.int64))], ["root", "h", "n"])
+                root, _, word = unpacked_keys(*blobs)
+                at = np.flatnonzero(root < len(own.slots))
+                width = own.size + len(words)
+                pairs, n = np.unique(root[at] * width + word[at], return_counts=True)
+                root, word = np.divmod(pairs, max(width, 1))
+                rare = word >= own.size
+                h = words[np.where(rare, word - own.size, 0)] if len(words) else np.zeros(len(word), np.uint64)
+                columns = [pa.array(root), pa.array(word, mask=rare), pa.array(h.view(np.int64), mask=~rare), pa.array(n.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["root", "w", "h", "n"])
 
     def words_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -512,25 +541,31 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
                 h = _sums(unpack(words, np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), shard, np.int32)), pa.array(h)], ["shard", "h"])
 
-    def build(trigrams: pa.Table, facts: pa.Table) -> pa.Table:
-        """The trie, from at most one row of trigrams, the counts of all words in it, and whole bigram levels of frequent roots."""
-        hashes = lambda t, name: t[name].to_numpy().view(np.uint64)
+    def build(key: tuple, trigrams: pa.Table, facts: pa.Table) -> pa.Table:
+        """The trie, from at most one row of trigrams, the counts of its rare words, and whole bigram levels of frequent roots."""
+        own = received(shared)
         known, below = facts.filter(pc.field("root").is_null()), facts.filter(~pc.field("root").is_null())
-        words, counted = hashes(known, "h"), known["n"].to_numpy()
+        words, counted = known["h"].to_numpy().view(np.uint64), known["n"].to_numpy()
         order = np.argsort(words)
         words, counted = words[order], counted[order]
         root = before = word = n = np.zeros(0, np.int64)
         if trigrams.num_rows:
-            own = np.searchsorted(words, _sums(unpack(trigrams["words"][0].as_py(), np.uint64)))
-            root, before = (own[x.astype(np.int64)] for x in np.divmod(_sums(unpack(trigrams["contexts"][0].as_py(), np.uint64)), np.uint64(len(own))))
-            word, n = own[unpack(trigrams["word"][0].as_py(), np.uint32)], unpack(trigrams["counts"][0].as_py(), np.int64)
-        lower = (np.searchsorted(words, hashes(below, "root")), np.searchsorted(words, hashes(below, "h")), below["n"].to_numpy())
-        trie = build_trie(root, before, word, n, 10 ** received(shared).log_of(counted), words, discounts, lower)
-        return pa.table({"shard": facts["shard"][:1], "trie": pa.array([trie], pa.binary())})
-
-    dealt = texts.mapInArrow(count, "shard int, words binary, keys binary, counts binary").groupBy("shard")
+            rare = own.size + np.searchsorted(words, _sums(unpack(trigrams["words"][0].as_py(), np.uint64)))
+            root, before, word = renumbered(unpacked_keys(*(trigrams[c][0].as_py() for c in KEYS)), own.size, rare)
+            order = np.lexsort((word, before, root))
+            root, before, word, n = root[order], before[order], word[order], unpack(trigrams["counts"][0].as_py(), np.int64)[order]
+        rare = below["w"].is_null().to_numpy()
+        w = below["w"].fill_null(0).to_numpy()
+        at = own.size + np.searchsorted(words, below["h"].fill_null(0).to_numpy().view(np.uint64))
+        lower = (below["root"].to_numpy(), np.where(rare, at, w), below["n"].to_numpy())
+        unigram = 10 ** np.concatenate([own.log_unigram, own.log_of(counted)])
+        trie = build_trie(root, before, word, n, unigram, words, discounts, lower)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "trie": pa.array([trie], pa.binary())})
+
+    cell = "shard int, words binary, " + ", ".join(f"{c} binary" for c in KEYS) + ", counts binary"
+    dealt = texts.mapInArrow(count, cell).groupBy("shard")
     met = ("once2", "twice2", "once3", "twice3")
-    columns = "shard int, words binary, contexts binary, word binary, counts binary, " + ", ".join(f"{m} long" for m in met)
+    columns = f"{cell}, " + ", ".join(f"{m} long" for m in met)
     trigrams = stored(dealt.applyInArrow(merge, columns), "trigrams")
     found = trigrams.agg(*(F.coalesce(F.sum(m), F.lit(0)) for m in met)).first()
     known = trigrams.select("shard", "words").mapInArrow(words_in, "shard int, h long")
@@ -538,13 +573,14 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
     below, more = [], (0, 0)
     if spread:
         shards = F.broadcast(spark.createDataFrame(spread, "root long, shard int"))
-        lower = trigrams.select("words", "contexts", "word").mapInArrow(bigrams, "root long, h long, n long")
-        lower = stored(lower.groupBy("root", "h").agg(F.sum("n").alias("n")), "frequent-bigrams")
+        lower = trigrams.select("words", *KEYS).mapInArrow(bigrams, "root long, w long, h long, n long")
+        lower = stored(lower.groupBy("root", "w", "h").agg(F.sum("n").alias("n")), "frequent-bigrams")
         more = lower.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
-        below = [lower.join(shards, "root").select("shard", "root", "h", "n")]
-        known = known.union(below[0].select("shard", "h")).union(shards.select("shard", "root")).distinct()
+        below = [lower.join(shards, "root").select("shard", "root", "w", "h", "n")]
+        known = known.union(below[0].filter("h is not null").select("shard", "h")).distinct()
     discounts = discount_of(found[0] + more[0], found[1] + more[1]), discount_of(found[2], found[3])
-    facts = known.join(counts, "h").select("shard", F.lit(None).cast("long").alias("root"), "h", "n")
+    none = F.lit(None).cast("long")
+    facts = known.join(counts, "h").select("shard", none.alias("root"), none.alias("w"), "h", "n")
     for b in below:
         facts = facts.union(b)
     packed = trigrams.drop(*met).groupBy("shard")
@@ -552,6 +588,40 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
     return LanguageModel(classes, counts, stored(tries, "tries"))
 
 
+#: A cell's trigrams as columns: root, word before it, predicted word.
+KEYS = ("roots", "befores", "nexts")
+
+
+def packed_keys(root: np.ndarray, before: np.ndarray, word: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Sorted trigrams as differences: roots to the last, the word before within its root, the word within both."""
+    first = np.append(True, root[1:] != root[:-1])[: len(root)]
+    second = first | np.append(True, before[1:] != before[:-1])[: len(root)]
+    columns = np.diff(root, prepend=0), np.where(first, before, np.diff(before, prepend=0)), np.where(second, word, np.diff(word, prepend=0))
+    return tuple(pack(c.astype(np.uint32)) for c in columns)
+
+
+def unpacked_keys(roots: bytes, befores: bytes, nexts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    steps = [unpack(b, np.uint32).astype(np.int64) for b in (roots, befores, nexts)]
+    first = steps[0] != 0
+    first[:1] = True
+    before = _sums_within(steps[1], first)
+    return np.cumsum(steps[0]), before, _sums_within(steps[2], first | (steps[1] != 0))
+
+
+def _sums_within(steps: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Running sums that begin anew where ``first`` says so."""
+    total = np.cumsum(steps)
+    at = np.flatnonzero(first)
+    return total - np.repeat(total[at] - steps[at], np.diff(np.append(at, len(steps))))
+
+
+def renumbered(keys: tuple[np.ndarray, ...], size: int, rare: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Numbers from ``size`` on, those of rare words, replaced by others."""
+    if not len(rare):
+        return keys
+    return tuple(np.where(k < size, k, rare[np.maximum(k - size, 0)]) for k in keys)
+
+
 def _deltas(keys: np.ndarray) -> bytes:
     return pack(np.diff(keys, prepend=np.uint64(0)))
 
@@ -561,17 +631,25 @@ def _sums(deltas: np.ndarray) -> np.ndarray:
 
 
 def _dealt(classes: Classes, words: np.ndarray, keys: np.ndarray, columns, names: tuple[str, ...]) -> pa.RecordBatch:  # noqa: ANN001
-    """One row per shard that has some of the sorted keys: its words, its keys with their positions, and what ``columns`` makes of the places."""
+    """One row per shard that has some of a run's keys: its rare words, its sorted trigrams, and what ``columns`` makes of their places."""
     root, before, word = parted(keys, len(words))
-    shard = classes.shard_of(words[root], words[before]).astype(np.int32)
+    number = classes.numbers(words)
+    shard = classes.shard_of(number[root], words[root], words[before]).astype(np.int32)
     order = np.argsort(shard, kind="stable")
     own, first = np.unique(shard[order], return_index=True)
     made = []
     for at in np.split(order, first[1:]) if len(own) else []:
-        has, place = np.unique(np.concatenate([root[at], before[at], word[at]]), return_inverse=True)
-        made.append((_deltas(words[has]), _deltas(joined(*np.split(place, 3), len(has))), *columns(at)))
-    arrays = [pa.array([m[i] for m in made], pa.binary()) for i in range(len(names) + 2)]
-    return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *arrays], ["shard", "words", "keys", *names])
+        used = np.zeros(len(words), bool)
+        for side in (root, before, word):
+            used[side[at]] = True
+        rare = np.flatnonzero(used & (number < 0))
+        placed = number.copy()
+        placed[rare] = classes.size + np.arange(len(rare))
+        r, b, w = placed[root[at]], placed[before[at]], placed[word[at]]
+        sort = np.lexsort((w, b, r))
+        made.append((_deltas(words[rare]), *packed_keys(r[sort], b[sort], w[sort]), *columns(at[sort])))
+    arrays = [pa.array([m[i] for m in made], pa.binary()) for i in range(len(names) + 4)]
+    return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *arrays], ["shard", "words", *KEYS, *names])
 
 
 def _log_unigram(model: LanguageModel, rows: DataFrame) -> tuple[DataFrame, Column, Column]:
@@ -602,7 +680,7 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
             dealt = _dealt(own, r.words, distinct, columns, ("counts", "numbers"))
             yield dealt.append_column("run", pa.array([run] * dealt.num_rows, pa.int64()))
             # Who the texts of the run are goes along under a negative number, past the shards.
-            names_ = pa.RecordBatch.from_arrays([pa.array([-1 - run % (4 * own.shards)], pa.int32()), *[pa.array([pack(r.rids)], pa.binary())] * 4], dealt.schema.names)
+            names_ = pa.RecordBatch.from_arrays([pa.array([-1 - run % (4 * own.shards)], pa.int32()), *[pa.array([pack(r.rids)], pa.binary())] * 6], dealt.schema.names)
             yield names_.append_column("run", pa.array([run], pa.int64()))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -614,7 +692,7 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
 
         for batch in batches:
             for i in range(batch.num_rows):
-                shard, turn, words, keys, counts, numbers, run = (batch.column(c)[i].as_py() for c in range(7))
+                shard, turn, words, *blobs, counts, numbers, run = (batch.column(c)[i].as_py() for c in range(9))
                 if turn == 0:
                     at, trie = shard, Shard(words)
                     continue
@@ -622,22 +700,20 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
                     yield row(run, words, None, None, None)
                     continue
                 words = _sums(unpack(words, np.uint64))
-                root, before, word = parted(_sums(unpack(keys, np.uint64)), len(words))
+                root, before, word = keys = unpacked_keys(*blobs)
                 if at == shard:
-                    place = trie.numbers(words)
-                    found, missing = trie.look_up(place[root], place[before], place[word])
+                    found, missing = trie.look_up(*(k.astype(np.uint64) for k in renumbered(keys, own.size, trie.numbers(words))))
                 else:  # a shard that nothing was learned for
                     found, missing = np.zeros(len(word)), np.ones(len(word), bool)
-                if len(own.hashes):
-                    near = np.minimum(np.searchsorted(own.hashes, words), len(own.hashes) - 1)
-                    cached = missing & (own.hashes[near] == words)[word]
-                    found = found + np.where(cached, own.log_unigram[near][word], 0.0)
-                    missing = missing & ~cached
+                cached = missing & (word < own.size)
+                found[cached] += own.log_unigram[word[cached]]
+                missing = missing & ~cached
                 counts, numbers = unpack(counts, np.uint32), unpack(numbers, np.uint16)
                 number, place = np.unique(numbers, return_inverse=True)
                 sums = np.bincount(place, np.repeat(found, counts), len(number))
                 still = np.repeat(missing, counts)
-                yield row(run, pack(number), pack(sums), pack(numbers[still]), pack(np.repeat(words[word], counts)[still]))
+                open_ = words[word[missing] - own.size]
+                yield row(run, pack(number), pack(sums), pack(numbers[still]), pack(np.repeat(open_, counts[missing])))
 
     def total(table: pa.Table) -> pa.Table:
         """The sums of a run's texts over all shards, and tokens whose unigrams are to be added. A run that repeats has its rows twice, and so its sums."""
@@ -655,8 +731,8 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
         h = pa.array([*[None] * len(rids), *words.view(np.int64)[word].tolist()], pa.int64())
         return pa.table({"_rid": np.append(rids, rids[text]), "h": h, "n": np.append(np.zeros(len(rids), np.int64), n), "lm": np.append(out, np.zeros(len(n)))})
 
-    names = ("words", "keys", "counts", "numbers")
-    asked = texts.mapInArrow(ask, "shard int, words binary, keys binary, counts binary, numbers binary, run long")
+    names = ("words", *KEYS, "counts", "numbers")
+    asked = texts.mapInArrow(ask, "shard int, " + ", ".join(f"{c} binary" for c in names) + ", run long")
     asked = asked.select("shard", F.lit(1).alias("turn"), *names, "run")
     tries = model.tries.select("shard", F.lit(0).alias("turn"), F.col("trie").alias("words"), *(F.lit(None).cast("binary").alias(c) for c in names[1:]), F.lit(None).cast("long").alias("run"))
     rows = tries.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "turn")

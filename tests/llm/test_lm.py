@@ -1,7 +1,7 @@
 from __future__ import annotations
 
-import pickle
 import math
+import pickle
 import random
 from collections import Counter
 
@@ -147,7 +147,15 @@ def test_trigrams_met_once_have_entries(spark):
 
 
 def test_workers_need_no_package(spark):
-    classes = lm.Classes(np.array([5, 3], np.uint64), np.array([2, 1]), 3, 2, 1, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    classes = lm.Classes(np.array([3, 5], np.uint64), np.array([1, 0], np.uint32), np.array([2, 1]), 3, 2, 1)
     shared = lm.sent(spark, classes)
     assert b"siltworks" not in pickle.dumps(shared.value)
-    assert lm.received(shared).ids == classes.ids == {3: 0, 5: 1}
+    assert lm.received(shared).numbers(np.array([5, 4, 3], np.uint64)).tolist() == [0, -1, 1]
+
+
+def test_trigrams_as_differences():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 4000):
+        keys = np.unique(rng.zipf(1.4, (n, 3)) % 900, axis=0).reshape(-1, 3).astype(np.int64)
+        back = lm.unpacked_keys(*lm.packed_keys(*keys.T))
+        assert all((a == b).all() and len(a) == len(keys) for a, b in zip(back, keys.T, strict=True))

@@ -34,11 +34,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltworks.llm.words import by_value, text_bytes
+from siltworks.llm.words import by_value, pieces, text_bytes
 from siltworks.session import stored
 
 BANDS, ROWS = 10, 3
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Partners that one copy of a representative's set is compared with.
 PARTNERS = 400
 #: Pairs that are broadcast to the scan of texts: at some 60 bytes, 30 MB.
@@ -113,7 +113,7 @@ def sketch(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, half = WordHashes(), Bands(bands, rows)
-        for batch in batches:
+        for batch in pieces(batches):
             sets = (shingle_set(x.as_py(), width, hashes) for x in batch.column(2))
             made = [(len(s), set_name(s), half.of(s)) if len(s) else (0, None, None) for s in sets]
             columns = [pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64())))]
@@ -161,7 +161,7 @@ def compare_sets(pairs: DataFrame, df: DataFrame, key: str, text: str, width: in
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in pieces(batches):
             made = [shingle_set(x.as_py(), width, hashes) for x in batch.column(4)]
             right = [len(s) > 0 and set_name(s) == n for s, n in zip(made, batch.column(2).to_pylist(), strict=True)]
             blob = pa.array([s.tobytes() for s in made], pa.binary())
@@ -171,7 +171,7 @@ def compare_sets(pairs: DataFrame, df: DataFrame, key: str, text: str, width: in
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, own = None, np.zeros(0, np.uint64)
-        for batch in batches:
+        for batch in pieces(batches):
             found = []
             for i, (a, slot, node, turn) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True)):
                 if turn == 0:
@@ -297,10 +297,11 @@ def judged(df: DataFrame, key: str, text: str, width: int, percent: int) -> Data
     links = confirmed(rest)
     # Components that these links join take the smallest root that one link leads to, which is enough to leave out most pairs.
     led = rooted(links, roots, "a", "b").select(F.greatest("root_a", "root_b").alias("root"), F.least("root_a", "root_b").alias("_led"))
-    led = led.groupBy("root").agg(F.min("_led").alias("_led"))
+    led = stored(led.groupBy("root").agg(F.min("_led").alias("_led")), "led")
+    near = roots.join(led, "root", "left").select("node", F.coalesce("_led", "root").alias("root"))
+    near = near.unionByName(led.select(F.col("root").alias("node"), F.col("_led").alias("root")))
     # What is left: nodes of one bucket in different components.
-    labelled = rooted(starred, roots, "b").withColumnRenamed("root_b", "root").join(led, "root", "left")
-    labelled = stored(labelled.withColumn("root", F.coalesce("_led", "root")).drop("_led"), "labelled")
+    labelled = stored(rooted(starred, near, "b").withColumnRenamed("root_b", "root"), "labelled")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low <> _high")
     around = labelled.join(mixed.select("bucket"), "bucket", "left_semi").filter("a <> b")
     around = around.groupBy("a", "a_key", "b", "b_key", "root").agg(F.lit(1)).drop("1")

@@ -178,8 +178,8 @@ from d left join f on d.digest = f.digest and d.n >= 100
 SQL["op11_spherical_cells"] = """
 with recursive v as (
     select vec_id, cast(embedding as double[]) as x from embeddings
-    where len(embedding) > 0 and len(list_filter(embedding, c -> c is null or not isfinite(c))) = 0
-      and len(list_filter(embedding, c -> c <> 0)) > 0),
+    where len(embedding) > 0 and len([c for c in embedding if c is null or not isfinite(c)]) = 0
+      and len([c for c in embedding if c <> 0]) > 0),
 l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.x) = len(b.x)
       where list_cosine_similarity(a.x, b.x) >= 0.9),
 r as (select vec_id, vec_id as reached from embeddings union select r.vec_id, l.b from r join l on l.a = r.reached),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,13 @@ def text_bytes(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     return df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that a task holds what it makes of few rows at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def added_schema(kept: Sequence[StructField], new: str) -> StructType:
     """The kept fields, whatever their names, and new ones in DDL."""
     return StructType([*kept, *StructType.fromDDL(new).fields])
@@ -42,3 +51,6 @@ def added_schema(kept: Sequence[StructField], new: str) -> StructType:
 def by_value(module: object) -> None:
     """Let executors receive the functions of a module, so that they need not have this package installed."""
     cloudpickle.register_pickle_by_value(module)
+
+
+by_value(sys.modules[__name__])

@@ -6,7 +6,7 @@ are fitted by ``ROUNDS`` of spherical k-means, as Spark jobs over a sample of ab
 is met because a vector is also a guest of each cell of a smaller number that lies behind a boundary within ``margin``. The distance
 of two vectors of cosine 0.9 is 0.447; of that, the part that runs across a given boundary has in d dimensions a standard deviation
 of 0.447 / sqrt(d - 1), and the margin is ``SIGMAS`` of these: about one pair in a thousand at the very threshold may be missed if a
-boundary parts it, and none with ``margin=EXACT``, at which the part across a boundary can't be larger, for any data.
+boundary parts it, and none with ``margin=exact_margin()``, since no vector farther from a boundary is similar to one behind it, for any data.
 
 Members within half the angle of the threshold of their centre are all linked with each other by the triangle inequality. They are
 counted and tied to one of them without products, so a large group of near copies stays linear. All other pairs of a cell
@@ -40,8 +40,6 @@ SAMPLE, ROUNDS = 65_536, 6
 ROWS, MOST_CELLS = 2_048, 4_096
 BLOCK = 2_048
 SIGMAS = 3.0
-#: A margin that no pair can exceed: unit vectors are at most 2 apart.
-EXACT = 2.0
 #: Rows multiplied with all centres at once.
 CHUNK = 1_024
 #: Vectors of other lengths than the commonest share so many cells of their own.
@@ -54,6 +52,11 @@ _EPS = 1e-9
 LOOSE, TIGHT, NEAR, FAR = range(4)
 
 
+def exact_margin(cosine: float = COSINE) -> float:
+    """The distance from a boundary at which no pair of this cosine has it between them: the sine of the angle."""
+    return math.sqrt(1 - cosine * cosine) + _EPS
+
+
 def unit(blobs: list[bytes], kind: str) -> np.ndarray:
     """Vectors of one length as rows of length 1 in double precision."""
     x = np.frombuffer(b"".join(blobs), kind).reshape(len(blobs), -1).astype(np.float64)
@@ -278,7 +281,7 @@ def group(
         return rows.select(F.col("_key").alias(key), alone, F.col("_key").alias("component_id"), F.lit(True).alias("kept"))
     dim, n = common
     if margin is None:
-        margin = SIGMAS * math.sqrt(2 - 2 * cosine) / math.sqrt(max(dim - 1, 1))
+        margin = min(SIGMAS * math.sqrt(2 - 2 * cosine) / math.sqrt(max(dim - 1, 1)), exact_margin(cosine))
     members = assign(nodes, fit_centres(nodes, dim, n), cosine, margin)
     found = links(members, kind_of(nodes), cosine)
     gained = found.groupBy(F.col("a").alias("node")).agg(F.sum("gained").alias("gained"))

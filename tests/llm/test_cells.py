@@ -52,7 +52,7 @@ def test_all_links(spark, dim, monkeypatch):
     rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
     rng.shuffle(rows)
     exact = brute(rows)
-    assert found(cells.group(frame(spark, rows), margin=cells.EXACT)) == exact
+    assert found(cells.group(frame(spark, rows), margin=cells.exact_margin())) == exact
     near = found(cells.group(frame(spark, rows)))
     assert sum(n for _, n, _ in near) >= 0.99 * sum(n for _, n, _ in exact)
     assert all(a[1] <= b[1] for a, b in zip(near, exact, strict=True))
@@ -64,7 +64,7 @@ def test_awkward_rows(spark):
     rows += [(4, None), (5, []), (6, [0.0, 0.0, 0.0]), (7, [1.0, None, 0.0]), (8, [nan, 1.0, 0.0]), (9, [inf, 0.0, 0.0]), (None, None)]
     rows += [(20, [1.0, 0.0]), (21, [5.0, 0.5]), (22, [-0.0, 1.0]), (23, [0.0, 1.0]), (24, [1e-30, 1e-30]), (25, [1e30, 1e30])]
     rows += [(40 + i, [1.0] * 300) for i in range(2)]
-    assert found(cells.group(frame(spark, rows), margin=cells.EXACT)) == brute(rows)
+    assert found(cells.group(frame(spark, rows), margin=cells.exact_margin())) == brute(rows)
     assert found(cells.group(frame(spark, []))) == []
     assert found(cells.group(frame(spark, [(1, None), (1, None)]))) == [(1, 0, 1)] * 2
 

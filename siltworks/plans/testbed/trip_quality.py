@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions.casting import money_sum
-from siltworks.functions.dates import instant, outside_period
+from siltworks.functions.dates import outside_period
 from siltworks.operators import harmonize, quality
 from siltworks.plans.testbed.standins import FLAGS, ROW, classified, query, rules, silver_root, trips
 from siltworks.plans.trips import publish_metrics, read_silver

@@ -169,7 +169,10 @@ def ingest_uniform(
     checkpoint: str,
     run_id: str | None = None,
 ) -> None:
-    """The same for a feed whose types never drift: one declared schema and Spark's own file sink."""
+    """The same for a feed whose types never drift: one declared schema and Spark's own file source and sink.
+
+    That source lists the landing folder on the driver and remembers its paths there, so this is for folders of some thousand files.
+    """
     (
         spark.readStream.schema(contract.struct())
         .option("pathGlobFilter", contract.glob)

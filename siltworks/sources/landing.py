@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
@@ -78,6 +79,8 @@ def list_files(spark: SparkSession, directory: str, glob: str = "*.parquet") ->
 
     The driver holds no path but that of the folder itself; what was found is kept in the shared folder.
     """
+    if ":" not in directory:
+        directory = os.path.abspath(directory)
     level, found = spark.createDataFrame([(directory,)], "path string"), []
     while True:
         listed = stored(level.mapInPandas(_lister(glob), _LISTED), "listing")

@@ -75,6 +75,7 @@ def op5_warc_transactions(spark: SparkSession, sf: str) -> DataFrame:
             "payload": F.when(F.col("record_type") == "metadata", F.col("payload")),
         }
     )
+    records = stored(records, "records")  # archives are unpacked once
     captures = stored(warc.assemble(records).withColumn("page_id", warc.noted("pageId").cast("long")), "captures")
     captures = captures.select("page_id", "response.payload_bytes", "response.payload_digest", "response.record_type")
     first = captures.filter(f"record_type = 'response' and payload_bytes >= {warc.LEAST}").groupBy("payload_digest")

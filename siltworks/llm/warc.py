@@ -203,7 +203,8 @@ def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture``, ``response`` (or revisit), ``request`` and the list ``metadata``.
 
     ``records`` may have any columns beside ``record_type``, ``record_id`` and the list ``concurrent_to``. Records join the
-    response that they name, or that names them; of several that they name, a response that is there, the smallest.
+    response that they name, or that names them; of several that they name, a response that is there, the smallest. ``records`` are
+    read several times: store them, or what is wanted of their payloads, before.
     """
     main = F.col("record_type").isin("response", "revisit")
     whole = F.struct(*records.columns)

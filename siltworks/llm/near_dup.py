@@ -11,8 +11,8 @@ with most bucket mates stands for it, so that a group of thousands gives a star
 confirmed in three rounds. First each node points to the representative with which it shares most buckets; pointers lead to ever
 heavier nodes, so following them gives components without a search. Then nodes are compared with
 all other representatives of theirs in other components; then pairs of nodes that share a bucket but still lie in different components.
-Of these, most can't be similar, and which ones is known exactly from a representative r that both have. With I(x, r) common
-shingles, x and y have at most ``min(I(x, r), I(y, r))`` in common within r, so they need the rest among the shingles that r
+Of these, most can't be similar, and which ones is known exactly from a representative r that both have. Of each of ``PARTS`` parts
+of r, x and y lack at least as many shingles as the one that lacks more, which bounds what they have in common within r, so they need the rest among the shingles that r
 lacks. These are rare, and a join on them finds the pairs that share enough; pairs that need none, since one is smaller than
 r, are found by their sizes. A pair with several such representatives is looked at for the first one only. No bucket is capped. A pair is confirmed by streaming: partitions are sorted so that the representative's
 set comes first and its partners follow; partners of a frequent one are dealt to several tasks. Links of the later rounds join
@@ -43,6 +43,8 @@ REMEMBERED = 200_000
 PARTNERS = 400
 #: Pairs that are broadcast to the scan of texts: at some 60 bytes, 30 MB.
 MOST_BROADCAST = 500_000
+#: Parts of a representative's sorted set in which the shingles that a partner lacks are counted.
+PARTS = 64
 #: Shingles hashed at once.
 CHUNK = 1 << 13
 
@@ -140,10 +142,11 @@ def bucket_entries(nodes: DataFrame, bands: int = BANDS) -> DataFrame:
 
 
 def compare_sets(pairs: DataFrame, df: DataFrame, key: str, text: str, width: int, extras: bool = False) -> DataFrame:
-    """For pairs ``a, b``: sizes ``n_a, n_b``, the number ``both`` of common shingles, and ``extra``, those of b that a lacks.
+    """For pairs ``a, b``: sizes ``n_a, n_b``, the number ``both`` of common shingles, ``extra``, those of b that a lacks, and ``lost``, how
+    many of each part of a b lacks, at most 127.
 
     ``pairs`` also has the keys ``a_key``, ``b_key`` of documents with the sets. The whole sets are made again from these
-    documents' texts; the join that finds them broadcasts the pairs only if they are counted to be few. ``extra`` is
+    documents' texts; the join that finds them broadcasts the pairs only if they are counted to be few. ``extra`` and ``lost`` are
     null unless asked for.
     """
     # Only representatives with many partners are looked up: at most one in PARTNERS of the pairs.
@@ -167,7 +170,7 @@ def compare_sets(pairs: DataFrame, df: DataFrame, key: str, text: str, width: in
             blob = pa.array([s.tobytes() for s in made], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], blob], ["a", "slot", "node", "turn", "blob"]).filter(pa.array(right))
 
-    names = ["a", "b", "n_a", "n_b", "both", "extra"]
+    names = ["a", "b", "n_a", "n_b", "both", "extra", "lost"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, own = None, np.zeros(0, np.uint64)
@@ -181,14 +184,18 @@ def compare_sets(pairs: DataFrame, df: DataFrame, key: str, text: str, width: in
                 other = np.frombuffer(batch.column(4)[i].as_py(), np.uint64)
                 if head == (a, slot):
                     common = np.intersect1d(own, other, assume_unique=True)
-                    extra = np.setdiff1d(other, common, assume_unique=True).view(np.int64) if extras else None
-                    found.append((a, node, len(own), len(other), len(common), extra))
-            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())]
+                    extra = lost = None
+                    if extras:
+                        extra = np.setdiff1d(other, common, assume_unique=True).view(np.int64)
+                        at = np.flatnonzero(np.isin(own, common, assume_unique=True, invert=True))
+                        lost = np.minimum(np.bincount(at * PARTS // len(own), minlength=PARTS), 127).astype(np.int8)
+                    found.append((a, node, len(own), len(other), len(common), extra, lost))
+            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.list_(pa.int8())]
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate(kinds)], names)
 
     blobs = joined.mapInArrow(sets, "a long, slot int, node long, turn int, blob binary")
     sorted_ = blobs.repartition("a", "slot").sortWithinPartitions("a", "slot", "turn")
-    return sorted_.mapInArrow(compare, "a long, b long, n_a long, n_b long, both long, extra array<long>")
+    return sorted_.mapInArrow(compare, "a long, b long, n_a long, n_b long, both long, extra array<long>, lost array<tinyint>")
 
 
 def unlinked_pairs(diffs: DataFrame, percent: int) -> DataFrame:
@@ -199,11 +206,12 @@ def unlinked_pairs(diffs: DataFrame, percent: int) -> DataFrame:
     """
 
     def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
-        columns = {"b": name, "b_key": f"key_{name}", "root": f"root_{name}", "heads": f"heads_{name}", "n_b": f"n_{name}", "both": f"both_{name}"}
+        columns = {"b": name, "b_key": f"key_{name}", "root": f"root_{name}", "heads": f"heads_{name}", "n_b": f"n_{name}", "both": f"both_{name}", "n_a": f"of_{name}", "lost": f"lost_{name}"}
         return rows.select("a", *(F.col(c).alias(n) for c, n in columns.items()), *(F.col(c).alias(f"{c}_{name}") for c in more))
 
     needed = percent * (F.col("n_x") + F.col("n_y"))  # common shingles, times 100 + percent
-    inside = F.least("both_x", "both_y")
+    lacking = F.zip_with("lost_x", "lost_y", lambda x, y: F.greatest(x, y).cast("int"))
+    inside = F.col("of_x") - F.aggregate(lacking, F.lit(0), lambda total, n: total + n)
     first = F.col("a") == F.array_min(F.array_intersect("heads_x", "heads_y"))
     rare = diffs.withColumn("e", F.explode("extra")).drop("extra")
     counts = rare.groupBy("a", "e").agg(F.count("*").alias("_n"), F.min("root").alias("_low"), F.max("root").alias("_high"))
@@ -218,7 +226,7 @@ def unlinked_pairs(diffs: DataFrame, percent: int) -> DataFrame:
     one, two = side(rare, "x", "e", "all").withColumnRenamed("a", "a_x"), side(rare, "y", "e", "all")
     shared = one.join(two, met & (F.col("root_x") < F.col("root_y")) & enough & first)
     # Without a shared shingle outside of r: x is not similar to r, and y is smaller than r, so small that x can do with what it has in r.
-    x = side(diffs, "x", "n_a").filter(100 * F.col("both_x") < percent * (F.col("n_a_x") + F.col("n_x") - F.col("both_x")))
+    x = side(diffs, "x").filter(100 * F.col("both_x") < percent * (F.col("of_x") + F.col("n_x") - F.col("both_x")))
     smallest, largest = F.ceil(percent * F.col("n_x") / 100), F.floor((100 + percent) * F.col("both_x") / percent) - F.col("n_x")
     x = x.filter(smallest <= largest).withColumn("size", F.explode(F.sequence(smallest, largest))).withColumnRenamed("a", "a_x")
     y = side(diffs.filter("n_b < n_a"), "y")

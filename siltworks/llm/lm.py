@@ -49,7 +49,7 @@ from siltworks.session import stored
 #: Words that have a number in all tasks, and whose counts these have at hand. Scores do not depend on it.
 CLASSES = (1 << 20) - 2
 LEAST_TRIGRAM = 1
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 1_000_000
 #: Tokens, and texts, of which trigrams are packed together. Keys hold three numbers below 2 ** 21, so a run has fewer words.
 RUN_TOKENS, RUN_TEXTS = 1_500_000, 60_000
 REMEMBERED = 200_000
@@ -551,9 +551,9 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
         root = before = word = n = np.zeros(0, np.int64)
         if trigrams.num_rows:
             rare = own.size + np.searchsorted(words, _sums(unpack(trigrams["words"][0].as_py(), np.uint64)))
+            # Rare words keep their order, so the trigrams stay sorted.
             root, before, word = renumbered(unpacked_keys(*(trigrams[c][0].as_py() for c in KEYS)), own.size, rare)
-            order = np.lexsort((word, before, root))
-            root, before, word, n = root[order], before[order], word[order], unpack(trigrams["counts"][0].as_py(), np.int64)[order]
+            n = unpack(trigrams["counts"][0].as_py(), np.int64)
         rare = below["w"].is_null().to_numpy()
         w = below["w"].fill_null(0).to_numpy()
         at = own.size + np.searchsorted(words, below["h"].fill_null(0).to_numpy().view(np.uint64))

@@ -99,11 +99,10 @@ def common_passage(seed):
 
 
 def test_common_passages_and_edits(spark):
-    for seed in (1, 2):
-        rows = common_passage(seed)
-        df = spark.createDataFrame(corpus.shuffled(rows), "doc_id long, text string").repartition(3)
-        found = {r["doc_id"]: r["component_id"] for r in near_dup.cluster(df, width=4).collect()}
-        assert found == {i: c for i, (_, c) in expected(rows, 4).items()}
+    rows = common_passage(1)
+    df = spark.createDataFrame(corpus.shuffled(rows), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["component_id"] for r in near_dup.cluster(df, width=4).collect()}
+    assert found == {i: c for i, (_, c) in expected(rows, 4).items()}
 
 
 def test_partners_of_a_frequent_node_are_dealt(spark, monkeypatch):

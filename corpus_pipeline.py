@@ -49,7 +49,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each copy, and the digest of the text that they decode to."""
     path = importlib.import_module("public_tokenizers").path("word_bpe_49k.json")
-    encoded = bpe.encode(docs, path, keep=["doc_id", "lang", "source"])
+    # Stored, so that a task has one Python worker and not one for each direction.
+    encoded = stored(bpe.encode(docs, path, keep=["doc_id", "lang", "source"]), "encoded")
     tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return bpe.decode(encoded, path).select("doc_id", "lang", "source", tokens, "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 

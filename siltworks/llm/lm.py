@@ -11,14 +11,15 @@ In a shard, roots are words; below them lie successors, and contexts (the word b
 with their children. Each level is a monotone sequence of parent and child in Elias-Fano form, low bits packed and high
 bits in unary. A child is the rank of the word among the root's successors, which the successor level's pointers give.
 Probabilities and back-off weights are 8-bit codes into codebooks. Tasks write a shard's bytes to a temporary file,
-map it into memory, and remove it at once.
+map it into memory, and remove it at once. A model is kept as what its tries are made of, which is smaller than they are: the
+trigrams of shards, the counts of their rare words, and whole bigram levels. Scoring sends these with the questions and makes tries there.
 
 Words are told apart by 64-bit hashes. The ``CLASSES`` most frequent ones, which are nearly all tokens, have a number by falling count,
 which every task knows (20 MB broadcast at most), so the keys of trigrams are small numbers; pieces and shards number the others
 by the order of their hashes and carry these, so nothing holds all words and no word lacks a number. Scores don't depend on ``CLASSES``. Training counts distinct trigrams per run before
 the shuffle and joins the rare words of each shard with their counts; scoring sends the distinct trigrams of a run,
-with the numbers of the texts that have them, as packed columns to the shards, whose trie comes first in sorted order and
-is followed by its questions as a stream. Where neither trigram nor bigram is known, the unigram of a word is wanted: the
+with the numbers of the texts that have them, as packed columns to the shards; a shard has about a million of them, as it has tokens,
+however many texts there are. Where neither trigram nor bigram is known, the unigram of a word is wanted: the
 counts of numbered words are at hand, those of the others come by a join, with the same result.
 
 Defined results: null and empty texts consist of one end; texts are never cut; repeated rows get equal scores; with
@@ -53,6 +54,8 @@ SHARD_TOKENS = 1_000_000
 #: Tokens, and texts, of which trigrams are packed together. Keys hold three numbers below 2 ** 21, so a run has fewer words.
 RUN_TOKENS, RUN_TEXTS = 1_500_000, 60_000
 REMEMBERED = 200_000
+#: Values that are worked on together where a shard's arrays would need several times its memory.
+CHUNK = 1 << 16
 END_TOKEN = b"\n"  # no word has a line break
 
 Arrays = dict[str, np.ndarray]
@@ -88,13 +91,14 @@ def elias_fano(values: np.ndarray, name: str) -> Arrays:
     top = int(values[-1]) if n else 0
     low = max(0, (top // max(n, 1)).bit_length() - 1)
     packed = [np.zeros(0, np.uint8)]
-    step = 1 << 18  # a multiple of 8, so chunks end at whole bytes
+    step = 1 << 15  # a multiple of 8, so chunks end at whole bytes
     for at in range(0, n if low else 0, step):
         bits = (values[at : at + step, None] >> np.arange(low, dtype=np.uint64)) & np.uint64(1)
         packed.append(np.packbits(bits.astype(np.uint8).ravel(), bitorder="little"))
     high = (values >> np.uint64(low)).astype(np.int64)
-    unary = np.zeros(n + (int(high[-1]) if n else 0) + 2, np.uint8)
-    unary[high + np.arange(n)] = 1
+    unary = np.zeros(n + (int(high[-1]) if n else 0) + 2, bool)
+    high += np.arange(n)
+    unary[high] = 1
     return {
         f"{name}.low": np.concatenate([*packed, np.zeros(8, np.uint8)]),
         f"{name}.high": np.packbits(unary, bitorder="little"),
@@ -147,12 +151,32 @@ class EliasFano:
 
 def codebook(values: np.ndarray, name: str) -> Arrays:
     """8-bit codes of the logarithms of values, into the means of 256 quantile bins."""
-    logs = np.log10(np.maximum(values, 1e-30))
+    logs = np.maximum(values, 1e-30)
+    np.log10(logs, out=logs)
     edges = np.unique(np.quantile(logs, np.linspace(0, 1, 257)[1:-1])) if len(logs) else np.zeros(0)
-    codes = np.searchsorted(edges, logs, side="left")
-    counts = np.bincount(codes, minlength=256)
-    means = np.bincount(codes, logs, minlength=256) / np.maximum(counts, 1)
-    return {f"{name}.code": codes.astype(np.uint8), f"{name}.book": means.astype(np.float32)}
+    codes, counts, sums = np.zeros(len(logs), np.uint8), np.zeros(256, np.int64), np.zeros(256)
+    for at in range(0, len(logs), CHUNK):
+        part = logs[at : at + CHUNK]
+        codes[at : at + CHUNK] = found = np.searchsorted(edges, part, side="left")
+        counts += np.bincount(found, minlength=256)
+        np.add.at(sums, found, part)
+    return {f"{name}.code": codes, f"{name}.book": (sums / np.maximum(counts, 1)).astype(np.float32)}
+
+
+def edges_of(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row of sorted columns differs from the one before it."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values with their counts. Sorts ``values`` in place."""
+    values.sort()
+    first = np.flatnonzero(edges_of(values))
+    return values[first], np.diff(np.append(first, len(values)))
 
 
 def discount(counts: np.ndarray) -> float:
@@ -169,6 +193,13 @@ def build_shard(keys: np.ndarray, n: np.ndarray, unigram: np.ndarray) -> bytes:
     return build_trie(*numbers, n, unigram)
 
 
+def joined_pairs(root: np.ndarray, other: np.ndarray, base: np.uint64) -> np.ndarray:
+    pairs = root.astype(np.uint64)
+    pairs *= base
+    pairs += other.astype(np.uint64)
+    return pairs
+
+
 def build_trie(
     root: np.ndarray, before: np.ndarray, word: np.ndarray, n: np.ndarray, unigram: np.ndarray,
     words: np.ndarray | None = None, discounts: tuple[float, float] | None = None, lower: Sequence[np.ndarray] | None = None,
@@ -179,39 +210,48 @@ def build_trie(
     bigrams (root, word, number of contexts) of the roots whose contexts are not all here.
     """
     base = np.uint64(len(unigram) + 1)  # one number is left for words that the shard does not have
-    root, before, word = root.astype(np.uint64), before.astype(np.uint64), word.astype(np.uint64)
-    context = root * base + before
-    pairs, continued = np.unique(root * base + word, return_counts=True)
+    bigram = joined_pairs(root, word, base)
+    pairs, continued = counted(bigram.copy())
     if lower is not None:
         own = ~np.isin(pairs // base, np.unique(lower[0]))
-        pairs = np.concatenate([pairs[own], lower[0].astype(np.uint64) * base + lower[1].astype(np.uint64)])
+        pairs = np.concatenate([pairs[own], joined_pairs(lower[0], lower[1], base)])
         order = np.argsort(pairs)
         pairs, continued = pairs[order], np.concatenate([continued[own], lower[2]])[order]
-    roots, first, kinds = np.unique(pairs // base, return_index=True, return_counts=True)
+    at_root = pairs // base
+    first = np.flatnonzero(edges_of(at_root))
+    roots, kinds = at_root[first], np.diff(np.append(first, len(pairs)))
     total = np.add.reduceat(continued, first) if len(first) else np.zeros(0)
     at_root = np.repeat(np.arange(len(roots)), kinds)
     d2, d3 = discounts or (discount(continued), discount(n))
     back2 = d2 * kinds / np.maximum(total, 1)
     p2 = (continued - d2) / total[at_root] + back2[at_root] * unigram[(pairs % base).astype(np.int64)]
-    contexts, begin = np.unique(context, return_index=True)
-    sizes = np.diff(np.append(begin, len(context)))
-    seen = np.add.reduceat(n, begin) if len(begin) else np.zeros(0)
-    own = np.repeat(np.arange(len(contexts)), sizes)
+    begin = np.flatnonzero(edges_of(root, before))
+    contexts = joined_pairs(root[begin], before[begin], base)
+    own = np.repeat(np.arange(len(contexts), dtype=np.int32), np.diff(np.append(begin, len(root))))
+    seen = np.add.reduceat(n, begin, dtype=np.int64) if len(begin) else np.zeros(0)
     share = np.where(n >= LEAST_TRIGRAM, (n - d3) / seen[own], 0.0) if len(n) else np.zeros(0)
     back3 = 1 - (np.add.reduceat(share, begin) if len(begin) else np.zeros(0))
-    kept = np.flatnonzero(share > 0)
-    parents, number = np.unique(own[kept], return_inverse=True)
-    place = np.searchsorted(pairs, root[kept] * base + word[kept])
-    rank = place - first[at_root[place]]
+    kept = share > 0
+    if not kept.all():
+        own, share, bigram = own[kept], share[kept], bigram[kept]
+    parents = own[edges_of(own)]
+    place = np.searchsorted(pairs, bigram)
+    del bigram
+    rank = (place - first[at_root[place]]).astype(np.uint64)
     width = int(kinds.max()) if len(kinds) else 1
-    p3 = share[kept] + back3[own[kept]] * p2[place]
+    p3 = back3[own] * p2[place]
+    p3 += share
+    del place, share
+    children = (np.cumsum(edges_of(own), dtype=np.uint64) - np.uint64(1)) * np.uint64(width)
+    children += rank
+    del rank, own
     root_of = np.searchsorted(roots, contexts[parents] // base).astype(np.uint64)
     arrays = (
         elias_fano(roots, "roots")
         | elias_fano(at_root.astype(np.uint64) * base + pairs % base, "successors")
         | elias_fano(np.append(first, len(pairs)), "pointers")
         | elias_fano(root_of * base + contexts[parents] % base, "contexts")
-        | elias_fano(number.astype(np.uint64) * np.uint64(width) + rank.astype(np.uint64), "children")
+        | elias_fano(children, "children")
         | codebook(back2, "back2")
         | codebook(p2, "p2")
         | codebook(back3[parents], "back3")
@@ -390,49 +430,75 @@ class Run:
     rids: np.ndarray
 
 
-def joined(root: np.ndarray, before: np.ndarray, word: np.ndarray, size: int) -> np.ndarray:
-    base = np.uint64(size)
-    return (root.astype(np.uint64) * base + before.astype(np.uint64)) * base + word.astype(np.uint64)
-
-
 def parted(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    context, word = np.divmod(keys, np.uint64(max(size, 1)))
-    root, before = np.divmod(context, np.uint64(max(size, 1)))
-    return root.astype(np.int64), before.astype(np.int64), word.astype(np.int64)
-
-
-def _run(numbers: Numbers, parts: list[np.ndarray], rows: list[int]) -> Run:
-    words, place = np.unique(np.array([token_hash(w) for w in numbers], np.int64).view(np.uint64), return_inverse=True)
-    root, before, word = (place[np.concatenate([a[i : len(a) - 2 + i] for a in parts])] for i in (1, 0, 2))
+    base = np.uint64(max(size, 1))
+    word = (keys % base).astype(np.int32)
+    context = keys // base
+    before = (context % base).astype(np.int32)
+    context //= base
+    return context.astype(np.int32), before, word
+
+
+def _run(hashes: np.ndarray, parts: list[np.ndarray], rows: list[int]) -> Run:
+    words, place = np.unique(hashes, return_inverse=True)
+    place, base = place.astype(np.uint32), np.uint64(len(words))
+    sides = (place[np.concatenate([a[i : len(a) - 2 + i] for a in parts])] for i in (1, 0, 2))
+    keys = next(sides).astype(np.uint64)
+    for side in sides:
+        keys *= base
+        keys += side
     number = np.repeat(np.arange(len(rows), dtype=np.uint16), [len(a) - 2 for a in parts])
-    return Run(words, joined(root, before, word, len(words)), number, np.array(rows, np.int64))
+    return Run(words, keys, number, np.array(rows, np.int64))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Run]:
     """Runs of texts. A long text is several parts, which may lie in several runs; a text begins after two ends."""
     numbers, parts, rows, held = Numbers(), [], [], 0
     longest = max(1, RUN_TOKENS // 4)
+
+    def ended() -> Run:
+        """The run so far; its words and tokens are dropped before it is worked on."""
+        nonlocal numbers, parts, rows, held
+        hashes = np.fromiter(map(token_hash, numbers), np.int64, len(numbers)).view(np.uint64)
+        numbers = Numbers()
+        run = _run(hashes, parts, rows)
+        parts, rows, held = [], [], 0
+        return run
+
     for batch in batches:
         for rid, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             words = [END_TOKEN, END_TOKEN, *words_of(text.as_py()), END_TOKEN]
             for at in range(0, len(words) - 2, longest):
                 part = words[at : at + longest + 2]
-                parts.append(np.fromiter(map(numbers.__getitem__, part), np.int64, len(part)))
+                parts.append(np.fromiter(map(numbers.__getitem__, part), np.int32, len(part)))
                 rows.append(rid)
                 held += len(part) - 2
                 if held >= RUN_TOKENS or len(rows) >= RUN_TEXTS:
-                    yield _run(numbers, parts, rows)
-                    numbers, parts, rows, held = Numbers(), [], [], 0
+                    yield ended()
     if rows:
-        yield _run(numbers, parts, rows)
+        yield ended()
 
 
 @dataclass
 class LanguageModel:
     classes: Classes
-    #: ``h, n`` of all words, and ``shard, trie``; tables in the shared folder.
+    #: ``h, n`` of all words; a table in the shared folder.
     word_counts: DataFrame
-    tries: DataFrame
+    #: ``shard, cell, fact``: what tries are made of. A shard has at most one cell, of its trigrams, and facts on words and bigrams.
+    parts: DataFrame
+    #: Of bigrams and trigrams.
+    discounts: tuple[float, float]
+
+    @property
+    def tries(self) -> DataFrame:
+        """``shard, trie``, made when they are read. Scoring makes each where its questions are, so none is stored or sent."""
+        shared, discounts = sent(self.word_counts.sparkSession, self.classes), self.discounts
+
+        def build(key: tuple, parts: pa.Table) -> pa.Table:
+            trie = trie_of(received(shared), parts, discounts)
+            return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "trie": pa.array([trie], pa.binary())})
+
+        return self.parts.groupBy("shard").applyInArrow(build, "shard int, trie binary")
 
 
 def named_rows(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -483,7 +549,7 @@ def frequent_words(counts: DataFrame, tokens: int, distinct: int) -> Classes:
 
 
 def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageModel:
-    """Learn from every row. Starts jobs; the word counts and the tries are stored in the shared folder."""
+    """Learn from every row. Starts jobs; the word counts and trigrams are stored in the shared folder."""
     spark = df.sparkSession
     texts = named_rows(df, key, text)
     counts = stored(count_words(texts), "word-counts")
@@ -495,7 +561,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = received(shared)
         for run in _runs(batches):
-            distinct, n = np.unique(run.keys, return_counts=True)
+            distinct, n = counted(run.keys)
             yield _dealt(own, run.words, distinct, lambda at, m=n: (pack(m[at].astype(np.uint32)),), ("counts",))
 
     def merge(table: pa.Table) -> pa.Table:
@@ -503,15 +569,25 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
         size = shared.value[2].size
         own = [_sums(unpack(b, np.uint64)) for b in table["words"].to_pylist()]
         words = np.unique(np.concatenate(own))
-        keys = [renumbered(unpacked_keys(*blobs), size, size + np.searchsorted(words, w)) for w, *blobs in zip(own, *(table[c].to_pylist() for c in KEYS), strict=True)]
-        root, before, word = (np.concatenate([k[i] for k in keys]) for i in range(3))
-        n = np.concatenate([unpack(b, np.uint32) for b in table["counts"].to_pylist()]).astype(np.int64)
-        order = np.lexsort((word, before, root))
-        root, before, word, n = root[order], before[order], word[order], n[order]
-        first = np.flatnonzero(np.append(True, (root[1:] != root[:-1]) | (before[1:] != before[:-1]) | (word[1:] != word[:-1])))
-        root, before, word, n = root[first], before[first], word[first], np.add.reduceat(n, first)
+        keys = [
+            renumbered(unpacked_keys(*blobs), size, size + np.searchsorted(words, w))
+            for w, *blobs in zip(own, *(table[c].to_pylist() for c in KEYS), strict=True)
+        ]
+        del own
+        columns = [np.concatenate([k[i] for k in keys]) for i in range(3)]
+        del keys
+        order = np.lexsort(columns[::-1])
+        for i in range(3):
+            columns[i] = columns[i][order]
+        n = np.concatenate([unpack(b, np.uint32) for b in table["counts"].to_pylist()])[order]
+        del order
+        first = np.flatnonzero(edges_of(*columns))
+        for i in range(3):
+            columns[i] = columns[i][first]
+        n = np.add.reduceat(n, first, dtype=np.int64)
+        root, before, word = columns
         whole_ = root >= len(received(shared).slots)
-        continued = np.unique((root * (size + len(words)) + word)[whole_], return_counts=True)[1]
+        continued = counted(joined_pairs(root[whole_], word[whole_], np.uint64(size + len(words))))[1]
         made = (_deltas(words), *packed_keys(root, before, word), pack(n))
         met = ((continued == 1).sum(), (continued == 2).sum(), (n == 1).sum(), (n == 2).sum())
         return pa.table(
@@ -528,8 +604,8 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
                 root, _, word = unpacked_keys(*blobs)
                 at = np.flatnonzero(root < len(own.slots))
                 width = own.size + len(words)
-                pairs, n = np.unique(root[at] * width + word[at], return_counts=True)
-                root, word = np.divmod(pairs, max(width, 1))
+                pairs, n = counted(joined_pairs(root[at], word[at], np.uint64(width)))
+                root, word = (x.astype(np.int64) for x in np.divmod(pairs, np.uint64(max(width, 1))))
                 rare = word >= own.size
                 h = words[np.where(rare, word - own.size, 0)] if len(words) else np.zeros(len(word), np.uint64)
                 columns = [pa.array(root), pa.array(word, mask=rare), pa.array(h.view(np.int64), mask=~rare), pa.array(n.astype(np.int64))]
@@ -541,27 +617,6 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
                 h = _sums(unpack(words, np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), shard, np.int32)), pa.array(h)], ["shard", "h"])
 
-    def build(key: tuple, trigrams: pa.Table, facts: pa.Table) -> pa.Table:
-        """The trie, from at most one row of trigrams, the counts of its rare words, and whole bigram levels of frequent roots."""
-        own = received(shared)
-        known, below = facts.filter(pc.field("root").is_null()), facts.filter(~pc.field("root").is_null())
-        words, counted = known["h"].to_numpy().view(np.uint64), known["n"].to_numpy()
-        order = np.argsort(words)
-        words, counted = words[order], counted[order]
-        root = before = word = n = np.zeros(0, np.int64)
-        if trigrams.num_rows:
-            rare = own.size + np.searchsorted(words, _sums(unpack(trigrams["words"][0].as_py(), np.uint64)))
-            # Rare words keep their order, so the trigrams stay sorted.
-            root, before, word = renumbered(unpacked_keys(*(trigrams[c][0].as_py() for c in KEYS)), own.size, rare)
-            n = unpack(trigrams["counts"][0].as_py(), np.int64)
-        rare = below["w"].is_null().to_numpy()
-        w = below["w"].fill_null(0).to_numpy()
-        at = own.size + np.searchsorted(words, below["h"].fill_null(0).to_numpy().view(np.uint64))
-        lower = (below["root"].to_numpy(), np.where(rare, at, w), below["n"].to_numpy())
-        unigram = 10 ** np.concatenate([own.log_unigram, own.log_of(counted)])
-        trie = build_trie(root, before, word, n, unigram, words, discounts, lower)
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "trie": pa.array([trie], pa.binary())})
-
     cell = "shard int, words binary, " + ", ".join(f"{c} binary" for c in KEYS) + ", counts binary"
     dealt = texts.mapInArrow(count, cell).groupBy("shard")
     met = ("once2", "twice2", "once3", "twice3")
@@ -583,9 +638,31 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
     facts = known.join(counts, "h").select("shard", none.alias("root"), none.alias("w"), "h", "n")
     for b in below:
         facts = facts.union(b)
-    packed = trigrams.drop(*met).groupBy("shard")
-    tries = packed.cogroup(facts.groupBy("shard")).applyInArrow(build, "shard int, trie binary")
-    return LanguageModel(classes, counts, stored(tries, "tries"))
+    cells = trigrams.select("shard", F.struct("words", *KEYS, "counts").alias("cell"))
+    facts = facts.select("shard", F.struct("root", "w", "h", "n").alias("fact"))
+    return LanguageModel(classes, counts, cells.unionByName(facts, allowMissingColumns=True), discounts)
+
+
+def trie_of(own: Classes, parts: pa.Table, discounts: tuple[float, float]) -> bytes:
+    """The trie of a shard, from its cell, the counts of its rare words, and whole bigram levels of frequent roots."""
+    cells, facts = (pa.Table.from_struct_array(parts[c].drop_null()) for c in ("cell", "fact"))
+    known, below = facts.filter(pc.field("root").is_null()), facts.filter(~pc.field("root").is_null())
+    words, learned = known["h"].to_numpy().view(np.uint64), known["n"].to_numpy()
+    order = np.argsort(words)
+    words, learned = words[order], learned[order]
+    root = before = word = n = np.zeros(0, np.int64)
+    if cells.num_rows:
+        rare = own.size + np.searchsorted(words, _sums(unpack(cells["words"][0].as_py(), np.uint64)))
+        # Rare words keep their order, so the trigrams stay sorted.
+        root, before, word = renumbered(unpacked_keys(*(cells[c][0].as_py() for c in KEYS)), own.size, rare)
+        n = unpack(cells["counts"][0].as_py(), np.int64).astype(np.int32)
+    rare = below["w"].is_null().to_numpy()
+    w = below["w"].fill_null(0).to_numpy()
+    at = own.size + np.searchsorted(words, below["h"].fill_null(0).to_numpy().view(np.uint64))
+    lower = (below["root"].to_numpy(), np.where(rare, at, w), below["n"].to_numpy())
+    unigram = np.concatenate([own.log_unigram, own.log_of(learned)])
+    np.power(10, unigram, out=unigram)
+    return build_trie(root, before, word, n, unigram, words, discounts, lower)
 
 
 #: A cell's trigrams as columns: root, word before it, predicted word.
@@ -594,23 +671,26 @@ KEYS = ("roots", "befores", "nexts")
 
 def packed_keys(root: np.ndarray, before: np.ndarray, word: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """Sorted trigrams as differences: roots to the last, the word before within its root, the word within both."""
-    first = np.append(True, root[1:] != root[:-1])[: len(root)]
-    second = first | np.append(True, before[1:] != before[:-1])[: len(root)]
-    columns = np.diff(root, prepend=0), np.where(first, before, np.diff(before, prepend=0)), np.where(second, word, np.diff(word, prepend=0))
-    return tuple(pack(c.astype(np.uint32)) for c in columns)
+    none = np.zeros(len(root), bool)
+    columns = (root, none), (before, edges_of(root)), (word, edges_of(root, before))
+    return tuple(pack(np.where(anew, c, np.diff(c, prepend=c.dtype.type(0))).astype(np.uint32)) for c, anew in columns)
 
 
 def unpacked_keys(roots: bytes, befores: bytes, nexts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    steps = [unpack(b, np.uint32).astype(np.int64) for b in (roots, befores, nexts)]
-    first = steps[0] != 0
+    steps = unpack(roots, np.uint32)
+    first = steps != 0
     first[:1] = True
-    before = _sums_within(steps[1], first)
-    return np.cumsum(steps[0]), before, _sums_within(steps[2], first | (steps[1] != 0))
+    root = np.cumsum(steps, dtype=np.uint32)
+    steps = unpack(befores, np.uint32)
+    before = _sums_within(steps, first)
+    first |= steps != 0
+    word = _sums_within(unpack(nexts, np.uint32), first)
+    return root.view(np.int32), before.view(np.int32), word.view(np.int32)
 
 
 def _sums_within(steps: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Running sums that begin anew where ``first`` says so."""
-    total = np.cumsum(steps)
+    """Running sums that begin anew where ``first`` says so. Sums over all may pass 32 bits, which their differences do not feel."""
+    total = np.cumsum(steps, dtype=np.uint32)
     at = np.flatnonzero(first)
     return total - np.repeat(total[at] - steps[at], np.diff(np.append(at, len(steps))))
 
@@ -619,6 +699,7 @@ def renumbered(keys: tuple[np.ndarray, ...], size: int, rare: np.ndarray) -> tup
     """Numbers from ``size`` on, those of rare words, replaced by others."""
     if not len(rare):
         return keys
+    rare = rare.astype(np.int32)
     return tuple(np.where(k < size, k, rare[np.maximum(k - size, 0)]) for k in keys)
 
 
@@ -634,7 +715,10 @@ def _dealt(classes: Classes, words: np.ndarray, keys: np.ndarray, columns, names
     """One row per shard that has some of a run's keys: its rare words, its sorted trigrams, and what ``columns`` makes of their places."""
     root, before, word = parted(keys, len(words))
     number = classes.numbers(words)
-    shard = classes.shard_of(number[root], words[root], words[before]).astype(np.int32)
+    shard = np.zeros(len(root), np.int32)
+    for at in range(0, len(root), CHUNK):
+        r, b = root[at : at + CHUNK], before[at : at + CHUNK]
+        shard[at : at + CHUNK] = classes.shard_of(number[r], words[r], words[b])
     order = np.argsort(shard, kind="stable")
     own, first = np.unique(shard[order], return_index=True)
     made = []
@@ -643,7 +727,7 @@ def _dealt(classes: Classes, words: np.ndarray, keys: np.ndarray, columns, names
         for side in (root, before, word):
             used[side[at]] = True
         rare = np.flatnonzero(used & (number < 0))
-        placed = number.copy()
+        placed = number.astype(np.int32)
         placed[rare] = classes.size + np.arange(len(rare))
         r, b, w = placed[root[at]], placed[before[at]], placed[word[at]]
         sort = np.lexsort((w, b, r))
@@ -662,14 +746,19 @@ def _log_unigram(model: LanguageModel, rows: DataFrame) -> tuple[DataFrame, Colu
 
 def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
     """``_rid, lm``: sums of the logarithms of the words' probabilities, in parts."""
-    shared = sent(texts.sparkSession, model.classes)
+    shared, discounts = sent(texts.sparkSession, model.classes), model.discounts
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = received(shared)
         for r in _runs(batches):
-            order = np.argsort(r.keys, kind="stable")
+            order = np.argsort(r.keys, kind="stable").astype(np.int32)
             number = r.number[order]
-            distinct, first, n = np.unique(r.keys[order], return_index=True, return_counts=True)
+            keys = r.keys[order]
+            del order
+            first = np.flatnonzero(edges_of(keys))
+            distinct, n = keys[first], np.diff(np.append(first, len(keys))).astype(np.int32)
+            first = first.astype(np.int32)
+            del keys, r.keys
 
             def columns(at: np.ndarray) -> tuple[bytes, ...]:
                 ends = np.cumsum(n[at])
@@ -683,37 +772,34 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
             names_ = pa.RecordBatch.from_arrays([pa.array([-1 - run % (4 * own.shards)], pa.int32()), *[pa.array([pack(r.rids)], pa.binary())] * 6], dealt.schema.names)
             yield names_.append_column("run", pa.array([run], pa.int64()))
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = received(shared)
-        at, trie = None, None
-
-        def row(run: int, *values: bytes | None) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([run], pa.int64()), *(pa.array([v], pa.binary()) for v in values)], ["run", "texts", "sums", "open_texts", "open_words"])
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                shard, turn, words, *blobs, counts, numbers, run = (batch.column(c)[i].as_py() for c in range(9))
-                if turn == 0:
-                    at, trie = shard, Shard(words)
-                    continue
-                if shard < 0:
-                    yield row(run, words, None, None, None)
-                    continue
-                words = _sums(unpack(words, np.uint64))
-                root, before, word = keys = unpacked_keys(*blobs)
-                if at == shard:
-                    found, missing = trie.look_up(*(k.astype(np.uint64) for k in renumbered(keys, own.size, trie.numbers(words))))
-                else:  # a shard that nothing was learned for
-                    found, missing = np.zeros(len(word)), np.ones(len(word), bool)
-                cached = missing & (word < own.size)
-                found[cached] += own.log_unigram[word[cached]]
-                missing = missing & ~cached
-                counts, numbers = unpack(counts, np.uint32), unpack(numbers, np.uint16)
-                number, place = np.unique(numbers, return_inverse=True)
-                sums = np.bincount(place, np.repeat(found, counts), len(number))
-                still = np.repeat(missing, counts)
-                open_ = words[word[missing] - own.size]
-                yield row(run, pack(number), pack(sums), pack(numbers[still]), pack(np.repeat(open_, counts[missing])))
+    def answer(key: tuple, parts: pa.Table, asked: pa.Table) -> pa.Table:
+        """The sums of one shard's trigrams; a negative one has the names of runs, which are passed on."""
+        shard = key[0].as_py()
+        made = []
+        own = received(shared) if shard >= 0 and asked.num_rows else None
+        trie = Shard(trie_of(own, parts, discounts)) if own and parts.num_rows else None
+        for batch in asked.to_batches(max_chunksize=1):
+            words, *blobs, counts, numbers, run = (c[0].as_py() for c in batch.columns[1:])
+            if shard < 0:
+                made.append((run, words, None, None, None))
+                continue
+            words = _sums(unpack(words, np.uint64))
+            root, before, word = keys = unpacked_keys(*blobs)
+            if trie:
+                found, missing = trie.look_up(*(k.astype(np.uint64) for k in renumbered(keys, own.size, trie.numbers(words))))
+            else:  # a shard that nothing was learned for
+                found, missing = np.zeros(len(word)), np.ones(len(word), bool)
+            cached = missing & (word < own.size)
+            found[cached] += own.log_unigram[word[cached]]
+            missing = missing & ~cached
+            counts, numbers = unpack(counts, np.uint32), unpack(numbers, np.uint16)
+            number, place = np.unique(numbers, return_inverse=True)
+            sums = np.bincount(place, np.repeat(found, counts), len(number))
+            still = np.repeat(missing, counts)
+            open_ = words[word[missing] - own.size]
+            made.append((run, pack(number), pack(sums), pack(numbers[still]), pack(np.repeat(open_, counts[missing]))))
+        columns = [pa.array([m[i] for m in made], pa.binary() if i else pa.int64()) for i in range(5)]
+        return pa.table(columns, names=["run", "texts", "sums", "open_texts", "open_words"])
 
     def total(table: pa.Table) -> pa.Table:
         """The sums of a run's texts over all shards, and tokens whose unigrams are to be added. A run that repeats has its rows twice, and so its sums."""
@@ -733,10 +819,8 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
 
     names = ("words", *KEYS, "counts", "numbers")
     asked = texts.mapInArrow(ask, "shard int, " + ", ".join(f"{c} binary" for c in names) + ", run long")
-    asked = asked.select("shard", F.lit(1).alias("turn"), *names, "run")
-    tries = model.tries.select("shard", F.lit(0).alias("turn"), F.col("trie").alias("words"), *(F.lit(None).cast("binary").alias(c) for c in names[1:]), F.lit(None).cast("long").alias("run"))
-    rows = tries.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "turn")
-    parts = rows.mapInArrow(answer, "run long, texts binary, sums binary, open_texts binary, open_words binary")
+    grouped = model.parts.groupBy("shard").cogroup(asked.select("shard", *names, "run").groupBy("shard"))
+    parts = grouped.applyInArrow(answer, "run long, texts binary, sums binary, open_texts binary, open_words binary")
     summed = stored(parts.groupBy("run").applyInArrow(total, "_rid long, h long, n long, lm double"), "trie-scores")
     others, _, log_u = _log_unigram(model, summed.filter("h is not null"))
     return summed.filter("h is null").select("_rid", "lm").unionByName(others.select("_rid", (F.col("n") * log_u).alias("lm")))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import pickle
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -159,3 +160,17 @@ def test_trigrams_as_differences():
         keys = np.unique(rng.zipf(1.4, (n, 3)) % 900, axis=0).reshape(-1, 3).astype(np.int64)
         back = lm.unpacked_keys(*lm.packed_keys(*keys.T))
         assert all((a == b).all() and len(a) == len(keys) for a, b in zip(back, keys.T, strict=True))
+
+
+def test_memory_of_a_trie():
+    rng, v = np.random.default_rng(2), 5000
+    root, before, word = (rng.integers(0, v, 300_000).astype(np.int32) for _ in range(3))
+    order = np.lexsort((word, before, root))
+    root, before, word = root[order], before[order], word[order]
+    n, unigram = np.ones(len(root), np.int32), np.full(v, 1 / v)
+    tracemalloc.start()
+    trie = lm.build_trie(root, before, word, n, unigram)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(lm.Shard(trie).a["p3.code"]) == len(root)
+    assert most < 160 * len(root)

@@ -397,14 +397,22 @@ class ClassIds(dict):
     def __init__(self, classes: Classes):
         super().__init__()
         self.of = classes.numbers
+        self.long: list[bytes] = []
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
+    def learn(self, words: list[bytes]) -> None:
+        """Look up at once what is not known of these words."""
+        new = set(words).difference(self)
+        if len(self) + len(new) > REMEMBERED:
             self.clear()
-        found = int(self.of(np.array([token_hash(word)], np.int64).view(np.uint64))[0])
-        if len(word) <= 64:
-            self[word] = found
-        return found
+            new = set(words)
+        found = self.of(np.fromiter(map(token_hash, new), np.int64, len(new)).view(np.uint64))
+        self.update(zip(new, found.tolist(), strict=True))
+        self.long += [w for w in new if len(w) > 64]
+
+    def forget_long(self) -> None:
+        for word in self.long:
+            self.pop(word, None)
+        self.long.clear()
 
 
 class Numbers(dict):
@@ -563,6 +571,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
         for run in _runs(batches):
             distinct, n = counted(run.keys)
             yield _dealt(own, run.words, distinct, lambda at, m=n: (pack(m[at].astype(np.uint32)),), ("counts",))
+        pa.default_memory_pool().release_unused()
 
     def merge(table: pa.Table) -> pa.Table:
         """The distinct trigrams of a shard, by number of its words, and how many trigrams and bigrams of its own were met once and twice."""
@@ -771,6 +780,7 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
             # Who the texts of the run are goes along under a negative number, past the shards.
             names_ = pa.RecordBatch.from_arrays([pa.array([-1 - run % (4 * own.shards)], pa.int32()), *[pa.array([pack(r.rids)], pa.binary())] * 6], dealt.schema.names)
             yield names_.append_column("run", pa.array([run], pa.int64()))
+        pa.default_memory_pool().release_unused()
 
     def answer(key: tuple, parts: pa.Table, asked: pa.Table) -> pa.Table:
         """The sums of one shard's trigrams; a negative one has the names of runs, which are passed on."""
@@ -793,8 +803,8 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
             found[cached] += own.log_unigram[word[cached]]
             missing = missing & ~cached
             counts, numbers = unpack(counts, np.uint32), unpack(numbers, np.uint16)
-            number, place = np.unique(numbers, return_inverse=True)
-            sums = np.bincount(place, np.repeat(found, counts), len(number))
+            number = np.flatnonzero(np.bincount(numbers)).astype(np.uint16)
+            sums = np.bincount(numbers, np.repeat(found, counts))[number]
             still = np.repeat(missing, counts)
             open_ = words[word[missing] - own.size]
             made.append((run, pack(number), pack(sums), pack(numbers[still]), pack(np.repeat(open_, counts[missing]))))
@@ -837,6 +847,7 @@ def _word_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
             out = [[], [], [], [], []]
             for rid, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = [*words_of(text.as_py()), END_TOKEN]
+                ids.learn(words)
                 found = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
                 known = found[found >= 0]
                 others = Counter(words[i] for i in np.flatnonzero(found < 0))
@@ -845,6 +856,7 @@ def _word_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
                 out[2] += [len(words), *others.values()]
                 out[3] += [len(known)] + [0] * len(others)
                 out[4] += [float(own.log_unigram[known].sum())] + [0.0] * len(others)
+                ids.forget_long()
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds, strict=True)], ["_rid", "h", "n", "known", "base"])
 

@@ -31,7 +31,6 @@ from __future__ import annotations
 import json
 import sys
 import tempfile
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -53,10 +52,11 @@ LEAST_TRIGRAM = 1
 SHARD_TOKENS = 1_000_000
 #: Tokens, and texts, of which trigrams are packed together. Keys hold three numbers below 2 ** 21, so a run has fewer words.
 RUN_TOKENS, RUN_TEXTS = 1_500_000, 60_000
-REMEMBERED = 200_000
+#: Bytes of texts whose words are told apart together.
+SLICE_BYTES = 4 << 20
 #: Values that are worked on together where a shard's arrays would need several times its memory.
 CHUNK = 1 << 16
-END_TOKEN = b"\n"  # no word has a line break
+END_HASH = xxhash.xxh3_64_intdigest(b"\n")  # no word has a line break
 
 Arrays = dict[str, np.ndarray]
 
@@ -65,10 +65,6 @@ def signed(h: int) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def token_hash(word: bytes) -> int:
-    return signed(xxhash.xxh3_64_intdigest(word))
-
-
 def pack(a: np.ndarray) -> bytes:
     """The bytes of an array, highest bytes together, compressed."""
     planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T
@@ -310,10 +306,13 @@ class Shard:
 
     def look_up(self, root: np.ndarray, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of the probability, but for a factor that is the unigram of the word where the second result says so."""
-        root = self.level["roots"].find(root)
+        # Keys come in order, so a root or context is looked up once for all that follow it.
+        new = edges_of(root)
+        anew = edges_of(root, before)
+        root = self.level["roots"].find(root[new])[np.cumsum(new) - 1]
         base = np.maximum(root, 0).astype(np.uint64) * self.base
         successor = np.where(root >= 0, self.level["successors"].find(base + word), -1)
-        context = np.where(root >= 0, self.level["contexts"].find(base + before), -1)
+        context = np.where(root >= 0, self.level["contexts"].find((base + before)[anew])[np.cumsum(anew) - 1], -1)
         rank = successor - self.level["pointers"].get(np.maximum(root, 0)) if self.level["pointers"].n > 1 else successor
         ask = (successor >= 0) & (context >= 0)
         child = np.full(len(word), -1)
@@ -391,47 +390,43 @@ def received(shared: Broadcast) -> Classes:
     return Classes(*shared.value)
 
 
-class ClassIds(dict):
-    """Numbers of the words that a task has met, or -1."""
-
-    def __init__(self, classes: Classes):
-        super().__init__()
-        self.of = classes.numbers
-        self.long: list[bytes] = []
-
-    def learn(self, words: list[bytes]) -> None:
-        """Look up at once what is not known of these words."""
-        new = set(words).difference(self)
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = set(words)
-        found = self.of(np.fromiter(map(token_hash, new), np.int64, len(new)).view(np.uint64))
-        self.update(zip(new, found.tolist(), strict=True))
-        self.long += [w for w in new if len(w) > 64]
-
-    def forget_long(self) -> None:
-        for word in self.long:
-            self.pop(word, None)
-        self.long.clear()
-
-
-class Numbers(dict):
-    """Numbers of the words of a run in the order in which they are met."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = len(self)
-        return found
-
-
-def words_of(text: bytes | None) -> list[bytes]:
-    return text.lower().split() if text else []
+def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """The texts in parts of at most ``SLICE_BYTES``, or one text, with the place of the first."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        done = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+        yield at, texts.slice(at, end - at)
+        at = end
+
+
+def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words of texts, the place of each word in order among them, and the number of words of each text."""
+    # The bytes are taken as they are; Arrow's functions for ASCII know no other letters or white space than the contract.
+    whole = texts.view(pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string())
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(whole, ""))))
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten()
+    full = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+    if not full.all():  # a blank text is one empty word
+        flat = flat.filter(pa.array(full))
+        lengths = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[full], minlength=len(lengths))
+    coded = flat.dictionary_encode()
+    words = coded.dictionary.view(texts.type).to_numpy(zero_copy_only=False)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return hashes, coded.indices.to_numpy(), lengths
 
 
 @dataclass
 class Run:
     """Trigrams of texts. A key has the root, the word before it and the predicted word as positions in ``words``."""
 
-    words: np.ndarray  # sorted hashes
+    #: Hashes: those of numbered words by number, then the others in order.
+    words: np.ndarray
+    #: The numbers of the words, or -1, and how many have one.
+    numbered: np.ndarray
+    near: int
     keys: np.ndarray
     #: The text of each key, as a position in ``rids``.
     number: np.ndarray
@@ -447,44 +442,62 @@ def parted(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return context.astype(np.int32), before, word
 
 
-def _run(hashes: np.ndarray, parts: list[np.ndarray], rows: list[int]) -> Run:
-    words, place = np.unique(hashes, return_inverse=True)
-    place, base = place.astype(np.uint32), np.uint64(len(words))
-    sides = (place[np.concatenate([a[i : len(a) - 2 + i] for a in parts])] for i in (1, 0, 2))
-    keys = next(sides).astype(np.uint64)
-    for side in sides:
-        keys *= base
-        keys += side
-    number = np.repeat(np.arange(len(rows), dtype=np.uint16), [len(a) - 2 for a in parts])
-    return Run(words, keys, number, np.array(rows, np.int64))
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Run]:
+def _run(classes: Classes, pieces: list[tuple[np.ndarray, list[np.ndarray]]], rows: list[int]) -> Run:
+    pieces = [(hashes, np.concatenate(parts), [len(a) for a in parts]) for hashes, parts in pieces if parts]
+    used = []
+    for hashes, tokens, _ in pieces:
+        met = np.zeros(len(hashes), bool)
+        met[tokens] = True
+        used.append(np.flatnonzero(met))
+    words, place = np.unique(np.concatenate([h[u] for (h, _, _), u in zip(pieces, used, strict=True)]), return_inverse=True)
+    numbered = classes.numbers(words)
+    order = np.argsort(np.where(numbered >= 0, numbered, classes.size), kind="stable")
+    words, numbered = words[order], numbered[order]
+    rank = np.empty(len(order), np.uint64)
+    rank[order] = np.arange(len(order), dtype=np.uint64)
+    base, keys, lengths, at = np.uint64(len(words)), [], [], 0
+    for (hashes, tokens, sizes), u in zip(pieces, used, strict=True):
+        table = np.zeros(len(hashes), np.uint64)
+        table[u] = rank[place[at : at + len(u)]]
+        at += len(u)
+        tokens = table[tokens]
+        key = tokens[1:-1] * base
+        key += tokens[:-2]
+        key *= base
+        key += tokens[2:]
+        inside = np.ones(len(tokens), bool)
+        ends = np.cumsum(sizes)
+        inside[ends - 1] = inside[ends - 2] = False
+        keys.append(key[inside[:-2]])
+        lengths += sizes
+    number = np.repeat(np.arange(len(rows), dtype=np.uint16), np.array(lengths) - 2)
+    return Run(words, numbered, int((numbered >= 0).sum()), np.concatenate(keys), number, np.array(rows, np.int64))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], classes: Classes) -> Iterator[Run]:
     """Runs of texts. A long text is several parts, which may lie in several runs; a text begins after two ends."""
-    numbers, parts, rows, held = Numbers(), [], [], 0
+    pieces, rows, held = [], [], 0
     longest = max(1, RUN_TOKENS // 4)
-
-    def ended() -> Run:
-        """The run so far; its words and tokens are dropped before it is worked on."""
-        nonlocal numbers, parts, rows, held
-        hashes = np.fromiter(map(token_hash, numbers), np.int64, len(numbers)).view(np.uint64)
-        numbers = Numbers()
-        run = _run(hashes, parts, rows)
-        parts, rows, held = [], [], 0
-        return run
-
     for batch in batches:
-        for rid, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            words = [END_TOKEN, END_TOKEN, *words_of(text.as_py()), END_TOKEN]
-            for at in range(0, len(words) - 2, longest):
-                part = words[at : at + longest + 2]
-                parts.append(np.fromiter(map(numbers.__getitem__, part), np.int32, len(part)))
-                rows.append(rid)
-                held += len(part) - 2
-                if held >= RUN_TOKENS or len(rows) >= RUN_TEXTS:
-                    yield ended()
+        rids = batch.column(0).to_numpy(zero_copy_only=False)
+        for first, texts in slices(batch.column(1)):
+            hashes, place, lengths = distinct_words(texts)
+            tokens = np.full(len(place) + 3 * len(lengths), len(hashes), np.int32)
+            tokens[np.arange(len(place)) + 3 * np.repeat(np.arange(len(lengths)), lengths) + 2] = place
+            hashes = np.append(hashes, np.uint64(END_HASH))
+            pieces.append((hashes, parts := []))
+            ends = np.cumsum(lengths + 3)
+            for rid, begin, end in zip(rids[first : first + len(texts)].tolist(), (ends - lengths - 3).tolist(), ends.tolist(), strict=True):
+                for at in range(begin, end - 2, longest):
+                    part = tokens[at : min(at + longest + 2, end)]
+                    parts.append(part)
+                    rows.append(rid)
+                    held += len(part) - 2
+                    if held >= RUN_TOKENS or len(rows) >= RUN_TEXTS:
+                        yield _run(classes, pieces, rows)
+                        pieces, rows, held = [(hashes, parts := [])], [], 0
     if rows:
-        yield ended()
+        yield _run(classes, pieces, rows)
 
 
 @dataclass
@@ -519,20 +532,13 @@ def count_words(texts: DataFrame) -> DataFrame:
     """``h, n``: the hash and count of every token, ends included."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            h = pa.array([token_hash(w) for w in counts], pa.int64())
-            return pa.RecordBatch.from_arrays([h, pa.array(list(counts.values()), pa.int64())], ["h", "n"])
-
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(words_of(text.as_py()))
-                counts[END_TOKEN] += 1
-                if len(counts) > REMEMBERED:
-                    yield out()
-                    counts.clear()
-        yield out()
+            for _, texts_ in slices(batch.column(0)):
+                hashes, place, _ = distinct_words(texts_)
+                h = np.append(hashes, np.uint64(END_HASH)).view(np.int64)
+                n = np.append(np.bincount(place, minlength=len(hashes)), len(texts_))
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
+        pa.default_memory_pool().release_unused()
 
     return texts.select("_text").mapInArrow(task, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
@@ -568,9 +574,9 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = received(shared)
-        for run in _runs(batches):
+        for run in _runs(batches, own):
             distinct, n = counted(run.keys)
-            yield _dealt(own, run.words, distinct, lambda at, m=n: (pack(m[at].astype(np.uint32)),), ("counts",))
+            yield _dealt(own, run, distinct, lambda at, m=n: (pack(m[at].astype(np.uint32)),), ("counts",))
         pa.default_memory_pool().release_unused()
 
     def merge(table: pa.Table) -> pa.Table:
@@ -720,29 +726,30 @@ def _sums(deltas: np.ndarray) -> np.ndarray:
     return np.cumsum(deltas, dtype=np.uint64)
 
 
-def _dealt(classes: Classes, words: np.ndarray, keys: np.ndarray, columns, names: tuple[str, ...]) -> pa.RecordBatch:  # noqa: ANN001
-    """One row per shard that has some of a run's keys: its rare words, its sorted trigrams, and what ``columns`` makes of their places."""
-    root, before, word = parted(keys, len(words))
-    number = classes.numbers(words)
-    shard = np.zeros(len(root), np.int32)
+def _dealt(classes: Classes, run: Run, keys: np.ndarray, columns, names: tuple[str, ...]) -> pa.RecordBatch:  # noqa: ANN001
+    """One row per shard that has some of a run's sorted keys: its rare words, its trigrams, and what ``columns`` makes of their places."""
+    root, before, word = parted(keys, len(run.words))
+    shard = np.zeros(len(root), np.uint16 if classes.shards <= 1 << 16 else np.int32)
     for at in range(0, len(root), CHUNK):
         r, b = root[at : at + CHUNK], before[at : at + CHUNK]
-        shard[at : at + CHUNK] = classes.shard_of(number[r], words[r], words[b])
+        shard[at : at + CHUNK] = classes.shard_of(run.numbered[r], run.words[r], run.words[b])
     order = np.argsort(shard, kind="stable")
+    root, before, word = root[order], before[order], word[order]
     own, first = np.unique(shard[order], return_index=True)
+    # Numbers rise with positions, so the keys of a shard stay sorted.
+    placed = run.numbered.astype(np.int32)
+    used = np.zeros(len(run.words), bool)
     made = []
-    for at in np.split(order, first[1:]) if len(own) else []:
-        used = np.zeros(len(words), bool)
-        for side in (root, before, word):
-            used[side[at]] = True
-        rare = np.flatnonzero(used & (number < 0))
-        placed = number.astype(np.int32)
+    for begin, end in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
+        sides = [side[begin:end] for side in (root, before, word)]
+        for side in sides:
+            used[side] = True
+        rare = run.near + np.flatnonzero(used[run.near :])
+        used[rare] = False
         placed[rare] = classes.size + np.arange(len(rare))
-        r, b, w = placed[root[at]], placed[before[at]], placed[word[at]]
-        sort = np.lexsort((w, b, r))
-        made.append((_deltas(words[rare]), *packed_keys(r[sort], b[sort], w[sort]), *columns(at[sort])))
+        made.append((_deltas(run.words[rare]), *packed_keys(*(placed[side] for side in sides)), *columns(order[begin:end])))
     arrays = [pa.array([m[i] for m in made], pa.binary()) for i in range(len(names) + 4)]
-    return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *arrays], ["shard", "words", *KEYS, *names])
+    return pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32), pa.int32()), *arrays], ["shard", "words", *KEYS, *names])
 
 
 def _log_unigram(model: LanguageModel, rows: DataFrame) -> tuple[DataFrame, Column, Column]:
@@ -753,13 +760,14 @@ def _log_unigram(model: LanguageModel, rows: DataFrame) -> tuple[DataFrame, Colu
     return rows.join(count, F.col("h") == F.col("_h"), "left"), seen > 0, F.log10((seen + 1) / F.lit(float(c.n_tokens + c.n_distinct + 1)))
 
 
-def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
-    """``_rid, lm``: sums of the logarithms of the words' probabilities, in parts."""
+def _scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
+    """``_rid, n_tokens, n_known, base, lm``: sums over tokens, in parts; frequent words at once and the others by a join."""
     shared, discounts = sent(texts.sparkSession, model.classes), model.discounts
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = received(shared)
-        for r in _runs(batches):
+        for r in _runs(batches, own):
+            facts = facts_of(own, r)
             order = np.argsort(r.keys, kind="stable").astype(np.int32)
             number = r.number[order]
             keys = r.keys[order]
@@ -775,15 +783,15 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
                 return pack(n[at].astype(np.uint32)), pack(number[where])  # noqa: B023
 
             run = signed(xxhash.xxh3_64_intdigest(r.rids.tobytes()))
-            dealt = _dealt(own, r.words, distinct, columns, ("counts", "numbers"))
+            dealt = _dealt(own, r, distinct, columns, ("counts", "numbers"))
             yield dealt.append_column("run", pa.array([run] * dealt.num_rows, pa.int64()))
-            # Who the texts of the run are goes along under a negative number, past the shards.
-            names_ = pa.RecordBatch.from_arrays([pa.array([-1 - run % (4 * own.shards)], pa.int32()), *[pa.array([pack(r.rids)], pa.binary())] * 6], dealt.schema.names)
+            # Who the texts of the run are, and what is known without tries, goes along under a negative number, past the shards.
+            names_ = pa.RecordBatch.from_arrays([pa.array([-1 - run % (4 * own.shards)], pa.int32()), *[pa.array([f], pa.binary()) for f in facts]], dealt.schema.names)
             yield names_.append_column("run", pa.array([run], pa.int64()))
         pa.default_memory_pool().release_unused()
 
     def answer(key: tuple, parts: pa.Table, asked: pa.Table) -> pa.Table:
-        """The sums of one shard's trigrams; a negative one has the names of runs, which are passed on."""
+        """The sums of one shard's trigrams; a negative one has the names and facts of runs, which are passed on."""
         shard = key[0].as_py()
         made = []
         own = received(shared) if shard >= 0 and asked.num_rows else None
@@ -791,7 +799,8 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
         for batch in asked.to_batches(max_chunksize=1):
             words, *blobs, counts, numbers, run = (c[0].as_py() for c in batch.columns[1:])
             if shard < 0:
-                made.append((run, words, None, None, None))
+                tokens, base, open_ = blobs
+                made.append((run, words, None, numbers, open_, tokens, base, counts))
                 continue
             words = _sums(unpack(words, np.uint64))
             root, before, word = keys = unpacked_keys(*blobs)
@@ -807,75 +816,75 @@ def _trie_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
             sums = np.bincount(numbers, np.repeat(found, counts))[number]
             still = np.repeat(missing, counts)
             open_ = words[word[missing] - own.size]
-            made.append((run, pack(number), pack(sums), pack(numbers[still]), pack(np.repeat(open_, counts[missing]))))
-        columns = [pa.array([m[i] for m in made], pa.binary() if i else pa.int64()) for i in range(5)]
-        return pa.table(columns, names=["run", "texts", "sums", "open_texts", "open_words"])
+            made.append((run, pack(number), pack(sums), pack(numbers[still]), pack(np.repeat(open_, counts[missing])), None, None, None))
+        columns = [pa.array([m[i] for m in made], pa.binary() if i else pa.int64()) for i in range(8)]
+        return pa.table(columns, names=["run", "texts", "sums", "open_texts", "open_words", "tokens", "base", "counts"])
 
     def total(table: pa.Table) -> pa.Table:
         """The sums of a run's texts over all shards, and tokens whose unigrams are to be added. A run that repeats has its rows twice, and so its sums."""
-        texts_, sums = table["texts"].to_pylist(), table["sums"].to_pylist()
-        rids = unpack(next(t for t, s in zip(texts_, sums, strict=True) if s is None), np.int64)
-        out = np.zeros(len(rids))
-        for t, s in zip(texts_, sums, strict=True):
-            if s is not None:
-                out[unpack(t, np.uint16)] += unpack(s, np.float64)
-        parts = [(unpack(t, np.uint16), unpack(w, np.uint64)) for t, w in zip(table["open_texts"].to_pylist(), table["open_words"].to_pylist(), strict=True) if t is not None]
-        text = np.concatenate([np.zeros(0, np.uint16), *(p[0] for p in parts)]).astype(np.int64)
-        words, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *(p[1] for p in parts)]), return_inverse=True)
-        open_, n = np.unique(place * len(rids) + text, return_counts=True)
-        word, text = np.divmod(open_, max(len(rids), 1))
-        h = pa.array([*[None] * len(rids), *words.view(np.int64)[word].tolist()], pa.int64())
-        return pa.table({"_rid": np.append(rids, rids[text]), "h": h, "n": np.append(np.zeros(len(rids), np.int64), n), "lm": np.append(out, np.zeros(len(n)))})
+        rows = table.to_pylist()
+        own, tried = [r for r in rows if r["base"] is not None], [r for r in rows if r["base"] is None]
+        rids = unpack(own[0]["texts"], np.int64)
+        tokens = sum(unpack(r["tokens"], np.uint32).astype(np.int64) for r in own).reshape(2, -1)
+        base = sum(unpack(r["base"], np.float64) for r in own)
+        lm = np.zeros(len(rids))
+        for r in tried:
+            lm[unpack(r["texts"], np.uint16)] += unpack(r["sums"], np.float64)
+
+        def column(rows: list[dict], name: str, kind: type) -> np.ndarray:
+            return np.concatenate([np.zeros(0, kind), *(unpack(r[name], kind) for r in rows)])
+
+        words, place = np.unique(column(own, "open_words", np.uint64), return_inverse=True)
+        pairs, place = np.unique(place * len(rids) + column(own, "open_texts", np.uint16), return_inverse=True)
+        n = np.bincount(place, column(own, "counts", np.uint32), len(pairs)).astype(np.int64)
+        open_, m = counted(np.searchsorted(words, column(tried, "open_words", np.uint64)) * len(rids) + column(tried, "open_texts", np.uint16))
+        still = np.zeros(len(pairs), np.int64)
+        still[np.searchsorted(pairs, open_)] = m
+        word, text = np.divmod(pairs, max(len(rids), 1))
+        h = pa.array(np.append(np.zeros(len(rids), np.uint64), words[word]).view(np.int64), mask=np.arange(len(rids) + len(pairs)) < len(rids))
+        below = lambda a, b: np.append(a, b.astype(a.dtype))
+        none = np.zeros(len(pairs), np.int64)
+        return pa.table(
+            {"_rid": np.append(rids, rids[text]), "h": h, "n": below(tokens[0], n), "open": below(np.zeros(len(rids), np.int64), still),
+             "known": below(tokens[1], none), "base": below(base, none), "lm": below(lm, none)}
+        )
 
     names = ("words", *KEYS, "counts", "numbers")
     asked = texts.mapInArrow(ask, "shard int, " + ", ".join(f"{c} binary" for c in names) + ", run long")
     grouped = model.parts.groupBy("shard").cogroup(asked.select("shard", *names, "run").groupBy("shard"))
-    parts = grouped.applyInArrow(answer, "run long, texts binary, sums binary, open_texts binary, open_words binary")
-    summed = stored(parts.groupBy("run").applyInArrow(total, "_rid long, h long, n long, lm double"), "trie-scores")
-    others, _, log_u = _log_unigram(model, summed.filter("h is not null"))
-    return summed.filter("h is null").select("_rid", "lm").unionByName(others.select("_rid", (F.col("n") * log_u).alias("lm")))
-
+    answered = ("texts", "sums", "open_texts", "open_words", "tokens", "base", "counts")
+    parts = grouped.applyInArrow(answer, "run long, " + ", ".join(f"{c} binary" for c in answered))
+    summed = parts.groupBy("run").applyInArrow(total, "_rid long, h long, n long, open long, known long, base double, lm double")
+    summed = stored(summed, "trie-scores")
+    others, known, log_u = _log_unigram(model, summed.filter("h is not null"))
+    others = others.select(
+        "_rid", F.lit(0).cast("long").alias("n_tokens"), F.when(known, F.col("n")).otherwise(0).alias("n_known"),
+        (F.col("n") * log_u).alias("base"), (F.col("open") * log_u).alias("lm"),
+    )
+    return summed.filter("h is null").select("_rid", F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), "base", "lm").unionByName(others)
 
-def _word_scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
-    """``_rid, n_tokens, n_known, base``: sums over tokens, frequent words at once and the others by a join."""
-    shared = sent(texts.sparkSession, model.classes)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = received(shared)
-        ids = ClassIds(own)
-        for batch in batches:
-            out = [[], [], [], [], []]
-            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = [*words_of(text.as_py()), END_TOKEN]
-                ids.learn(words)
-                found = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-                known = found[found >= 0]
-                others = Counter(words[i] for i in np.flatnonzero(found < 0))
-                out[0] += [rid] * (len(others) + 1)
-                out[1] += [None, *map(token_hash, others)]
-                out[2] += [len(words), *others.values()]
-                out[3] += [len(known)] + [0] * len(others)
-                out[4] += [float(own.log_unigram[known].sum())] + [0.0] * len(others)
-                ids.forget_long()
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds, strict=True)], ["_rid", "h", "n", "known", "base"])
-
-    rows = stored(texts.mapInArrow(task, "_rid long, h long, n long, known long, base double"), "tokens")
-    others, known, log_u = _log_unigram(model, rows.filter("h is not null").select("_rid", "h", "n"))
-    others = others.select("_rid", F.lit(0).cast("long").alias("n_tokens"), F.when(known, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * log_u).alias("base"))
-    local = rows.filter("h is null").select("_rid", F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), "base")
-    return local.unionByName(others)
+def facts_of(classes: Classes, run: Run) -> tuple[bytes, ...]:
+    """The texts of a run, packed: ids, numbers of tokens and of frequent ones, base scores of these; then hash, count and text of rare words."""
+    word = (run.keys % np.uint64(max(len(run.words), 1))).astype(np.int64)
+    near = word < run.near
+    size = len(run.rids)
+    tokens = np.bincount(run.number, minlength=size), np.bincount(run.number[near], minlength=size)
+    base = np.bincount(run.number[near], classes.log_unigram[run.numbered[word[near]]], size)
+    pairs, n = counted(word[~near] * size + run.number[~near])
+    word, text = np.divmod(pairs, max(size, 1))
+    facts = np.concatenate(tokens).astype(np.uint32), base, run.words[word], n.astype(np.uint32), text.astype(np.uint16)
+    return pack(run.rids), *map(pack, facts)
 
 
 def score(df: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``key, n_tokens, n_known, train_tokens, base_score, score``, scores as log10."""
     texts = named_rows(df, key, text)
-    classes = _trie_scores(texts, model).groupBy("_rid").agg(F.sum("lm").alias("lm"))
-    sums = _word_scores(texts, model).groupBy("_rid").agg(*(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base")))
+    sums = _scores(texts, model).groupBy("_rid").agg(*(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "lm")))
     names = df.select(F.col(key), F.xxhash64(F.col(key).cast("string"), F.coalesce(F.col(text), F.lit(""))).alias("_of"))
     names = stored(names, "row-names")
     copies = names.groupBy("_of").agg(F.count("*").alias("copies"))
-    totals = stored(sums.join(classes, "_rid").join(copies, F.col("_rid") == F.col("_of")).drop("_of"), "scores")
+    totals = stored(sums.join(copies, F.col("_rid") == F.col("_of")).drop("_of"), "scores")
     each = lambda c, kind: (F.col(c) / F.col("copies")).cast(kind)
     return names.join(totals, F.col("_of") == F.col("_rid")).select(
         key, each("n_tokens", "long").alias("n_tokens"), each("n_known", "long").alias("n_known"),

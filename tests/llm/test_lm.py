@@ -7,7 +7,9 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus
@@ -174,3 +176,37 @@ def test_memory_of_a_trie():
     tracemalloc.stop()
     assert len(lm.Shard(trie).a["p3.code"]) == len(root)
     assert most < 160 * len(root)
+
+
+def test_words_are_those_of_bytes(monkeypatch):
+    texts = [b" A  b\x0b\x0c\r\tc ", b"", b" \n", b"a\x1cB\xc2\x85\xc2\xa0c\x00 \xff\xc3 d", "É é İ".encode(), b"a b a", None, b"x" * 99]
+    monkeypatch.setattr(lm, "SLICE_BYTES", 10)
+    column = pa.array([b"cut off", *texts], pa.binary()).slice(1)
+    found, at = [], 0
+    for first, part in lm.slices(column):
+        assert first == at
+        hashes, place, lengths = lm.distinct_words(part)
+        assert len(np.unique(hashes)) == len(hashes)
+        found += np.split(hashes[place], np.cumsum(lengths)[:-1])
+        at += len(part)
+    assert [f.tolist() for f in found] == [[xxhash.xxh3_64_intdigest(w) for w in (t or b"").lower().split()] for t in texts]
+
+
+def test_texts_are_read_once_for_all_scores(spark, monkeypatch):
+    """Once for the names of rows and once for all words; base scores had a pass of their own."""
+    monkeypatch.setattr(lm, "CLASSES", 5)
+    rows = zipf_rows(40)
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm.train(df)
+    found = {r["doc_id"]: r for r in lm.score(df.mapInArrow(counting, df.schema), model).collect()}
+    assert read.value == 2 * len(rows)
+    for (i, t), want in zip(rows, base_scores([t for _, t in rows], [t for _, t in rows]), strict=True):
+        assert (found[i]["n_tokens"], found[i]["n_known"], found[i]["train_tokens"]) == want[:3]
+        assert found[i]["base_score"] == pytest.approx(want[3])

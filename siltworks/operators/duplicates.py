@@ -88,10 +88,12 @@ def group_summary(df: DataFrame, keys: Sequence[str], amount: str, keep_null_key
     the groups back to their rows by equality does.
     """
     rows = df if keep_null_keys else df.dropna("any", subset=list(keys))
-    summary = rows.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.sum(money(amount)).alias("net"),
-        F.count_distinct(money(amount)).alias("distinct_amounts"),
+    # Only rows are counted per amount, so tasks hold no sums for what are nearly all rows.
+    amounts = rows.groupBy(*keys, money(amount).alias("_amount")).agg(F.count("*").alias("_rows"))
+    summary = amounts.groupBy(*keys).agg(
+        F.sum("_rows").alias("n"),
+        F.sum(F.col("_amount") * F.col("_rows")).cast("decimal(28,2)").alias("net"),
+        F.count("_amount").alias("distinct_amounts"),
     )
     return summary.filter("n > 1")
 

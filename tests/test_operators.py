@@ -337,3 +337,15 @@ def test_checks_return_offenders(spark):
         ("relationships", "id", 2),
         ("unique", "id", 1),
     ]
+
+
+def test_group_summary_counts_amounts_before_it_sums(spark):
+    """Tasks that hold one entry per key and amount, nearly as many as rows, hold a count in each and no sum."""
+    rows = [(1, None, 1.0), (1, None, 1.0), (1, None, -2.5), (1, None, None), (2, 7, 3.0), (3, 7, None), (3, 7, None), (None, 7, 0.1), (None, 7, 0.2)]
+    df = spark.createDataFrame(rows, "a int, b int, amount double")
+    summary = duplicates.group_summary(df, ["a", "b"], "amount")
+    found = {(r["a"], r["b"]): (r["n"], None if r["net"] is None else float(r["net"]), r["distinct_amounts"]) for r in summary.collect()}
+    assert found == {(1, None): (4, -0.5, 2), (3, 7): (2, None, 0), (None, 7): (2, 0.3, 2)}
+    assert summary.schema["net"].dataType.simpleString() == "decimal(28,2)"
+    first = [line for line in summary._jdf.queryExecution().simpleString().splitlines() if "Aggregate(" in line][-1]
+    assert "partial_count(1)" in first and "sum(" not in first

@@ -19,8 +19,8 @@ which every task knows (20 MB broadcast at most), so the keys of trigrams are sm
 by the order of their hashes and carry these, so nothing holds all words and no word lacks a number. Scores don't depend on ``CLASSES``. Training counts distinct trigrams per run before
 the shuffle and joins the rare words of each shard with their counts; scoring sends the distinct trigrams of a run,
 with the numbers of the texts that have them, as packed columns to the shards; a shard has about a million of them, as it has tokens,
-however many texts there are. Where neither trigram nor bigram is known, the unigram of a word is wanted: the
-counts of numbered words are at hand, those of the others come by a join, with the same result.
+however many texts there are. Where neither trigram nor bigram is known, and for base scores, which go along with a run's
+questions, the unigram of a word is wanted: the counts of numbered words are at hand, those of the others come by one join, with the same result.
 
 Defined results: null and empty texts consist of one end; texts are never cut; repeated rows get equal scores; with
 nothing to learn from, no word is known; empty tables give empty results. Other columns are ignored.
@@ -390,6 +390,12 @@ def received(shared: Broadcast) -> Classes:
     return Classes(*shared.value)
 
 
+def release() -> None:
+    """Give back memory that Arrow and the C library, which has the arrays, keep unused, as workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     """The texts in parts of at most ``SLICE_BYTES``, or one text, with the place of the first."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
@@ -538,7 +544,7 @@ def count_words(texts: DataFrame) -> DataFrame:
                 h = np.append(hashes, np.uint64(END_HASH)).view(np.int64)
                 n = np.append(np.bincount(place, minlength=len(hashes)), len(texts_))
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
-        pa.default_memory_pool().release_unused()
+        release()
 
     return texts.select("_text").mapInArrow(task, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
@@ -576,8 +582,11 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
         own = received(shared)
         for run in _runs(batches, own):
             distinct, n = counted(run.keys)
-            yield _dealt(own, run, distinct, lambda at, m=n: (pack(m[at].astype(np.uint32)),), ("counts",))
-        pa.default_memory_pool().release_unused()
+            made = _dealt(own, run, distinct, lambda at, m=n: (pack(m[at].astype(np.uint32)),), ("counts",))
+            del run, distinct, n
+            release()
+            yield made
+        release()
 
     def merge(table: pa.Table) -> pa.Table:
         """The distinct trigrams of a shard, by number of its words, and how many trigrams and bigrams of its own were met once and twice."""
@@ -605,6 +614,8 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
         continued = counted(joined_pairs(root[whole_], word[whole_], np.uint64(size + len(words))))[1]
         made = (_deltas(words), *packed_keys(root, before, word), pack(n))
         met = ((continued == 1).sum(), (continued == 2).sum(), (n == 1).sum(), (n == 2).sum())
+        del columns, root, before, word, whole_, continued, n, first
+        release()
         return pa.table(
             [table["shard"][:1], *(pa.array([m], pa.binary()) for m in made), *(pa.array([int(m)]) for m in met)],
             names=["shard", "words", *KEYS, "counts", "once2", "twice2", "once3", "twice3"],
@@ -647,7 +658,8 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> LanguageMod
         lower = stored(lower.groupBy("root", "w", "h").agg(F.sum("n").alias("n")), "frequent-bigrams")
         more = lower.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
         below = [lower.join(shards, "root").select("shard", "root", "w", "h", "n")]
-        known = known.union(below[0].filter("h is not null").select("shard", "h")).distinct()
+        # Dealt by word alone, as the join with the counts is, so words are shuffled once.
+        known = known.union(below[0].filter("h is not null").select("shard", "h")).repartition("h").distinct()
     discounts = discount_of(found[0] + more[0], found[1] + more[1]), discount_of(found[2], found[3])
     none = F.lit(None).cast("long")
     facts = known.join(counts, "h").select("shard", none.alias("root"), none.alias("w"), "h", "n")
@@ -784,11 +796,13 @@ def _scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
 
             run = signed(xxhash.xxh3_64_intdigest(r.rids.tobytes()))
             dealt = _dealt(own, r, distinct, columns, ("counts", "numbers"))
+            del distinct, n, first, number, r.number
+            release()
             yield dealt.append_column("run", pa.array([run] * dealt.num_rows, pa.int64()))
             # Who the texts of the run are, and what is known without tries, goes along under a negative number, past the shards.
             names_ = pa.RecordBatch.from_arrays([pa.array([-1 - run % (4 * own.shards)], pa.int32()), *[pa.array([f], pa.binary()) for f in facts]], dealt.schema.names)
             yield names_.append_column("run", pa.array([run], pa.int64()))
-        pa.default_memory_pool().release_unused()
+        release()
 
     def answer(key: tuple, parts: pa.Table, asked: pa.Table) -> pa.Table:
         """The sums of one shard's trigrams; a negative one has the names and facts of runs, which are passed on."""
@@ -796,6 +810,7 @@ def _scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
         made = []
         own = received(shared) if shard >= 0 and asked.num_rows else None
         trie = Shard(trie_of(own, parts, discounts)) if own and parts.num_rows else None
+        release()
         for batch in asked.to_batches(max_chunksize=1):
             words, *blobs, counts, numbers, run = (c[0].as_py() for c in batch.columns[1:])
             if shard < 0:
@@ -817,6 +832,8 @@ def _scores(texts: DataFrame, model: LanguageModel) -> DataFrame:
             still = np.repeat(missing, counts)
             open_ = words[word[missing] - own.size]
             made.append((run, pack(number), pack(sums), pack(numbers[still]), pack(np.repeat(open_, counts[missing])), None, None, None))
+        del trie
+        release()
         columns = [pa.array([m[i] for m in made], pa.binary() if i else pa.int64()) for i in range(8)]
         return pa.table(columns, names=["run", "texts", "sums", "open_texts", "open_words", "tokens", "base", "counts"])
 
